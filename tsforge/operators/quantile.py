@@ -11,7 +11,10 @@ task's memory.  Here:
 3. only the bucket(s) containing the wanted order statistics are ranked
    exactly (``row_number`` inside ``(series, bucket)``).
 
-The result is exact (the sketch only decides where to look).
+The result is exact (the sketch only decides where to look).  When the
+largest group is small enough (one cheap count per group, checked at plan
+time) Spark's exact ``percentile`` is used directly: its buffer is bounded
+by that group size.
 """
 
 from __future__ import annotations
@@ -22,6 +25,10 @@ from pyspark.sql import functions as F
 from tsforge.spec import KEYS
 
 
+# Largest group (rows) whose exact quantiles are computed in one aggregation buffer.
+DIRECT_MAX_ROWS = 2_000_000
+
+
 def exact_quantiles(
     df: DataFrame,
     probs,
@@ -29,12 +36,19 @@ def exact_quantiles(
     keys=KEYS,
     buckets: int = 256,
     accuracy: int = 10000,
+    direct_max_rows: int | None = DIRECT_MAX_ROWS,
 ) -> DataFrame:
     """One row per ``keys`` with a column ``q<i>`` per requested probability
     (named ``q{int(p*100)}``, e.g. q25/q75) and ``n`` = non-null count."""
     keys = list(keys)
     probs = [float(p) for p in probs]
     d = df.filter(F.col(value_col).isNotNull()).select(*keys, F.col(value_col).cast("double").alias("_x"))
+    if direct_max_rows:
+        biggest = d.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= direct_max_rows:
+            q = F.percentile("_x", F.array(*[F.lit(p) for p in probs]))
+            out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
+            return out.select(*keys, "n", *[F.col("_q")[i].alias(f"q{_pname(p)}") for i, p in enumerate(probs)])
     cuts = [i / buckets for i in range(1, buckets)]
     stats = d.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -77,8 +91,9 @@ def exact_quantiles(
         .join(v1, on=[*keys, "_k1"], how="left")
         .withColumn("_q", F.col("_v0") + (F.col("_h") - F.col("_k0")) * (F.col("_v1") - F.col("_v0")))
     )
-    out = res.groupBy(*keys, "n").pivot("_i", list(range(len(probs)))).agg(F.first("_q"))
-    return out.select(*keys, "n", *[F.col(str(i)).alias(f"q{_pname(p)}") for i, p in enumerate(probs)])
+    return res.groupBy(*keys, "n").agg(
+        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{_pname(p)}") for i, p in enumerate(probs)]
+    )
 
 
 def _pname(p: float) -> str:

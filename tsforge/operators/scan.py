@@ -82,17 +82,22 @@ def valid_neighbours(
     """
     valid = F.when(F.col(value_col).isNotNull(), F.struct(F.col("pos").alias("p"), F.col(value_col).alias("v")))
     df = with_chunk(df, chunk_rows)
-    w = chunk_window(keys)
-    df = df.withColumn(
-        "_in_prev", F.last(valid, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_in_next", F.first(valid, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    # Both directions use running frames (UNBOUNDED PRECEDING .. CURRENT ROW):
+    # Spark evaluates those incrementally, whereas a frame ending at UNBOUNDED
+    # FOLLOWING is re-aggregated for every row (quadratic in the chunk size).
+    fwd = Window.partitionBy(*keys, CHUNK).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    bwd = Window.partitionBy(*keys, CHUNK).orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_in_prev", F.last(valid, ignorenulls=True).over(fwd)).withColumn(
+        "_in_next", F.last(valid, ignorenulls=True).over(bwd)
+    )
     summary = df.groupBy(*keys, CHUNK).agg(F.max(valid).alias("_last"), F.min(valid).alias("_first"))
-    wc = Window.partitionBy(*keys).orderBy(CHUNK)
+    cf = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    cb = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *keys,
         CHUNK,
-        F.last("_last", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_c_prev"),
-        F.first("_first", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_c_next"),
+        F.last("_last", ignorenulls=True).over(cf).alias("_c_prev"),
+        F.last("_first", ignorenulls=True).over(cb).alias("_c_next"),
     )
     return (
         df.join(carry, on=[*keys, CHUNK], how="left")

@@ -274,3 +274,113 @@ s AS (SELECT series_id, var, avg(value) AS mu, stddev_pop(value) AS sd FROM ship
 o AS (SELECT g.series_id, g.var, g.ts, g.pos, (g.value - s.mu) / NULLIF(s.sd, 0) AS value
       FROM ship_g g JOIN s USING (series_id, var))
 {sel_long('o')}"""
+
+# ----------------------------------------------------------------- E
+
+EV_TYPE_RAW = """
+ev_t AS (SELECT event_type AS series_id, 'value' AS var, ts, CAST(value AS DOUBLE) AS value FROM events)"""
+
+_LABEL = {
+    "D": "CAST(ts AS DATE)",
+    "W": "CAST(ts AS DATE) + CAST((7 - isodow(CAST(ts AS DATE))) % 7 AS INTEGER)",
+    "M": "last_day(CAST(ts AS DATE))",
+    "Q": "last_day(CAST(date_trunc('quarter', ts) AS DATE) + INTERVAL 2 MONTH)",
+    "Y": "make_date(year(ts), 12, 31)",
+}
+# grid of consecutive bucket labels between the first and last label
+_SERIES = {
+    "D": "generate_series(CAST(l0 AS TIMESTAMP), CAST(l1 AS TIMESTAMP), INTERVAL 1 DAY)",
+    "W": "generate_series(CAST(l0 AS TIMESTAMP), CAST(l1 AS TIMESTAMP), INTERVAL 7 DAY)",
+    "M": "generate_series(CAST(date_trunc('month', l0) AS TIMESTAMP), CAST(date_trunc('month', l1) AS TIMESTAMP), INTERVAL 1 MONTH)",
+    "Q": "generate_series(CAST(date_trunc('month', l0) AS TIMESTAMP), CAST(date_trunc('month', l1) AS TIMESTAMP), INTERVAL 3 MONTH)",
+    "Y": "generate_series(CAST(date_trunc('year', l0) AS TIMESTAMP), CAST(date_trunc('year', l1) AS TIMESTAMP), INTERVAL 1 YEAR)",
+}
+_TO_LABEL = {"D": "g", "W": "g", "M": "last_day(g)", "Q": "last_day(g)", "Y": "make_date(year(g), 12, 31)"}
+_AGG = {"mean": "avg(value)", "sum": "sum(value)", "max": "max(value)", "min": "min(value)"}
+
+
+def downsample_sql(rule: str, method: str) -> str:
+    src = "ev_t" if rule == "D" else "ord_raw"
+    base = EV_TYPE_RAW if rule == "D" else ORD_RAW
+    val = "COALESCE(b.v, 0.0)" if method == "sum" else "b.v"
+    return f"""
+WITH {base},
+b AS (SELECT series_id, var, {_LABEL[rule]} AS lab, {_AGG[method]} AS v FROM {src} GROUP BY ALL),
+rng AS (SELECT series_id, var, min(lab) AS l0, max(lab) AS l1 FROM b GROUP BY series_id, var),
+gr AS (SELECT series_id, var, CAST({_TO_LABEL[rule]} AS DATE) AS lab
+       FROM (SELECT series_id, var, unnest({_SERIES[rule]}) AS g FROM rng))
+SELECT gr.series_id, gr.var, CAST(gr.lab AS TIMESTAMP) AS ts,
+       row_number() OVER (PARTITION BY gr.series_id, gr.var ORDER BY gr.lab) - 1 AS pos,
+       {R6(val)} AS value
+FROM gr LEFT JOIN b ON b.series_id = gr.series_id AND b.var = gr.var AND b.lab = gr.lab"""
+
+
+for _r, _rn in {"D": "day", "W": "week", "M": "month", "Q": "quarter", "Y": "year"}.items():
+    for _m in _AGG:
+        ORACLES[f"downsample_{_m}_{_rn}"] = downsample_sql(_r, _m)
+
+
+def ffill(src: str, name: str) -> str:
+    return f"""
+{name} AS (SELECT * EXCLUDE (value), COALESCE(value, last_value(value IGNORE NULLS) OVER {W()}) AS value FROM {src})"""
+
+
+ORACLES["upsample_ffill_hour"] = f"WITH {ORD_RAW}, {grid('ord_raw', 'u', HOUR)}, {ffill('u', 'f')} {sel_long('f')}"
+ORACLES["upsample_linear_hour"] = f"WITH {ORD_RAW}, {grid('ord_raw', 'u', HOUR)}, {linfill('u', 'f')} {sel_long('f')}"
+ORACLES["upsample_ffill_minute"] = f"WITH {EV_RAW_H}, {grid('ev_h', 'u', 60_000_000)}, {ffill('u', 'f')} {sel_long('f')}"
+ORACLES["upsample_linear_minute"] = f"WITH {EV_RAW_H}, {grid('ev_h', 'u', 60_000_000)}, {linfill('u', 'f')} {sel_long('f')}"
+
+# ----------------------------------------------------------------- F
+
+
+def ma_sql(window: int) -> str:
+    after = (window - 1) // 2
+    before = window - 1 - after
+    f = W(frame=f"ROWS BETWEEN {before} PRECEDING AND {after} FOLLOWING")
+    return f"""
+WITH {EV_GRID},
+s AS (SELECT series_id, var, ts, pos,
+             CASE WHEN count(value) OVER {f} = {window} THEN avg(value) OVER {f} ELSE value END AS value
+      FROM ev_g)
+{sel_long('s')}"""
+
+
+ORACLES["smooth_ma_odd"] = ma_sql(3)
+ORACLES["smooth_ma_even"] = ma_sql(4)
+
+ORACLES["smooth_ewm"] = f"""
+WITH RECURSIVE {EV_GRID},
+e AS (
+  SELECT series_id, var, ts, pos, CASE WHEN value IS NOT NULL THEN pos END AS lp, value AS y
+  FROM ev_g WHERE pos = 0
+  UNION ALL
+  SELECT b.series_id, b.var, b.ts, b.pos,
+         CASE WHEN b.value IS NOT NULL THEN b.pos ELSE e.lp END,
+         CASE WHEN b.value IS NULL THEN e.y
+              WHEN e.y IS NULL THEN b.value
+              ELSE (pow(0.8, b.pos - e.lp) * e.y + 0.2 * b.value) / (pow(0.8, b.pos - e.lp) + 0.2) END
+  FROM e JOIN ev_g b ON b.series_id = e.series_id AND b.var = e.var AND b.pos = e.pos + 1)
+SELECT series_id, var, ts, pos, {R6('y')} AS value FROM e"""
+
+ORACLES["smooth_loess"] = f"""
+WITH {EV_GRID}, {linfill('ev_g', 'lf')},
+nk AS (SELECT series_id, var, count(*) AS n, CAST(floor(count(*) * 0.1) AS BIGINT) AS k FROM lf GROUP BY series_id, var),
+a AS (SELECT l.series_id, l.var, l.ts, l.pos, nk.k,
+             least(greatest(CAST(ceil(l.pos - nk.k / 2.0) AS BIGINT), 0), nk.n - nk.k) AS lft
+      FROM lf l JOIN nk USING (series_id, var)),
+a2 AS (SELECT *, greatest(pos - lft, lft + k - 1 - pos) AS rad FROM a),
+pr AS (SELECT a2.series_id, a2.var, a2.ts, a2.pos, CAST(b.pos AS DOUBLE) AS xj, b.value AS yj,
+              CASE WHEN abs(b.pos - a2.pos) / a2.rad < 1 THEN pow(1 - pow(abs(b.pos - a2.pos) / a2.rad, 3), 3) ELSE 0 END AS w
+       FROM a2 JOIN lf b ON b.series_id = a2.series_id AND b.var = a2.var
+            AND b.pos BETWEEN a2.lft AND a2.lft + a2.k - 1
+       WHERE b.value IS NOT NULL),
+m AS (SELECT series_id, var, ts, pos, sum(w * xj) / sum(w) AS xm, sum(w * yj) / sum(w) AS ym
+      FROM pr GROUP BY ALL),
+s AS (SELECT pr.series_id, pr.var, pr.ts, pr.pos, m.xm, m.ym,
+             sum(pr.w * (pr.xj - m.xm) * (pr.xj - m.xm)) AS sxx,
+             sum(pr.w * (pr.xj - m.xm) * (pr.yj - m.ym)) AS sxy
+      FROM pr JOIN m USING (series_id, var, pos) GROUP BY ALL),
+o AS (SELECT series_id, var, ts, pos,
+             CASE WHEN sxx > 1e-12 * greatest(1.0, xm * xm) THEN ym + sxy / sxx * (pos - xm) ELSE ym END AS value
+      FROM s)
+{sel_long('o')}"""

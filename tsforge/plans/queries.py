@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsforge.functions.expr import r6
-from tsforge.operators import calendar, detect, fill, normalize, report
+from tsforge.operators import calendar, detect, fill, normalize, report, smooth
 from tsforge.plans import cleaning
 from tsforge.sources import tables as tb
 
@@ -181,3 +181,71 @@ def q_ds_zscore(spark, sf):
 @query("standardize")
 def q_standardize(spark, sf):
     return finish(normalize.standardize(ship_grid(spark, sf)))
+
+
+# ------------------------------------------------------------------ E: resampling
+
+_RULE_NAMES = {"D": "day", "W": "week", "M": "month", "Q": "quarter", "Y": "year"}
+_DS_METHODS = {"mean": 0, "sum": 1, "max": 2, "min": 3}
+
+
+def _ds_input(spark, sf, rule):
+    # daily buckets from the raw (irregular) event stream; coarser ones from daily orders
+    if rule == "D":
+        return tb.ev_raw(spark, sf)
+    return tb.ord_daily(spark, sf)
+
+
+def _make_downsample(rule, method):
+    def q(spark, sf):
+        return finish(calendar.downsample(_ds_input(spark, sf, rule), rule, _DS_METHODS[method]))
+
+    return q
+
+
+for _r, _rn in _RULE_NAMES.items():
+    for _m in _DS_METHODS:
+        QUERIES[f"downsample_{_m}_{_rn}"] = _make_downsample(_r, _m)
+
+
+@query("upsample_ffill_hour")
+def q_upsample_ffill_hour(spark, sf):
+    return finish(calendar.upsample(tb.ord_daily(spark, sf), "H", 0))
+
+
+@query("upsample_linear_hour")
+def q_upsample_linear_hour(spark, sf):
+    return finish(calendar.upsample(tb.ord_daily(spark, sf), "H", 1))
+
+
+@query("upsample_ffill_minute")
+def q_upsample_ffill_minute(spark, sf):
+    return finish(calendar.upsample(tb.ev_hourly(spark, sf), "T", 0))
+
+
+@query("upsample_linear_minute")
+def q_upsample_linear_minute(spark, sf):
+    return finish(calendar.upsample(tb.ev_hourly(spark, sf), "T", 1))
+
+
+# ------------------------------------------------------------------ F: smoothing
+
+
+@query("smooth_ma_odd")
+def q_smooth_ma_odd(spark, sf):
+    return finish(smooth.moving_average(ev_grid(spark, sf), 3))
+
+
+@query("smooth_ma_even")
+def q_smooth_ma_even(spark, sf):
+    return finish(smooth.moving_average(ev_grid(spark, sf), 4))
+
+
+@query("smooth_ewm")
+def q_smooth_ewm(spark, sf):
+    return finish(smooth.ewm(ev_grid(spark, sf), 0.2))
+
+
+@query("smooth_loess")
+def q_smooth_loess(spark, sf):
+    return finish(smooth.loess(fill.linear(ev_grid(spark, sf)), frac=0.1))
