@@ -384,3 +384,167 @@ o AS (SELECT series_id, var, ts, pos,
              CASE WHEN sxx > 1e-12 * greatest(1.0, xm * xm) THEN ym + sxy / sxx * (pos - xm) ELSE ym END AS value
       FROM s)
 {sel_long('o')}"""
+
+# ----------------------------------------------------------------- I
+
+
+def lagx(src: str, name: str, k: int, col: str = "value") -> str:
+    return f"{name} AS (SELECT *, lag({col}, {k}) OVER (PARTITION BY series_id, var ORDER BY pos) AS lag{k} FROM {src})"
+
+
+ORACLES["diff_1"] = f"WITH {SHIP_GRID}, d AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS value FROM ship_g) {sel_long('d')}"
+ORACLES["diff_2"] = f"""WITH {SHIP_GRID},
+d1 AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS value FROM ship_g),
+d AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS value FROM d1)
+{sel_long('d')}"""
+ORACLES["diff_seasonal"] = f"WITH {SHIP_GRID}, d AS (SELECT series_id, var, ts, pos, value - lag(value, 12) OVER {W(frame='')} AS value FROM ship_g) {sel_long('d')}"
+
+_D1 = f"{SHIP_GRID}, d1 AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS value FROM ship_g), mn AS (SELECT series_id, var, min(value) AS m FROM d1 GROUP BY ALL)"
+ORACLES["log_transform"] = f"""WITH {_D1},
+t AS (SELECT d1.series_id, d1.var, ts, pos,
+             ln(CASE WHEN m <= 0 THEN value + abs(m) + 1e-10 ELSE value END) AS value
+      FROM d1 JOIN mn USING (series_id, var))
+{sel_long('t')}"""
+ORACLES["sqrt_transform"] = f"""WITH {_D1},
+t AS (SELECT d1.series_id, d1.var, ts, pos, sqrt(CASE WHEN m < 0 THEN value + abs(m) ELSE value END) AS value
+      FROM d1 JOIN mn USING (series_id, var))
+{sel_long('t')}"""
+
+_LAMS = ", ".join(f"({-2 + 0.1 * i:.1f})" for i in range(41))
+_BC = f"""{SHIP_GRID},
+mn AS (SELECT series_id, var, min(value) AS m FROM ship_g GROUP BY ALL),
+sx AS (SELECT g.series_id, g.var, g.ts, g.pos, CASE WHEN m <= 0 THEN value + abs(m) + 1e-10 ELSE value END AS x
+       FROM ship_g g JOIN mn USING (series_id, var)),
+lams AS (SELECT CAST(l AS DOUBLE) AS l FROM (VALUES {_LAMS}) t(l)),
+ll AS (SELECT series_id, var, l,
+              (l - 1) * sum(ln(x)) - count(x) / 2.0 * ln(var_pop(CASE WHEN l = 0 THEN ln(x) ELSE (pow(x, l) - 1) / l END)) AS llf
+       FROM sx, lams WHERE x IS NOT NULL GROUP BY series_id, var, l),
+best AS (SELECT series_id, var, arg_max(l, llf) AS lam FROM ll GROUP BY ALL)"""
+ORACLES["boxcox_lambda"] = f"WITH {_BC} SELECT series_id, var, {R6('lam')} AS lmbda FROM best"
+ORACLES["boxcox"] = f"""WITH {_BC},
+t AS (SELECT sx.series_id, sx.var, ts, pos, CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END AS value
+      FROM sx JOIN best USING (series_id, var))
+{sel_long('t')}"""
+
+ORACLES["transform_chain"] = f"""WITH {SHIP_GRID},
+mn AS (SELECT series_id, var, min(value) AS m FROM ship_g GROUP BY ALL),
+l1 AS (SELECT g.series_id, g.var, ts, pos, ln(CASE WHEN m <= 0 THEN value + abs(m) + 1e-10 ELSE value END) AS value
+       FROM ship_g g JOIN mn USING (series_id, var)),
+d AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS value FROM l1)
+{sel_long('d')}"""
+
+ORACLES["transform_ledger"] = f"""WITH {SHIP_GRID}
+SELECT v.series_id, v.var, s.step_no, s.transformation
+FROM (SELECT DISTINCT series_id, var FROM ship_g) v,
+     (VALUES (CAST(1 AS BIGINT), 'log'), (CAST(2 AS BIGINT), 'diff_1')) s(step_no, transformation)"""
+
+# ----------------------------------------------------------------- H
+
+EV_F = EV_GRID + "," + linfill("ev_g", "ev_f")
+
+ORACLES["trend_direction"] = f"""WITH {SHIP_GRID}, {ORD_RAW}, {grid('ord_raw', 'og', DAY)},
+cum AS (SELECT series_id, 'cum_orders' AS var, pos,
+               sum(COALESCE(value, 0.0)) OVER (PARTITION BY series_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS value
+        FROM og WHERE var = 'n_orders'),
+u AS (SELECT series_id, var, pos, value FROM ship_g UNION ALL SELECT * FROM cum),
+l AS (SELECT *, lag(value) OVER {W(frame='')} AS pv FROM u)
+SELECT series_id, var,
+       CASE WHEN bool_and(COALESCE(value >= pv, true)) THEN 'increasing'
+            WHEN bool_and(COALESCE(value <= pv, true)) THEN 'decreasing' ELSE 'unclear' END AS trend
+FROM l GROUP BY series_id, var"""
+
+
+def autocorr_sql(k: int) -> str:
+    return f"""{EV_F},
+l AS (SELECT *, lag(value, {k}) OVER {W(frame='')} AS y FROM ev_f),
+a AS (SELECT series_id, var, count(*) AS n,
+             covar_pop(CASE WHEN y IS NOT NULL THEN value END, CASE WHEN value IS NOT NULL THEN y END) /
+             NULLIF(sqrt(var_pop(CASE WHEN y IS NOT NULL THEN value END) * var_pop(CASE WHEN value IS NOT NULL THEN y END)), 0) AS r
+      FROM l GROUP BY series_id, var)"""
+
+
+ORACLES["autocorr_lag12"] = f"WITH {autocorr_sql(12)} SELECT series_id, var, n, CAST(12 AS BIGINT) AS lag, {R6('r')} AS autocorr FROM a"
+ORACLES["seasonality_flag"] = f"""WITH {autocorr_sql(12)}
+SELECT series_id, var, n, CAST(12 AS BIGINT) AS period, {R6('r')} AS autocorr,
+       (n >= 24 AND COALESCE(abs(r) > 0.5, false)) AS seasonal FROM a"""
+
+_ACF = f"""{EV_F},
+e AS (SELECT series_id, var, pos, value - avg(value) OVER (PARTITION BY series_id, var) AS e,
+             count(*) OVER (PARTITION BY series_id, var) AS n FROM ev_f),
+ls AS (SELECT a.series_id, a.var, k.lag, any_value(a.n) AS n, sum(a.e * b.e) AS s
+       FROM e a CROSS JOIN (SELECT range AS lag FROM range(0, 41)) k
+       JOIN e b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
+       GROUP BY a.series_id, a.var, k.lag),
+ac AS (SELECT series_id, var, lag, n, s / NULLIF(max(CASE WHEN lag = 0 THEN s END) OVER (PARTITION BY series_id, var), 0) AS acf
+       FROM ls),
+bd AS (SELECT *, CASE WHEN lag = 0 THEN 0.0 ELSE 1.959963984540054 * sqrt((1 + 2 * COALESCE(
+                   sum(CASE WHEN lag >= 1 THEN acf * acf END) OVER (PARTITION BY series_id, var ORDER BY lag
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n) END AS band
+       FROM ac)"""
+ORACLES["acf"] = f"WITH {_ACF} SELECT series_id, var, CAST(lag AS BIGINT) AS lag, n, {R6('acf')} AS acf, {R6('band')} AS band FROM bd"
+ORACLES["acf_significant_lags"] = f"""WITH {_ACF},
+sg AS (SELECT *, COALESCE(abs(acf) > 2 * band, false) AS sig FROM bd),
+g AS (SELECT series_id, var,
+             list_sort(list(CAST(lag AS BIGINT)) FILTER (WHERE sig)) AS significant_lags,
+             CAST(count(*) FILTER (WHERE sig) AS BIGINT) AS n_significant,
+             CAST(max(lag) FILTER (WHERE sig) AS BIGINT) AS last_significant
+      FROM sg GROUP BY series_id, var)
+SELECT *, CASE WHEN n_significant = 0 THEN 'white_noise' WHEN n_significant > 20.0 THEN 'slow_decay'
+               ELSE 'cutoff_' || CAST(last_significant AS VARCHAR) END AS verdict FROM g"""
+
+ORACLES["pacf_lag12"] = f"""WITH {EV_F},
+e AS (SELECT series_id, var, pos, value - avg(value) OVER (PARTITION BY series_id, var) AS e,
+             count(*) OVER (PARTITION BY series_id, var) AS n FROM ev_f),
+ls AS (SELECT a.series_id, a.var, k.lag, any_value(a.n) AS n, sum(a.e * b.e) / (any_value(a.n) - k.lag) AS g
+       FROM e a CROSS JOIN (SELECT range AS lag FROM range(0, 3)) k
+       JOIN e b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
+       GROUP BY a.series_id, a.var, k.lag),
+w AS (SELECT series_id, var, any_value(n) AS n,
+             max(CASE WHEN lag = 1 THEN g END) / max(CASE WHEN lag = 0 THEN g END) AS r1,
+             max(CASE WHEN lag = 2 THEN g END) / max(CASE WHEN lag = 0 THEN g END) AS r2
+      FROM ls GROUP BY series_id, var),
+p AS (SELECT series_id, var, n, 0 AS lag, 1.0 AS pacf FROM w
+      UNION ALL SELECT series_id, var, n, 1, r1 FROM w
+      UNION ALL SELECT series_id, var, n, 2, (r2 - r1 * r1) / (1 - r1 * r1) FROM w)
+SELECT series_id, var, CAST(lag AS BIGINT) AS lag, n, {R6('pacf')} AS pacf, {R6('1.959963984540054 / sqrt(n)')} AS band FROM p"""
+
+
+def kpss_sql(src_ctes: str, src: str, regression: str) -> str:
+    if regression == "c":
+        resid = f"""r AS (SELECT series_id, var, pos, value - avg(value) OVER (PARTITION BY series_id, var) AS e,
+                    count(*) OVER (PARTITION BY series_id, var) AS n FROM {src})"""
+        crit = [0.347, 0.463, 0.574, 0.739]
+    else:
+        resid = f"""co AS (SELECT series_id, var, regr_slope(value, pos) AS b, regr_intercept(value, pos) AS a0, count(*) AS n
+                     FROM {src} GROUP BY ALL),
+r AS (SELECT s.series_id, s.var, s.pos, s.value - co.a0 - co.b * s.pos AS e, co.n FROM {src} s JOIN co USING (series_id, var))"""
+        crit = [0.119, 0.146, 0.176, 0.216]
+    pv = [0.10, 0.05, 0.025, 0.01]
+    interp = f"CASE WHEN st <= {crit[0]} THEN {pv[0]} "
+    for i in range(3):
+        interp += f"WHEN st <= {crit[i + 1]} THEN {pv[i]} + (st - {crit[i]}) * ({(pv[i + 1] - pv[i]) / (crit[i + 1] - crit[i])!r}) "
+    interp += f"ELSE {pv[3]} END"
+    return f"""WITH {src_ctes},
+{resid},
+cs AS (SELECT *, sum(e) OVER (PARTITION BY series_id, var ORDER BY pos ROWS UNBOUNDED PRECEDING) AS S FROM r),
+eta AS (SELECT series_id, var, any_value(n) AS n, sum(S * S) AS ss FROM cs GROUP BY ALL),
+ls AS (SELECT a.series_id, a.var, k.lag, sum(a.e * b.e) AS s
+       FROM r a CROSS JOIN (SELECT range AS lag FROM range(0, 300)) k
+       JOIN r b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
+       GROUP BY a.series_id, a.var, k.lag),
+sh AS (SELECT l.series_id, l.var, any_value(eta.n) AS n,
+              sum(CASE WHEN lag = 0 THEN s / eta.n ELSE s / (eta.n / 2.0) END) AS s0,
+              sum(lag * CASE WHEN lag = 0 THEN s / eta.n ELSE s / (eta.n / 2.0) END) AS s1
+       FROM ls l JOIN eta USING (series_id, var) WHERE lag <= floor(pow(eta.n, 2.0 / 9.0)) GROUP BY ALL),
+lg AS (SELECT series_id, var, least(CAST(floor(1.1447 * pow(pow(s1 / s0, 2), 1.0 / 3.0) * pow(n, 1.0 / 3.0)) AS BIGINT), n - 1) AS lags
+       FROM sh),
+lr AS (SELECT ls.series_id, ls.var, lg.lags,
+              sum(CASE WHEN lag = 0 THEN s ELSE 2 * (1 - lag / (lags + 1.0)) * s END) AS lrv
+       FROM ls JOIN lg USING (series_id, var) WHERE lag <= lags GROUP BY ALL),
+o AS (SELECT eta.series_id, eta.var, eta.n, lr.lags, (ss / (eta.n * eta.n)) / (lrv / eta.n) AS st
+      FROM eta JOIN lr USING (series_id, var))
+SELECT series_id, var, n, lags, {R6('st')} AS statistic, {R6(interp)} AS p_value, ({interp}) > 0.05 AS stationary FROM o"""
+
+
+ORACLES["kpss"] = kpss_sql(SHIP_GRID, "ship_g", "c")
+ORACLES["kpss_ct"] = kpss_sql(EV_F, "ev_f", "ct")

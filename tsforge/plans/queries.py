@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsforge.functions.expr import r6
-from tsforge.operators import calendar, detect, fill, normalize, report, smooth
+from tsforge.operators import calendar, detect, fill, normalize, report, smooth, stationarity, transform
 from tsforge.plans import cleaning
 from tsforge.sources import tables as tb
 
@@ -249,3 +249,119 @@ def q_smooth_ewm(spark, sf):
 @query("smooth_loess")
 def q_smooth_loess(spark, sf):
     return finish(smooth.loess(fill.linear(ev_grid(spark, sf)), frac=0.1))
+
+
+# ------------------------------------------------------------------ I: transforms
+
+
+@query("diff_1")
+def q_diff_1(spark, sf):
+    return finish(transform.diff(ship_grid(spark, sf), 1))
+
+
+@query("diff_2")
+def q_diff_2(spark, sf):
+    return finish(transform.diff(ship_grid(spark, sf), 2))
+
+
+@query("diff_seasonal")
+def q_diff_seasonal(spark, sf):
+    return finish(transform.seasonal_diff(ship_grid(spark, sf), 12))
+
+
+@query("log_transform")
+def q_log_transform(spark, sf):
+    # differenced input has values <= 0, exercising the shift rule
+    return finish(transform.log(transform.diff(ship_grid(spark, sf), 1)))
+
+
+@query("sqrt_transform")
+def q_sqrt_transform(spark, sf):
+    return finish(transform.sqrt(transform.diff(ship_grid(spark, sf), 1)))
+
+
+@query("boxcox")
+def q_boxcox(spark, sf):
+    return finish(transform.boxcox(ship_grid(spark, sf), refine=0))
+
+
+@query("boxcox_lambda")
+def q_boxcox_lambda(spark, sf):
+    return finish(transform.boxcox_lambda(ship_grid(spark, sf), refine=0).select(*["series_id", "var", "lmbda"]))
+
+
+_CHAIN = ["log", ("diff", {"order": 1})]
+
+
+@query("transform_chain")
+def q_transform_chain(spark, sf):
+    return finish(transform.chain(ship_grid(spark, sf), _CHAIN))
+
+
+@query("transform_ledger")
+def q_transform_ledger(spark, sf):
+    return finish(transform.ledger(ship_grid(spark, sf), _CHAIN))
+
+
+# ------------------------------------------------------------------ H: diagnostics
+
+
+def ev_filled(spark, sf):
+    return fill.linear(ev_grid(spark, sf))
+
+
+@query("trend_direction")
+def q_trend_direction(spark, sf):
+    g = ship_grid(spark, sf)
+    # a cumulative count is monotone: exercises the 'increasing' branch too
+    cum = calendar.regularize(tb.ord_daily(spark, sf), "D").filter(F.col("var") == "n_orders")
+    from tsforge.operators import scan
+
+    cum = scan.running_sum(cum, "value", "value2").select("series_id", F.lit("cum_orders").alias("var"), "ts", "pos",
+                                                          F.col("value2").alias("value"))
+    return finish(stationarity.trend_direction(g.unionByName(cum)))
+
+
+@query("autocorr_lag12")
+def q_autocorr_lag12(spark, sf):
+    return finish(stationarity.autocorr(ev_filled(spark, sf), 12))
+
+
+@query("seasonality_flag")
+def q_seasonality_flag(spark, sf):
+    return finish(stationarity.seasonality(ev_filled(spark, sf), 12))
+
+
+@query("acf")
+def q_acf(spark, sf):
+    return finish(stationarity.acf(ev_filled(spark, sf), 40))
+
+
+@query("acf_significant_lags")
+def q_acf_significant_lags(spark, sf):
+    return finish(stationarity.acf_significant(ev_filled(spark, sf), 40))
+
+
+@query("pacf_lag12")
+def q_pacf_lag12(spark, sf):
+    return finish(stationarity.pacf(ev_filled(spark, sf), 2))
+
+
+@query("pacf")
+def q_pacf(spark, sf):
+    return finish(stationarity.pacf(ev_filled(spark, sf), 40))
+
+
+@query("pacf_significant_lags")
+def q_pacf_significant_lags(spark, sf):
+    return finish(stationarity.pacf_significant(ev_filled(spark, sf), 40))
+
+
+@query("kpss")
+def q_kpss(spark, sf):
+    return finish(stationarity.kpss(ship_grid(spark, sf), "c").drop("critical_values"))
+
+
+@query("kpss_ct")
+def q_kpss_ct(spark, sf):
+    return finish(stationarity.kpss(ev_filled(spark, sf), "ct").drop("critical_values"))
