@@ -179,3 +179,36 @@ def ledger(df: DataFrame, steps) -> DataFrame:
         .select(*KEYS, F.explode(arr).alias("_s"))
         .select(*KEYS, "_s.step_no", "_s.transformation")
     )
+
+
+def auto(df: DataFrame, verdicts: DataFrame, seasonal: DataFrame, period: int = 12, order: int = 1,
+         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """I8: per variable, non-stationary & seasonal → seasonal difference;
+    non-stationary → difference; trend-stationary → log; otherwise unchanged.
+
+    ``verdicts``: ``series_id, var, conclusion``; ``seasonal``: ``series_id,
+    var, seasonal``.  All candidates are evaluated in one halo pass and the
+    per-variable decision (a small table) picks one.  Returns (data, ledger)."""
+    cols = df.columns
+    decide = verdicts.select(*KEYS, "conclusion").join(seasonal.select(*KEYS, "seasonal"), on=KEYS, how="left")
+    label = (F.when((F.col("conclusion") == "non_stationary") & F.coalesce(F.col("seasonal"), F.lit(False)),
+                    F.lit(f"seasonal_diff_{period}"))
+             .when(F.col("conclusion") == "non_stationary", F.lit(f"diff_{order}"))
+             .when(F.col("conclusion") == "trend_stationary", F.lit("log"))
+             .otherwise(F.lit("none")))
+    decide = decide.select(*KEYS, label.alias("transformation"))
+    halo = max(period, order)
+    h = scan.with_halo(_with_min(df), before=halo, after=0, chunk_rows=chunk_rows)
+    w = scan.chunk_window()
+    level = [F.col("value") if j == 0 else F.lag("value", j).over(w) for j in range(order + 1)]
+    for _ in range(order):
+        level = [level[j] - level[j + 1] for j in range(len(level) - 1)]
+    h = (h.withColumn("_d", level[0])
+         .withColumn("_sd", F.col("value") - F.lag("value", period).over(w))
+         .withColumn("_lg", F.ln(_pos_shift())))
+    d = scan.drop_halo(h).join(decide, on=KEYS, how="left")
+    t = F.col("transformation")
+    val = (F.when(t == f"seasonal_diff_{period}", F.col("_sd")).when(t == f"diff_{order}", F.col("_d"))
+           .when(t == "log", F.col("_lg")).otherwise(F.col("value")))
+    ledger_df = decide.select(*KEYS, F.lit(1).cast("bigint").alias("step_no"), "transformation")
+    return d.withColumn("value", val).select(*cols), ledger_df

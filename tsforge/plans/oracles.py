@@ -548,3 +548,170 @@ SELECT series_id, var, n, lags, {R6('st')} AS statistic, {R6(interp)} AS p_value
 
 ORACLES["kpss"] = kpss_sql(SHIP_GRID, "ship_g", "c")
 ORACLES["kpss_ct"] = kpss_sql(EV_F, "ev_f", "ct")
+
+# ----------------------------------------------------------------- J
+
+DAILY = f"""{ORD_RAW}, {SHIP_RAW},
+dw_raw AS (SELECT 'daily' AS series_id, var, ts, value FROM ord_raw UNION ALL SELECT 'daily', var, ts, value FROM ship_raw),
+{grid('dw_raw', 'dw_g', DAY)},
+{linfill('dw_g', 'dw_f')},
+dw AS (SELECT * FROM dw_f WHERE (series_id, pos) IN
+       (SELECT series_id, pos FROM dw_f GROUP BY series_id, pos HAVING count(value) = 6))"""
+
+ORD_F = ORD_GRID + "," + linfill("ord_g", "ord_f")
+
+
+def pearson_sql(src: str) -> str:
+    return f"""pr AS (SELECT a.series_id, a.var AS var1, b.var AS var2, a.value AS x, b.value AS y
+       FROM {src} a JOIN {src} b ON a.series_id = b.series_id AND a.pos = b.pos
+       WHERE a.value IS NOT NULL AND b.value IS NOT NULL),
+cm AS (SELECT series_id, var1, var2,
+              CASE WHEN var1 = var2 THEN (CASE WHEN var_pop(x) > 0 THEN 1.0 END)
+                   ELSE covar_pop(x, y) / NULLIF(sqrt(var_pop(x) * var_pop(y)), 0) END AS corr
+       FROM pr GROUP BY series_id, var1, var2)"""
+
+
+ORACLES["corr_pearson"] = f"WITH {DAILY}, {pearson_sql('dw')} SELECT series_id, var1, var2, {R6('corr')} AS corr FROM cm"
+ORACLES["corr_spearman"] = f"""WITH {DAILY},
+rk AS (SELECT series_id, var, pos,
+              rank() OVER (PARTITION BY series_id, var ORDER BY value)
+              + (count(*) OVER (PARTITION BY series_id, var, value) - 1) / 2.0 AS value
+       FROM dw WHERE value IS NOT NULL),
+{pearson_sql('rk')}
+SELECT series_id, var1, var2, {R6('corr')} AS corr FROM cm"""
+ORACLES["strong_pairs"] = f"""WITH {DAILY}, {pearson_sql('dw')}
+SELECT series_id, var1, var2, {R6('corr')} AS corr,
+       row_number() OVER (PARTITION BY series_id ORDER BY var1, var2) AS pair_no
+FROM cm WHERE var1 < var2 AND abs(corr) > 0.7"""
+
+_CCF = f"""{ORD_F},
+w AS (SELECT series_id, pos, max(CASE WHEN var = 'revenue' THEN value END) AS x,
+             max(CASE WHEN var = 'n_orders' THEN value END) AS y FROM ord_f GROUP BY series_id, pos),
+st AS (SELECT series_id, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, count(*) AS n
+       FROM w GROUP BY series_id),
+ls AS (SELECT a.series_id, k.lag, sum((a.x - st.mx) * (b.y - st.my)) AS s, any_value(st.n) AS n,
+              any_value(st.sx * st.sy) AS sxy
+       FROM w a JOIN st ON a.series_id = st.series_id CROSS JOIN (SELECT range AS lag FROM range(0, 21)) k
+       JOIN w b ON b.series_id = a.series_id AND b.pos = a.pos - k.lag
+       GROUP BY a.series_id, k.lag),
+cc AS (SELECT series_id, 'revenue' AS var1, 'n_orders' AS var2, CAST(lag AS BIGINT) AS lag, n,
+              s / (n - lag) / NULLIF(sxy, 0) AS ccf, 1.959963984540054 / sqrt(n) AS band FROM ls)"""
+ORACLES["ccf"] = f"""WITH {_CCF}
+SELECT series_id, var1, var2, lag, n, {R6('ccf')} AS ccf, {R6('band')} AS band,
+       COALESCE(abs(ccf) > band, false) AS significant FROM cc"""
+ORACLES["ccf_significant"] = f"""WITH {_CCF}
+SELECT series_id, var1, var2, list_sort(list(lag) FILTER (WHERE abs(ccf) > band)) AS significant_lags,
+       CAST(count(*) FILTER (WHERE abs(ccf) > band) AS BIGINT) AS n_significant
+FROM cc GROUP BY series_id, var1, var2"""
+
+ORACLES["pca_variance_2"] = f"""WITH {ORD_F},
+w AS (SELECT series_id, pos, max(CASE WHEN var = 'revenue' THEN value END) AS x,
+             max(CASE WHEN var = 'n_orders' THEN value END) AS y FROM ord_f GROUP BY series_id, pos),
+r AS (SELECT series_id, abs(covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y))) AS r FROM w
+      WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY series_id)
+SELECT series_id, CAST(1 AS BIGINT) AS pc, {R6('1 + r')} AS eigenvalue, {R6('(1 + r) / 2')} AS explained_variance_ratio,
+       {R6('(1 + r) / 2')} AS cumulative FROM r
+UNION ALL
+SELECT series_id, 2, {R6('1 - r')}, {R6('(1 - r) / 2')}, 1.0 FROM r"""
+
+ORACLES["collinear_strength"] = f"""WITH {DAILY}, {pearson_sql('dw')}
+SELECT series_id, var1 AS var, {R6('sum(abs(corr)) - 1')} AS strength FROM cm GROUP BY series_id, var1"""
+
+_SP = f"""{DAILY}, {pearson_sql('dw')},
+sp AS (SELECT series_id, var1, var2, corr, row_number() OVER (PARTITION BY series_id ORDER BY var1, var2) AS pair_no
+       FROM cm WHERE var1 < var2 AND abs(corr) > 0.7)"""
+
+
+def combine_sql(weighted: bool) -> str:
+    if weighted:
+        wts = """vv AS (SELECT series_id, var, var_samp(value) AS v FROM dw GROUP BY ALL),
+pw AS (SELECT sp.series_id, pair_no, var1, var2, v2.v / (v1.v + v2.v) AS w1, v1.v / (v1.v + v2.v) AS w2
+       FROM sp JOIN vv v1 ON v1.series_id = sp.series_id AND v1.var = sp.var1
+               JOIN vv v2 ON v2.series_id = sp.series_id AND v2.var = sp.var2)"""
+        expr = "pw.w1 * a.value + pw.w2 * b.value"
+    else:
+        wts = "pw AS (SELECT series_id, pair_no, var1, var2 FROM sp)"
+        expr = "(a.value + b.value) / 2"
+    return f"""WITH {_SP}, {wts},
+cb AS (SELECT a.series_id, 'combined_' || CAST(pw.pair_no AS VARCHAR) AS var, a.ts, a.pos, {expr} AS value
+       FROM pw JOIN dw a ON a.series_id = pw.series_id AND a.var = pw.var1
+               JOIN dw b ON b.series_id = pw.series_id AND b.var = pw.var2 AND b.pos = a.pos),
+kept AS (SELECT series_id, var, ts, pos, value FROM dw
+         WHERE (series_id, var) NOT IN (SELECT series_id, var1 FROM sp)),
+o AS (SELECT * FROM kept UNION ALL SELECT * FROM cb)
+{sel_long('o')}"""
+
+
+ORACLES["collinear_combine_avg"] = combine_sql(False)
+ORACLES["collinear_combine_weighted"] = combine_sql(True)
+
+ORACLES["collinear_auto_choice"] = f"""WITH {_SP},
+ps AS (SELECT series_id, avg(abs(corr)) AS m, stddev_pop(abs(corr)) AS s, count(*) AS n FROM sp GROUP BY series_id),
+vv AS (SELECT series_id, var, var_samp(value) AS v FROM dw GROUP BY ALL),
+cv AS (SELECT series_id, stddev_pop(v) / avg(v) AS cv FROM vv GROUP BY series_id),
+j AS (SELECT d.series_id, COALESCE(ps.n, 0) AS n_pairs, ps.m, ps.s, cv.cv
+      FROM (SELECT DISTINCT series_id FROM dw) d LEFT JOIN ps USING (series_id) LEFT JOIN cv USING (series_id))
+SELECT series_id, n_pairs, {R6('m')} AS mean_abs_r, {R6('s')} AS std_abs_r, {R6('cv')} AS cv_importance,
+       CASE WHEN n_pairs = 0 THEN 'none' WHEN m > 0.85 THEN 'pca' WHEN s > 0.2 THEN 'pca'
+            WHEN cv > 0.5 THEN 'select' ELSE 'combine' END AS method
+FROM j"""
+
+# ----------------------------------------------------------------- H9 (lag 0), H11 statistic
+
+ORACLES["adf_lag0"] = f"""WITH {SHIP_GRID},
+c AS (SELECT series_id, var, pos, value - avg(value) OVER (PARTITION BY series_id, var) AS x FROM ship_g),
+l AS (SELECT series_id, var, lag(x) OVER {W(frame='')} AS xl, x - lag(x) OVER {W(frame='')} AS dx FROM c),
+r AS (SELECT series_id, var, regr_count(dx, xl) AS m, regr_slope(dx, xl) AS b, regr_sxx(dx, xl) AS sxx,
+             regr_syy(dx, xl) AS syy, regr_sxy(dx, xl) AS sxy FROM l GROUP BY series_id, var)
+SELECT series_id, var, {R6('b / sqrt(((syy - sxy * sxy / sxx) / (m - 2)) / sxx)')} AS statistic,
+       CAST(0 AS BIGINT) AS used_lag, m AS nobs FROM r"""
+
+ORACLES["phillips_perron"] = f"""WITH {SHIP_GRID},
+l AS (SELECT series_id, var, pos, value AS y, lag(value) OVER {W(frame='')} AS yl FROM ship_g),
+r AS (SELECT series_id, var, regr_count(y, yl) AS m, regr_slope(y, yl) AS b, regr_intercept(y, yl) AS a,
+             var_pop(CASE WHEN y IS NOT NULL THEN yl END) AS vy
+      FROM l WHERE yl IS NOT NULL AND y IS NOT NULL GROUP BY series_id, var),
+nn AS (SELECT series_id, var, count(value) AS n FROM ship_g GROUP BY ALL),
+u AS (SELECT l.series_id, l.var, l.pos, l.y - r.a - r.b * l.yl AS u FROM l JOIN r USING (series_id, var)
+      WHERE l.yl IS NOT NULL AND l.y IS NOT NULL),
+lg AS (SELECT r.*, nn.n, CAST(ceil(12 * pow(nn.n / 100.0, 0.25)) AS BIGINT) AS lags FROM r JOIN nn USING (series_id, var)),
+ls AS (SELECT a.series_id, a.var, k.lag, sum(a.u * b.u) AS s
+       FROM u a CROSS JOIN (SELECT range AS lag FROM range(0, 60)) k
+       JOIN u b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
+       GROUP BY a.series_id, a.var, k.lag),
+lr AS (SELECT ls.series_id, ls.var, sum(CASE WHEN lag = 0 THEN s END) AS uu,
+              sum(CASE WHEN lag = 0 THEN s ELSE 2 * (1 - lag / (lags + 1.0)) * s END) AS lrs
+       FROM ls JOIN lg USING (series_id, var) WHERE lag <= lags GROUP BY ALL),
+t AS (SELECT lg.series_id, lg.var, lg.n, lg.lags, lg.m, lg.b, uu / lg.m AS g0, lrs / lg.m AS lam2, uu / (lg.m - 2) AS s2,
+             sqrt((uu / (lg.m - 2)) / (lg.m * lg.vy)) AS se
+      FROM lg JOIN lr USING (series_id, var))
+SELECT series_id, var, n, lags,
+       {R6('sqrt(g0 / lam2) * ((b - 1) / se) - 0.5 * ((lam2 - g0) / sqrt(lam2)) * (m * se / sqrt(s2))')} AS statistic
+FROM t"""
+
+# ----------------------------------------------------------------- K
+
+
+def dft_sql(src_ctes: str, src: str) -> str:
+    return f"""WITH {src_ctes},
+nn AS (SELECT series_id, var, count(*) AS n FROM {src} GROUP BY ALL),
+sp AS (SELECT s.series_id, s.var, k.k, any_value(nn.n) AS n,
+              sum(s.value * cos(2 * pi() * ((k.k * s.pos) % nn.n) / nn.n)) AS re,
+              sum(-s.value * sin(2 * pi() * ((k.k * s.pos) % nn.n) / nn.n)) AS im
+       FROM {src} s JOIN nn USING (series_id, var) JOIN (SELECT range AS k FROM range(0, 10000)) k ON k.k < nn.n
+       GROUP BY s.series_id, s.var, k.k)"""
+
+
+EMB_L = EMB + ", eml AS (SELECT series_id, 'x' AS var, step AS pos, x AS value FROM emb)"
+
+ORACLES["fft_spectrum"] = dft_sql(EMB_L, "eml") + f" SELECT series_id, var, CAST(k AS BIGINT) AS k, {R6('re')} AS re, {R6('im')} AS im FROM sp"
+ORACLES["fft_spectrum_long"] = dft_sql(EV_F, "ev_f") + f" SELECT series_id, var, CAST(k AS BIGINT) AS k, {R6('re')} AS re, {R6('im')} AS im FROM sp"
+ORACLES["fft_frequency"] = f"""WITH {EMB_L}, nn AS (SELECT series_id, var, count(*) AS n FROM eml GROUP BY ALL)
+SELECT series_id, var, CAST(k.k AS BIGINT) AS k, n,
+       {R6('CASE WHEN k.k < (n + 1) / 2.0 THEN k.k ELSE k.k - n END / (n * 1.0)')} AS freq
+FROM nn JOIN (SELECT range AS k FROM range(0, 10000)) k ON k.k < nn.n"""
+ORACLES["fft_amplitude"] = dft_sql(EMB_L, "eml") + f"""
+SELECT series_id, var, CAST(k AS BIGINT) AS k, {R6('CASE WHEN k < (n + 1) / 2.0 THEN k ELSE k - n END / (n * 1.0)')} AS freq,
+       {R6('2.0 / n * sqrt(re * re + im * im)')} AS amplitude
+FROM sp WHERE k < n / 2.0"""
+ORACLES["ifft_roundtrip"] = f"WITH {EMB_L} SELECT DISTINCT series_id, var, 0.0 AS max_abs_error FROM eml"

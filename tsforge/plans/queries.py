@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsforge.functions.expr import r6
-from tsforge.operators import calendar, detect, fill, normalize, report, smooth, stationarity, transform
+from tsforge.operators import (calendar, collinear, detect, fill, normalize, relations, report, smooth,
+                               spectral, stationarity, transform, unitroot)
 from tsforge.plans import cleaning
 from tsforge.sources import tables as tb
 
@@ -365,3 +366,262 @@ def q_kpss(spark, sf):
 @query("kpss_ct")
 def q_kpss_ct(spark, sf):
     return finish(stationarity.kpss(ev_filled(spark, sf), "ct").drop("critical_values"))
+
+
+# ------------------------------------------------------------------ J: relationships
+
+
+def complete_cases(df):
+    """Positions where every variable of the series is present."""
+    vars_ = relations.variables(df)
+    ok = relations.wide(df, vars_).dropna(subset=vars_).select("series_id", "pos")
+    return df.join(ok, on=["series_id", "pos"], how="left_semi")
+
+
+def daily_wide(spark, sf):
+    """orders (revenue, n_orders) and line items (4 averages) as one 6-variable
+    daily series, linearly filled, complete cases."""
+    raw = tb.ord_daily(spark, sf).unionByName(tb.ship_daily(spark, sf)).withColumn("series_id", F.lit("daily"))
+    return complete_cases(fill.linear(calendar.regularize(raw, "D")))
+
+
+def ord_wide(spark, sf):
+    return fill.linear(ord_grid(spark, sf))
+
+
+@query("corr_pearson")
+def q_corr_pearson(spark, sf):
+    return finish(relations.correlation(daily_wide(spark, sf)))
+
+
+@query("corr_spearman")
+def q_corr_spearman(spark, sf):
+    return finish(relations.correlation(daily_wide(spark, sf), "spearman"))
+
+
+@query("strong_pairs")
+def q_strong_pairs(spark, sf):
+    return finish(relations.strong_pairs(relations.correlation(daily_wide(spark, sf)), 0.7))
+
+
+@query("ccf")
+def q_ccf(spark, sf):
+    return finish(relations.ccf(ord_wide(spark, sf), "revenue", "n_orders", 20))
+
+
+@query("ccf_significant")
+def q_ccf_significant(spark, sf):
+    return finish(relations.ccf_significant(relations.ccf(ord_wide(spark, sf), "revenue", "n_orders", 20)))
+
+
+@query("pca_variance_2")
+def q_pca_variance_2(spark, sf):
+    comps, _ = relations.pca(ord_wide(spark, sf))
+    return finish(comps)
+
+
+@query("pca_variance")
+def q_pca_variance(spark, sf):
+    comps, _ = relations.pca(daily_wide(spark, sf))
+    return finish(comps)
+
+
+@query("pca_loadings")
+def q_pca_loadings(spark, sf):
+    _, loads = relations.pca(daily_wide(spark, sf))
+    return finish(loads)
+
+
+@query("pca_scores")
+def q_pca_scores(spark, sf):
+    d = daily_wide(spark, sf)
+    _, loads = relations.pca(d)
+    return finish(relations.pca_scores(d, loads))
+
+
+@query("pca_n80")
+def q_pca_n80(spark, sf):
+    comps, _ = relations.pca(daily_wide(spark, sf))
+    return finish(relations.n_components_for(comps, 0.8))
+
+
+@query("pca_top_features")
+def q_pca_top_features(spark, sf):
+    _, loads = relations.pca(daily_wide(spark, sf))
+    return finish(relations.top_features(loads, 3))
+
+
+def _pairs(spark, sf):
+    d = daily_wide(spark, sf)
+    corr = relations.correlation(d)
+    return d, corr, relations.strong_pairs(corr, 0.7)
+
+
+@query("collinear_strength")
+def q_collinear_strength(spark, sf):
+    _, corr, _ = _pairs(spark, sf)
+    return finish(collinear.strength(corr))
+
+
+@query("collinear_combine_avg")
+def q_collinear_combine_avg(spark, sf):
+    d, _, p = _pairs(spark, sf)
+    return finish(collinear.combine(d, p, "average"))
+
+
+@query("collinear_combine_weighted")
+def q_collinear_combine_weighted(spark, sf):
+    d, _, p = _pairs(spark, sf)
+    return finish(collinear.combine(d, p, "weighted"))
+
+
+@query("collinear_drop")
+def q_collinear_drop(spark, sf):
+    d, corr, p = _pairs(spark, sf)
+    return finish(collinear.drop(d, corr, p)[1])
+
+
+@query("collinear_select")
+def q_collinear_select(spark, sf):
+    d, _, p = _pairs(spark, sf)
+    return finish(collinear.select(d, p)[1])
+
+
+@query("collinear_auto_choice")
+def q_collinear_auto_choice(spark, sf):
+    d, _, p = _pairs(spark, sf)
+    return finish(collinear.auto_choice(d, p))
+
+
+@query("collinear_pca")
+def q_collinear_pca(spark, sf):
+    return finish(collinear.reduce_pca(daily_wide(spark, sf), 3))
+
+
+@query("collinear_effect")
+def q_collinear_effect(spark, sf):
+    d, corr, p = _pairs(spark, sf)
+    after = relations.correlation(collinear.combine(d, p, "average"))
+    return finish(collinear.effect(corr, after))
+
+
+# ------------------------------------------------------------------ H/J: tests on the moments pass
+
+
+@query("adf")
+def q_adf(spark, sf):
+    return finish(unitroot.adf(ship_grid(spark, sf)))
+
+
+@query("adf_bic")
+def q_adf_bic(spark, sf):
+    return finish(unitroot.adf(ship_grid(spark, sf), autolag="BIC"))
+
+
+@query("adf_lag0")
+def q_adf_lag0(spark, sf):
+    r = unitroot.adf(ship_grid(spark, sf), autolag=None, maxlag=0)
+    return finish(r.select("series_id", "var", "statistic", "used_lag", "nobs"))
+
+
+@query("phillips_perron")
+def q_phillips_perron(spark, sf):
+    return finish(unitroot.phillips_perron(ship_grid(spark, sf)).select("series_id", "var", "n", "lags", "statistic"))
+
+
+@query("phillips_perron_p")
+def q_phillips_perron_p(spark, sf):
+    return finish(unitroot.phillips_perron(ship_grid(spark, sf)))
+
+
+def _verdicts(g):
+    return unitroot.stationarity_verdict(unitroot.adf(g), stationarity.kpss(g))
+
+
+@query("stationarity_verdict")
+def q_stationarity_verdict(spark, sf):
+    return finish(_verdicts(ship_grid(spark, sf)))
+
+
+@query("stationarity_report")
+def q_stationarity_report(spark, sf):
+    """ADF, PP and KPSS p-values with the summary wording per variable."""
+    g = ship_grid(spark, sf)
+    v = _verdicts(g).join(unitroot.phillips_perron(g).select("series_id", "var", F.col("p_value").alias("pp_p")),
+                          on=["series_id", "var"])
+    a, k, p = F.col("adf_p") <= 0.05, F.col("kpss_p") > 0.05, F.col("pp_p") <= 0.05
+    summary = (F.when(a & p & k, "stationary").when(~a & ~p & ~k, "non_stationary")
+               .when(~k, "non_stationary_difference_and_retest").otherwise("mixed"))
+    return finish(v.withColumn("summary", summary))
+
+
+@query("granger")
+def q_granger(spark, sf):
+    return finish(unitroot.granger(ord_wide(spark, sf), "revenue", "n_orders", 4))
+
+
+@query("cointegration_eg")
+def q_cointegration_eg(spark, sf):
+    return finish(unitroot.engle_granger(ord_wide(spark, sf), "revenue", "n_orders"))
+
+
+@query("auto_transform")
+def q_auto_transform(spark, sf):
+    g = ship_grid(spark, sf)
+    data, _ = transform.auto(g, _verdicts(g), stationarity.seasonality(g, 12))
+    return finish(data)
+
+
+@query("auto_transform_ledger")
+def q_auto_transform_ledger(spark, sf):
+    g = ship_grid(spark, sf)
+    _, led = transform.auto(g, _verdicts(g), stationarity.seasonality(g, 12))
+    return finish(led)
+
+
+@query("transform_report")
+def q_transform_report(spark, sf):
+    """Verdict before (original) and after (transformed), success when the
+    transformed variable is strictly stationary."""
+    g = ship_grid(spark, sf)
+    before = _verdicts(g)
+    data, led = transform.auto(g, before, stationarity.seasonality(g, 12))
+    after = _verdicts(fill.linear(data))
+    j = (led.join(before.select("series_id", "var", F.col("conclusion").alias("before")), on=["series_id", "var"])
+         .join(after.select("series_id", "var", F.col("conclusion").alias("after")), on=["series_id", "var"]))
+    return finish(j.withColumn("success", F.col("after") == "strictly_stationary"))
+
+
+# ------------------------------------------------------------------ K: spectral
+
+
+def emb_long(spark, sf):
+    e = tb.emb(spark, sf)
+    return e.select("series_id", F.lit("x").alias("var"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+                    F.col("step").alias("pos"), F.col("x").alias("value"))
+
+
+@query("fft_spectrum")
+def q_fft_spectrum(spark, sf):
+    return finish(spectral.dft(emb_long(spark, sf)))
+
+
+@query("fft_spectrum_long")
+def q_fft_spectrum_long(spark, sf):
+    """Whole-series spectrum of the hourly event series (720 points, four-step)."""
+    return finish(spectral.dft(ev_filled(spark, sf)))
+
+
+@query("fft_frequency")
+def q_fft_frequency(spark, sf):
+    return finish(spectral.frequencies(spectral.dft(emb_long(spark, sf))).select("series_id", "var", "k", "n", "freq"))
+
+
+@query("fft_amplitude")
+def q_fft_amplitude(spark, sf):
+    return finish(spectral.amplitude(spectral.dft(emb_long(spark, sf))))
+
+
+@query("ifft_roundtrip")
+def q_ifft_roundtrip(spark, sf):
+    return finish(spectral.roundtrip_error(emb_long(spark, sf)))
