@@ -8,7 +8,8 @@ four-step decomposition, as two grouped FFT stages:
 2. group by ``k2`` → size-``n1`` FFT over ``r``; output index ``k = k2 + n2·k1``.
 
 Every group holds about √n points, so one very long series is spread over
-~2√n tasks; many short series (e.g. 64-step embeddings) are simply grouped.
+~2√n tasks; short series (e.g. 64-step embeddings) are transformed whole, many
+per task (hash buckets).
 ``n1`` is the largest divisor of ``n`` not above √n (prime lengths degrade to
 one group per series).  Complex values are ``re, im`` columns.
 """
@@ -39,21 +40,45 @@ def _stage1_schema():
     return "series_id string, var string, n long, n1 long, r long, k2 long, re double, im double"
 
 
-def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None) -> DataFrame:
+# Series up to this length are transformed whole, many series per task.
+SHORT_MAX = 1 << 16
+
+
+def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None,
+        buckets: int = 64, short_max: int = SHORT_MAX) -> DataFrame:
     """K1 (K2 with ``inverse``): DFT of each ``(series_id, var)`` over ``pos``
     (0..n-1).  Input real ``value`` (and optional imaginary column).  The
-    inverse is computed by conjugation and divided by n, as the reference does."""
+    inverse is computed by conjugation and divided by n, as the reference does.
+
+    Short series (n <= ``short_max``) are hashed into ``buckets`` groups and
+    transformed whole inside them; longer series use the four-step split."""
     im_col = F.col(imag) if imag else F.lit(0.0)
     sign = -1.0 if inverse else 1.0  # inverse = conj(fft(conj(x))) / n
     d = df.select(*KEYS, "pos", F.col(value).cast("double").alias("_re"), (im_col * F.lit(sign)).alias("_im"))
     n_tab = d.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    d = d.join(n_tab, on=KEYS)
+    short = d.filter(F.col("n") <= short_max).withColumn("_b", F.abs(F.xxhash64(*KEYS)) % buckets)
+    long_ = d.filter(F.col("n") > short_max)
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        outs = []
+        for (sid, var), g in pdf.groupby(["series_id", "var"], sort=False):
+            g = g.sort_values("pos")
+            x = g["_re"].to_numpy(dtype="float64") + 1j * g["_im"].to_numpy(dtype="float64")
+            X = np.fft.fft(x)
+            if inverse:
+                X = np.conj(X) / len(x)
+            outs.append(pd.DataFrame({"series_id": sid, "var": var, "k": np.arange(len(X)), "re": X.real,
+                                      "im": X.imag}))
+        return pd.concat(outs) if outs else pd.DataFrame(columns=["series_id", "var", "k", "re", "im"])
+
+    res_short = short.select(*KEYS, "_b", "pos", "_re", "_im").groupBy("_b").applyInPandas(whole, SPEC_SCHEMA)
 
     @F.pandas_udf("long")
     def n1_of(n: pd.Series) -> pd.Series:
         return n.map(lambda v: split_factor(int(v)))
 
-    n_tab = n_tab.withColumn("n1", n1_of("n"))
-    d = d.join(n_tab, on=KEYS).withColumn("r", F.col("pos") % F.col("n1")).withColumn(
+    long_ = long_.withColumn("n1", n1_of("n")).withColumn("r", F.col("pos") % F.col("n1")).withColumn(
         "j", (F.col("pos") / F.col("n1")).cast("bigint"))
 
     def stage1(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -66,7 +91,7 @@ def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str |
         return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "var": pdf["var"].iloc[0], "n": n, "n1": n1,
                              "r": r, "k2": k2, "re": X.real, "im": X.imag})
 
-    s1 = d.groupBy(*KEYS, "r").applyInPandas(stage1, _stage1_schema())
+    s1 = long_.groupBy(*KEYS, "r").applyInPandas(stage1, _stage1_schema())
 
     def stage2(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("r")
@@ -80,7 +105,12 @@ def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str |
         return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "var": pdf["var"].iloc[0], "k": k,
                              "re": X.real, "im": X.imag})
 
-    return s1.groupBy(*KEYS, "k2").applyInPandas(stage2, SPEC_SCHEMA)
+    return res_short.unionByName(s1.groupBy(*KEYS, "k2").applyInPandas(stage2, SPEC_SCHEMA))
+
+
+def four_step(df: DataFrame, inverse: bool = False, value: str = "value") -> DataFrame:
+    """The long-series path on its own (any length; used by tests)."""
+    return dft(df, inverse, value, short_max=0)
 
 
 def frequencies(spec: DataFrame, dt: float = 1.0) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.operators import calendar, fill, report
+from tsforge.plans.materialize import cut
 from tsforge.spec import DEFAULT_CHUNK_ROWS
 
 
@@ -24,10 +25,11 @@ def clean(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """Regularise (if ``freq``), fill gaps, handle outliers.  Keeps the
-    regularised input as column ``original``."""
-    g = calendar.regularize(raw, freq, chunk_rows) if freq else raw
+    regularised input as column ``original``.  The grid and the filled series
+    are materialised (lineage cuts, see :mod:`tsforge.plans.materialize`)."""
+    g = cut(calendar.regularize(raw, freq, chunk_rows)) if freq else raw
     g = g.withColumn("original", F.col("value"))
-    g = fill.missing_values(g, fill_method, chunk_rows=chunk_rows)
+    g = cut(fill.missing_values(g, fill_method, chunk_rows=chunk_rows))
     return fill.handle_outliers(
         g, outlier_method, detect_method, threshold=threshold, window=window, chunk_rows=chunk_rows
     )

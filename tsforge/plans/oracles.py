@@ -715,3 +715,40 @@ SELECT series_id, var, CAST(k AS BIGINT) AS k, {R6('CASE WHEN k < (n + 1) / 2.0
        {R6('2.0 / n * sqrt(re * re + im * im)')} AS amplitude
 FROM sp WHERE k < n / 2.0"""
 ORACLES["ifft_roundtrip"] = f"WITH {EMB_L} SELECT DISTINCT series_id, var, 0.0 AS max_abs_error FROM eml"
+
+# ----------------------------------------------------------------- D9, A6, L2
+
+
+def decompose_sql(src_ctes: str, src: str, period: int) -> str:
+    half = period // 2
+    f = W(frame=f"ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING")
+    if period % 2:
+        trend = f"CASE WHEN count(value) OVER {f} = {period} THEN avg(value) OVER {f} END"
+    else:
+        trend = (f"CASE WHEN count(value) OVER {f} = {period + 1} THEN (sum(value) OVER {f} - 0.5 * "
+                 f"(lag(value, {half}) OVER {W(frame='')} + lead(value, {half}) OVER {W(frame='')})) / {period}.0 END")
+    return f"""WITH {src_ctes},
+tr AS (SELECT series_id, var, ts, pos, value, {trend} AS trend FROM {src}),
+ph AS (SELECT series_id, var, pos % {period} AS phase, avg(value - trend) AS pm FROM tr GROUP BY ALL),
+sz AS (SELECT series_id, var, phase, pm - avg(pm) OVER (PARTITION BY series_id, var) AS seasonal FROM ph),
+dc AS (SELECT tr.*, sz.seasonal, tr.value - tr.trend - sz.seasonal AS resid
+       FROM tr JOIN sz ON sz.series_id = tr.series_id AND sz.var = tr.var AND sz.phase = tr.pos % {period})"""
+
+
+ORACLES["decompose_trend"] = decompose_sql(ORD_GRID, "ord_g", 24) + f" SELECT series_id, var, ts, pos, {R6('value')} AS value, {R6('trend')} AS trend FROM dc"
+ORACLES["decompose_seasonal"] = decompose_sql(EV_F, "ev_f", 24) + f" SELECT series_id, var, ts, pos, {R6('seasonal')} AS seasonal FROM dc"
+ORACLES["decompose_resid"] = decompose_sql(ORD_F, "ord_f", 7) + f" SELECT series_id, var, ts, pos, {R6('trend')} AS trend, {R6('seasonal')} AS seasonal, {R6('resid')} AS resid FROM dc"
+
+ORACLES["ds_series_matrix"] = f"""WITH {EMB},
+m AS (SELECT series_id, any_value(label) AS label, list(x ORDER BY step) AS v FROM emb GROUP BY series_id)
+SELECT series_id, CAST(label AS BIGINT) AS label, CAST(len(v) AS BIGINT) AS n_steps,
+       {R6('list_reduce(v, lambda a, b: a + b)')} AS checksum, {R6('v[1]')} AS first, {R6('v[len(v)]')} AS last FROM m"""
+
+ORACLES["transform_compare"] = f"""WITH {SHIP_GRID},
+mn AS (SELECT series_id, var, min(value) AS m FROM ship_g GROUP BY ALL),
+l1 AS (SELECT g.series_id, g.var, ts, pos, ln(CASE WHEN m <= 0 THEN value + abs(m) + 1e-10 ELSE value END) AS value
+       FROM ship_g g JOIN mn USING (series_id, var)),
+d AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS value FROM l1)
+SELECT g.series_id, g.var, g.ts, g.pos, {R6('g.value')} AS original, {R6('d.value')} AS cleaned,
+       (g.value IS DISTINCT FROM d.value) AS changed, {R6('d.value - g.value')} AS delta
+FROM ship_g g LEFT JOIN d ON d.series_id = g.series_id AND d.var = g.var AND d.pos = g.pos"""

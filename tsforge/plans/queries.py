@@ -17,6 +17,7 @@ from tsforge.functions.expr import r6
 from tsforge.operators import (calendar, collinear, detect, fill, normalize, relations, report, smooth,
                                spectral, stationarity, transform, unitroot)
 from tsforge.plans import cleaning
+from tsforge.plans.materialize import cut
 from tsforge.sources import tables as tb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,19 +48,19 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def ord_grid(spark, sf):
-    return calendar.regularize(tb.ord_daily(spark, sf), "D")
+    return cut(calendar.regularize(tb.ord_daily(spark, sf), "D"))
 
 
 def ev_grid(spark, sf):
-    return calendar.regularize(tb.ev_hourly(spark, sf), "H")
+    return cut(calendar.regularize(tb.ev_hourly(spark, sf), "H"))
 
 
 def ship_grid(spark, sf):
-    return calendar.regularize(tb.ship_daily(spark, sf), "D")
+    return cut(calendar.regularize(tb.ship_daily(spark, sf), "D"))
 
 
 def wide_grid(spark, sf):
-    return calendar.regularize(tb.ev_wide(spark, sf), "H")
+    return cut(calendar.regularize(tb.ev_wide(spark, sf), "H"))
 
 
 # ------------------------------------------------------------------ §3.1 flagship
@@ -308,7 +309,7 @@ def q_transform_ledger(spark, sf):
 
 
 def ev_filled(spark, sf):
-    return fill.linear(ev_grid(spark, sf))
+    return cut(fill.linear(ev_grid(spark, sf)))
 
 
 @query("trend_direction")
@@ -382,11 +383,11 @@ def daily_wide(spark, sf):
     """orders (revenue, n_orders) and line items (4 averages) as one 6-variable
     daily series, linearly filled, complete cases."""
     raw = tb.ord_daily(spark, sf).unionByName(tb.ship_daily(spark, sf)).withColumn("series_id", F.lit("daily"))
-    return complete_cases(fill.linear(calendar.regularize(raw, "D")))
+    return cut(complete_cases(cut(fill.linear(calendar.regularize(raw, "D")))))
 
 
 def ord_wide(spark, sf):
-    return fill.linear(ord_grid(spark, sf))
+    return cut(fill.linear(ord_grid(spark, sf)))
 
 
 @query("corr_pearson")
@@ -453,8 +454,8 @@ def q_pca_top_features(spark, sf):
 
 def _pairs(spark, sf):
     d = daily_wide(spark, sf)
-    corr = relations.correlation(d)
-    return d, corr, relations.strong_pairs(corr, 0.7)
+    corr = cut(relations.correlation(d))
+    return d, corr, cut(relations.strong_pairs(corr, 0.7))
 
 
 @query("collinear_strength")
@@ -535,7 +536,7 @@ def q_phillips_perron_p(spark, sf):
 
 
 def _verdicts(g):
-    return unitroot.stationarity_verdict(unitroot.adf(g), stationarity.kpss(g))
+    return cut(unitroot.stationarity_verdict(unitroot.adf(g), stationarity.kpss(g)))
 
 
 @query("stationarity_verdict")
@@ -597,7 +598,7 @@ def q_transform_report(spark, sf):
 
 def emb_long(spark, sf):
     e = tb.emb(spark, sf)
-    return e.select("series_id", F.lit("x").alias("var"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+    return cut(e).select("series_id", F.lit("x").alias("var"), F.lit(None).cast("timestamp_ntz").alias("ts"),
                     F.col("step").alias("pos"), F.col("x").alias("value"))
 
 
@@ -625,3 +626,96 @@ def q_fft_amplitude(spark, sf):
 @query("ifft_roundtrip")
 def q_ifft_roundtrip(spark, sf):
     return finish(spectral.roundtrip_error(emb_long(spark, sf)))
+
+
+# ------------------------------------------------------------------ D6/D7/D9, C4, E8, J10, A6, L2, J23
+
+
+def _dec(spark, sf, period):
+    src = ev_filled(spark, sf) if period == 24 else ord_wide(spark, sf)
+    return fill.decompose(src, period)
+
+
+@query("decompose_trend")
+def q_decompose_trend(spark, sf):
+    # even period (2x24 filter) on exact-decimal daily sums
+    return finish(fill.decompose(ord_grid(spark, sf), 24).select("series_id", "var", "ts", "pos", "value", "trend"))
+
+
+@query("decompose_seasonal")
+def q_decompose_seasonal(spark, sf):
+    return finish(_dec(spark, sf, 24).select("series_id", "var", "ts", "pos", "seasonal"))
+
+
+@query("decompose_resid")
+def q_decompose_resid(spark, sf):
+    return finish(_dec(spark, sf, 7).select("series_id", "var", "ts", "pos", "trend", "seasonal", "resid"))
+
+
+@query("fill_seasonal")
+def q_fill_seasonal(spark, sf):
+    return finish(fill.seasonal(ev_grid(spark, sf), period=7))
+
+
+@query("fill_spline")
+def q_fill_spline(spark, sf):
+    return finish(fill.spline(ev_grid(spark, sf), degree=3))
+
+
+@query("upsample_quadratic")
+def q_upsample_quadratic(spark, sf):
+    return finish(calendar.upsample(tb.ord_daily(spark, sf), "H", 2))
+
+
+@query("outlier_iforest")
+def q_outlier_iforest(spark, sf):
+    return finish(detect.outliers(tb.ev_raw(spark, sf), method=3, contamination=0.05))
+
+
+@query("cointegration_johansen")
+def q_cointegration_johansen(spark, sf):
+    return finish(unitroot.johansen(daily_wide(spark, sf)))
+
+
+@query("ds_series_matrix")
+def q_ds_series_matrix(spark, sf):
+    """One row per sample with its ordered step vector (length and checksum kept)."""
+    e = tb.emb(spark, sf)
+    m = e.groupBy("series_id", "label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("step", "x"))), lambda s: s["x"]).alias("_m"))
+    return finish(m.select("series_id", "label", F.size("_m").cast("bigint").alias("n_steps"),
+                           F.aggregate("_m", F.lit(0.0), lambda a, x: a + x).alias("checksum"),
+                           F.element_at("_m", 1).alias("first"), F.element_at("_m", -1).alias("last")))
+
+
+@query("transform_compare")
+def q_transform_compare(spark, sf):
+    """L2: original vs transformed (log → diff chain) per point."""
+    g = ship_grid(spark, sf)
+    return finish(report.compare_join(g, transform.chain(g, _CHAIN), how="left"))
+
+
+@query("relations_report")
+def q_relations_report(spark, sf):
+    """Tidy summary (section, series_id, key, value) of strong pairs, CCF
+    significance, Granger, cointegration and PCA."""
+    d = daily_wide(spark, sf)
+    o = ord_wide(spark, sf)
+    corr = relations.correlation(d)
+    sp = relations.strong_pairs(corr, 0.7).select(
+        F.lit("strong_pair").alias("section"), "series_id",
+        F.concat_ws("~", "var1", "var2").alias("key"), F.col("corr").alias("value"))
+    cc = relations.ccf_significant(relations.ccf(o, "revenue", "n_orders", 20)).select(
+        F.lit("ccf_significant_lags").alias("section"), "series_id", F.lit("revenue~n_orders").alias("key"),
+        F.col("n_significant").cast("double").alias("value"))
+    gr = unitroot.granger(o, "revenue", "n_orders", 4).select(
+        F.lit("granger_p").alias("section"), "series_id", F.concat(F.lit("lag"), F.col("lag").cast("string")).alias("key"),
+        F.col("p_value").alias("value"))
+    co = unitroot.engle_granger(o, "revenue", "n_orders").select(
+        F.lit("cointegration_p").alias("section"), "series_id", F.lit("revenue~n_orders").alias("key"),
+        F.col("p_value").alias("value"))
+    comps, _ = relations.pca(d)
+    pc = comps.select(F.lit("pca_explained").alias("section"), "series_id",
+                      F.concat(F.lit("PC"), F.col("pc").cast("string")).alias("key"),
+                      F.col("explained_variance_ratio").alias("value"))
+    return finish(sp.unionByName(cc).unionByName(gr).unionByName(co).unionByName(pc))
