@@ -64,3 +64,61 @@ def test_iforest_flags_extremes(spark):
     flagged = {r["pos"] for r in out if r["is_outlier"]}
     assert {10, 500, 900} <= flagged
     assert 30 <= len(flagged) <= 70
+
+
+def kendall_brute(x, y):
+    n = len(x)
+    s = 0
+    for i in range(n):
+        for j in range(i + 1, n):
+            s += np.sign(x[i] - x[j]) * np.sign(y[i] - y[j])
+    n0 = n * (n - 1) / 2
+    _, cx = np.unique(x, return_counts=True)
+    _, cy = np.unique(y, return_counts=True)
+    n1 = (cx * (cx - 1) / 2).sum()
+    n2 = (cy * (cy - 1) / 2).sum()
+    return s / np.sqrt((n0 - n1) * (n0 - n2))
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 16])
+def test_kendall_matches_brute_force(spark, buckets):
+    from tsforge.operators.kendall import kendall, pair_sign_sum
+
+    rng = np.random.default_rng(11)
+    n = 300
+    a = np.round(rng.normal(size=n), 1)  # many ties
+    b = np.round(a * 0.5 + rng.normal(size=n), 1)
+    c = rng.integers(0, 5, size=n).astype(float)
+    rows = []
+    for i in range(n):
+        for v, arr in (("a", a), ("b", b), ("c", c)):
+            rows.append(("s", v, None, i, float(arr[i])))
+    df = spark.createDataFrame(rows, "series_id string, var string, ts timestamp_ntz, pos long, value double")
+    got = {(r["var1"], r["var2"]): r["tau"] for r in kendall(df, buckets=buckets).collect()}
+    for (u, v), (x, y) in {("a", "b"): (a, b), ("a", "c"): (a, c), ("b", "c"): (b, c)}.items():
+        assert abs(got[(u, v)] - kendall_brute(x, y)) < 1e-12
+    assert pair_sign_sum(np.array([1.0, 2, 3]), np.array([3.0, 2, 1])) == -3
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 100000])
+def test_quadratic_chunk_invariance(spark, chunk):
+    from tsforge.operators.spline import quadratic_slopes
+
+    rng = np.random.default_rng(5)
+    n = 300
+    vals = np.cos(np.arange(n) / 11.0) + 0.05 * rng.normal(size=n)
+    mask = rng.random(n) < 0.3
+    mask[[0, 1, 2, n - 1]] = False
+    data = [("s", "v", None, i, None if m else float(v)) for i, (v, m) in enumerate(zip(vals, mask))]
+    df = spark.createDataFrame(data, "series_id string, var string, ts timestamp_ntz, pos long, value double")
+    got = np.array([r["value"] for r in fill.spline(df, 2, chunk_rows=chunk, extrapolate=False).orderBy("pos").collect()])
+    x = np.arange(n)[~mask].astype(float)
+    y = vals[~mask]
+    s = quadratic_slopes(x, y)
+    exp = np.empty(n)
+    for q in range(n):
+        i = min(max(np.searchsorted(x, q, side="right") - 1, 0), len(x) - 2)
+        t = q - x[i]
+        h = x[i + 1] - x[i]
+        exp[q] = y[i] + s[i] * t + (s[i + 1] - s[i]) / (2 * h) * t * t
+    assert np.max(np.abs(got - exp)) < 1e-8

@@ -125,11 +125,13 @@ def _label_of_index(idx, rule: str):
 _AGGS = {0: "mean", 1: "sum", 2: "max", 3: "min", "mean": "mean", "sum": "sum", "max": "max", "min": "min"}
 
 
-def downsample(df: DataFrame, rule: str = "D", method=0) -> DataFrame:
+def downsample(df: DataFrame, rule: str = "D", method=0, exact: bool = True) -> DataFrame:
     """Aggregate into calendar buckets; one output row per bucket between the
     first and last bucket of each ``(series_id, var)``.
 
-    ``method``: 0/mean, 1/sum (empty bucket = 0), 2/max, 3/min.
+    ``method``: 0/mean, 1/sum (empty bucket = 0), 2/max, 3/min.  With
+    ``exact`` sums accumulate in DECIMAL(38,10), so bucket sums and means do
+    not depend on partitioning or summation order (values must stay < 1e28).
     """
     if method not in _AGGS:
         raise ValueError(f"unsupported downsample method {method!r}")
@@ -137,7 +139,11 @@ def downsample(df: DataFrame, rule: str = "D", method=0) -> DataFrame:
     rule = rule.upper()
     label = bucket_label(F.col("ts"), rule)
     x = F.col("value")
-    agg = {"mean": F.avg(x), "sum": F.sum(x), "max": F.max(x), "min": F.min(x)}[how]
+    if exact:
+        tot = F.sum(x.cast("decimal(38,10)")).cast("double")
+        agg = {"mean": tot / F.count(x), "sum": tot, "max": F.max(x), "min": F.min(x)}[how]
+    else:
+        agg = {"mean": F.avg(x), "sum": F.sum(x), "max": F.max(x), "min": F.min(x)}[how]
     b = (
         df.withColumn("_lab", label)
         .withColumn("_k", _bucket_index(F.col("_lab"), rule))

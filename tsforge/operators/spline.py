@@ -13,7 +13,9 @@ the end interval, or stay NULL when ``extrapolate`` is False).
 * cubic (D6): not-a-knot interpolating cubic (the ``s=0`` smoothing spline);
   fewer than 4 knots fall back to linear interpolation.
 * quadratic (E8): C¹ piecewise quadratic through the knots whose first two
-  pieces form one parabola (not-a-knot analogue); no extrapolation.
+  pieces form one parabola (not-a-knot analogue); no extrapolation.  Its
+  slope recurrence is an affine scan: chunk maps are folded over chunks and
+  each chunk replays from its carried-in slope (no halo needed).
 """
 
 from __future__ import annotations
@@ -96,6 +98,53 @@ def quadratic_slopes(x: np.ndarray, y: np.ndarray, s0: float | None = None):
     return s
 
 
+def _quadratic_carry(knots: DataFrame, h: DataFrame) -> DataFrame:
+    """Slope entering every knot chunk.  Within a chunk the recurrence
+    ``s' = 2d - s`` composes to ``s_out = (-1)^len · s_in + B``; the first
+    slope comes from the parabola through the series' first three knots, and
+    the chunk maps are folded over chunks (one row per chunk)."""
+    first3 = knots.filter(F.col("pos") < 3).groupBy(*KEYS).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "_xpos", "value"))).alias("_f"))
+
+    def s0(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for sid, var, f in zip(pdf["series_id"], pdf["var"], pdf["_f"]):
+            x = np.array([float(e["_xpos"]) for e in f])
+            y = np.array([float(e["value"]) for e in f])
+            out.append((sid, var, float(quadratic_slopes(x, y)[0]) if len(x) >= 2 else 0.0))
+        return pd.DataFrame(out, columns=["series_id", "var", "_s0"])
+
+    start = first3.groupBy(*KEYS).applyInPandas(s0, "series_id string, var string, _s0 double")
+
+    def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        x = pdf["_xpos"].to_numpy(dtype="float64")
+        y = pdf["value"].to_numpy(dtype="float64")
+        home = pdf[scan.HOME].to_numpy(dtype=bool)
+        d = np.diff(y) / np.diff(x) if len(x) > 1 else np.zeros(0)
+        m, b = 1.0, 0.0
+        for i in range(len(d)):
+            if home[i]:
+                m, b = -m, 2.0 * d[i] - b
+        return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "var": [pdf["var"].iloc[0]],
+                             scan.CHUNK: [int(pdf[scan.CHUNK].iloc[0])], "_M": [m], "_B": [b]})
+
+    maps = h.groupBy(*KEYS, scan.CHUNK).applyInPandas(
+        chunk_map, f"series_id string, var string, {scan.CHUNK} long, _M double, _B double").join(start, on=KEYS)
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(scan.CHUNK)
+        s = float(pdf["_s0"].iloc[0])
+        ins = []
+        for m, b in zip(pdf["_M"].to_numpy(dtype="float64"), pdf["_B"].to_numpy(dtype="float64")):
+            ins.append(s)
+            s = m * s + b
+        return pd.DataFrame({"series_id": pdf["series_id"].to_numpy(), "var": pdf["var"].to_numpy(),
+                             scan.CHUNK: pdf[scan.CHUNK].to_numpy(), "_s_in": ins})
+
+    return maps.groupBy(*KEYS).applyInPandas(fold, f"series_id string, var string, {scan.CHUNK} long, _s_in double")
+
+
 def spline_fill(df: DataFrame, degree: int = 3, chunk_rows: int = DEFAULT_CHUNK_ROWS, extrapolate: bool = True,
                 use_ts: bool = False) -> DataFrame:
     if degree not in (2, 3):
@@ -107,12 +156,13 @@ def spline_fill(df: DataFrame, degree: int = 3, chunk_rows: int = DEFAULT_CHUNK_
         *KEYS, F.col("pos").alias("_xpos"), "value", (F.col("_cum") - 1).cast("bigint").alias("pos"))
     m_tab = knots.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_m"))
     knots = knots.join(m_tab, on=KEYS)
-    crows = max(int(chunk_rows), 4 * HALO)
+    crows = max(int(chunk_rows), 4 * HALO) if degree == 3 else int(chunk_rows)
     if degree == 2:
-        # the quadratic's slope recurrence is global: one chunk per series (knot counts are moderate for E8)
-        h = knots.withColumn(scan.CHUNK, F.lit(0).cast("bigint")).withColumn(scan.HOME, F.lit(True))
+        h = scan.with_halo(knots, before=0, after=1, chunk_rows=crows)
+        h = h.join(_quadratic_carry(knots, h), on=[*KEYS, scan.CHUNK], how="left")
     else:
         h = scan.with_halo(knots, before=HALO, after=HALO + 1, chunk_rows=crows)
+        h = h.withColumn("_s_in", F.lit(None).cast("double"))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
@@ -126,7 +176,8 @@ def spline_fill(df: DataFrame, degree: int = 3, chunk_rows: int = DEFAULT_CHUNK_
         if degree == 3 and mtot >= 4 and n >= 4:
             a = cubic_second_derivatives(x, y, natural_left=k[0] > 0, natural_right=k[-1] < mtot - 1)
         elif degree == 2 and n >= 2:
-            a = quadratic_slopes(x, y)
+            s_in = pdf["_s_in"].iloc[0]
+            a = quadratic_slopes(x, y, None if pd.isna(s_in) else float(s_in))
         kind_linear = (degree == 3 and mtot < 4) or n < 2
         rows = []
         for i in range(n - 1):
@@ -143,7 +194,7 @@ def spline_fill(df: DataFrame, degree: int = 3, chunk_rows: int = DEFAULT_CHUNK_
         out["m"] = mtot
         return out
 
-    seg = h.select(*KEYS, scan.CHUNK, scan.HOME, "pos", "_xpos", "value", "_m").groupBy(*KEYS, scan.CHUNK).applyInPandas(
+    seg = h.select(*KEYS, scan.CHUNK, scan.HOME, "pos", "_xpos", "value", "_m", "_s_in").groupBy(*KEYS, scan.CHUNK).applyInPandas(
         solve, _SEG)
     # interval of each row: starts at the previous knot (first interval for leading rows,
     # last interval for trailing rows)

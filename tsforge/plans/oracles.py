@@ -296,7 +296,8 @@ _SERIES = {
     "Y": "generate_series(CAST(date_trunc('year', l0) AS TIMESTAMP), CAST(date_trunc('year', l1) AS TIMESTAMP), INTERVAL 1 YEAR)",
 }
 _TO_LABEL = {"D": "g", "W": "g", "M": "last_day(g)", "Q": "last_day(g)", "Y": "make_date(year(g), 12, 31)"}
-_AGG = {"mean": "avg(value)", "sum": "sum(value)", "max": "max(value)", "min": "min(value)"}
+_AGG = {"mean": "CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / count(value)",
+        "sum": "CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE)", "max": "max(value)", "min": "min(value)"}
 
 
 def downsample_sql(rule: str, method: str) -> str:
@@ -752,3 +753,18 @@ d AS (SELECT series_id, var, ts, pos, value - lag(value) OVER {W(frame='')} AS v
 SELECT g.series_id, g.var, g.ts, g.pos, {R6('g.value')} AS original, {R6('d.value')} AS cleaned,
        (g.value IS DISTINCT FROM d.value) AS changed, {R6('d.value - g.value')} AS delta
 FROM ship_g g LEFT JOIN d ON d.series_id = g.series_id AND d.var = g.var AND d.pos = g.pos"""
+
+# ----------------------------------------------------------------- J3 (brute force over all pairs: oracle only)
+
+ORACLES["corr_kendall"] = f"""WITH {ORD_F},
+w AS (SELECT series_id, pos, max(CASE WHEN var = 'n_orders' THEN value END) AS x,
+             max(CASE WHEN var = 'revenue' THEN value END) AS y FROM ord_f GROUP BY series_id, pos),
+c AS (SELECT * FROM w WHERE x IS NOT NULL AND y IS NOT NULL),
+s AS (SELECT a.series_id, sum(sign(a.x - b.x) * sign(a.y - b.y)) AS S
+      FROM c a JOIN c b ON a.series_id = b.series_id AND a.pos < b.pos GROUP BY a.series_id),
+n AS (SELECT series_id, count(*) AS n FROM c GROUP BY series_id),
+tx AS (SELECT series_id, sum(k * (k - 1) / 2) AS n1 FROM (SELECT series_id, x, count(*) AS k FROM c GROUP BY ALL) GROUP BY series_id),
+ty AS (SELECT series_id, sum(k * (k - 1) / 2) AS n2 FROM (SELECT series_id, y, count(*) AS k FROM c GROUP BY ALL) GROUP BY series_id)
+SELECT series_id, 'n_orders' AS var1, 'revenue' AS var2, n,
+       {R6('S / sqrt((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2))')} AS tau
+FROM n JOIN s USING (series_id) JOIN tx USING (series_id) JOIN ty USING (series_id)"""

@@ -719,3 +719,10 @@ def q_relations_report(spark, sf):
                       F.concat(F.lit("PC"), F.col("pc").cast("string")).alias("key"),
                       F.col("explained_variance_ratio").alias("value"))
     return finish(sp.unionByName(cc).unionByName(gr).unionByName(co).unionByName(pc))
+
+
+@query("corr_kendall")
+def q_corr_kendall(spark, sf):
+    from tsforge.operators.kendall import kendall
+
+    return finish(kendall(ord_wide(spark, sf), ["n_orders", "revenue"]))
