@@ -31,11 +31,10 @@ def variables(df: DataFrame) -> list[str]:
 def wide(df: DataFrame, vars_: list[str] | None = None) -> DataFrame:
     """Pivot the long frame to ``series_id, pos, ts, <var>...``."""
     vars_ = vars_ or variables(df)
-    return (
-        df.groupBy("series_id", "pos")
-        .pivot("var", vars_)
-        .agg(F.first("value"))
-        .join(df.groupBy("series_id", "pos").agg(F.first("ts").alias("ts")), on=["series_id", "pos"])
+    # one aggregation (one shuffle by series_id, pos) instead of pivot + join for ts
+    return df.groupBy("series_id", "pos").agg(
+        F.first("ts", ignorenulls=True).alias("ts"),
+        *[F.max(F.when(F.col("var") == v, F.col("value"))).alias(v) for v in vars_],
     )
 
 
