@@ -768,3 +768,27 @@ ty AS (SELECT series_id, sum(k * (k - 1) / 2) AS n2 FROM (SELECT series_id, y, c
 SELECT series_id, 'n_orders' AS var1, 'revenue' AS var2, n,
        {R6('S / sqrt((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2))')} AS tau
 FROM n JOIN s USING (series_id) JOIN tx USING (series_id) JOIN ty USING (series_id)"""
+
+
+# ----------------------------------------------------------------- A1-A3, B8
+
+ORACLES["src_series"] = f"""
+SELECT 'orders' AS series_id, 'o_totalprice' AS var, o_orderdate AS ts, {R6('o_totalprice')} AS value FROM orders
+UNION ALL
+SELECT 'orders', 'o_custkey', o_orderdate, {R6('CAST(o_custkey AS DOUBLE)')} FROM orders"""
+
+ORACLES["src_univariate"] = f"""
+SELECT 'lineitem' AS series_id, 'qty' AS var, l_shipdate AS ts, {R6('l_quantity')} AS value FROM lineitem"""
+
+_ALIGN = f"""{ORD_RAW}, {SHIP_RAW},
+a AS (SELECT 'daily' AS series_id, ts, value AS revenue FROM ord_raw WHERE var = 'revenue'),
+b AS (SELECT 'daily' AS series_id, ts, value AS quantity FROM ship_raw WHERE var = 'quantity')"""
+
+ORACLES["align_outer"] = f"""WITH {_ALIGN}
+SELECT COALESCE(a.series_id, b.series_id) AS series_id, COALESCE(a.ts, b.ts) AS ts,
+       {R6('a.revenue')} AS revenue, {R6('b.quantity')} AS quantity
+FROM a FULL OUTER JOIN b ON a.series_id = b.series_id AND a.ts = b.ts"""
+
+ORACLES["align_left"] = f"""WITH {_ALIGN}
+SELECT a.series_id, a.ts, {R6('a.revenue')} AS revenue, {R6('b.quantity')} AS quantity
+FROM a LEFT JOIN b ON a.series_id = b.series_id AND a.ts = b.ts"""

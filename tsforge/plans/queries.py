@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsforge.functions.expr import r6
-from tsforge.operators import (calendar, collinear, detect, fill, normalize, relations, report, smooth,
+from tsforge.operators import (align, calendar, collinear, detect, fill, normalize, relations, report, smooth,
                                spectral, stationarity, transform, unitroot)
 from tsforge.plans import cleaning
 from tsforge.plans.materialize import cut
@@ -726,3 +726,43 @@ def q_corr_kendall(spark, sf):
     from tsforge.operators.kendall import kendall
 
     return finish(kendall(ord_wide(spark, sf), ["n_orders", "revenue"]))
+
+
+# ------------------------------------------------------------------ A1-A3, B8
+
+
+@query("src_series")
+def q_src_series(spark, sf):
+    """A wide table (timestamp + value columns) to the long layout."""
+    from tsforge.sources.csv import to_long
+
+    o = tb.table(spark, sf, "orders").select("o_orderdate", "o_totalprice", "o_custkey")
+    return finish(to_long(o.withColumn("o_custkey", F.col("o_custkey").cast("double")), "o_orderdate",
+                          ["o_totalprice", "o_custkey"], series_id="orders"))
+
+
+@query("src_univariate")
+def q_src_univariate(spark, sf):
+    """A3: univariate source with an explicit variable name."""
+    from tsforge.sources.csv import from_series
+
+    li = tb.table(spark, sf, "lineitem").select("l_shipdate", "l_quantity")
+    return finish(from_series(li, "l_shipdate", "l_quantity", name="qty", series_id="lineitem"))
+
+
+def _align_sides(spark, sf):
+    a = tb.ord_daily(spark, sf).filter(F.col("var") == "revenue").withColumn("series_id", F.lit("daily"))
+    b = tb.ship_daily(spark, sf).filter(F.col("var") == "quantity").withColumn("series_id", F.lit("daily"))
+    return a, b
+
+
+@query("align_outer")
+def q_align_outer(spark, sf):
+    a, b = _align_sides(spark, sf)
+    return finish(align.align(a, b, "full"))
+
+
+@query("align_left")
+def q_align_left(spark, sf):
+    a, b = _align_sides(spark, sf)
+    return finish(align.align(a, b, "left"))
