@@ -7,7 +7,7 @@
 2. Build: ``groupBy(series, var, tree).applyInPandas`` grows one isolation
    tree on ≤ 256 values.  In one dimension a tree is a partition of the line
    into intervals, each with a path length (depth + c(size)).
-3. Score: every scan chunk of points is co-grouped with its series' model
+3. Score: every block of ≥ 4M points is co-grouped with its series' model
    (≤ trees × leaves intervals) and scored with ``searchsorted``:
    ``s(x) = 2^(-mean path / c(ψ))``.
 4. Flag: points whose score exceeds the exact ``1 - contamination`` quantile
@@ -29,6 +29,7 @@ from tsforge.operators.quantile import exact_quantiles
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 EULER = 0.5772156649015329
+SCORE_CHUNK_ROWS = 1 << 22
 
 
 def c_factor(n: float) -> float:
@@ -97,8 +98,11 @@ def isolation_forest(
 
     model = samp.groupBy(*KEYS, "tree").applyInPandas(
         build, "series_id string, var string, tree long, psi long, cuts array<double>, paths array<double>")
-    pts = scan.with_chunk(df.select(*KEYS, "pos", "value"), chunk_rows)
-    chunks = df.select(*KEYS, scan.chunk_of("pos", chunk_rows).alias("_mc")).distinct()
+    # Scoring groups are large (≥ 4M points) so the per-group copy of the
+    # series' model (≤ n_trees × leaves doubles) stays a small overhead.
+    score_rows = max(int(chunk_rows), SCORE_CHUNK_ROWS)
+    pts = scan.with_chunk(df.select(*KEYS, "pos", "value"), score_rows)
+    chunks = df.select(*KEYS, scan.chunk_of("pos", score_rows).alias("_mc")).distinct()
     model_c = model.join(chunks, on=KEYS).withColumnRenamed("_mc", scan.CHUNK)
 
     def score(points: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:

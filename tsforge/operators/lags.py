@@ -10,7 +10,7 @@ formed with ``lag()`` inside the chunk and summed per series.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tsforge.operators import scan
@@ -28,7 +28,7 @@ def lag_sums(
     y = y or x
     keep = list(dict.fromkeys([x, y]))
     h = scan.with_halo(df.select(*keys, "pos", *keep), before=maxlag, after=0, chunk_rows=chunk_rows)
-    w = scan.Window.partitionBy(*keys, scan.CHUNK).orderBy("pos")
+    w = Window.partitionBy(*keys, scan.CHUNK).orderBy("pos")
     prods = [(F.col(x) * (F.col(y) if k == 0 else F.lag(y, k).over(w))).alias(f"_p{k}") for k in range(maxlag + 1)]
     h = h.select(*keys, scan.HOME, *prods).filter(F.col(scan.HOME))
     aggs = []

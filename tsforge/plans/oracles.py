@@ -146,9 +146,6 @@ def iqrflag(src: str, name: str, flag: str = "is_outlier") -> str:
   FROM {src} s JOIN {name}_q q ON s.series_id = q.series_id AND s.var = q.var)"""
 
 
-LONG_OUT = "series_id, var, ts, pos, {v} AS value".format
-
-
 def sel_long(src: str, extra: str = "") -> str:
     extra = (", " + extra) if extra else ""
     return f"SELECT series_id, var, ts, pos, {R6('value')} AS value{extra} FROM {src}"

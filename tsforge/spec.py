@@ -25,17 +25,6 @@ LONG_COLUMNS = ["series_id", "var", "ts", "pos", "value"]
 # (series_id, var, chunk); a chunk is the unit of parallelism for one series.
 DEFAULT_CHUNK_ROWS = 1 << 16
 
-# Frequencies accepted by the calendar operators (pandas-style aliases).
-FREQ_UNITS = {
-    "S": ("SECOND", 1),
-    "T": ("MINUTE", 1),
-    "min": ("MINUTE", 1),
-    "H": ("HOUR", 1),
-    "h": ("HOUR", 1),
-    "D": ("DAY", 1),
-}
-
-
 @dataclass(frozen=True)
 class SeriesSpec:
     """Which columns of a wide/raw table form the series."""
@@ -64,10 +53,3 @@ def require_columns(df, cols) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"unknown column(s) {missing}; available: {df.columns}")
-
-
-def freq_unit(freq: str) -> tuple[str, int]:
-    try:
-        return FREQ_UNITS[freq]
-    except KeyError:
-        raise ValueError(f"unsupported frequency {freq!r}; use one of {sorted(FREQ_UNITS)}") from None
