@@ -98,3 +98,34 @@ def test_out_of_order_input(spark):
     df = spark.createDataFrame(rows, "series_id string, var string, ts timestamp_ntz, value double")
     g = fill.linear(calendar.regularize(df, "D"))
     assert collect_series(g) == [0, 1, 2, 3, 4, 5]
+
+
+def test_adf_no_constant_uses_levels(spark):
+    """regression='n' must not centre the series (the level matters without a constant)."""
+    rng = np.random.default_rng(4)
+    x = 50.0 + np.cumsum(rng.normal(size=200)) * 0.1
+    d = mk(spark, list(x))
+    r = unitroot.adf(d, regression="n", autolag=None, maxlag=0).collect()[0]
+    y, xl = np.diff(x), x[:-1]
+    b = (xl @ y) / (xl @ xl)
+    s2 = ((y - b * xl) ** 2).sum() / (len(y) - 1)
+    assert abs(r["statistic"] - b / np.sqrt(s2 / (xl @ xl))) < 1e-8
+
+
+def test_loess_matches_definition(spark):
+    from tsforge.operators.smooth import loess_window
+
+    rng = np.random.default_rng(9)
+    n, frac = 120, 0.15
+    y = np.sin(np.arange(n) / 6.0) + 0.1 * rng.normal(size=n)
+    got = np.array(collect_series(smooth.loess(mk(spark, list(y)), frac=frac, chunk_rows=16)))
+    k = int(n * frac)
+    left, rad = loess_window(np.arange(n).astype(float), n, k)
+    exp = np.empty(n)
+    for t in range(n):
+        js = left[t] + np.arange(k)
+        dd = np.abs(js - t) / rad[t]
+        w = np.where(dd < 1, (1 - dd ** 3) ** 3, 0)
+        xm, ym = (w * js).sum() / w.sum(), (w * y[js]).sum() / w.sum()
+        exp[t] = ym + (w * (js - xm) * (y[js] - ym)).sum() / (w * (js - xm) ** 2).sum() * (t - xm)
+    assert np.max(np.abs(got - exp)) < 1e-9

@@ -54,8 +54,14 @@ def regularize(
         .withColumn("_n", F.floor(n).cast("bigint") + 1)
     )
     c = int(chunk_rows)
+    # Chunk ids are few (n / chunk_rows); spread them over the shuffle
+    # partitions before generating positions so a long series' grid is
+    # produced by many tasks.  The count is explicit so AQE does not coalesce
+    # the (byte-wise tiny) chunk table back into one partition.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     grid = (
         spec.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {c}"))))
+        .repartition(parts, *KEYS, "_c")
         .withColumn(
             "pos",
             F.explode(F.sequence(F.col("_c") * c, F.least((F.col("_c") + 1) * c, F.col("_n")) - 1)),

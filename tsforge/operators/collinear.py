@@ -146,3 +146,29 @@ def effect(before: DataFrame, after: DataFrame) -> DataFrame:
     j = mean_abs(before, "mean_abs_before").join(mean_abs(after, "mean_abs_after"), on="series_id")
     return j.withColumn("reduction_pct", F.try_divide(F.col("mean_abs_before") - F.col("mean_abs_after"),
                                                       F.col("mean_abs_before")) * 100.0)
+
+
+def handle_auto(df: DataFrame, threshold: float = 0.7, max_components: int = 3) -> tuple[DataFrame, DataFrame]:
+    """J16 with ``method='auto'``: every series gets the handler its own J22
+    decision names (pca / select / combine / unchanged).  The decision table
+    (one row per series) is semi-joined to each variant, so the choice never
+    passes through the driver.  Returns (data, decisions)."""
+    corr = relations.correlation(df)
+    pairs = relations.strong_pairs(corr, threshold)
+    choice = auto_choice(df, pairs)
+
+    def pick(frame: DataFrame, method: str) -> DataFrame:
+        return frame.join(choice.filter(F.col("method") == method).select("series_id"), on="series_id",
+                          how="left_semi")
+
+    cols = ["series_id", "var", "ts", "pos", "value"]
+    parts = [
+        pick(reduce_pca(df, max_components), "pca").select(*cols),
+        pick(select(df, pairs)[0], "select").select(*cols),
+        pick(combine(df, pairs, "average"), "combine").select(*cols),
+        pick(df, "none").select(*cols),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, choice

@@ -56,7 +56,10 @@ def adf(
     P = maxlag if maxlag is not None else max(default_maxlag(int(n_max), ntrend), 0)
     ml = (F.lit(int(maxlag)) if maxlag is not None else
           F.least(F.floor(F.col("_n") / 2) - ntrend - 1, F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)))).cast("bigint")
-    d = (df.join(st, on=KEYS).withColumn("_ml", ml).withColumn("_x", F.col("value") - F.col("_mu"))
+    # centring improves conditioning and is exact when a constant is in the
+    # model; without a constant ('n') the level itself matters
+    x = F.col("value") - F.col("_mu") if ntrend else F.col("value")
+    d = (df.join(st, on=KEYS).withColumn("_ml", ml).withColumn("_x", x)
          .withColumn("_start", F.col("_ml") + 1))
     width = ntrend + 1 + P + 1
 
@@ -172,14 +175,16 @@ def phillips_perron(df: DataFrame, lags_: int | None = None, alpha: float = 0.05
     return out.withColumn("p_value", pval("statistic")).withColumn("stationary", F.col("p_value") <= alpha)
 
 
-def engle_granger(df: DataFrame, y: str, x: str, alpha: float = 0.05, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def engle_granger(df: DataFrame, y: str, x: str, alpha: float = 0.05, autolag: str | None = "AIC",
+                  maxlag: int | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Cointegration of ``y`` and ``x`` (same series_id): OLS residual, ADF
-    without constant (AIC), two-variable MacKinnon p; cointegrated iff p < alpha."""
+    without constant (AIC by default), two-variable MacKinnon p; cointegrated
+    iff p < alpha."""
     w = relations.wide(df.filter(F.col("var").isin(y, x)), [x, y]).dropna(subset=[x, y])
     co = w.groupBy("series_id").agg(F.regr_slope(y, x).alias("_b"), F.regr_intercept(y, x).alias("_a"))
     r = w.join(co, on="series_id").select(
         "series_id", F.lit(f"{y}~{x}").alias("var"), "ts", "pos", (F.col(y) - F.col("_a") - F.col("_b") * F.col(x)).alias("value"))
-    res = adf(r, regression="n", autolag="AIC", n_vars=2, chunk_rows=chunk_rows)
+    res = adf(r, regression="n", autolag=autolag, maxlag=maxlag, n_vars=2, chunk_rows=chunk_rows)
     return res.join(co.select("series_id", F.col("_b").alias("slope"), F.col("_a").alias("intercept")), on="series_id") \
         .withColumn("cointegrated", F.col("p_value") < alpha)
 

@@ -789,3 +789,34 @@ FROM a FULL OUTER JOIN b ON a.series_id = b.series_id AND a.ts = b.ts"""
 ORACLES["align_left"] = f"""WITH {_ALIGN}
 SELECT a.series_id, a.ts, {R6('a.revenue')} AS revenue, {R6('b.quantity')} AS quantity
 FROM a LEFT JOIN b ON a.series_id = b.series_id AND a.ts = b.ts"""
+
+# ----------------------------------------------------------------- J7 / J9 restricted forms (closed form)
+
+_OW = f"""{ORD_F},
+w AS (SELECT series_id, pos, max(CASE WHEN var = 'revenue' THEN value END) AS y,
+             max(CASE WHEN var = 'n_orders' THEN value END) AS x FROM ord_f GROUP BY series_id, pos)"""
+
+ORACLES["granger_lag1"] = f"""WITH {_OW},
+l AS (SELECT series_id, y, lag(y) OVER (PARTITION BY series_id ORDER BY pos) AS y1,
+             lag(x) OVER (PARTITION BY series_id ORDER BY pos) AS x1 FROM w),
+m AS (SELECT series_id, count(*) AS n,
+             count(*) * var_pop(y) AS syy, count(*) * var_pop(y1) AS s11, count(*) * var_pop(x1) AS s22,
+             count(*) * covar_pop(y1, x1) AS s12, count(*) * covar_pop(y, y1) AS sy1, count(*) * covar_pop(y, x1) AS sy2
+      FROM l WHERE y1 IS NOT NULL AND x1 IS NOT NULL GROUP BY series_id),
+r AS (SELECT *, syy - sy1 * sy1 / s11 AS ssr_r,
+             syy - ((sy1 * s22 - sy2 * s12) * sy1 + (sy2 * s11 - sy1 * s12) * sy2) / (s11 * s22 - s12 * s12) AS ssr_u
+      FROM m)
+SELECT series_id, 'revenue' AS dependent, 'n_orders' AS independent, CAST(1 AS BIGINT) AS lag,
+       {R6('(ssr_r - ssr_u) / (ssr_u / (n - 3))')} AS f_stat, CAST(1 AS BIGINT) AS df_num, n - 3 AS df_denom FROM r"""
+
+ORACLES["cointegration_eg_lag0"] = f"""WITH {_OW},
+co AS (SELECT series_id, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM w
+       WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY series_id),
+e AS (SELECT w.series_id, w.pos, w.y - co.a - co.b * w.x AS e FROM w JOIN co USING (series_id)),
+d AS (SELECT series_id, e - lag(e) OVER (PARTITION BY series_id ORDER BY pos) AS de,
+             lag(e) OVER (PARTITION BY series_id ORDER BY pos) AS e1 FROM e),
+s AS (SELECT series_id, count(*) AS m, sum(de * e1) AS sde, sum(e1 * e1) AS see, sum(de * de) AS sdd
+      FROM d WHERE e1 IS NOT NULL GROUP BY series_id)
+SELECT series_id, 'revenue~n_orders' AS var,
+       {R6('(sde / see) / sqrt(((sdd - (sde / see) * sde) / (m - 1)) / see)')} AS statistic,
+       CAST(0 AS BIGINT) AS used_lag, m AS nobs FROM s"""

@@ -766,3 +766,30 @@ def q_align_outer(spark, sf):
 def q_align_left(spark, sf):
     a, b = _align_sides(spark, sf)
     return finish(align.align(a, b, "left"))
+
+
+@query("collinear_handle_auto")
+def q_collinear_handle_auto(spark, sf):
+    data, _ = collinear.handle_auto(daily_wide(spark, sf))
+    return finish(data)
+
+
+@query("processing_log")
+def q_processing_log(spark, sf):
+    """The processing record of the PCA handling (components kept, variance explained)."""
+    from tsforge.sources.sinks import processing_log
+
+    comps, _ = relations.pca(daily_wide(spark, sf))
+    return finish(processing_log("pca", "standardised PCA of strongly correlated variables", comps, n_components=3))
+
+
+@query("granger_lag1")
+def q_granger_lag1(spark, sf):
+    g = unitroot.granger(ord_wide(spark, sf), "revenue", "n_orders", 1)
+    return finish(g.select("series_id", "dependent", "independent", "lag", "f_stat", "df_num", "df_denom"))
+
+
+@query("cointegration_eg_lag0")
+def q_cointegration_eg_lag0(spark, sf):
+    r = unitroot.engle_granger(ord_wide(spark, sf), "revenue", "n_orders", autolag=None, maxlag=0)
+    return finish(r.select("series_id", "var", "statistic", "used_lag", "nobs"))

@@ -56,13 +56,15 @@ def ship_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(wide, "l_shipdate", "lineitem", ["quantity", "price", "discount", "tax"])
 
 
+# Base for NTZ-safe truncation; timestamp_diff truncates toward zero, so the
+# base must precede every timestamp.
+_EPOCH = "1000-01-01 00:00:00"
+
+
 def _hour(ts_col: str):
     # NTZ-safe hour truncation (no session-zone round trip)
-    return F.timestamp_add(
-        "HOUR",
-        F.timestamp_diff("HOUR", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts_col)),
-        F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"),
-    )
+    base = F.lit(_EPOCH).cast("timestamp_ntz")
+    return F.timestamp_add("HOUR", F.timestamp_diff("HOUR", base, F.col(ts_col)), base)
 
 
 def ev_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
