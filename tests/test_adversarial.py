@@ -129,3 +129,22 @@ def test_loess_matches_definition(spark):
         xm, ym = (w * js).sum() / w.sum(), (w * y[js]).sum() / w.sum()
         exp[t] = ym + (w * (js - xm) * (y[js] - ym)).sum() / (w * (js - xm) ** 2).sum() * (t - xm)
     assert np.max(np.abs(got - exp)) < 1e-9
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_multilevel_buckets_exact(spark, levels):
+    """Bucketed exact quantiles and average ranks equal numpy/pandas for 1-3 levels."""
+    import pandas as pd
+
+    from tsforge.operators.quantile import exact_quantiles
+
+    rng = np.random.default_rng(levels)
+    vals = np.round(rng.normal(size=3000), 2)
+    d = mk(spark, list(vals)).unionByName(mk(spark, list(vals[:500] * 3), var="w"))
+    q = {r["var"]: r for r in exact_quantiles(d, [0.1, 0.25, 0.75], buckets=8, levels=levels,
+                                               direct_max_rows=None).collect()}
+    for var, arr in (("v", vals), ("w", vals[:500] * 3)):
+        for p, name in ((0.1, "q10"), (0.25, "q25"), (0.75, "q75")):
+            assert abs(q[var][name] - np.quantile(arr, p)) < 1e-9
+    ranks = collect_series(relations.average_ranks(mk(spark, list(vals)), buckets=8, levels=levels))
+    assert np.allclose(ranks, pd.Series(vals).rank(method="average").to_numpy())

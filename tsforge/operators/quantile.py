@@ -4,10 +4,11 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a series holding a third of the data would sit in one
 task's memory.  Here:
 
-1. a bounded sketch (``approx_percentile``) gives ``buckets-1`` value cut points
-   per series;
-2. every row gets its bucket (number of cut points below it), buckets are
-   counted, and a running count over buckets gives each bucket's first rank;
+1. bounded sketches (``approx_percentile``) split each series into value
+   buckets, level by level, until a bucket holds about a million rows
+   (:func:`value_buckets`);
+2. buckets are counted, and a running count over buckets gives each
+   bucket's first rank;
 3. only the bucket(s) containing the wanted order statistics are ranked
    exactly (``row_number`` inside ``(series, bucket)``).
 
@@ -27,6 +28,39 @@ from tsforge.spec import KEYS
 
 # Largest group (rows) whose exact quantiles are computed in one aggregation buffer.
 DIRECT_MAX_ROWS = 2_000_000
+# Target rows per value bucket for exact ranking inside a bucket.
+BUCKET_TARGET_ROWS = 1_000_000
+
+
+def value_buckets(
+    df: DataFrame,
+    value_col: str,
+    keys=KEYS,
+    target_rows: int = BUCKET_TARGET_ROWS,
+    fan: int = 64,
+    accuracy: int = 10000,
+    levels: int | None = None,
+    out: str = "_b",
+) -> DataFrame:
+    """Add ``out``: a bucket id per row, monotone in ``value_col`` within
+    ``keys`` (equal values share a bucket).  Each level splits every current
+    bucket ``fan`` ways at sketch cut points (``fan-1`` comparisons per row);
+    the number of levels grows with the largest group so buckets hold about
+    ``target_rows`` rows however long one series is.  Sketch tables are small
+    (one row per bucket) and joined back."""
+    if levels is None:
+        n_max = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        levels = 1
+        while n_max / float(fan) ** levels > target_rows:
+            levels += 1
+    cuts = F.array(*[F.lit(i / fan) for i in range(1, fan)])
+    d = df.withColumn(out, F.lit(0).cast("bigint"))
+    for _ in range(levels):
+        sk = d.groupBy(*keys, out).agg(F.percentile_approx(value_col, cuts, accuracy).alias("_cuts"))
+        d = (d.join(sk, on=[*keys, out], how="left")
+             .withColumn(out, F.col(out) * fan + F.size(F.filter("_cuts", lambda e: e < F.col(value_col))))
+             .drop("_cuts"))
+    return d
 
 
 def exact_quantiles(
@@ -34,9 +68,11 @@ def exact_quantiles(
     probs,
     value_col: str = "value",
     keys=KEYS,
-    buckets: int = 256,
+    buckets: int = 64,
     accuracy: int = 10000,
     direct_max_rows: int | None = DIRECT_MAX_ROWS,
+    target_rows: int = BUCKET_TARGET_ROWS,
+    levels: int | None = None,
 ) -> DataFrame:
     """One row per ``keys`` with a column ``q<i>`` per requested probability
     (named ``q{int(p*100)}``, e.g. q25/q75) and ``n`` = non-null count."""
@@ -49,14 +85,8 @@ def exact_quantiles(
             q = F.percentile("_x", F.array(*[F.lit(p) for p in probs]))
             out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
             return out.select(*keys, "n", *[F.col("_q")[i].alias(f"q{_pname(p)}") for i, p in enumerate(probs)])
-    cuts = [i / buckets for i in range(1, buckets)]
-    stats = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_x", F.array(*[F.lit(c) for c in cuts]), accuracy).alias("_cuts"),
-    )
-    db = d.join(stats.select(*keys, "_cuts"), on=keys, how="inner").withColumn(
-        "_b", F.size(F.filter("_cuts", lambda e: e < F.col("_x")))
-    ).drop("_cuts")
+    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    db = value_buckets(d, "_x", keys, fan=buckets, accuracy=accuracy, target_rows=target_rows, levels=levels)
     counts = db.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)))

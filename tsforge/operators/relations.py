@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tsforge.functions.expr import sdiv
 from tsforge.operators import lags
+from tsforge.operators.quantile import value_buckets
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 # Fixed value: two-sided 95 % normal quantile.
@@ -76,16 +77,14 @@ def correlation(df: DataFrame, method: str = "pearson", vars_: list[str] | None
     return stats.select("series_id", F.explode(F.array(*arr)).alias("_c")).select("series_id", "_c.var1", "_c.var2", "_c.corr")
 
 
-def average_ranks(df: DataFrame, buckets: int = 64) -> DataFrame:
+def average_ranks(df: DataFrame, buckets: int = 64, levels: int | None = None) -> DataFrame:
     """Replace ``value`` by its average rank (1-based, ties averaged) within
-    ``(series_id, var)``.  Ranks come from counts per distinct value, bucketed
-    by sketch cut points so no task orders a whole series."""
+    ``(series_id, var)``.  Ranks come from counts per distinct value, split
+    into value buckets of bounded size (:func:`value_buckets`), so no task
+    orders a whole series."""
     cols = df.columns
     vals = df.filter(F.col("value").isNotNull()).groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("_c"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    sk = vals.groupBy(*KEYS).agg(
-        F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), 10000).alias("_cuts"))
-    vb = vals.join(sk, on=KEYS).withColumn("_b", F.size(F.filter("_cuts", lambda e: e < F.col("value")))).drop("_cuts")
+    vb = value_buckets(vals, "value", KEYS, fan=buckets, levels=levels)
     tot = vb.groupBy(*KEYS, "_b").agg(F.sum("_c").alias("_bc"))
     off = tot.withColumn("_off", F.coalesce(F.sum("_bc").over(
         Window.partitionBy(*KEYS).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
