@@ -820,3 +820,38 @@ s AS (SELECT series_id, count(*) AS m, sum(de * e1) AS sde, sum(e1 * e1) AS see,
 SELECT series_id, 'revenue~n_orders' AS var,
        {R6('(sde / see) / sqrt(((sdd - (sde / see) * sde) / (m - 1)) / see)')} AS statistic,
        CAST(0 AS BIGINT) AS used_lag, m AS nobs FROM s"""
+
+# ----------------------------------------------------------------- D7, J24
+
+_F7 = W(frame="ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING")
+ORACLES["fill_seasonal"] = f"""WITH {EV_GRID},
+a AS (SELECT *, value AS orig FROM ev_g),
+{linfill('a', 'l')},
+tr AS (SELECT *, CASE WHEN count(value) OVER {_F7} = 7 THEN avg(value) OVER {_F7} END AS trend FROM l),
+ph AS (SELECT series_id, var, pos % 7 AS phase, avg(value - trend) AS pm FROM tr GROUP BY ALL),
+sz AS (SELECT series_id, var, phase, pm - avg(pm) OVER (PARTITION BY series_id, var) AS seasonal FROM ph),
+dc AS (SELECT tr.*, sz.seasonal, tr.value - tr.trend - sz.seasonal AS resid
+       FROM tr JOIN sz ON sz.series_id = tr.series_id AND sz.var = tr.var AND sz.phase = tr.pos % 7),
+{linfill('dc', 't1', 'trend')},
+{linfill('t1', 't2', 'resid')},
+o AS (SELECT series_id, var, ts, pos, COALESCE(orig, trend + seasonal + resid, value) AS value FROM t2)
+{sel_long('o')}"""
+
+ORACLES["collinear_effect"] = f"""WITH {_SP},
+pw AS (SELECT series_id, pair_no, var1, var2 FROM sp),
+cb AS (SELECT a.series_id, 'combined_' || CAST(pw.pair_no AS VARCHAR) AS var, a.pos, (a.value + b.value) / 2 AS value
+       FROM pw JOIN dw a ON a.series_id = pw.series_id AND a.var = pw.var1
+               JOIN dw b ON b.series_id = pw.series_id AND b.var = pw.var2 AND b.pos = a.pos),
+kept AS (SELECT series_id, var, pos, value FROM dw WHERE (series_id, var) NOT IN (SELECT series_id, var1 FROM sp)),
+af AS (SELECT * FROM kept UNION ALL SELECT * FROM cb),
+pa AS (SELECT a.series_id, a.var AS var1, b.var AS var2, a.value AS x, b.value AS y
+       FROM af a JOIN af b ON a.series_id = b.series_id AND a.pos = b.pos
+       WHERE a.value IS NOT NULL AND b.value IS NOT NULL),
+ca AS (SELECT series_id, var1, var2,
+              CASE WHEN var1 = var2 THEN (CASE WHEN var_pop(x) > 0 THEN 1.0 END)
+                   ELSE covar_pop(x, y) / NULLIF(sqrt(var_pop(x) * var_pop(y)), 0) END AS corr
+       FROM pa GROUP BY series_id, var1, var2),
+mb AS (SELECT series_id, sum(CASE WHEN var1 <> var2 THEN abs(corr) ELSE 0.0 END) / count(*) AS b FROM cm GROUP BY series_id),
+ma AS (SELECT series_id, sum(CASE WHEN var1 <> var2 THEN abs(corr) ELSE 0.0 END) / count(*) AS a FROM ca GROUP BY series_id)
+SELECT series_id, {R6('b')} AS mean_abs_before, {R6('a')} AS mean_abs_after, {R6('(b - a) / NULLIF(b, 0) * 100.0')} AS reduction_pct
+FROM mb JOIN ma USING (series_id)"""
