@@ -157,7 +157,9 @@ def downsample(df: DataFrame, rule: str = "D", method=0, exact: bool = True) ->
         .agg(agg.alias("value"))
     )
     rng = b.groupBy(*KEYS).agg(F.min("_k").alias("_k0"), F.max("_k").alias("_k1"))
-    grid = rng.select(*KEYS, "_k0", F.explode(F.sequence("_k0", "_k1")).alias("_k"))
+    # spread the (small) per-series range table before exploding bucket labels
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    grid = rng.repartition(parts, *KEYS).select(*KEYS, "_k0", F.explode(F.sequence("_k0", "_k1")).alias("_k"))
     out = grid.join(b, on=[*KEYS, "_k"], how="left")
     value = F.coalesce("value", F.lit(0.0)) if how == "sum" else F.col("value")
     return out.select(

@@ -45,13 +45,15 @@ SHORT_MAX = 1 << 16
 
 
 def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None,
-        buckets: int = 64, short_max: int = SHORT_MAX) -> DataFrame:
+        buckets: int | None = None, short_max: int = SHORT_MAX) -> DataFrame:
     """K1 (K2 with ``inverse``): DFT of each ``(series_id, var)`` over ``pos``
     (0..n-1).  Input real ``value`` (and optional imaginary column).  The
     inverse is computed by conjugation and divided by n, as the reference does.
 
     Short series (n <= ``short_max``) are hashed into ``buckets`` groups and
     transformed whole inside them; longer series use the four-step split."""
+    if buckets is None:  # as many groups of short series as shuffle partitions
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     im_col = F.col(imag) if imag else F.lit(0.0)
     sign = -1.0 if inverse else 1.0  # inverse = conj(fft(conj(x))) / n
     d = df.select(*KEYS, "pos", F.col(value).cast("double").alias("_re"), (im_col * F.lit(sign)).alias("_im"))
