@@ -92,3 +92,25 @@ def test_csv_roundtrip(spark, tmp_path):
     sinks.save(g, out, "parquet")
     back = spark.read.parquet(out)
     assert back.count() == 4 and "temperature" in back.columns
+
+
+def test_workflows_and_exports(spark, tmp_path, multi_long):
+    from tsforge.plans import relationships, stationarity as st_flow
+    from tsforge.sources import sinks
+
+    res = relationships.analyze(multi_long, ccf_pair=("temperature", "humidity"),
+                                granger_pair=("pressure", "wind_speed"), coint_pair=("temperature", "pressure"))
+    assert res["choice"].collect()[0]["method"] == "pca"
+    assert {r["var"] for r in res["handled"].select("var").distinct().collect()} == {"PC1", "PC2", "PC3"}
+    assert res["processing_log"].collect()[0]["n_components"] == 3.0
+    out = str(tmp_path / "processed.csv")
+    sinks.export_processed(res["handled"], res["processing_log"], out)
+    assert spark.read.option("header", True).csv(str(tmp_path / "processed_processing")).count() == 1
+
+    st = st_flow.run(multi_long)
+    led = {r["var"]: r["transformation"] for r in st["ledger"].collect()}
+    assert led == {"temperature": "log", "humidity": "log", "pressure": "seasonal_diff_12",
+                   "wind_speed": "seasonal_diff_12"}
+    st_flow.export(st, str(tmp_path / "transformed.csv"))
+    t = spark.read.option("header", True).csv(str(tmp_path / "transformed_transformations"))
+    assert t.count() == 4 and set(t.columns) >= {"column", "transformation"}
