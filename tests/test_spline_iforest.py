@@ -80,8 +80,8 @@ def kendall_brute(x, y):
     return s / np.sqrt((n0 - n1) * (n0 - n2))
 
 
-@pytest.mark.parametrize("buckets", [1, 4, 16])
-def test_kendall_matches_brute_force(spark, buckets):
+@pytest.mark.parametrize("buckets,levels", [(1, 1), (4, 1), (16, 1), (4, 2)])
+def test_kendall_matches_brute_force(spark, buckets, levels):
     from tsforge.operators.kendall import kendall, pair_sign_sum
 
     rng = np.random.default_rng(11)
@@ -94,7 +94,7 @@ def test_kendall_matches_brute_force(spark, buckets):
         for v, arr in (("a", a), ("b", b), ("c", c)):
             rows.append(("s", v, None, i, float(arr[i])))
     df = spark.createDataFrame(rows, "series_id string, var string, ts timestamp_ntz, pos long, value double")
-    got = {(r["var1"], r["var2"]): r["tau"] for r in kendall(df, buckets=buckets).collect()}
+    got = {(r["var1"], r["var2"]): r["tau"] for r in kendall(df, buckets=buckets, levels=levels).collect()}
     for (u, v), (x, y) in {("a", "b"): (a, b), ("a", "c"): (a, c), ("b", "c"): (b, c)}.items():
         assert abs(got[(u, v)] - kendall_brute(x, y)) < 1e-12
     assert pair_sign_sum(np.array([1.0, 2, 3]), np.array([3.0, 2, 1])) == -3

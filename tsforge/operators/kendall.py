@@ -13,7 +13,8 @@
   coordinate (pairs in one x-bucket contribute 0 there).
 
 ``tau_b = S / sqrt((n0 - n1)(n0 - n2))`` with the tie corrections from value
-counts.  Every group holds one bucket of one series (≈ n / buckets rows).
+counts.  Every group holds one bucket of one series (≈ n / buckets^levels
+rows, with one or two levels of sketch buckets).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tsforge.functions.expr import sdiv
 from tsforge.operators import relations
+from tsforge.operators.quantile import value_buckets
 
 G = ["series_id", "var1", "var2"]
 
@@ -68,17 +70,21 @@ def pair_sign_sum(x: np.ndarray, y: np.ndarray) -> int:
     return int(total)
 
 
-def _buckets(df: DataFrame, col: str, out: str, buckets: int) -> DataFrame:
+# Largest number of value-bucket levels (histogram side = buckets ** levels).
+MAX_LEVELS = 2
+
+
+def _buckets(df: DataFrame, col: str, out: str, buckets: int, levels: int) -> DataFrame:
     if buckets <= 1:
         return df.withColumn(out, F.lit(0))
-    cuts = [i / buckets for i in range(1, buckets)]
-    sk = df.groupBy(*G).agg(F.percentile_approx(col, F.array(*[F.lit(c) for c in cuts]), 10000).alias("_c"))
-    return df.join(sk, on=G).withColumn(out, F.size(F.filter("_c", lambda e: e < F.col(col)))).drop("_c")
+    return value_buckets(df, col, G, fan=buckets, levels=levels, out=out)
 
 
-def kendall(df: DataFrame, vars_: list[str] | None = None, buckets: int = 32) -> DataFrame:
+def kendall(df: DataFrame, vars_: list[str] | None = None, buckets: int = 32, levels: int | None = None,
+            target_rows: int = 1_000_000) -> DataFrame:
     """Pairwise-complete Kendall tau-b for every variable pair of each series:
-    ``series_id, var1, var2, n, tau``."""
+    ``series_id, var1, var2, n, tau``.  With ``levels=None`` a second bucket
+    level is used when the largest series exceeds ``buckets × target_rows``."""
     vars_ = vars_ or relations.variables(df)
     w = relations.wide(df, vars_).drop("ts")
     pairs = [(a, b) for i, a in enumerate(vars_) for b in vars_[i + 1:]]
@@ -87,7 +93,12 @@ def kendall(df: DataFrame, vars_: list[str] | None = None, buckets: int = 32) ->
     p = parts[0]
     for q in parts[1:]:
         p = p.unionByName(q)
-    p = _buckets(_buckets(p, "x", "xb", buckets), "y", "yb", buckets)
+    if levels is None:
+        n_max = p.groupBy(*G).count().agg(F.max("count")).first()[0] or 0
+        levels = 1
+        while levels < MAX_LEVELS and n_max / float(buckets) ** levels > target_rows:
+            levels += 1
+    p = _buckets(_buckets(p, "x", "xb", buckets, levels), "y", "yb", buckets, levels)
 
     schema = "series_id string, var1 string, var2 string, s long"
 
