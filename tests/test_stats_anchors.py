@@ -102,3 +102,24 @@ def test_acf_band_and_pacf(multi_long):
     assert approx(a[("temperature", 1)]["band"], 1.959964 / 72 ** 0.5)
     p = {(r["var"], r["lag"]): r["pacf"] for r in stationarity.pacf(multi_long, 5).collect()}
     assert p[("temperature", 0)] == 1.0
+
+
+def test_whitened_pcs_match_processed_fixture(multi_long):
+    """The reference's processed output equals the three whitened PCs of the
+    cleaned fixture up to sign and order (it re-ran PCA on PCs, SURVEY Q19)."""
+    import itertools
+
+    import numpy as np
+    from fixture_data import PROCESSED
+
+    comps, loads = relations.pca(multi_long)
+    sc = relations.pca_scores(multi_long, loads, n_components=3, whiten=True, components=comps)
+    got = {p: np.array([r["value"] for r in sc.filter(F.col("var") == p).orderBy("pos").collect()])
+           for p in ("PC1", "PC2", "PC3")}
+    ref = np.array([r[1:] for r in PROCESSED], dtype=float)
+    best = min(
+        max(np.max(np.abs(s * got[p] - ref[:, j])) for j, (p, s) in enumerate(zip(perm, signs)))
+        for perm in itertools.permutations(got)
+        for signs in itertools.product((1, -1), repeat=3)
+    )
+    assert best < 1e-6
