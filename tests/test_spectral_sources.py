@@ -114,3 +114,21 @@ def test_workflows_and_exports(spark, tmp_path, multi_long):
     st_flow.export(st, str(tmp_path / "transformed.csv"))
     t = spark.read.option("header", True).csv(str(tmp_path / "transformed_transformations"))
     assert t.count() == 4 and set(t.columns) >= {"column", "transformation"}
+
+
+def test_streaming_adapter(spark, tmp_path):
+    """foreachBatch adapter: a batch operator applied to each micro-batch of a file stream."""
+    from tsforge.operators import detect
+    from tsforge.streaming import apply_per_batch
+
+    src = tmp_path / "in"
+    rows = [("s", "v", None, i, float(i % 7)) for i in range(40)]
+    spark.createDataFrame(rows, "series_id string, var string, ts timestamp_ntz, pos long, value double") \
+        .write.parquet(str(src / "part1"))
+    schema = spark.read.parquet(str(src / "part1")).schema
+    stream = spark.readStream.schema(schema).parquet(str(src / "part1"))
+    q = apply_per_batch(stream, lambda b: detect.missing(b, 1), str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                        trigger_once=True)
+    q.awaitTermination(120)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 40 and out.filter("is_missing").count() == 6 and "batch_id" in out.columns
