@@ -42,6 +42,61 @@ def moving_average(df: DataFrame, window: int = 3, chunk_rows: int = DEFAULT_CHU
 
 # ------------------------------------------------------------------ EWM
 
+# Largest drop of the cumulative log-multiplier inside one vectorised block
+# (keeps exp(-L) far from overflow).
+_LOG_SPAN = 50.0
+
+
+def ewm_valid(x: np.ndarray, pos: np.ndarray, y_in: float, last_pos: int | None, alpha: float) -> np.ndarray:
+    """EWM state after every row of a chunk, NaN on NULL rows (to be forward
+    filled).  Vectorised: inside a block, ``y_i = e^{L_i} (y_start + Σ_{j≤i}
+    b_j e^{-L_j})`` with ``L`` the cumulative log of the multipliers; blocks end
+    before ``L`` has dropped by ``_LOG_SPAN`` or at a reset (first valid point,
+    or a gap so long that the old state no longer counts)."""
+    q = 1.0 - alpha
+    out = np.full(len(x), np.nan)
+    v = np.nonzero(~np.isnan(x))[0]
+    if len(v) == 0:
+        return out
+    pv = pos[v].astype(np.float64)
+    prev = np.empty(len(v))
+    prev[0] = np.nan if last_pos is None else float(last_pos)
+    prev[1:] = pv[:-1]
+    g = pv - prev
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        w = np.power(q, g)
+        m = np.where(np.isnan(g), 0.0, w / (w + alpha))
+        b = np.where(np.isnan(g), x[v], alpha * x[v] / (w + alpha))
+    first_reset = np.isnan(y_in) and last_pos is None
+    y = np.empty(len(v))
+    state = y_in
+    i = 0
+    n = len(v)
+    with np.errstate(divide="ignore"):
+        logm = np.log(m)
+    while i < n:
+        if m[i] == 0.0 or (i == 0 and first_reset):
+            state = b[i]
+            y[i] = state
+            i += 1
+            continue
+        cum = np.cumsum(logm[i:])
+        stop = np.nonzero((cum < -_LOG_SPAN) | ~np.isfinite(cum))[0]
+        j = i + (int(stop[0]) if len(stop) else n - i)
+        if j == i:  # single huge drop: plain step
+            state = m[i] * state + b[i]
+            y[i] = state
+            i += 1
+            continue
+        L = cum[: j - i]
+        y[i:j] = np.exp(L) * (state + np.cumsum(b[i:j] * np.exp(-L)))
+        state = y[j - 1]
+        i = j
+    out[v] = y
+    return out
+
+
+
 _EWM_SCHEMA = "series_id string, var string, pos long, value double"
 
 
@@ -104,22 +159,14 @@ def ewm(df: DataFrame, alpha: float = 0.2, chunk_rows: int = DEFAULT_CHUNK_ROWS)
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
         x = pdf["value"].to_numpy(dtype="float64", na_value=np.nan)
-        pos = pdf["pos"].to_numpy()
-        y = pdf["_y_in"].iloc[0]
+        pos = pdf["pos"].to_numpy(dtype=np.int64)
+        y0 = pdf["_y_in"].iloc[0]
         lp = pdf["_lv_in"].iloc[0]
-        y = np.nan if pd.isna(y) else float(y)
+        y0 = np.nan if pd.isna(y0) else float(y0)
         lp = None if pd.isna(lp) else int(lp)
-        out = np.empty(len(x))
-        for i in range(len(x)):
-            xi = x[i]
-            if not np.isnan(xi):
-                if lp is None or np.isnan(y):
-                    y = xi
-                else:
-                    w = q ** (pos[i] - lp)
-                    y = (w * y + a * xi) / (w + a)
-                lp = int(pos[i])
-            out[i] = y
+        yv = ewm_valid(x, pos, y0, lp, a)
+        out = pd.Series(yv).ffill().to_numpy()
+        out[np.isnan(out)] = y0 if not np.isnan(y0) else np.nan
         return pd.DataFrame({"series_id": pdf["series_id"].to_numpy(), "var": pdf["var"].to_numpy(),
                              "pos": pos, "value": out})
 
