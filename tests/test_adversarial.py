@@ -148,3 +148,14 @@ def test_multilevel_buckets_exact(spark, levels):
             assert abs(q[var][name] - np.quantile(arr, p)) < 1e-9
     ranks = collect_series(relations.average_ranks(mk(spark, list(vals)), buckets=8, levels=levels))
     assert np.allclose(ranks, pd.Series(vals).rank(method="average").to_numpy())
+
+
+def test_adf_counts_only_complete_rows(spark):
+    """With interior gaps, ADF's nobs is the number of complete regression rows."""
+    rng = np.random.default_rng(8)
+    x = list(np.cumsum(rng.normal(size=120)))
+    for i in (30, 31, 77):
+        x[i] = None
+    r = unitroot.adf(mk(spark, x), autolag=None, maxlag=0).collect()[0]
+    # rows t with x_t, x_{t-1} present: 119 pairs minus those touching a gap (30,31 -> 3 pairs; 77 -> 2 pairs)
+    assert r["nobs"] == 119 - 3 - 2

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tsforge.operators import scan
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
-GRAM_SCHEMA = "series_id string, var string, gram array<double>, heads array<struct<pos:long,z:array<double>>>"
+GRAM_SCHEMA = ("series_id string, var string, gram array<double>, rows long, "
+               "heads array<struct<pos:long,z:array<double>>>")
 
 
 def lagged_gram(
@@ -36,7 +37,8 @@ def lagged_gram(
     needed: Callable[[int], list[int]] | None = None,
 ) -> DataFrame:
     """Per ``(series_id, var)``: ``gram`` = Σ z zᵀ (row-major, ``width²``) over
-    rows with ``pos >= start`` and ``heads`` = the z rows with ``pos < start``.
+    rows with ``pos >= start``, ``rows`` = how many rows that sum holds, and
+    ``heads`` = the z rows with ``pos < start``.
 
     ``build(arrays, pos)`` returns the design matrix (len(pos) × width) for the
     chunk's contiguous rows (NaN where a lag is unavailable); rows with a NaN in
@@ -71,16 +73,17 @@ def lagged_gram(
         gram = (zb.T @ zb).ravel() if len(zb) else np.zeros(width * width)
         heads = [{"pos": int(p), "z": list(map(float, r))} for p, r in zip(pos[home & (pos < start)], z[home & (pos < start)])]
         return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "var": [pdf["var"].iloc[0]],
-                             "gram": [gram.tolist()], "heads": [heads]})
+                             "gram": [gram.tolist()], "rows": [int(len(zb))], "heads": [heads]})
 
     parts = h.groupBy(*KEYS, scan.CHUNK).applyInPandas(part, GRAM_SCHEMA)
     g = (parts.select(*KEYS, F.posexplode("gram").alias("i", "v"))
          .groupBy(*KEYS, "i").agg(F.sum("v").alias("v"))
          .groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("_g")))
+    nr = parts.groupBy(*KEYS).agg(F.sum("rows").alias("rows"))
     hd = parts.select(*KEYS, F.explode("heads").alias("h")).groupBy(*KEYS).agg(
         F.array_sort(F.collect_list(F.struct(F.col("h.pos").alias("pos"), F.col("h.z").alias("z")))).alias("heads"))
-    return (g.join(hd, on=KEYS, how="left")
-            .select(*KEYS, F.transform("_g", lambda e: e["v"]).alias("gram"),
+    return (g.join(hd, on=KEYS, how="left").join(nr, on=KEYS, how="left")
+            .select(*KEYS, F.transform("_g", lambda e: e["v"]).alias("gram"), "rows",
                     F.coalesce("heads", F.array().cast("array<struct<pos:long,z:array<double>>>")).alias("heads")))
 
 

@@ -101,8 +101,9 @@ def adf(
         if mlag < 0 or n - 1 - mlag <= len(base):
             return pd.DataFrame([out])
         best, icbest = mlag, np.nan
+        body_rows = int(r["rows"])  # rows actually in the common sample (gaps skipped)
         if method:
-            nob = n - 1 - mlag
+            nob = body_rows
             scores = []
             for p in range(0, mlag + 1):
                 cols = base + [ntrend + 1 + j for j in range(p)]
@@ -114,11 +115,12 @@ def adf(
             icbest, _, best = min(scores)
         cols = base + [ntrend + 1 + j for j in range(best)]
         Gf = G.copy()
+        nob = body_rows
         for p_, z in heads:
-            if p_ >= best + 1:
+            if p_ >= best + 1 and not np.isnan(z[cols + [y]]).any():
                 zz = np.where(np.isnan(z), 0.0, z)
                 Gf += np.outer(zz, zz)
-        nob = n - 1 - best
+                nob += 1
         beta, ssr, inv = moments.ols_from_gram(Gf, cols, y)
         dof = nob - len(cols)
         if dof <= 0:
@@ -143,7 +145,8 @@ def phillips_perron(df: DataFrame, lags_: int | None = None, alpha: float = 0.05
     ``ceil(12 (n/100)^¼)`` lags by default; MacKinnon p-value."""
     h = scan.with_halo(df, before=1, after=0, chunk_rows=chunk_rows)
     h = h.withColumn("_yl", F.lag("value", 1).over(scan.chunk_window()))
-    d = scan.drop_halo(h).filter(F.col("_yl").isNotNull() & F.col("value").isNotNull())
+    full = scan.drop_halo(h)  # keeps every position (lag products stay position-based)
+    d = full.filter(F.col("_yl").isNotNull() & F.col("value").isNotNull())
     reg = d.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("_m"), F.regr_slope("value", "_yl").alias("_b"),
         F.regr_intercept("value", "_yl").alias("_a"), F.var_pop("_yl").alias("_vy"))
@@ -151,7 +154,7 @@ def phillips_perron(df: DataFrame, lags_: int | None = None, alpha: float = 0.05
     lag_n = (F.lit(int(lags_)) if lags_ is not None else F.ceil(12.0 * F.pow(F.col("n") / 100.0, 0.25))).cast("bigint")
     reg = reg.join(n_tab, on=KEYS).withColumn("lags", lag_n)
     Lmax = int(lags_) if lags_ is not None else int(reg.agg(F.max("lags")).first()[0] or 0)
-    u = d.join(reg.select(*KEYS, "_a", "_b"), on=KEYS).withColumn(
+    u = full.join(reg.select(*KEYS, "_a", "_b"), on=KEYS).withColumn(
         "_u", F.col("value") - F.col("_a") - F.col("_b") * F.col("_yl"))
     ls = lags.lag_sums(u.select(*KEYS, "pos", "_u"), Lmax, x="_u", chunk_rows=chunk_rows)
     j = ls.join(reg.select(*KEYS, "_m", "lags"), on=KEYS).filter(F.col("lag") <= F.col("lags"))
@@ -229,14 +232,14 @@ def granger(df: DataFrame, dependent: str, independent: str, maxlag: int = 4, al
         heads = [(int(h["pos"]), np.asarray(h["z"], dtype="float64")) for h in r["heads"]]
         rows = []
         for L in range(1, M + 1):
+            restricted = [0] + [j for j in range(1, L + 1)]
+            unrestricted = restricted + [M + j for j in range(1, L + 1)]
             GL = G.copy()
             for p_, z in heads:
-                if p_ - p0 >= L:
+                if p_ - p0 >= L and not np.isnan(z[unrestricted + [width - 1]]).any():
                     zz = np.where(np.isnan(z), 0.0, z)
                     GL += np.outer(zz, zz)
-            nob = n - L
-            restricted = [0] + [j for j in range(1, L + 1)]
-            unrestricted = restricted + [M + j for j in range(1, L + 1)]
+            nob = int(round(GL[0, 0]))  # rows in the regression (constant column), gaps skipped
             _, ssr_r, _ = moments.ols_from_gram(GL, restricted, width - 1)
             _, ssr_u, _ = moments.ols_from_gram(GL, unrestricted, width - 1)
             dfd = nob - 2 * L - 1
