@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.llm import quality_rules, sharding
+from tsforge.llm import bpe, decontaminate, quality_rules, secrets, sharding
 from tsforge.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,31 @@ def op7(spark, sf_dir):
     out = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
                       "quality.n_repeat_words", "quality.base_failed", "quality.kept")
+
+
+@query("op8_bpe_tree_concatenation")
+def op8(spark, sf_dir, tokenizer: str | None = None):
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.encode(docs, tokenizer or public_tokenizers.path("word_bpe_49k.json"), ids=False)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op9_markov_secrets")
+def op9(spark, sf_dir):
+    out = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex",
+                      F.sha2(F.col("secrets.base").cast("binary"), 256).alias("base_sha256"), "secrets.spans")
+
+
+@query("op3_spaced_seeds")
+def op3(spark, sf_dir):
+    """The documents that overlap a benchmark item, with the items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
+    best = found.groupBy(F.col("doc.doc_id").alias("doc_id"), "doc_key", "item").agg(
+        F.max(F.struct("equal", "of", F.col("at").alias("at"))).alias("b"))
+    return best.groupBy("doc_id", "doc_key").agg(
+        F.array_sort(F.collect_list("item")).alias("item_ids"), F.count("*").alias("n_items"),
+        F.max("b.equal").alias("best_equal"), F.max("b.of").alias("best_of")).drop("doc_key")
