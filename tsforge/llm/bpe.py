@@ -38,8 +38,10 @@ from tsforge.llm.common import fresh, text_key
 #: Characters of a word from which it is cut into leaves, and symbols of a leaf.
 LONG_WORD = 8192
 LEAF = 4096
-#: Words that a task remembers; the table is emptied when it is full.
-REMEMBERED = 150_000
+#: Words that a task remembers at most.
+REMEMBERED = 600_000
+#: Characters of the texts whose words are learnt together.
+LEARN_CHARS = 1_000_000
 #: Symbols on each side of a join that the first window re-encodes.
 WINDOW = 64
 
@@ -57,20 +59,34 @@ class Codec:
         bare = json.loads(json.dumps(spec))
         bare["model"]["end_of_word_suffix"] = None
         self.bare = Tokenizer.from_str(json.dumps(bare))
-        self.remembered, self.known = remembered, {}
-
-    def learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
-        if len(self.known) + len(new) > self.remembered:
-            self.known = {}
-            new = list(words)
+        self.plain = spec["decoder"] is None
+        self.lowers = '{"type": "Lowercase"}' in json.dumps(spec["normalizer"])
+        self.vocabulary = {i: t for t, i in self.tok.get_vocab(with_added_tokens=True).items()}
+        self.remembered, self.known, self.older = remembered, {}, {}
+
+    def learn(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
+        """The entries of ``words``.  Two generations: words that recur move to
+        the younger one, the older one is dropped when the younger is full."""
+        if len(self.known) + len(words) > self.remembered // 2:
+            self.older, self.known = self.known, {}
+        known, older, new = self.known, self.older, []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False)):
-                self.known[w] = self.entry(e.ids)
+                known[w] = self.entry(e.ids)
+        return known
 
     def entry(self, ids: list[int]) -> tuple[bytes, str]:
-        return struct.pack(f"<{len(ids)}I", *ids), self.tok.decode(ids, skip_special_tokens=False)
+        # without a decoder in the file the library's decode() joins the tokens by blanks
+        text = " ".join([self.vocabulary[i] for i in ids]) if self.plain else self.tok.decode(
+            ids, skip_special_tokens=False)
+        return struct.pack(f"<{len(ids)}I", *ids), text
 
     def symbols(self, piece: str, ends: bool) -> list[tuple[int, int]]:
         """(id, end in symbols) of a pre-token's piece; ends: whether the pre-token ends with it."""
@@ -133,11 +149,35 @@ def _digest(ids: bytes, decoded: str) -> tuple[int, str, str]:
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
 
+_MARKS = re.compile(r"(?<=[a-z\xe0-\xf6\xf8-\xff])([.,;:!?]+)(?![^ \t\n\r\x0b\x0c])")
+
+
+def _plainer(c: Codec, text: str) -> str:
+    """Fewer distinct words with the same encoding: A-Z in lower case (the
+    tokenizer lowers all letters itself) and closing marks apart from the word
+    (they are pre-tokens of their own).  Not where a special token may be."""
+    if not c.lowers or any(x[:2] in text for x in c.special):
+        return text
+    return _MARKS.sub(r" \1", text.encode().lower().decode())
+
+
 def _encode_words(c: Codec, text: str) -> tuple[bytes, str]:
-    ws = [w for w in _BLANK.split(text) if w]
-    c.learn(set(ws))
-    got = [c.known[w] for w in ws]
-    return b"".join(g[0] for g in got), " ".join(g[1] for g in got if g[1])
+    return next(_encode_texts(c, [text]))
+
+
+def _encode_texts(c: Codec, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+    """(ids, decoded) of each text; words are learnt for a few texts at a time."""
+    at = 0
+    while at < len(texts):
+        part, size = [], 0
+        while at < len(texts) and size < LEARN_CHARS:
+            part.append([w for w in _BLANK.split(_plainer(c, texts[at])) if w])
+            size += len(texts[at])
+            at += 1
+        known = c.learn(set().union(*part))
+        for ws in part:
+            got = [known[w] for w in ws]
+            yield b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", long_word: int = LONG_WORD, leaf: int = LEAF,
@@ -166,7 +206,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", long_word: int =
 
         c = codec(path)
         for b in batches:
-            got = [results(c, *_encode_words(c, t or "")) for t in b.column(text_col).to_pylist()]
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            got = [results(c, *x) for x in _encode_texts(c, texts)]
             cols = [pa.array([g[k] for g in got], type=_ARROW[kinds[k]]()) for k in range(len(kinds))]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *extra])
 
