@@ -80,18 +80,22 @@ def base_failed(s: Column) -> Column:
     return (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PCT * s["n_words"])
 
 
-def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), f"{SPACE}+", " "))
+def normal_text(text: Column) -> Column:
+    """Lower case, digits as 0, all white space but the line ends as blanks."""
+    return F.translate(F.lower(F.coalesce(text, F.lit(""))), "123456789\t\x0b\x0c\r", "000000000    ")
+
+
+def _collapsed(line: Column) -> Column:
+    one = F.trim(line)
+    return F.when(F.instr(one, "  ") > 0, F.regexp_replace(one, " +", " ")).otherwise(one)
 
 
 def _line_rows(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
     """One row per text line with a word: host, doc (key of the text), i (its
     place), h, n (its words), around (its surroundings), total (words of the text)."""
-    hashed = F.transform(
-        F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1),
-                 lambda x: F.length(F.translate(x, "\t\x0b\x0c\r ", "")) > 0),
-        lambda x: let(normal_line(x), lambda y: F.struct(F.xxhash64(y).alias("h"),
-                                                         F.size(F.split(y, " ")).alias("n"))))
+    lines = F.transform(F.split(normal_text(F.col(text_col)), "\n", -1), _collapsed)
+    hashed = F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.struct(
+        F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
     rows = let(hashed, lambda a: F.transform(a, lambda x, i: F.struct(
         i.alias("i"), x["h"].alias("h"), x["n"].alias("n"),
         F.xxhash64(F.when(i > 0, F.get(a, i - 1)["h"]).otherwise(F.lit(0)),
