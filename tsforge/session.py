@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +40,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+_SHIPPED = "_tsforge_shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers, wherever the driver
+    was started: once per context, a zip of the package goes to the executors
+    as a Python file (Spark serves it from the driver)."""
+    sc = spark.sparkContext
+    if getattr(sc, _SHIPPED, False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    at = os.path.join(tempfile.mkdtemp(prefix="tsforge-py-"), "tsforge-package.zip")
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tsforge", os.path.relpath(full, root)))
+    sc.addPyFile(at)
+    setattr(sc, _SHIPPED, True)
