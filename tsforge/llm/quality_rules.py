@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import SPACE, fresh, let, text_key, words
+from tsforge.llm.common import WORD, fresh, let, text_key, words
 
 MAX_DOCS = 20
 MIN_WORDS = 50
@@ -34,45 +34,53 @@ MIN_WORDS_LEFT = 30
 MIN_SHARE_LEFT_PCT = 30
 
 
-def _windows_repeated(w: Column) -> Column:
-    """Words that lie in a 3-word window found twice or more in the text."""
-    n = F.size(w)
+#: Up to so many repeated windows are looked up one by one, more of them by sorting.
+_FEW = 64
 
-    def covered(h: Column) -> Column:
-        order = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
-        def positions(s: Column) -> Column:
-            last = F.size(s) - 1
-            twice = F.filter(s, lambda x, k: (F.when(k > 0, F.get(s, k - 1)["h"] == x["h"]).otherwise(False))
-                             | (F.when(k < last, F.get(s, k + 1)["h"] == x["h"]).otherwise(False)))
-            return F.array_sort(F.transform(twice, lambda x: x["i"]))
+def _windows_repeated(w: Column) -> Column:
+    """Words that lie in a 3-word window found twice or more in the text."""
+    none = F.lit(0).cast("long")
 
+    def covered(positions: Column) -> Column:
         def total(p: Column) -> Column:
             steps = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-            return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
+            return F.aggregate(steps, none, lambda a, x: a + x)
 
-        return let(let(order, positions), total)
+        return let(F.sort_array(positions), total)
 
-    hashes = F.transform(F.sequence(F.lit(0), n - 3),
+    def by_sorting(h: Column) -> Column:
+        order = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return let(order, lambda s: covered(F.transform(
+            F.filter(s, lambda x, k: F.coalesce((k > 0) & (F.get(s, F.greatest(k - 1, F.lit(0)))["h"] == x["h"]), F.lit(False))
+                     | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))), lambda x: x["i"])))
+
+    def by_lookup(h: Column, twice: Column) -> Column:
+        return covered(F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(twice, x), i)),
+                                lambda i: i.isNotNull()))
+
+    def repeated(h: Column) -> Column:
+        twice = let(F.sort_array(h), lambda s: F.array_distinct(
+            F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 1) == x, F.lit(False)))))
+        return let(twice, lambda d: F.when(F.size(d) == 0, none).when(F.size(d) <= _FEW, by_lookup(h, d)).otherwise(
+            by_sorting(h)))
+
+    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3),
                          lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-    return F.when(n < 3, F.lit(0).cast("long")).otherwise(let(hashes, covered))
+    return F.when(F.size(w) < 3, none).otherwise(let(hashes, repeated))
 
 
 def text_stats(text: Column) -> Column:
     """struct(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words), all long."""
     t = F.coalesce(text, F.lit(""))
-    blank = "\t\n\x0b\x0c\r "
-
-    def lines(ls: Column) -> Column:
-        return F.size(ls) - F.size(F.array_distinct(ls))
-
-    worded = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, blank, "")) > 0)
-    by_words = let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), _windows_repeated(w).alias("r")))
+    worded = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD))
+    by_words = let(words(t), lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"),
+        _windows_repeated(w).alias("r")))
     return let(by_words, lambda b: F.struct(
-        b["n"].alias("n_words"),
-        F.length(F.translate(t, blank, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        let(worded, lines).cast("long").alias("n_dup_lines"),
+        b["n"].alias("n_words"), b["chars"].alias("word_chars"),
+        F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        let(worded, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         b["r"].alias("n_repeat_words")))
 
 
@@ -82,7 +90,9 @@ def base_failed(s: Column) -> Column:
 
 def normal_text(text: Column) -> Column:
     """Lower case, digits as 0, all white space but the line ends as blanks."""
-    return F.translate(F.lower(F.coalesce(text, F.lit(""))), "123456789\t\x0b\x0c\r", "000000000    ")
+    t = F.lower(F.coalesce(text, F.lit("")))
+    t = F.when(t.rlike("[1-9]"), F.regexp_replace(t, "[1-9]", "0")).otherwise(t)
+    return F.when(t.rlike(r"[\t\x0b\x0c\r]"), F.regexp_replace(t, r"[\t\x0b\x0c\r]", " ")).otherwise(t)
 
 
 def _collapsed(line: Column) -> Column:
