@@ -8,10 +8,11 @@ where the windows meet.  Along that diagonal all words are compared, and the
 text overlaps the item if some stretch of ``STRETCH`` item words (or the whole
 item, if shorter) has at least ``SAME_PCT`` percent equal words.
 
-The benchmark's hashes are broadcast in blocks of at most ``MAX_SEEDS`` (the
-size is counted first); a larger benchmark takes more passes, not more memory.
-The texts are never shuffled: hashing, lookup and comparison are one stage, and
-only texts that overlap leave it.
+The benchmark's hashes are taken in blocks of at most ``MAX_SEEDS`` (they are
+counted first); a larger benchmark takes more passes, not more memory.  A bit
+set of the block passes over nearly all windows where they are made; the others
+are looked up in the block's broadcast table and compared at once.  The texts
+are never shuffled, and only those that overlap leave the stage.
 
 Defined results: null, empty and wordless texts and items overlap nothing;
 items of fewer words than a mask spans are looked up as they stand, if they
@@ -21,24 +22,28 @@ nothing); repeated rows are each reported; further columns are carried through.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.llm.common import SPACE, let, text_key
 
 #: Fixed masks of weight 6: positions marked 1 are hashed, the others ignored.
-MASKS = ("110101011", "111010011", "101101101")
+MASKS = ("110101011", "111001011")
 SPAN = 9
 STRETCH = 20
 SAME_PCT = 80
 MIN_ITEM = 5
 MAX_SEEDS = 500_000
-DROPPED = ".,;:!?\"'()[]{}<>|*#$%&_-"
+DROPPED = r"""[.,;:!?"'()\[\]{}<>|*#$%&_-]+"""
+#: Bits of the filter for each seed, and the least of them all.
+BITS_A_SEED, LEAST_BITS = 64, 1 << 16
 
 
 def tokens(text: Column) -> Column:
     """Hashes of the words of a text."""
-    bare = F.translate(F.lower(F.coalesce(text, F.lit(""))), DROPPED, "")
+    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), DROPPED, "")
     return F.transform(F.filter(F.split(bare, f"{SPACE}+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -59,6 +64,32 @@ def seeds(h: Column, masks: list[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def _filter_bits(part: DataFrame) -> tuple[int, Column]:
+    """A bit set of the seeds: (number of bits, array of 64-bit words); its size is bounded by max_seeds."""
+    n = LEAST_BITS
+    while n < BITS_A_SEED * part.count() and n < 1 << 25:
+        n *= 2
+    at = F.pmod("seed", F.lit(n))
+    rows = part.select((at / 64).cast("int").alias("word"), F.pmod(at, F.lit(64)).cast("int").alias("bit")).distinct()
+    words = [0] * (n // 64)
+    for r in rows.collect():  # one row for each bit that is set: max_seeds at most
+        words[r["word"]] |= 1 << r["bit"]
+    return n, F.from_json(F.lit(json.dumps([w - (1 << 64) if w >> 63 else w for w in words])), "array<bigint>")
+
+
+def _may_hit(h: Column, i: Column, masks: list[str], n: int, words: Column) -> Column:
+    """Whether a window that begins at ``i`` can be among the seeds."""
+    def is_set(seed: Column) -> Column:
+        return let(F.pmod(seed, F.lit(n)), lambda b: F.getbit(F.get(words, F.shiftright(b, 6).cast("int")),
+                                                              b.bitwiseAND(F.lit(63)).cast("int")) == 1)
+
+    tests = [(F.size(h) - i >= len(m)) & is_set(_window(h, i, m)) for m in masks]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
 def _best(same: Column) -> Column:
     """Most equal words in a stretch of STRETCH words, as struct(equal, of)."""
     n = F.size(same)
@@ -83,17 +114,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     table = items.select("item", "words", F.explode(own).alias("x")).select(
         "item", "words", F.col("x.p").alias("ip"), F.col("x.seed").alias("seed"))
     blocks = -(-max(1, table.count()) // max_seeds)
+    table = table.withColumn("block", F.pmod("seed", F.lit(blocks)))
     text = docs.select(F.struct(*[c for c in docs.columns if c != text_col]).alias("doc") if len(docs.columns) > 1
                        else F.struct(F.lit(None).cast("string").alias("_")).alias("doc"),
                        text_key(F.col(text_col)).alias("doc_key"), tokens(F.col(text_col)).alias("h"))
     out = None
     for k in range(blocks):
-        part = table.filter(F.pmod(F.col("seed"), F.lit(blocks)) == k) if blocks > 1 else table
-        windows = text.select("doc", "doc_key", "h", F.explode(let(F.col("h"), lambda h: seeds(h, masks))).alias("w"))
-        hit = windows.join(F.broadcast(part), F.col("w.seed") == F.col("seed"))
-        hit = hit.withColumn("at", F.col("w.p") - F.col("ip"))
+        part = table.filter(F.col("block") == k).drop("block")
+        bits, filled = _filter_bits(part)
+        near = text.withColumn("p", let(F.col("h"), lambda h: F.filter(
+            F.sequence(F.lit(0), F.size(h) - 1), lambda i: _may_hit(h, i, masks, bits, filled))))
+        near = near.filter(F.size("p") > 0).withColumn("p", F.explode("p"))
+        windows = near.select("doc", "doc_key", "h", "p", F.explode(let(F.struct("h", "p"), lambda x: F.array(
+            *[F.when(F.size(x["h"]) - x["p"] >= len(m), _window(x["h"], x["p"], m)) for m in masks]))).alias("w"))
+        hit = windows.join(F.broadcast(part), F.col("w") == F.col("seed"))  # max_seeds rows at most
+        hit = hit.withColumn("at", F.col("p") - F.col("ip"))
         same = let(F.col("h"), lambda h: let(F.col("words"), lambda ws: F.transform(ws, lambda x, j: F.when(
-            (j + F.col("at") >= 0) & (F.get(h, j + F.col("at")) == x), 1).otherwise(0))))
+            (j + F.col("at") >= 0) & (F.get(h, F.greatest(j + F.col("at"), F.lit(0))) == x), 1).otherwise(0))))
         hit = hit.withColumn("best", let(same, _best)).filter(
             100 * F.col("best.equal") >= SAME_PCT * F.col("best.of"))
         rows = hit.select("doc", "doc_key", "item", "at", "best.equal", "best.of")
