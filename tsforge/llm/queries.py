@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, decontaminate, quality_rules, secrets, sharding
+from tsforge.llm import bpe, decontaminate, pii, quality_rules, rules_classifier, secrets, sharding
 from tsforge.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,27 @@ def op3(spark, sf_dir):
     return best.groupBy("doc_id", "doc_key").agg(
         F.array_sort(F.collect_list("item")).alias("item_ids"), F.count("*").alias("n_items"),
         F.max("b.equal").alias("best_equal"), F.max("b.of").alias("best_of")).drop("doc_key")
+
+
+@query("op10_rule_ensemble")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(id_mod(F.col("doc_id"), 4) != 2)
+    out = rules_classifier.score(docs, rules_classifier.fit(docs, labels))
+    return out.select("doc_id", (id_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_weak_supervision_pii")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.find(docs, pii.fit(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(
+            ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda x: x["base"])
+    return out.select("doc_id", *[F.size(F.filter("spans", lambda x, k=k: x["base"] & (x["kind"] == k))).cast("long").alias(
+        f"n_{k}") for k in pii.KINDS], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))
