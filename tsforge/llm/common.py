@@ -21,7 +21,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` evaluated once.  A projection that Catalyst
     collapses would put the whole expression inside every lambda that reads
     it; a lambda variable can't be inlined."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
 def words(text: Column) -> Column:

@@ -23,6 +23,7 @@ nothing); repeated rows are each reported; further columns are carried through.
 from __future__ import annotations
 
 import json
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,9 +109,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     short = sorted({r[0] for r in items.select(F.size("words").alias("n")).filter(
         F.col("n").between(MIN_ITEM, SPAN - 1)).distinct().collect()})  # at most SPAN numbers
     masks = [*MASKS, *("1" * n for n in short)]
-    own = F.when(F.size("words") >= SPAN, let(F.col("words"), lambda h: seeds(h, list(MASKS))))
+    own = F.when(F.size("words") >= SPAN, let(F.col("words"), partial(seeds, masks=list(MASKS))))
     for n in short:
-        own = own.when(F.size("words") == n, let(F.col("words"), lambda h, n=n: seeds(h, ["1" * n])))
+        own = own.when(F.size("words") == n, let(F.col("words"), partial(seeds, masks=["1" * n])))
     table = items.select("item", "words", F.explode(own).alias("x")).select(
         "item", "words", F.col("x.p").alias("ip"), F.col("x.seed").alias("seed"))
     blocks = -(-max(1, table.count()) // max_seeds)

@@ -89,7 +89,9 @@ def op6(spark, sf_dir):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(
             ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
+    def number(kind):
+        return F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda x: x["base"])
-    return out.select("doc_id", *[F.size(F.filter("spans", lambda x, k=k: x["base"] & (x["kind"] == k))).cast("long").alias(
-        f"n_{k}") for k in pii.KINDS], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+    return out.select("doc_id", *[number(k) for k in pii.KINDS], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))
