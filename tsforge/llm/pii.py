@@ -34,6 +34,8 @@ from pyspark.sql import types as T
 from tsforge.llm.common import fresh
 
 KINDS = ("email", "ip", "card", "phone")
+#: Log odds from which the classifier adds a span (a probability of 0.8).
+LEAST_LOGIT = math.log(4)
 
 # Fixed values of the base patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -147,8 +149,8 @@ def _votes(text: str, kind: str, s: int, e: int, ok: bool) -> tuple[int, ...]:
         lists = 1 if span.startswith("+") else -1
     left = 1 if _FOR[kind].search(before) else 0 if _AGAINST.search(before) else -1
     touches = (s and (text[s - 1].isalnum() or text[s - 1] in "_-/.=")) or (after[:1].isalnum() or after[:1] in ("_", "=", "/"))
-    right = 0 if touches else 1
-    shape = 0 if kind != "email" and len(set(digits)) <= 2 else -1 if kind == "email" else 1 if 7 <= len(digits) <= 19 or kind == "ip" else 0
+    right = 0 if touches else -1  # standing free says nothing
+    shape = 0 if kind != "email" and len(set(digits)) <= 2 else -1
     return form, lists, left, right, shape, min(3, (e - s) // 8), int(ok)
 
 
@@ -232,12 +234,12 @@ def pattern_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return seen.groupBy("kind", "pattern").agg(F.sum("n").alias("n"))
 
 
-def choose(text: str, weights: dict | list) -> list[tuple[str, int, int, bool]]:
+def choose(text: str, weights: list[float]) -> list[tuple[str, int, int, bool]]:
     """The spans of one text: (kind, start, end, base), by kind as listed, then start."""
     found = candidates(text)
     added = []
     for k, s, e, ok, v in found:
-        if not ok and sum(a * b for a, b in zip(weights, _features(k, v))) >= 0:
+        if not ok and sum(a * b for a, b in zip(weights, _features(k, v))) >= LEAST_LOGIT:
             added.append((s - e, s, e, k))
     taken, out = [], [(k, s, e, True) for k, s, e, ok, _ in found if ok]
     ends: list[tuple[int, int]] = taken
