@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, decontaminate, pii, quality_rules, rules_classifier, secrets, sharding
+from tsforge.llm import (bpe, decontaminate, html_extract, pii, quality_rules, rules_classifier, secrets,
+                         sharding)
 from tsforge.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +96,10 @@ def op6(spark, sf_dir):
     base = F.filter("spans", lambda x: x["base"])
     return out.select("doc_id", *[number(k) for k in pii.KINDS], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))
+
+
+@query("op1_consensus_html")
+def op1(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = html_extract.extract(pages)
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
