@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced-seed hashing (native).
 
-Texts become tokens (lower case, decorations dropped).  Every window of a text
+Texts become tokens (lower case, marks between words dropped).  Every window of a text
 is hashed under fixed masks that ignore some of its positions, so that a
 window still hits when a word at an ignored position was substituted.  Hits
 with the benchmark's hashes give (item, diagonal): the item laid over the text
@@ -9,9 +9,9 @@ text overlaps the item if some stretch of ``STRETCH`` item words (or the whole
 item, if shorter) has at least ``SAME_PCT`` percent equal words.
 
 The benchmark's hashes are taken in blocks of at most ``MAX_SEEDS`` (they are
-counted first); a larger benchmark takes more passes, not more memory.  A bit
-set of the block passes over nearly all windows where they are made; the others
-are looked up in the block's broadcast table and compared at once.  The texts
+counted first); a larger benchmark takes more passes, not more memory.  A table
+of flags passes over nearly all windows where they are made; the others are
+looked up in the block's broadcast table and compared at once.  The texts
 are never shuffled, and only those that overlap leave the stage.
 
 Defined results: null, empty and wordless texts and items overlap nothing;
@@ -23,29 +23,31 @@ nothing); repeated rows are each reported; further columns are carried through.
 from __future__ import annotations
 
 import json
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import SPACE, let, text_key
+from tsforge.llm.common import let, text_key
 
 #: Fixed masks of weight 6: positions marked 1 are hashed, the others ignored.
 MASKS = ("110101011", "111001011")
 SPAN = 9
+#: A mask of positions that all masks hash: tested first, as it is cheaper to hash.
+CORE = "100001001"
 STRETCH = 20
 SAME_PCT = 80
 MIN_ITEM = 5
 MAX_SEEDS = 500_000
-DROPPED = r"""[.,;:!?"'()\[\]{}<>|*#$%&_-]+"""
-#: Bits of the filter for each seed, and the least of them all.
-BITS_A_SEED, LEAST_BITS = 64, 1 << 16
+BETWEEN = r"""[\x20\x09-\x0D.,;:!?"'()\[\]{}<>|*#$%&_-]+"""
+#: Flags of the filter for each seed, and the least and most of them all.
+FLAGS_A_SEED, LEAST_FLAGS, MOST_FLAGS = 32, 1 << 16, 1 << 23
 
 
 def tokens(text: Column) -> Column:
     """Hashes of the words of a text."""
-    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), DROPPED, "")
-    return F.transform(F.filter(F.split(bare, f"{SPACE}+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    found = F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN)
+    return F.transform(F.filter(found, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
 def _window(h: Column, i: Column, mask: str) -> Column:
@@ -65,30 +67,34 @@ def seeds(h: Column, masks: list[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def _filter_bits(part: DataFrame) -> tuple[int, Column]:
-    """A bit set of the seeds: (number of bits, array of 64-bit words); its size is bounded by max_seeds."""
-    n = LEAST_BITS
-    while n < BITS_A_SEED * part.count() and n < 1 << 25:
+def _flags(seeds_of: DataFrame) -> tuple[int, Column]:
+    """Which hashes modulo n are among the seeds: (n, one byte for each); MOST_FLAGS bytes at most."""
+    n, count = LEAST_FLAGS, seeds_of.count()
+    while n < min(FLAGS_A_SEED * count, MOST_FLAGS):
         n *= 2
-    at = F.pmod("seed", F.lit(n))
-    rows = part.select((at / 64).cast("int").alias("word"), F.pmod(at, F.lit(64)).cast("int").alias("bit")).distinct()
-    words = [0] * (n // 64)
-    for r in rows.collect():  # one row for each bit that is set: max_seeds at most
-        words[r["word"]] |= 1 << r["bit"]
-    return n, F.from_json(F.lit(json.dumps([w - (1 << 64) if w >> 63 else w for w in words])), "array<bigint>")
+    flags = bytearray(n)
+    for r in seeds_of.select(F.pmod("seed", F.lit(n)).cast("int").alias("at")).distinct().collect():  # n rows at most
+        flags[r["at"]] = 1
+    return n, F.lit(bytes(flags))
 
 
-def _may_hit(h: Column, i: Column, masks: list[str], n: int, words: Column) -> Column:
-    """Whether a window that begins at ``i`` can be among the seeds."""
-    def is_set(seed: Column) -> Column:
-        return let(F.pmod(seed, F.lit(n)), lambda b: F.getbit(F.get(words, F.shiftright(b, 6).cast("int")),
-                                                              b.bitwiseAND(F.lit(63)).cast("int")) == 1)
+def _may_hit(part: DataFrame, short: list[str]):
+    """A test (h, i) whether a window that begins at ``i`` can be among the
+    block's seeds (at the text's end it also holds for some that can't)."""
+    n, flags = _flags(part)
+    core_n, core_flags = _flags(part.filter(F.size("words") >= SPAN).select(_window(F.col("words"), F.col("ip"), CORE).alias("seed")))
 
-    tests = [(F.size(h) - i >= len(m)) & is_set(_window(h, i, m)) for m in masks]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return out
+    def among(h: Column, i: Column, mask: str, n: int, flags: Column) -> Column:
+        return F.substring(flags, F.pmod(_window(h, i, mask), F.lit(n)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+
+    def test(h: Column, i: Column) -> Column:
+        whole = [among(h, i, m, n, flags) for m in MASKS]
+        out = among(h, i, CORE, core_n, core_flags) & reduce(lambda a, b: a | b, whole)
+        for m in short:
+            out = out | among(h, i, m, n, flags)
+        return out
+
+    return test
 
 
 def _best(same: Column) -> Column:
@@ -122,9 +128,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     out = None
     for k in range(blocks):
         part = table.filter(F.col("block") == k).drop("block")
-        bits, filled = _filter_bits(part)
+        may_hit = _may_hit(part, masks[len(MASKS):])
         near = text.withColumn("p", let(F.col("h"), lambda h: F.filter(
-            F.sequence(F.lit(0), F.size(h) - 1), lambda i: _may_hit(h, i, masks, bits, filled))))
+            F.sequence(F.lit(0), F.size(h) - 1), lambda i: may_hit(h, i))))
         near = near.filter(F.size("p") > 0).withColumn("p", F.explode("p"))
         windows = near.select("doc", "doc_key", "h", "p", F.explode(let(F.struct("h", "p"), lambda x: F.array(
             *[F.when(F.size(x["h"]) - x["p"] >= len(m), _window(x["h"], x["p"], m)) for m in masks]))).alias("w"))
