@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.llm import (bpe, decontaminate, html_extract, pii, quality_rules, rules_classifier, secrets,
-                         sharding)
+from tsforge.llm import (bpe, decontaminate, html_extract, jaccard_join, lm_score, pii, quality_rules,
+                         rules_classifier, secrets, sharding)
 from tsforge.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,17 @@ def op1(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     out = html_extract.extract(pages)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op5_backoff_automaton")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = lm_score.train(docs, id_mod(F.col("doc_id"), 10) != 0)
+    out = lm_score.score(docs, model, counts)
+    return out.select("doc_id", (id_mod(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens", "n_known",
+                      F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query("op2_minhash_forest")
+def op2(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
