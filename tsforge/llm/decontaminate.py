@@ -9,9 +9,9 @@ text overlaps the item if some stretch of ``STRETCH`` item words (or the whole
 item, if shorter) has at least ``SAME_PCT`` percent equal words.
 
 The benchmark's hashes are taken in blocks of at most ``MAX_SEEDS`` (they are
-counted first); a larger benchmark takes more passes, not more memory.  A table
-of flags passes over nearly all windows where they are made; the others are
-looked up in the block's broadcast table and compared at once.  The texts
+counted first); a larger benchmark takes more passes, not more memory.  A bit
+set of the block passes over nearly all windows where they are made; the others
+are looked up in the block's broadcast table and compared at once.  The texts
 are never shuffled, and only those that overlap leave the stage.
 
 Defined results: null, empty and wordless texts and items overlap nothing;
@@ -40,8 +40,8 @@ SAME_PCT = 80
 MIN_ITEM = 5
 MAX_SEEDS = 500_000
 BETWEEN = r"""[\x20\x09-\x0D.,;:!?"'()\[\]{}<>|*#$%&_-]+"""
-#: Flags of the filter for each seed, and the least and most of them all.
-FLAGS_A_SEED, LEAST_FLAGS, MOST_FLAGS = 32, 1 << 16, 1 << 23
+#: Bits of the filter for each seed, and the least and most of them all (8 MB).
+BITS_A_SEED, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 26
 
 
 def tokens(text: Column) -> Column:
@@ -67,34 +67,38 @@ def seeds(h: Column, masks: list[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def _flags(seeds_of: DataFrame) -> tuple[int, Column]:
-    """Which hashes modulo n are among the seeds: (n, one byte for each); MOST_FLAGS bytes at most."""
-    n, count = LEAST_FLAGS, seeds_of.count()
-    while n < min(FLAGS_A_SEED * count, MOST_FLAGS):
+def _bits(seeds_of: DataFrame) -> tuple[int, DataFrame]:
+    """A bit set of the seeds' hashes modulo n: (n, one row with the n bits as an array of longs)."""
+    n, count = LEAST_BITS, seeds_of.count()
+    while n < min(BITS_A_SEED * count, MOST_BITS):
         n *= 2
-    flags = bytearray(n)
-    for r in seeds_of.select(F.pmod("seed", F.lit(n)).cast("int").alias("at")).distinct().collect():  # n rows at most
-        flags[r["at"]] = 1
-    return n, F.lit(bytes(flags))
+    at = F.pmod("seed", F.lit(n))
+    words = seeds_of.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy(
+        "word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"))
+    every = seeds_of.sparkSession.range(n // 64).join(words, F.col("id") == F.col("word"), "left")
+    return n, every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("b")))),
+                                    lambda x: x["b"]).alias("bits"))  # MOST_BITS at most
 
 
 def _may_hit(part: DataFrame, short: list[str]):
-    """A test (h, i) whether a window that begins at ``i`` can be among the
-    block's seeds (at the text's end it also holds for some that can't)."""
-    n, flags = _flags(part)
-    core_n, core_flags = _flags(part.filter(F.size("words") >= SPAN).select(_window(F.col("words"), F.col("ip"), CORE).alias("seed")))
+    """Columns that hold the bit sets, and a test (h, i) whether a window that
+    begins at ``i`` can be among the block's seeds (at the text's end it also
+    holds for some that can't)."""
+    n, bits = _bits(part)
+    core_n, core_bits = _bits(part.filter(F.size("words") >= SPAN).select(_window(F.col("words"), F.col("ip"), CORE).alias("seed")))
 
-    def among(h: Column, i: Column, mask: str, n: int, flags: Column) -> Column:
-        return F.substring(flags, F.pmod(_window(h, i, mask), F.lit(n)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+    def among(h: Column, i: Column, mask: str, n: int, bits: str) -> Column:
+        return let(F.pmod(_window(h, i, mask), F.lit(n)), lambda at: F.getbit(
+            F.get(F.col(bits), F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1)
 
     def test(h: Column, i: Column) -> Column:
-        whole = [among(h, i, m, n, flags) for m in MASKS]
-        out = among(h, i, CORE, core_n, core_flags) & reduce(lambda a, b: a | b, whole)
+        whole = [among(h, i, m, n, "_bits") for m in MASKS]
+        out = among(h, i, CORE, core_n, "_core") & reduce(lambda a, b: a | b, whole)
         for m in short:
-            out = out | among(h, i, m, n, flags)
+            out = out | among(h, i, m, n, "_bits")
         return out
 
-    return test
+    return {"_bits": bits.scalar(), "_core": core_bits.scalar()}, test
 
 
 def _best(same: Column) -> Column:
@@ -128,10 +132,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     out = None
     for k in range(blocks):
         part = table.filter(F.col("block") == k).drop("block")
-        may_hit = _may_hit(part, masks[len(MASKS):])
-        near = text.withColumn("p", let(F.col("h"), lambda h: F.filter(
+        sets, may_hit = _may_hit(part, masks[len(MASKS):])
+        near = text.withColumns(sets).withColumn("p", let(F.col("h"), lambda h: F.filter(
             F.sequence(F.lit(0), F.size(h) - 1), lambda i: may_hit(h, i))))
-        near = near.filter(F.size("p") > 0).withColumn("p", F.explode("p"))
+        near = near.drop(*sets).filter(F.size("p") > 0).withColumn("p", F.explode("p"))
         windows = near.select("doc", "doc_key", "h", "p", F.explode(let(F.struct("h", "p"), lambda x: F.array(
             *[F.when(F.size(x["h"]) - x["p"] >= len(m), _window(x["h"], x["p"], m)) for m in masks]))).alias("w"))
         hit = windows.join(F.broadcast(part), F.col("w") == F.col("seed"))  # max_seeds rows at most
