@@ -65,3 +65,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows up to which :func:`small_side` broadcasts (keys of some tens of bytes).
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows; a larger one
+    is left to the planner's shuffled join.  Give it written tables: it counts."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

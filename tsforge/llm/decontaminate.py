@@ -28,7 +28,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import let, text_key
+from tsforge.llm.common import fresh, let, small_side, text_key, written
 
 #: Fixed masks of weight 6: positions marked 1 are hashed, the others ignored.
 MASKS = ("110101011", "111001011")
@@ -156,5 +156,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that overlap no item, with their own columns."""
-    bad = contaminated(docs, benchmark, text_col, **options)
-    return docs.join(bad, text_key(docs[text_col]) == bad["doc_key"], "left_anti")
+    (key,) = fresh(docs.columns, "_doc_key")
+    bad = written(contaminated(docs, benchmark, text_col, **options), "contaminated").withColumnRenamed("doc_key", key)
+    return docs.join(small_side(bad), text_key(docs[text_col]) == F.col(key), "left_anti")

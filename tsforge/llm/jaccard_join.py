@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import fresh, text_key, written
+from tsforge.llm.common import fresh, small_side, text_key, written
 
 WORDS, THRESHOLD_PCT = 5, 80
 TREES, MAX_DEPTH, RECALL = 24, 10, 0.9995
@@ -192,7 +192,7 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["key", "shingles"])
 
     rows = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("t"))
-    once = rows.join(keys.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    once = rows.join(small_side(keys.select("key")), "key", "left_semi").dropDuplicates(["key"])
     return written(once.mapInArrow(make, "key binary, shingles array<long>"), "near-sets")
 
 
@@ -261,6 +261,7 @@ def links(docs: DataFrame, table: DataFrame, text_col: str = "text") -> tuple[Da
     pairs = written(pairs, "near-pairs")
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(
         groups.select("key")).distinct()
+    wanted = written(wanted, "near-wanted")
     sets = _sets(docs, wanted, text_col).join(table.select("key", "copies"), "key")
     a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"), F.col("copies").alias("ca"))
     b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"), F.col("copies").alias("cb"))
@@ -315,8 +316,8 @@ def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # copies: the least id of each text that occurs more than once
     several = table.filter("copies > 1").select(F.col("key").alias("k2"), F.col("id").alias("first"))
     rows = docs.withColumn(key, text_key(F.col(text_col)))
-    rows = rows.join(gone, rows[key] == gone["k"], "left_anti")
-    rows = rows.join(several, rows[key] == several["k2"], "left")
+    rows = rows.join(small_side(gone), rows[key] == gone["k"], "left_anti")
+    rows = rows.join(small_side(several), rows[key] == several["k2"], "left")
     rows = rows.filter(F.col("k2").isNull() | F.col(id_col).cast("long").eqNullSafe(F.col("first"))).drop("first")
     # equal ids among the copies: number the few rows that are left of them
     single = rows.filter(F.col("k2").isNull()).select(*docs.columns)

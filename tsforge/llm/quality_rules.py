@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import WORD, fresh, let, text_key, words
+from tsforge.llm.common import WORD, fresh, let, small_side, text_key, words, written
 
 MAX_DOCS = 20
 MIN_WORDS = 50
@@ -156,5 +156,9 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
 def accepted(docs: DataFrame, text_col: str = "text", host_col: str = "source",
              max_docs: int = MAX_DOCS) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    (out,) = fresh(docs.columns, "quality")
-    return apply_rules(docs, text_col, host_col, max_docs).filter(F.col(f"{out}.kept")).select(*docs.columns)
+    key, h, k = fresh(docs.columns, "_key", "_lhost", "_ldoc")
+    gone = written(depleted(docs, text_col, host_col, max_docs), "depleted").select(
+        F.col("host").alias(h), F.col("doc").alias(k))
+    good = docs.filter(~let(text_stats(F.col(text_col)), base_failed)).withColumn(key, text_key(F.col(text_col)))
+    same = good[host_col].eqNullSafe(F.col(h)) & (good[key] == F.col(k))
+    return good.join(small_side(gone), same, "left_anti").select(*docs.columns)
