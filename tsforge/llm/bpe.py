@@ -27,7 +27,7 @@ import json
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,7 +39,7 @@ from tsforge.llm.common import fresh, text_key
 LONG_WORD = 8192
 LEAF = 4096
 #: Words that a task remembers at most.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Characters of the texts whose words are learnt together.
 LEARN_CHARS = 1_000_000
 #: Symbols on each side of a join that the first window re-encodes.
@@ -56,16 +56,25 @@ class Codec:
         spec["truncation"] = spec["padding"] = None
         self.tok = Tokenizer.from_str(json.dumps(spec))
         self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        bare = json.loads(json.dumps(spec))
-        bare["model"]["end_of_word_suffix"] = None
-        self.bare = Tokenizer.from_str(json.dumps(bare))
+        self.spec = spec
         self.plain = spec["decoder"] is None
         self.lowers = '{"type": "Lowercase"}' in json.dumps(spec["normalizer"])
-        self.vocabulary = {i: t for t, i in self.tok.get_vocab(with_added_tokens=True).items()}
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.vocabulary = [""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.vocabulary[i] = t
         self.remembered, self.known, self.older = remembered, {}, {}
 
-    def learn(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
-        """The entries of ``words``.  Two generations: words that recur move to
+    @cached_property
+    def bare(self):
+        """The same model without end-of-word marks (for leaves that don't end their pre-token)."""
+        from tokenizers import Tokenizer
+
+        spec = self.spec | {"model": self.spec["model"] | {"end_of_word_suffix": None}}
+        return Tokenizer.from_str(json.dumps(spec))
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of ``words``.  Two generations: words that recur move to
         the younger one, the older one is dropped when the younger is full."""
         if len(self.known) + len(words) > self.remembered // 2:
             self.older, self.known = self.known, {}
@@ -79,14 +88,18 @@ class Codec:
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False)):
-                known[w] = self.entry(e.ids)
+                known[w] = self.packed(e.ids)
         return known
 
-    def entry(self, ids: list[int]) -> tuple[bytes, str]:
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def decoded(self, raw: bytes) -> str:
+        ids = struct.unpack(f"<{len(raw) // 4}I", raw)
         # without a decoder in the file the library's decode() joins the tokens by blanks
-        text = " ".join([self.vocabulary[i] for i in ids]) if self.plain else self.tok.decode(
+        return " ".join(map(self.vocabulary.__getitem__, ids)) if self.plain else self.tok.decode(
             ids, skip_special_tokens=False)
-        return struct.pack(f"<{len(ids)}I", *ids), text
 
     def symbols(self, piece: str, ends: bool) -> list[tuple[int, int]]:
         """(id, end in symbols) of a pre-token's piece; ends: whether the pre-token ends with it."""
@@ -161,12 +174,12 @@ def _plainer(c: Codec, text: str) -> str:
     return _MARKS.sub(r" \1", text.encode().lower().decode())
 
 
-def _encode_words(c: Codec, text: str) -> tuple[bytes, str]:
+def _encode_words(c: Codec, text: str) -> bytes:
     return next(_encode_texts(c, [text]))
 
 
-def _encode_texts(c: Codec, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-    """(ids, decoded) of each text; words are learnt for a few texts at a time."""
+def _encode_texts(c: Codec, texts: list[str]) -> Iterator[bytes]:
+    """The ids of each text; words are learnt for a few texts at a time."""
     at = 0
     while at < len(texts):
         part, size = [], 0
@@ -176,8 +189,7 @@ def _encode_texts(c: Codec, texts: list[str]) -> Iterator[tuple[bytes, str]]:
             at += 1
         known = c.learn(set().union(*part))
         for ws in part:
-            got = [known[w] for w in ws]
-            yield b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])
+            yield b"".join([known[w] for w in ws])
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", long_word: int = LONG_WORD, leaf: int = LEAF,
@@ -192,7 +204,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", long_word: int =
     for n, k in zip(extra, kinds):
         schema = type(schema)([*schema.fields]).add(n, k)
 
-    def results(c: Codec, raw: bytes, decoded: str) -> tuple:
+    def results(c: Codec, raw: bytes) -> tuple:
+        decoded = c.decoded(raw)
         return _digest(raw, decoded) + ((raw, decoded) if ids else ())
 
     # a word this long is rare: the test is a scan of the text, and only its rows take the parallel way
@@ -207,7 +220,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", long_word: int =
         c = codec(path)
         for b in batches:
             texts = [t or "" for t in b.column(text_col).to_pylist()]
-            got = [results(c, *x) for x in _encode_texts(c, texts)]
+            got = [results(c, x) for x in _encode_texts(c, texts)]
             cols = [pa.array([g[k] for g in got], type=_ARROW[kinds[k]]()) for k in range(len(kinds))]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *extra])
 
@@ -259,39 +272,34 @@ def _encode_long(long: DataFrame, path: str, text_col: str, long_word: int, leaf
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
         for pdf in batches:
-            raw, dec = [], []
+            raw, leaf_of = [], []
             for kind, part in zip(pdf["kind"], pdf["part"]):
+                leaf_of.append(part if kind in "le" else "")
                 if kind in "le":
                     raw.append(b"".join(struct.pack("<II", *x) for x in c.symbols(part, kind == "e")))
-                    dec.append(part)
                 elif kind == "w":
-                    r, d = _encode_words(c, part)
-                    raw.append(r), dec.append(d)
+                    raw.append(_encode_words(c, part))
                 else:
-                    found = [c.tok.token_to_id(part)] if kind == "s" else [x for x, _ in c.symbols(part, True)]
-                    r, d = c.entry(found)
-                    raw.append(r), dec.append(d)
-            yield pd.DataFrame({"k": pdf["k"], "i": pdf["i"], "kind": pdf["kind"], "raw": raw, "dec": dec})
+                    raw.append(c.packed([c.tok.token_to_id(part)] if kind == "s" else
+                                        [x for x, _ in c.symbols(part, True)]))
+            yield pd.DataFrame({"k": pdf["k"], "i": pdf["i"], "kind": pdf["kind"], "raw": raw, "leaf": leaf_of})
 
     def tree(pdf: pd.DataFrame) -> pd.DataFrame:
         c = codec(path)
         pdf = pdf.sort_values("i")
-        raw, dec, leaves = [], [], []
-        for kind, r, d in zip(pdf["kind"], pdf["raw"], pdf["dec"]):
-            if kind == "0":
-                continue
+        raw, leaves = [], []
+        for kind, r, x in zip(pdf["kind"], pdf["raw"], pdf["leaf"]):
             if kind in "le":
-                leaves.append((d, list(struct.iter_unpack("<II", r))))
+                leaves.append((x, list(struct.iter_unpack("<II", r))))
                 if kind == "l":
                     continue
-                r, d = c.entry(concatenate(c, leaves))
-                leaves = []
-            raw.append(r), dec.append(d)
-        got = results(c, b"".join(raw), " ".join(x for x in dec if x))
+                r, leaves = c.packed(concatenate(c, leaves)), []
+            raw.append(r)
+        got = results(c, b"".join(raw))
         return pd.DataFrame([(pdf["k"].iloc[0], *got)], columns=["k", *extra])
 
     spread = texts.mapInPandas(parts, "k binary, i int, kind string, part string").repartition("k", "i")
-    leaves = spread.mapInPandas(coded, "k binary, i int, kind string, raw binary, dec string")
+    leaves = spread.mapInPandas(coded, "k binary, i int, kind string, raw binary, leaf string")
     kinds = {3: "long string string", 5: "long string string binary string"}[len(extra)].split()
     whole = leaves.groupBy("k").applyInPandas(
         tree, "k binary, " + ", ".join(f"`{n}` {t}" for n, t in zip(extra, kinds)))
