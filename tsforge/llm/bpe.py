@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -33,30 +34,36 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import fresh, text_key
+from tsforge.llm.common import fresh, slices, text_key
 
 #: Characters of a word from which it is cut into leaves, and symbols of a leaf.
 LONG_WORD = 8192
 LEAF = 4096
 #: Words that a task remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Characters of the texts whose words are learnt together.
 LEARN_CHARS = 1_000_000
 #: Symbols on each side of a join that the first window re-encodes.
 WINDOW = 64
 
 
+def _specification(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f) | {"truncation": None, "padding": None}
+
+
 class Codec:
     """The tokenizer of a file, its model without end-of-word marks, and remembered words."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
-        spec = json.loads(open(path, encoding="utf-8").read())
-        spec["truncation"] = spec["padding"] = None
+        # tasks are the parallel unit: threads of the library would add memory, not speed
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        spec = _specification(path)
         self.tok = Tokenizer.from_str(json.dumps(spec))
         self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.spec = spec
+        self.path = path
         self.plain = spec["decoder"] is None
         self.lowers = '{"type": "Lowercase"}' in json.dumps(spec["normalizer"])
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
@@ -70,7 +77,8 @@ class Codec:
         """The same model without end-of-word marks (for leaves that don't end their pre-token)."""
         from tokenizers import Tokenizer
 
-        spec = self.spec | {"model": self.spec["model"] | {"end_of_word_suffix": None}}
+        spec = _specification(self.path)
+        spec["model"]["end_of_word_suffix"] = None
         return Tokenizer.from_str(json.dumps(spec))
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
@@ -218,7 +226,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", long_word: int =
         import pyarrow as pa
 
         c = codec(path)
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             got = [results(c, x) for x in _encode_texts(c, texts)]
             cols = [pa.array([g[k] for g in got], type=_ARROW[kinds[k]]()) for k in range(len(kinds))]

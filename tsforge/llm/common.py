@@ -75,3 +75,10 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; a larger one
     is left to the planner's shuffled join.  Give it written tables: it counts."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def slices(batches, rows: int = 500):
+    """Arrow batches of at most ``rows`` rows: long texts become Python strings a few at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

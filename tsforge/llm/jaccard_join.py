@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import fresh, small_side, text_key, written
+from tsforge.llm.common import fresh, slices, small_side, text_key, written
 
 WORDS, THRESHOLD_PCT = 5, 80
 TREES, MAX_DEPTH, RECALL = 24, 10, 0.9995
@@ -148,7 +148,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", d:
     def sign(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             nodes = _trie_nodes(b.column(2).to_pylist(), d)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.list_(pa.int64()))],
                                              names=["key", "id", "nodes"])
@@ -185,7 +185,7 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
     def make(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             s, counts = shingles(b.column(1).to_pylist())
             ends = np.cumsum(counts)
             sets = [np.unique(s[e - n : e]).view(np.int64) for n, e in zip(counts, ends)]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsforge.llm.common import fresh
+from tsforge.llm.common import fresh, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Log odds from which the classifier adds a span (a probability of 0.8).
@@ -267,7 +267,7 @@ def find(docs: DataFrame, weights: list[float], text_col: str = "text", redact:
 
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                                    ("base", pa.bool_())]))
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(text_col).to_pylist()
             spans = [choose(t or "", weights) for t in texts]
             cols = dict(zip(b.schema.names, b.columns))
