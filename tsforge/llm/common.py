@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsforge.session import ensure_checkpoint_dir
+
 #: A word is a run of characters other than the blank and TAB..CR.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,19 +52,11 @@ def fresh(cols: list[str], *names: str) -> list[str]:
     return out
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a session that names none (tests) must set one."""
-    at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return at
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives
     lost executors, is read column by column."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
