@@ -31,14 +31,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) fall back to a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``.  Where it is unset a single-machine
+    session (tests, bench) gets a fresh scratch folder; on a cluster that would
+    be a different disk on each machine, so there it is an error."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tsforge-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
 
 
