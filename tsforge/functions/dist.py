@@ -26,15 +26,23 @@ MACKINNON_CRIT_C = {
 }
 
 
+# The same without constant ('n'), N = 1.
+MACKINNON_N = {1: (-1.04, -19.04, math.inf, (0.6344, 1.2378, 0.032496), (0.4797, 0.93557, -0.06999, 0.033066))}
+MACKINNON_CRIT_N = {
+    1: {"1%": (-2.56574, -2.2358, -3.627, 0.0), "5%": (-1.94100, -0.2686, -3.365, 31.223),
+        "10%": (-1.61682, 0.2656, -2.714, 25.364)},
+}
+
+
 def norm_cdf(x: float) -> float:
     return 0.5 * math.erfc(-x / math.sqrt(2.0))
 
 
-def mackinnon_p(stat: float, n_vars: int = 1) -> float:
-    """Asymptotic p-value of a Dickey-Fuller type t statistic (constant case)."""
+def mackinnon_p(stat: float, n_vars: int = 1, case: str = "c") -> float:
+    """Asymptotic p-value of a Dickey-Fuller type t statistic (case 'c': constant, 'n': none)."""
     if stat is None or not math.isfinite(stat):
         return float("nan")
-    star, lo, hi, small, large = MACKINNON_C[n_vars]
+    star, lo, hi, small, large = (MACKINNON_C if case == "c" else MACKINNON_N)[n_vars]
     if stat > hi:
         return 1.0
     if stat < lo:
@@ -43,9 +51,10 @@ def mackinnon_p(stat: float, n_vars: int = 1) -> float:
     return norm_cdf(sum(c * stat**i for i, c in enumerate(coef)))
 
 
-def mackinnon_crit(nobs: int, n_vars: int = 1) -> dict[str, float]:
+def mackinnon_crit(nobs: int, n_vars: int = 1, case: str = "c") -> dict[str, float]:
     t = float(nobs)
-    return {k: b[0] + b[1] / t + b[2] / t**2 + b[3] / t**3 for k, b in MACKINNON_CRIT_C[n_vars].items()}
+    tables = MACKINNON_CRIT_C if case == "c" else MACKINNON_CRIT_N
+    return {k: b[0] + b[1] / t + b[2] / t**2 + b[3] / t**3 for k, b in tables[n_vars].items()}
 
 
 def _betacf(a: float, b: float, x: float) -> float:

@@ -38,11 +38,14 @@ def regularize(
     freq: str = "D",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     span_keys=("series_id",),
+    duplicates: str = "error",
 ) -> DataFrame:
     """Put every ``(series_id, var)`` on the grid ``t0 + k*step`` (t0/t1 per ``span_keys``).
 
     Input: long frame ``series_id, var, ts, value`` (``pos`` ignored).
-    Output: canonical long frame with dense ``pos`` = k.
+    Output: canonical long frame with dense ``pos`` = k.  Several rows of a
+    ``(series_id, var)`` at one timestamp raise when the plan runs, or are
+    combined by ``duplicates`` = "mean", "sum", "min" or "max".
     """
     step = step_micros(freq)
     span_keys = list(span_keys)
@@ -74,6 +77,15 @@ def regularize(
         .filter(d % F.lit(step) == 0)
         .select(*KEYS, (d / F.lit(step)).cast("bigint").alias("pos"), F.col("value").cast("double").alias("value"))
     )
+    if duplicates not in ("error", "mean", "sum", "min", "max"):
+        raise ValueError("duplicates must be error, mean, sum, min or max")
+    if duplicates == "error":
+        one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("duplicate timestamps in a series; pass duplicates=")).cast(
+            "double")).otherwise(F.max("value"))
+    else:
+        one = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}[duplicates]("value")
+    # grouped by the join's own keys: no further exchange
+    data = data.groupBy(*KEYS, "pos").agg(one.alias("value"))
     return grid.join(data, on=[*KEYS, "pos"], how="left").select(*LONG_COLUMNS)
 
 
@@ -131,13 +143,14 @@ def _label_of_index(idx, rule: str):
 _AGGS = {0: "mean", 1: "sum", 2: "max", 3: "min", "mean": "mean", "sum": "sum", "max": "max", "min": "min"}
 
 
-def downsample(df: DataFrame, rule: str = "D", method=0, exact: bool = True) -> DataFrame:
+def downsample(df: DataFrame, rule: str = "D", method=0, exact: bool = False) -> DataFrame:
     """Aggregate into calendar buckets; one output row per bucket between the
     first and last bucket of each ``(series_id, var)``.
 
-    ``method``: 0/mean, 1/sum (empty bucket = 0), 2/max, 3/min.  With
-    ``exact`` sums accumulate in DECIMAL(38,10), so bucket sums and means do
-    not depend on partitioning or summation order (values must stay < 1e28).
+    ``method``: 0/mean, 1/sum (empty bucket = 0), 2/max, 3/min.  Sums are
+    double sums.  With ``exact`` they accumulate in DECIMAL(38,10) and so don't
+    depend on the summation order; that is for values of at most ten decimals
+    below 1e28 only (prices and the like): others lose digits or raise.
     """
     if method not in _AGGS:
         raise ValueError(f"unsupported downsample method {method!r}")

@@ -118,22 +118,26 @@ def auto_choice(df: DataFrame, pairs: DataFrame, imp: DataFrame | None = None) -
 
 def reduce_pca(df: DataFrame, max_components: int = 3) -> DataFrame:
     """Replace the variables by the first ``min(max_components, k)`` PCs."""
-    comps, loads = relations.pca(df)
+    _, loads = relations.pca(df)
     return relations.pca_scores(df, loads, n_components=max_components)
 
 
-def handle(df: DataFrame, method: str = "auto", threshold: float = 0.7, how: str = "average") -> DataFrame:
-    """J16 dispatcher (single-method form): 'pca' | 'drop' | 'combine' | 'select'."""
+def handle(df: DataFrame, method: str = "auto", threshold: float = 0.7, how: str = "average", n_components: int = 3,
+           imp: DataFrame | None = None) -> DataFrame:
+    """J16 dispatcher (single-method form): 'pca' | 'drop' | 'combine' |
+    'select'.  A series without strong pairs is returned unchanged."""
     corr = relations.correlation(df)
     pairs = relations.strong_pairs(corr, threshold)
     if method == "pca":
-        return reduce_pca(df)
+        strong = pairs.select("series_id").distinct()
+        kept = df.join(strong, on="series_id", how="left_anti")
+        return reduce_pca(df.join(strong, on="series_id", how="left_semi"), n_components).select(*kept.columns).unionByName(kept)
     if method == "drop":
         return drop(df, corr, pairs)[0]
     if method == "combine":
         return combine(df, pairs, how)
     if method == "select":
-        return select(df, pairs)[0]
+        return select(df, pairs, imp)[0]
     raise ValueError("method must be one of pca, drop, combine, select (auto: see auto_choice)")
 
 

@@ -152,15 +152,27 @@ def decompose(df: DataFrame, period: int = 7, chunk_rows: int = DEFAULT_CHUNK_RO
 
 
 def seasonal(df: DataFrame, period: int = 7, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Decompose the linearly filled series, then fill only the NULL points
-    with trend (linearly filled) + seasonal + residual (linearly filled)."""
+    """Fill the NULL points with trend + seasonal + residual.
+
+    Only observed points speak: the trend is the centred mean of windows without
+    a gap, interpolated between them; the seasonal part the phase means of
+    observed less trend; the residual is NULL where the value is, and
+    interpolated from its observed neighbours.  Series of fewer than two periods,
+    and points for which no window or phase was observed, are filled linearly."""
     cols = df.columns
     d = linear(df.withColumn("_orig", F.col("value")), chunk_rows=chunk_rows)
-    dec = decompose(d, period, chunk_rows)
-    dec = linear(dec, "trend", chunk_rows)
-    dec = linear(dec, "resid", chunk_rows)
-    recon = F.col("trend") + F.col("seasonal") + F.col("resid")
-    return dec.withColumn("value", F.coalesce(F.col("_orig"), recon, F.col("value"))).select(*cols)
+    dec = decompose(d.withColumn("_line", F.col("value")).withColumn("value", F.col("_orig")), period, chunk_rows)
+    dec = linear(dec.drop("seasonal", "resid"), "trend", chunk_rows)
+    dec = dec.withColumn("_phase", (F.col("pos") % period).cast("int"))
+    phase = dec.groupBy(*KEYS, "_phase").agg(F.avg(F.col("_orig") - F.col("trend")).alias("_pm"))
+    centre = phase.groupBy(*KEYS).agg(F.avg("_pm").alias("_pmm"))
+    seas = phase.join(centre, on=KEYS).select(*KEYS, "_phase", (F.col("_pm") - F.col("_pmm")).alias("seasonal"))
+    dec = dec.join(seas, on=[*KEYS, "_phase"], how="left")
+    dec = linear(dec.withColumn("resid", F.col("_orig") - F.col("trend") - F.col("seasonal")), "resid", chunk_rows)
+    n = dec.groupBy(*KEYS).agg((F.max("pos") + 1).alias("_n"))
+    dec = dec.join(n, on=KEYS)
+    recon = F.when(F.col("_n") >= 2 * period, F.col("trend") + F.col("seasonal") + F.col("resid"))
+    return dec.withColumn("value", F.coalesce(F.col("_orig"), recon, F.col("_line"))).select(*cols)
 
 
 def spline(df: DataFrame, degree: int = 3, chunk_rows: int = DEFAULT_CHUNK_ROWS, extrapolate: bool = True,

@@ -103,13 +103,18 @@ def strong_pairs(corr: DataFrame, threshold: float = 0.7) -> DataFrame:
     return up.withColumn("pair_no", F.row_number().over(w).cast("bigint"))
 
 
+def require(df: DataFrame, *names: str) -> None:
+    """Raises if one of the variables doesn't occur."""
+    missing = sorted(set(names) - set(variables(df.filter(F.col("var").isin(*names)))))
+    if missing:
+        raise ValueError(f"unknown variable(s): {missing}")
+
+
 def ccf(df: DataFrame, var1: str, var2: str, nlags: int = 20, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Cross-correlation corr(x_{t+k}, y_t) for k = 0..nlags, adjusted
     covariance (divisor n-k) over population standard deviations; plus the
     ±1.96/√n band (J6) and a significance flag."""
-    present = set(variables(df.filter(F.col("var").isin(var1, var2))))
-    if {var1, var2} - present:
-        raise ValueError(f"unknown variable(s): {sorted({var1, var2} - present)}")
+    require(df, var1, var2)
     w = wide(df.filter(F.col("var").isin(var1, var2)), [var1, var2] if var1 != var2 else [var1])
     y_col = var2 if var1 != var2 else var1
     st = w.groupBy("series_id").agg(

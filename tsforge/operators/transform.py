@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.operators import scan
+from tsforge.operators import relations, scan
+from tsforge.plans.materialize import cut
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 # Fixed value: shift used by the reference when a log/Box-Cox input has a value <= 0.
@@ -76,11 +77,21 @@ def boxcox_lambda(df: DataFrame, grid=None, refine: int = 2) -> DataFrame:
     """ML estimate of the Box-Cox lambda per series: the profile log-likelihood
     ``(l-1)·Σln x - n/2·ln var_pop(y_l)`` is evaluated for a grid of lambdas in
     one aggregate per pass; ``refine`` further passes zoom in around the best.
-    Returns ``series_id, var, lmbda, llf``."""
+    Without a given grid the default one, [-2, 2], is moved on for as long as
+    some series has its best lambda at an edge.  Returns ``series_id, var,
+    lmbda, llf``."""
+    moves = grid is None
     grid = list(grid) if grid is not None else [round(-2 + 0.1 * i, 10) for i in range(41)]
     shifted = _with_min(df).withColumn("_x", _pos_shift()).filter(F.col("_x").isNotNull())
     step = grid[1] - grid[0] if len(grid) > 1 else 0.1
     best = _boxcox_pass(shifted, grid)
+    lo, hi = grid[0], grid[-1]
+    while moves:
+        best = cut(best)  # one row per series
+        if best.filter((F.col("lmbda") <= lo) | (F.col("lmbda") >= hi)).isEmpty() or hi > MAX_ABS_LAMBDA:
+            break
+        # re-centre on each series' best; beyond the edge only the outward half can win
+        best, lo, hi = _boxcox_pass(shifted, grid, centre=best), lo - 2, hi + 2
     for _ in range(refine):
         # next grid: 21 points over [best - step, best + step] per series
         step = step / 10.0
@@ -89,6 +100,10 @@ def boxcox_lambda(df: DataFrame, grid=None, refine: int = 2) -> DataFrame:
     return best
 
 
+#: Where the search for lambda gives up (a series of nearly equal values has its maximum anywhere).
+MAX_ABS_LAMBDA = 64
+
+
 def _boxcox_pass(shifted: DataFrame, lams, centre: DataFrame | None = None) -> DataFrame:
     if centre is None:
         aggs = [F.sum(F.ln("_x")).alias("_sl"), F.count(F.lit(1)).alias("_n")]
@@ -136,7 +151,13 @@ def boxcox(df: DataFrame, lmbda: DataFrame | float | None = None, grid=None, ref
 STEPS = ("diff", "seasonal_diff", "log", "boxcox", "sqrt")
 
 
-def apply(df: DataFrame, method: str, chunk_rows: int = DEFAULT_CHUNK_ROWS, **kw) -> DataFrame:
+def apply(df: DataFrame, method: str, chunk_rows: int = DEFAULT_CHUNK_ROWS, columns: list[str] | None = None,
+          **kw) -> DataFrame:
+    """One transformation; with ``columns`` (I6) of these variables only, the others stay as they are."""
+    if columns is not None:
+        relations.require(df, *columns)
+        rest = df.filter(~F.col("var").isin(*columns))
+        return apply(df.filter(F.col("var").isin(*columns)), method, chunk_rows, **kw).unionByName(rest)
     if method == "diff":
         return diff(df, kw.get("order", 1), chunk_rows)
     if method == "seasonal_diff":

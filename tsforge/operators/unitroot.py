@@ -51,6 +51,8 @@ def adf(
     if autolag not in ("AIC", "BIC", "aic", "bic", None):
         raise ValueError("autolag must be 'AIC', 'BIC' or None")
     ntrend = 1 if regression == "c" else 0
+    # residuals of a regression with constant (n_vars = 2) use the constant case's tables
+    table = "n" if regression == "n" and n_vars == 1 else "c"
     st = df.groupBy(*KEYS).agg(F.count("value").alias("_n"), F.avg("value").alias("_mu"))
     n_max = st.agg(F.max("_n")).first()[0] or 0
     P = maxlag if maxlag is not None else max(default_maxlag(int(n_max), ntrend), 0)
@@ -129,8 +131,8 @@ def adf(
         ix = ntrend  # position of x_{t-1} in cols
         se = math.sqrt(s2 * inv[ix, ix]) if s2 * inv[ix, ix] > 0 else np.nan
         stat = beta[ix] / se if se and np.isfinite(se) else np.nan
-        p = dist.mackinnon_p(stat, crit_vars)
-        cv = dist.mackinnon_crit(nob, crit_vars)
+        p = dist.mackinnon_p(stat, crit_vars, table)
+        cv = dist.mackinnon_crit(nob, crit_vars, table)
         out.update(statistic=stat, p_value=p, used_lag=best, nobs=nob, icbest=icbest,
                    crit_1=cv["1%"], crit_5=cv["5%"], crit_10=cv["10%"],
                    stationary=bool(p <= alpha) if np.isfinite(p) else None)
@@ -183,6 +185,7 @@ def engle_granger(df: DataFrame, y: str, x: str, alpha: float = 0.05, autolag: s
     """Cointegration of ``y`` and ``x`` (same series_id): OLS residual, ADF
     without constant (AIC by default), two-variable MacKinnon p; cointegrated
     iff p < alpha."""
+    relations.require(df, y, x)
     w = relations.wide(df.filter(F.col("var").isin(y, x)), [x, y]).dropna(subset=[x, y])
     co = w.groupBy("series_id").agg(F.regr_slope(y, x).alias("_b"), F.regr_intercept(y, x).alias("_a"))
     r = w.join(co, on="series_id").select(
@@ -200,6 +203,7 @@ def granger(df: DataFrame, dependent: str, independent: str, maxlag: int = 4, al
     """Does ``independent`` help predict ``dependent``?  SSR F-test per
     lag order 1..maxlag (each order on its own sample, starting at row L)."""
     M = int(maxlag)
+    relations.require(df, dependent, independent)
     w = relations.wide(df.filter(F.col("var").isin(dependent, independent)), [dependent, independent])
     d = w.select("series_id", F.lit("granger").alias("var"), "pos", F.col(dependent).alias("_y"),
                  F.col(independent).alias("_x"))
@@ -263,18 +267,29 @@ def stationarity_verdict(adf_res: DataFrame, kpss_res: DataFrame, alpha: float =
                     verdict_expr(F.col("adf_p"), F.col("kpss_p"), alpha).alias("conclusion"))
 
 
-# Johansen 95 % critical values (det_order 0), indexed by k - r = 1..4.
-JOHANSEN_TRACE_95 = (3.8415, 15.4943, 29.7961, 47.8545)
-JOHANSEN_MAXEIG_95 = (3.8415, 14.2639, 21.1314, 27.5858)
+# Johansen critical values (det_order 0) at 90, 95 and 99 %, for k - r = 1..12.
+JOHANSEN_TRACE = (
+    (2.7055, 3.8415, 6.6349), (13.4294, 15.4943, 19.9349), (27.0669, 29.7961, 35.4628), (44.4929, 47.8545, 54.6815),
+    (65.8202, 69.8189, 77.8202), (91.1090, 95.7542, 104.9637), (120.3673, 125.6185, 135.9825),
+    (153.6341, 159.5290, 171.0905), (190.8714, 197.3772, 210.0366), (232.1030, 239.2468, 253.2526),
+    (277.3740, 285.1402, 300.2821), (326.5354, 334.9795, 351.2150),
+)
+JOHANSEN_MAXEIG = (
+    (2.7055, 3.8415, 6.6349), (12.2971, 14.2639, 18.5200), (18.8928, 21.1314, 25.8650), (25.1236, 27.5858, 32.7172),
+    (31.2379, 33.8777, 39.3693), (37.2786, 40.0763, 45.8662), (43.2947, 46.2299, 52.3069), (49.2855, 52.3622, 58.6634),
+    (55.2412, 58.4332, 64.9960), (61.2041, 64.5040, 71.2525), (67.1307, 70.5392, 77.4877), (73.0563, 76.5734, 83.7105),
+)
 
-JOHANSEN_SCHEMA = ("series_id string, r long, eigenvalue double, trace_stat double, trace_crit_95 double, "
-                   "max_eig_stat double, max_eig_crit_95 double, rank long")
+JOHANSEN_SCHEMA = ("series_id string, r long, eigenvalue double, trace_stat double, trace_crit_90 double, "
+                   "trace_crit_95 double, trace_crit_99 double, max_eig_stat double, max_eig_crit_90 double, "
+                   "max_eig_crit_95 double, max_eig_crit_99 double, rank long")
 
 
 def johansen(df: DataFrame, vars_: list[str] | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Johansen trace / max-eigenvalue statistics (constant, one lagged
     difference) for the listed variables of each series; ``rank`` from the
-    sequential 95 % trace test.  One Gram pass of
+    sequential 95 % trace test.  Beyond the tables (k - r > 12) the critical
+    values are NULL, and so is ``rank`` if the test needs one of them.  One Gram pass of
     ``[1, Δx_t, Δx_{t-1}, x_{t-1}]``; the k×k eigenproblem per series."""
     vars_ = vars_ or relations.variables(df)
     k = len(vars_)
@@ -315,20 +330,22 @@ def johansen(df: DataFrame, vars_: list[str] | None = None, chunk_rows: int = DE
         sig = s0k.T @ np.linalg.pinv(s00) @ s0k
         lam = np.sort(np.real(np.linalg.eigvals(np.linalg.pinv(skk) @ sig)))[::-1]
         lam = np.clip(lam, 0.0, 1.0 - 1e-15)
-        rows, rank = [], None
+        rows, rank, unknown = [], None, False
+        missing = (np.nan,) * 3
         for r in range(k):
             trace = -n * np.sum(np.log(1.0 - lam[r:]))
             maxe = -n * np.log(1.0 - lam[r])
             kr = k - r
-            tc = JOHANSEN_TRACE_95[kr - 1] if kr <= 4 else np.nan
-            mc = JOHANSEN_MAXEIG_95[kr - 1] if kr <= 4 else np.nan
-            if rank is None and not (trace > tc):
+            tc = JOHANSEN_TRACE[kr - 1] if kr <= len(JOHANSEN_TRACE) else missing
+            mc = JOHANSEN_MAXEIG[kr - 1] if kr <= len(JOHANSEN_MAXEIG) else missing
+            unknown = unknown or (rank is None and np.isnan(tc[1]))
+            if rank is None and not unknown and trace <= tc[1]:
                 rank = r
-            rows.append([pdf["series_id"].iloc[0], r, lam[r], trace, tc, maxe, mc])
-        rank = k if rank is None else rank
-        out = pd.DataFrame(rows, columns=["series_id", "r", "eigenvalue", "trace_stat", "trace_crit_95",
-                                          "max_eig_stat", "max_eig_crit_95"])
-        out["rank"] = rank
+            rows.append([pdf["series_id"].iloc[0], r, lam[r], trace, *tc, maxe, *mc])
+        out = pd.DataFrame(rows, columns=["series_id", "r", "eigenvalue", "trace_stat", "trace_crit_90", "trace_crit_95",
+                                          "trace_crit_99", "max_eig_stat", "max_eig_crit_90", "max_eig_crit_95",
+                                          "max_eig_crit_99"])
+        out["rank"] = pd.array([None if unknown else k if rank is None else rank] * len(out), dtype="Int64")
         return out
 
     return g.select("series_id", "gram").groupBy("series_id").applyInPandas(solve, JOHANSEN_SCHEMA)

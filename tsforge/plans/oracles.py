@@ -827,13 +827,13 @@ _F7 = W(frame="ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING")
 ORACLES["fill_seasonal"] = f"""WITH {EV_GRID},
 a AS (SELECT *, value AS orig FROM ev_g),
 {linfill('a', 'l')},
-tr AS (SELECT *, CASE WHEN count(value) OVER {_F7} = 7 THEN avg(value) OVER {_F7} END AS trend FROM l),
-ph AS (SELECT series_id, var, pos % 7 AS phase, avg(value - trend) AS pm FROM tr GROUP BY ALL),
+tr AS (SELECT *, CASE WHEN count(orig) OVER {_F7} = 7 THEN avg(orig) OVER {_F7} END AS trend FROM l),
+{linfill('tr', 't1', 'trend')},
+ph AS (SELECT series_id, var, pos % 7 AS phase, avg(orig - trend) AS pm FROM t1 GROUP BY ALL),
 sz AS (SELECT series_id, var, phase, pm - avg(pm) OVER (PARTITION BY series_id, var) AS seasonal FROM ph),
-dc AS (SELECT tr.*, sz.seasonal, tr.value - tr.trend - sz.seasonal AS resid
-       FROM tr JOIN sz ON sz.series_id = tr.series_id AND sz.var = tr.var AND sz.phase = tr.pos % 7),
-{linfill('dc', 't1', 'trend')},
-{linfill('t1', 't2', 'resid')},
+dc AS (SELECT t1.*, sz.seasonal, t1.orig - t1.trend - sz.seasonal AS resid
+       FROM t1 JOIN sz ON sz.series_id = t1.series_id AND sz.var = t1.var AND sz.phase = t1.pos % 7),
+{linfill('dc', 't2', 'resid')},
 o AS (SELECT series_id, var, ts, pos, COALESCE(orig, trend + seasonal + resid, value) AS value FROM t2)
 {sel_long('o')}"""
 

@@ -40,5 +40,6 @@ def analyze(df: DataFrame, ccf_pair: tuple[str, str] | None = None, granger_pair
         handled = collinear.handle(d, method, threshold)
     out["handled"] = handled
     out["effect"] = collinear.effect(corr, relations.correlation(handled))
-    out["processing_log"] = processing_log(method, f"threshold={threshold}", comps, n_components=3)
+    names = handled.select("series_id", "var").distinct()
+    out["processing_log"] = processing_log(method, f"threshold={threshold}", comps, n_components=3, variables=names)
     return out

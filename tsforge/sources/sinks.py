@@ -42,9 +42,20 @@ def export_transformed(df: DataFrame, ledger: DataFrame, path: str, fmt: str = "
     (w.option("header", True).csv if fmt == "csv" else w.parquet)(_stem(path) + "_transformations")
 
 
-def processing_log(method: str, details: str, components: DataFrame | None = None, n_components: int | None = None):
-    """A9 log row(s): ``step, method, details, n_components, explained_variance``
-    (PCA: retained components and their summed explained-variance ratio)."""
+def processing_log(method: str, details: str, components: DataFrame | None = None, n_components: int | None = None,
+                   variables: DataFrame | None = None):
+    """A9 log row(s): ``step, method, details, n_components, explained_variance``.
+    PCA takes the ``components`` table (retained components and their summed
+    explained-variance ratio); the other methods the ``variables`` table
+    (``series_id, var``: removed, kept or combined names), which goes into the
+    details, with NULL component columns."""
+    if method != "pca":
+        if variables is None:
+            raise ValueError("variables table (series_id, var) required")
+        return variables.groupBy("series_id").agg(
+            F.lit("correlation_handling").alias("step"), F.lit(method).alias("method"),
+            F.concat_ws("; ", F.lit(details), F.array_join(F.array_sort(F.collect_set("var")), ",")).alias("details"),
+            F.lit(None).cast("double").alias("n_components"), F.lit(None).cast("double").alias("explained_variance"))
     if components is None:
         raise ValueError("components table required (use relations.pca)")
     c = components if n_components is None else components.filter(F.col("pc") <= n_components)
