@@ -43,7 +43,7 @@ MIN_RUN = 20
 MIN_SAMPLE = 8
 THRESHOLD = math.log(1e4)
 SAMPLE_DOCS = 20_000
-#: Pseudo-counts that a context shares evenly among all characters.
+#: Pseudo-counts that a context shares among all characters by the label's character shares.
 PRIOR = 40.0
 _BLOCK = 256
 
@@ -130,11 +130,15 @@ def llr_table(counts: list[tuple[int, str, int]]) -> list[float]:
     k = len(ALPHABET)
     seen = {(lab, p[0], p[1]): n for lab, p, n in counts if len(p) == 2}
     ctx: dict[tuple[int, str], int] = {}
-    for (lab, a, _), n in seen.items():
+    one: dict[tuple[int, str], int] = {}
+    for (lab, a, b), n in seen.items():
         ctx[lab, a] = ctx.get((lab, a), 0) + n
+        one[lab, b] = one.get((lab, b), 0) + n
+    total = {lab: sum(n for (x, _), n in one.items() if x == lab) for lab in (0, 1)}
 
     def logp(lab: int, a: str, b: str) -> float:
-        return math.log((seen.get((lab, a, b), 0) + PRIOR / k) / (ctx.get((lab, a), 0) + PRIOR))
+        share = (one.get((lab, b), 0) + 1) / (total[lab] + k)
+        return math.log((seen.get((lab, a, b), 0) + PRIOR * share) / (ctx.get((lab, a), 0) + PRIOR))
 
     return [logp(1, a, b) - logp(0, a, b) for a in ALPHABET for b in ALPHABET]
 
