@@ -7,7 +7,7 @@ words.  A run is a secret when the log-likelihood ratio of the two exceeds
 ``THRESHOLD`` (the prior odds against a secret).
 
 The models are trained from labelled samples: values in base spans are random
-strings, other runs are ordinary.  Only the counts of (label, character pair)
+strings, other runs without a digit are ordinary.  Only the counts of (label, character pair)
 leave the executors: at most 2 x 68 x 68 rows.  The samples come from a hash
 sample of about ``SAMPLE_DOCS`` documents; the scan reads every whole text.
 
@@ -115,6 +115,7 @@ def pair_counts(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMP
     part = docs.filter(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000)).select(text.alias("t"))
     base = F.concat(*base_spans(F.col("t")).values())
     part = part.select("t", base.alias("b")).select("b", _outside(_runs(F.col("t"), MIN_SAMPLE), F.col("b")).alias("o"))
+    part = part.withColumn("o", F.filter("o", lambda x: ~x["value"].rlike("[0-9]")))
     labelled = F.concat(F.transform("b", lambda x: F.struct(F.lit(1).alias("label"), x["value"].alias("v"))),
                         F.transform("o", lambda x: F.struct(F.lit(0).alias("label"), x["value"].alias("v"))))
     runs = part.select(F.explode(labelled).alias("x")).select("x.*")
