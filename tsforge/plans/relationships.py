@@ -9,6 +9,7 @@ materialised once (lineage cut) because every analysis reads it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tsforge.operators import collinear, relations, unitroot
 from tsforge.plans.materialize import cut
@@ -40,6 +41,15 @@ def analyze(df: DataFrame, ccf_pair: tuple[str, str] | None = None, granger_pair
         handled = collinear.handle(d, method, threshold)
     out["handled"] = handled
     out["effect"] = collinear.effect(corr, relations.correlation(handled))
+    # one log row per series, of the method that it got
     names = handled.select("series_id", "var").distinct()
-    out["processing_log"] = processing_log(method, f"threshold={threshold}", comps, n_components=3, variables=names)
+    details = f"threshold={threshold}"
+    if method in ("auto", "pca"):
+        by_pca = (choice.filter(F.col("method") == "pca") if method == "auto" else pairs).select("series_id").distinct()
+        log = processing_log("pca", details, comps.join(by_pca, on="series_id", how="left_semi"), n_components=3)
+        rest = names.join(by_pca, on="series_id", how="left_anti")
+        rest = processing_log("auto" if method == "auto" else "none", details, variables=rest)
+        out["processing_log"] = log.unionByName(rest)
+    else:
+        out["processing_log"] = processing_log(method, details, variables=names)
     return out
