@@ -99,3 +99,29 @@ def test_transform_subset_and_log_of_drop(spark):
     assert got == {("a", 0): 0, ("a", 1): pytest.approx(1), ("b", 0): 1, ("b", 1): 2}
     log = processing_log("drop", "threshold=0.7", variables=df.select("series_id", "var").distinct()).first()
     assert log["details"] == "threshold=0.7; a,b" and log["n_components"] is None
+
+
+def test_adf_t_stat_lag_choice(spark):
+    """autolag='t-stat' against a plain least-squares walk from the longest lag order down."""
+    from tsforge.operators import unitroot
+
+    rng = np.random.default_rng(0)
+    x = np.zeros(300)
+    for i in range(4, 300):
+        x[i] = 0.5 * x[i - 1] + 0.35 * x[i - 4] + rng.normal()
+    df = spark.createDataFrame([("s", "v", None, i, float(v)) for i, v in enumerate(x)],
+                               "series_id string, var string, ts timestamp_ntz, pos long, value double")
+    got = unitroot.adf(df, autolag="t-stat", maxlag=8).collect()[0]
+    dx = np.diff(x)
+
+    def fit(p, first):
+        t = np.arange(first, len(dx))
+        z = np.column_stack([np.ones(len(t)), x[t], *[dx[t - j] for j in range(1, p + 1)]])
+        b, *_ = np.linalg.lstsq(z, dx[t], rcond=None)
+        e = dx[t] - z @ b
+        return b / np.sqrt(e @ e / (len(t) - z.shape[1]) * np.diag(np.linalg.inv(z.T @ z)))
+
+    lag = next(p for p in range(8, -1, -1) if abs(fit(p, 8)[-1]) >= 1.6448536269514722 or p == 0)
+    assert 0 < lag < 8 and got["used_lag"] == lag
+    assert abs(got["icbest"] - abs(fit(lag, 8)[-1])) < 1e-8
+    assert abs(got["statistic"] - fit(lag, lag)[1]) < 1e-8

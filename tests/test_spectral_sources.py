@@ -35,6 +35,31 @@ def test_dft_matches_numpy(spark, n):
     assert spectral.roundtrip_error(df).collect()[0]["max_abs_error"] < 1e-12
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 97])
+def test_chirp_matches_numpy(spark, n):
+    """Lengths without an even split: several series of a length, and inverse of a complex input."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(2, n)) + 1j * rng.normal(size=(2, n))
+    df = spark.createDataFrame([(f"s{s}", "v", i, float(x[s, i].real), float(x[s, i].imag)) for s in range(2)
+                                for i in range(n)], "series_id string, var string, pos long, value double, im double")
+    for inverse, exp in ((False, np.fft.fft(x)), (True, np.fft.ifft(x))):
+        out = spectral.dft(df, inverse, imag="im", short_max=0, uneven=0).collect()
+        assert len(out) == 2 * n
+        assert all(abs(complex(r["re"], r["im"]) - exp[int(r["series_id"][1]), r["k"]]) < 1e-9 for r in out)
+
+
+def test_short_series_groups_are_bounded(spark, monkeypatch):
+    """Many short series are spread over groups by their points, not by the partition count."""
+    monkeypatch.setattr(spectral, "GROUP_POINTS", 64)
+    n, k = 16, 40
+    df = spark.range(n * k).selectExpr(f"CAST(id DIV {n} AS STRING) AS series_id", "'v' AS var", f"id % {n} AS pos",
+                                       "CAST(id * 7 % 11 AS DOUBLE) AS value")
+    got = {(r["series_id"], r["k"]): complex(r["re"], r["im"]) for r in spectral.dft(df).collect()}
+    for s in range(k):
+        exp = np.fft.fft([float((s * n + i) * 7 % 11) for i in range(n)])
+        assert all(abs(got[str(s), i] - exp[i]) < 1e-9 for i in range(n))
+
+
 def test_positions_irregular(spark):
     import datetime as dt
 
@@ -78,6 +103,13 @@ def test_labelled_tree(spark, tmp_path):
     assert [(r["train_id"], r["val_id"]) for r in leak] == [("train/OK/0001", "val/OK/0001")]
 
 
+def test_labelled_tree_rejects_another_header(spark, tmp_path):
+    write_tree(str(tmp_path))
+    (tmp_path / "val" / "OK" / "0002.csv").write_text("ID,X2,X1\n1,2.0,1.0")
+    with pytest.raises(Exception, match="(?i)header"):
+        labelled.scan_tree(spark, str(tmp_path)).collect()
+
+
 def test_csv_roundtrip(spark, tmp_path):
     from tsforge.operators import calendar
     from tsforge.sources import csv as csvsrc
@@ -132,3 +164,7 @@ def test_streaming_adapter(spark, tmp_path):
     q.awaitTermination(120)
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 40 and out.filter("is_missing").count() == 6 and "batch_id" in out.columns
+    # a batch that runs again (here with a new checkpoint) replaces its own rows
+    apply_per_batch(stream, lambda b: detect.missing(b, 1), str(tmp_path / "out"), str(tmp_path / "ckpt2"),
+                    trigger_once=True).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40

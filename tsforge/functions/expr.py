@@ -28,12 +28,3 @@ def nan_to_null(c) -> Column:
 def r6(c) -> Column:
     """Round half-up to 6 decimals identically on Spark and DuckDB."""
     return F.floor(col(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
-
-
-def is_missing(c) -> Column:
-    c = col(c)
-    return c.isNull() | F.isnan(c)
-
-
-def null_double() -> Column:
-    return F.lit(None).cast("double")

@@ -152,6 +152,14 @@ def effect(before: DataFrame, after: DataFrame) -> DataFrame:
                                                       F.col("mean_abs_before")) * 100.0)
 
 
+def effect_pairs(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The correlation of every pair of variables before and after the
+    handling (NULL where a variable exists on one side only)."""
+    def pairs(c: DataFrame, name: str) -> DataFrame:
+        return c.filter(F.col("var1") < F.col("var2")).select("series_id", "var1", "var2", F.col("corr").alias(name))
+    return pairs(before, "corr_before").join(pairs(after, "corr_after"), on=["series_id", "var1", "var2"], how="full")
+
+
 def handle_auto(df: DataFrame, threshold: float = 0.7, max_components: int = 3) -> tuple[DataFrame, DataFrame]:
     """J16 with ``method='auto'``: every series gets the handler its own J22
     decision names (pca / select / combine / unchanged).  The decision table

@@ -8,10 +8,12 @@ four-step decomposition, as two grouped FFT stages:
 2. group by ``k2`` → size-``n1`` FFT over ``r``; output index ``k = k2 + n2·k1``.
 
 Every group holds about √n points, so one very long series is spread over
-~2√n tasks; short series (e.g. 64-step embeddings) are transformed whole, many
-per task (hash buckets).
-``n1`` is the largest divisor of ``n`` not above √n (prime lengths degrade to
-one group per series).  Complex values are ``re, im`` columns.
+~2√n tasks; short series (e.g. 64-step embeddings) are transformed whole, in
+groups of about ``GROUP_POINTS`` points however many series there are.
+``n1`` is the largest divisor of ``n`` not above √n.  Where no divisor is near
+√n (prime lengths) the transform is a convolution with a chirp of ``n``
+points, padded to a power of two, whose own three transforms split evenly.
+Complex values are ``re, im`` columns.
 """
 
 from __future__ import annotations
@@ -25,7 +27,17 @@ from pyspark.sql import functions as F
 
 from tsforge.spec import KEYS
 
-SPEC_SCHEMA = "series_id string, var string, k long, re double, im double"
+SPEC_SCHEMA = "series_id string, var string, n long, k long, re double, im double"
+STAGE_SCHEMA = "series_id string, var string, n long, n1 long, r long, k2 long, re double, im double"
+
+# Series up to this length are transformed whole, many series per task.
+SHORT_MAX = 1 << 16
+# Points of a group of short series.
+GROUP_POINTS = 250_000
+# Four-step splits with n2 > UNEVEN·n1 go through the chirp convolution.
+UNEVEN = 64
+# Positions that one row of a generated index range stands for.
+RANGE_CHUNK = 1 << 16
 
 
 def split_factor(n: int) -> int:
@@ -36,83 +48,128 @@ def split_factor(n: int) -> int:
     return 1
 
 
-def _stage1_schema():
-    return "series_id string, var string, n long, n1 long, r long, k2 long, re double, im double"
+def padded_length(n: int) -> int:
+    """Smallest power of two that holds a linear convolution of n points."""
+    return 1 << (2 * n - 2).bit_length()
 
 
-# Series up to this length are transformed whole, many series per task.
-SHORT_MAX = 1 << 16
+def _complex(pdf: pd.DataFrame) -> np.ndarray:
+    return pdf["re"].to_numpy(dtype="float64") + 1j * pdf["im"].to_numpy(dtype="float64")
 
 
-def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None,
-        buckets: int | None = None, short_max: int = SHORT_MAX) -> DataFrame:
-    """K1 (K2 with ``inverse``): DFT of each ``(series_id, var)`` over ``pos``
-    (0..n-1).  Input real ``value`` (and optional imaginary column).  The
-    inverse is computed by conjugation and divided by n, as the reference does.
+def _frame(pdf: pd.DataFrame, X: np.ndarray, **cols) -> pd.DataFrame:
+    return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "var": pdf["var"].iloc[0], **cols, "re": X.real,
+                         "im": X.imag})
 
-    Short series (n <= ``short_max``) are hashed into ``buckets`` groups and
-    transformed whole inside them; longer series use the four-step split."""
-    if buckets is None:  # as many groups of short series as shuffle partitions
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    im_col = F.col(imag) if imag else F.lit(0.0)
-    sign = -1.0 if inverse else 1.0  # inverse = conj(fft(conj(x))) / n
-    d = df.select(*KEYS, "pos", F.col(value).cast("double").alias("_re"), (im_col * F.lit(sign)).alias("_im"))
-    n_tab = d.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    d = d.join(n_tab, on=KEYS)
-    short = d.filter(F.col("n") <= short_max).withColumn("_b", F.abs(F.xxhash64(*KEYS)) % buckets)
-    long_ = d.filter(F.col("n") > short_max)
 
-    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+def _whole(d: DataFrame) -> DataFrame:
+    """Series of (series_id, var, n, pos, re, im) transformed whole, in groups of bounded size."""
+    total = d.agg(F.ceil((F.count(F.lit(1)) + 1) / GROUP_POINTS).alias("b")).scalar()
+
+    def each(pdf: pd.DataFrame) -> pd.DataFrame:
         outs = []
-        for (sid, var), g in pdf.groupby(["series_id", "var"], sort=False):
-            g = g.sort_values("pos")
-            x = g["_re"].to_numpy(dtype="float64") + 1j * g["_im"].to_numpy(dtype="float64")
-            X = np.fft.fft(x)
-            if inverse:
-                X = np.conj(X) / len(x)
-            outs.append(pd.DataFrame({"series_id": sid, "var": var, "k": np.arange(len(X)), "re": X.real,
-                                      "im": X.imag}))
-        return pd.concat(outs) if outs else pd.DataFrame(columns=["series_id", "var", "k", "re", "im"])
+        for _, g in pdf.groupby(["series_id", "var"], sort=False):
+            X = np.fft.fft(_complex(g.sort_values("pos")))
+            outs.append(_frame(g, X, n=len(X), k=np.arange(len(X))))
+        return pd.concat(outs)
 
-    res_short = short.select(*KEYS, "_b", "pos", "_re", "_im").groupBy("_b").applyInPandas(whole, SPEC_SCHEMA)
+    return d.withColumn("_b", F.pmod(F.xxhash64(*KEYS), total)).groupBy("_b").applyInPandas(each, SPEC_SCHEMA)
 
-    @F.pandas_udf("long")
-    def n1_of(n: pd.Series) -> pd.Series:
-        return n.map(lambda v: split_factor(int(v)))
 
-    long_ = long_.withColumn("n1", n1_of("n")).withColumn("r", F.col("pos") % F.col("n1")).withColumn(
-        "j", (F.col("pos") / F.col("n1")).cast("bigint"))
+def _split(d: DataFrame) -> DataFrame:
+    """Four-step transform of (series_id, var, n, n1, pos, re, im); a position without a row is zero."""
+    d = d.withColumn("r", F.expr("pos % n1")).withColumn("j", F.expr("pos div n1"))
 
     def stage1(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("j")
         n, n1, r = int(pdf["n"].iloc[0]), int(pdf["n1"].iloc[0]), int(pdf["r"].iloc[0])
-        x = pdf["_re"].to_numpy(dtype="float64") + 1j * pdf["_im"].to_numpy(dtype="float64")
-        X = np.fft.fft(x)
-        k2 = np.arange(len(X))
-        X = X * np.exp(-2j * np.pi * r * k2 / n)
-        return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "var": pdf["var"].iloc[0], "n": n, "n1": n1,
-                             "r": r, "k2": k2, "re": X.real, "im": X.imag})
-
-    s1 = long_.groupBy(*KEYS, "r").applyInPandas(stage1, _stage1_schema())
+        x = np.zeros(n // n1, dtype=complex)
+        x[pdf["j"].to_numpy()] = _complex(pdf)
+        k2 = np.arange(len(x))
+        X = np.fft.fft(x) * np.exp(-2j * np.pi * r * k2 / n)
+        return _frame(pdf, X, n=n, n1=n1, r=r, k2=k2)
 
     def stage2(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("r")
         n, n1, k2 = int(pdf["n"].iloc[0]), int(pdf["n1"].iloc[0]), int(pdf["k2"].iloc[0])
-        n2 = n // n1
-        x = pdf["re"].to_numpy(dtype="float64") + 1j * pdf["im"].to_numpy(dtype="float64")
+        x = np.zeros(n1, dtype=complex)
+        x[pdf["r"].to_numpy()] = _complex(pdf)
         X = np.fft.fft(x)
-        if inverse:
-            X = np.conj(X) / n
-        k = k2 + n2 * np.arange(len(X))
-        return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "var": pdf["var"].iloc[0], "k": k,
-                             "re": X.real, "im": X.imag})
+        return _frame(pdf, X, n=n, k=k2 + n // n1 * np.arange(n1))
+
+    columns = d.groupBy(*KEYS, "r").applyInPandas(stage1, STAGE_SCHEMA)
+    return columns.groupBy(*KEYS, "k2").applyInPandas(stage2, SPEC_SCHEMA)
+
+
+def _chirp(index: str, sign: float):
+    """re and im of exp(sign·iπ·index²/n), the square taken modulo 2n to stay exact."""
+    a = F.expr(f"({index} * {index}) % (2 * n)") * math.pi / F.col("n")
+    return F.cos(a), sign * F.sin(a)
+
+
+def _times(a: tuple, b: tuple):
+    return a[0] * b[0] - a[1] * b[1], a[0] * b[1] + a[1] * b[0]
+
+
+def _convolved(d: DataFrame) -> DataFrame:
+    """Transforms of lengths without an even split, by chirp convolution:
+    X_k = w_k · Σ_j (x_j·w_j) · conj(w_{k-j}) with w_j = exp(-iπj²/n).  ``d`` is
+    (series_id, var, n, m, m1, pos, re, im), m the padded length and m1 its split."""
+    length = F.col("m").alias("n"), F.col("m1").alias("n1")
+    re, im = _times((F.col("re"), F.col("im")), _chirp("pos", -1.0))
+    a = _split(d.select(*KEYS, *length, "pos", re.alias("re"), im.alias("im")))
+    # the kernel depends on the length only: one for all series of a length
+    lengths = d.select("n", "m", "m1").distinct()
+    chunks = lengths.withColumn("c", F.explode(F.expr(f"sequence(0L, (n - 1) div {RANGE_CHUNK})")))
+    index = chunks.withColumn("j", F.explode(F.expr(
+        f"sequence(c * {RANGE_CHUNK}, least(n, (c + 1) * {RANGE_CHUNK}) - 1)")))
+    cre, cim = _chirp("j", 1.0)
+    both = index.withColumn("re", cre).withColumn("im", cim).withColumn(
+        "pos", F.explode(F.expr("IF(j = 0, array(j), array(j, m - j))")))
+    kernel = _split(both.select(F.col("n").cast("string").alias("series_id"), F.lit("").alias("var"), *length, "pos",
+                                "re", "im")).select(
+        F.col("series_id").cast("long").alias("own"), "k", F.col("re").alias("bre"), F.col("im").alias("bim"))
+    own = d.groupBy(*KEYS).agg(F.first("n").alias("own"), F.first("m1").alias("m1"))
+    re, im = _times((F.col("re"), F.col("im")), (F.col("bre"), F.col("bim")))
+    product = a.withColumnRenamed("n", "m").join(own, on=KEYS).join(kernel, on=["own", "k"])
+    # inverse of the product: conj(transform(conj)) / m, cut to n and multiplied by w_k
+    back = _split(product.select(*KEYS, F.col("m").alias("n"), F.col("m1").alias("n1"), F.col("k").alias("pos"),
+                                 re.alias("re"), (-im).alias("im")))
+    back = back.withColumnRenamed("n", "m").join(own.withColumnRenamed("own", "n"), on=KEYS).filter("k < n")
+    re, im = _times((F.col("re") / F.col("m"), -F.col("im") / F.col("m")), _chirp("k", -1.0))
+    return back.select(*KEYS, "n", "k", re.alias("re"), im.alias("im"))
+
+
+def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None,
+        short_max: int = SHORT_MAX, uneven: int = UNEVEN) -> DataFrame:
+    """K1 (K2 with ``inverse``): DFT of each ``(series_id, var)`` over ``pos``
+    (0..n-1).  Input real ``value`` (and optional imaginary column).  The
+    inverse is computed by conjugation and divided by n, as the reference does.
 
-    return res_short.unionByName(s1.groupBy(*KEYS, "k2").applyInPandas(stage2, SPEC_SCHEMA))
+    Short series (n <= ``short_max``) are transformed whole; longer series use
+    the four-step split, or the chirp convolution where n has no even split."""
+    im_col = F.col(imag) if imag else F.lit(0.0)
+    sign = -1.0 if inverse else 1.0  # inverse = conj(fft(conj(x))) / n
+    d = df.select(*KEYS, "pos", F.col(value).cast("double").alias("re"), (im_col * F.lit(sign)).alias("im"))
 
+    @F.pandas_udf("n1 long, m long, m1 long")
+    def lengths(n: pd.Series) -> pd.DataFrame:
+        m = n.map(lambda v: padded_length(int(v)))
+        return pd.DataFrame({"n1": n.map(lambda v: split_factor(int(v))), "m": m,
+                             "m1": m.map(lambda v: split_factor(int(v)))})
 
-def four_step(df: DataFrame, inverse: bool = False, value: str = "value") -> DataFrame:
-    """The long-series path on its own (any length; used by tests)."""
-    return dft(df, inverse, value, short_max=0)
+    n_tab = d.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    split = n_tab.filter(F.col("n") > short_max).withColumn("s", lengths("n")).select(*KEYS, "n", "s.*")
+    even = F.expr(f"n div n1 <= {uneven} * n1")
+    out = _split(d.join(split.filter(even), on=KEYS)).unionByName(_convolved(d.join(split.filter(~even), on=KEYS)))
+    if short_max > 0:
+        out = _whole(d.join(n_tab.filter(F.col("n") <= short_max), on=KEYS)).unionByName(out)
+    if inverse:
+        out = out.withColumn("re", F.col("re") / F.col("n")).withColumn("im", -F.col("im") / F.col("n"))
+    return out.drop("n")
+
+
+def four_step(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None) -> DataFrame:
+    """The long-series path on its own (any length)."""
+    return dft(df, inverse, value, imag, short_max=0)
 
 
 def frequencies(spec: DataFrame, dt: float = 1.0) -> DataFrame:

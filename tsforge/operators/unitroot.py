@@ -29,6 +29,10 @@ ADF_SCHEMA = ("series_id string, var string, statistic double, p_value double, u
               "icbest double, crit_1 double, crit_5 double, crit_10 double, stationary boolean")
 
 
+# Fixed value: one-sided 95 % normal quantile, the level of the last lag with autolag 't-stat'.
+Z95 = 1.6448536269514722
+
+
 def default_maxlag(n: int, ntrend: int) -> int:
     return min(n // 2 - ntrend - 1, int(math.ceil(12.0 * (n / 100.0) ** 0.25)))
 
@@ -43,13 +47,14 @@ def adf(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """H9: augmented Dickey-Fuller test per ``(series_id, var)`` (regression
-    ``c`` or ``n``; autolag ``AIC``, ``BIC`` or ``None``).  The input must be
-    gap-free (fill first).  ``n_vars`` selects the MacKinnon table (2 for
+    ``c`` or ``n``; autolag ``AIC``, ``BIC``, ``t-stat`` (the longest lag order whose
+    last lag is significant, ``icbest`` its absolute t value) or ``None``).  The
+    input must be gap-free (fill first).  ``n_vars`` selects the MacKinnon table (2 for
     Engle-Granger residuals)."""
     if regression not in ("c", "n"):
         raise ValueError("regression must be 'c' or 'n'")
-    if autolag not in ("AIC", "BIC", "aic", "bic", None):
-        raise ValueError("autolag must be 'AIC', 'BIC' or None")
+    if autolag not in ("AIC", "BIC", "aic", "bic", "t-stat", None):
+        raise ValueError("autolag must be 'AIC', 'BIC', 't-stat' or None")
     ntrend = 1 if regression == "c" else 0
     # residuals of a regression with constant (n_vars = 2) use the constant case's tables
     table = "n" if regression == "n" and n_vars == 1 else "c"
@@ -104,7 +109,15 @@ def adf(
             return pd.DataFrame([out])
         best, icbest = mlag, np.nan
         body_rows = int(r["rows"])  # rows actually in the common sample (gaps skipped)
-        if method:
+        if method == "T-STAT":
+            for p in range(mlag, -1, -1):
+                cols = base + [ntrend + 1 + j for j in range(p)]
+                b, ssr, inv = moments.ols_from_gram(G, cols, y)
+                var = ssr / (body_rows - len(cols)) * inv[-1, -1] if body_rows > len(cols) else 0.0
+                best, icbest = p, abs(b[-1]) / math.sqrt(var) if var > 0 else np.inf
+                if icbest >= Z95:
+                    break
+        elif method:
             nob = body_rows
             scores = []
             for p in range(0, mlag + 1):

@@ -712,6 +712,7 @@ ORACLES["fft_amplitude"] = dft_sql(EMB_L, "eml") + f"""
 SELECT series_id, var, CAST(k AS BIGINT) AS k, {R6('CASE WHEN k < (n + 1) / 2.0 THEN k ELSE k - n END / (n * 1.0)')} AS freq,
        {R6('2.0 / n * sqrt(re * re + im * im)')} AS amplitude
 FROM sp WHERE k < n / 2.0"""
+ORACLES["ifft_values"] = f"WITH {EMB_L} SELECT series_id, var, CAST(pos AS BIGINT) AS pos, {R6('value')} AS value FROM eml"
 ORACLES["ifft_roundtrip"] = f"WITH {EMB_L} SELECT DISTINCT series_id, var, 0.0 AS max_abs_error FROM eml"
 
 # ----------------------------------------------------------------- D9, A6, L2
@@ -837,7 +838,7 @@ dc AS (SELECT t1.*, sz.seasonal, t1.orig - t1.trend - sz.seasonal AS resid
 o AS (SELECT series_id, var, ts, pos, COALESCE(orig, trend + seasonal + resid, value) AS value FROM t2)
 {sel_long('o')}"""
 
-ORACLES["collinear_effect"] = f"""WITH {_SP},
+_EFFECT = f"""{_SP},
 pw AS (SELECT series_id, pair_no, var1, var2 FROM sp),
 cb AS (SELECT a.series_id, 'combined_' || CAST(pw.pair_no AS VARCHAR) AS var, a.pos, (a.value + b.value) / 2 AS value
        FROM pw JOIN dw a ON a.series_id = pw.series_id AND a.var = pw.var1
@@ -850,8 +851,14 @@ pa AS (SELECT a.series_id, a.var AS var1, b.var AS var2, a.value AS x, b.value A
 ca AS (SELECT series_id, var1, var2,
               CASE WHEN var1 = var2 THEN (CASE WHEN var_pop(x) > 0 THEN 1.0 END)
                    ELSE covar_pop(x, y) / NULLIF(sqrt(var_pop(x) * var_pop(y)), 0) END AS corr
-       FROM pa GROUP BY series_id, var1, var2),
+       FROM pa GROUP BY series_id, var1, var2)"""
+
+ORACLES["collinear_effect"] = f"""WITH {_EFFECT},
 mb AS (SELECT series_id, sum(CASE WHEN var1 <> var2 THEN abs(corr) ELSE 0.0 END) / count(*) AS b FROM cm GROUP BY series_id),
 ma AS (SELECT series_id, sum(CASE WHEN var1 <> var2 THEN abs(corr) ELSE 0.0 END) / count(*) AS a FROM ca GROUP BY series_id)
 SELECT series_id, {R6('b')} AS mean_abs_before, {R6('a')} AS mean_abs_after, {R6('(b - a) / NULLIF(b, 0) * 100.0')} AS reduction_pct
 FROM mb JOIN ma USING (series_id)"""
+
+ORACLES["collinear_effect_pairs"] = f"""WITH {_EFFECT}
+SELECT series_id, var1, var2, {R6('b.corr')} AS corr_before, {R6('a.corr')} AS corr_after
+FROM (SELECT * FROM cm WHERE var1 < var2) b FULL JOIN (SELECT * FROM ca WHERE var1 < var2) a USING (series_id, var1, var2)"""

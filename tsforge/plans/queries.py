@@ -59,10 +59,6 @@ def ship_grid(spark, sf):
     return cut(calendar.regularize(tb.ship_daily(spark, sf), "D"))
 
 
-def wide_grid(spark, sf):
-    return cut(calendar.regularize(tb.ev_wide(spark, sf), "H"))
-
-
 # ------------------------------------------------------------------ §3.1 flagship
 
 
@@ -506,6 +502,13 @@ def q_collinear_effect(spark, sf):
     return finish(collinear.effect(corr, after))
 
 
+@query("collinear_effect_pairs")
+def q_collinear_effect_pairs(spark, sf):
+    d, corr, p = _pairs(spark, sf)
+    after = relations.correlation(collinear.combine(d, p, "average"))
+    return finish(collinear.effect_pairs(corr, after))
+
+
 # ------------------------------------------------------------------ H/J: tests on the moments pass
 
 
@@ -609,8 +612,8 @@ def q_fft_spectrum(spark, sf):
 
 @query("fft_spectrum_long")
 def q_fft_spectrum_long(spark, sf):
-    """Whole-series spectrum of the hourly event series (720 points, four-step)."""
-    return finish(spectral.dft(ev_filled(spark, sf)))
+    """Whole-series spectrum of the hourly event series by the path of long series."""
+    return finish(spectral.four_step(ev_filled(spark, sf)))
 
 
 @query("fft_frequency")
@@ -628,6 +631,14 @@ def q_ifft_roundtrip(spark, sf):
     return finish(spectral.roundtrip_error(emb_long(spark, sf)))
 
 
+@query("ifft_values")
+def q_ifft_values(spark, sf):
+    """The inverse transform of the spectrum: the input values come back."""
+    spec = cut(spectral.dft(emb_long(spark, sf))).withColumnRenamed("k", "pos")
+    back = spectral.dft(spec, inverse=True, value="re", imag="im")
+    return finish(back.select("series_id", "var", F.col("k").alias("pos"), F.col("re").alias("value")))
+
+
 # ------------------------------------------------------------------ D6/D7/D9, C4, E8, J10, A6, L2, J23
 
 

@@ -6,7 +6,7 @@ split, label and sample id come from the file path (``_metadata.file_path``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.operators import normalize
@@ -17,9 +17,12 @@ _PATH_RE = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
 
 def scan_tree(spark: SparkSession, root: str, id_col: str = "ID") -> DataFrame:
     """Every ``*.csv`` under ``root`` as long rows
-    ``split, label, series_id, step, var, value`` (the ID column becomes ``step``)."""
+    ``split, label, series_id, step, var, value`` (the ID column becomes ``step``).
+    Every file's header must name the same columns in the same order: a file
+    that differs raises instead of being read by position."""
     raw = (spark.read.option("header", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.csv").option("nullValue", "NaN").csv(root)
+           .option("pathGlobFilter", "*.csv").option("nullValue", "NaN")
+           .option("enforceSchema", False).csv(root)
            .select("*", F.col("_metadata.file_path").alias("_path")))
     feats = [c for c in raw.columns if c not in (id_col, "_path")]
     d = raw.select(
@@ -64,14 +67,10 @@ def matrices(df: DataFrame) -> DataFrame:
 
 def leakage(df: DataFrame, a: str = "train", b: str = "val") -> DataFrame:
     """Q23: samples of split ``b`` whose ordered content equals a sample of
-    split ``a`` (hash of the ordered rows; equi-join on the hash)."""
+    split ``a`` (equi-join on a hash of the ordered rows, then the rows compared)."""
     m = matrices(df).withColumn("h", F.xxhash64(F.to_json("matrix")))
-    x = m.filter(F.col("split") == a).select(F.col("series_id").alias(f"{a}_id"), "label", "h")
-    y = m.filter(F.col("split") == b).select(F.col("series_id").alias(f"{b}_id"), F.col("label").alias("label_b"), "h")
-    return x.join(y, on="h").drop("h")
+    x = m.filter(F.col("split") == a).select(F.col("series_id").alias(f"{a}_id"), "label", "h", F.col("matrix").alias("ma"))
+    y = m.filter(F.col("split") == b).select(F.col("series_id").alias(f"{b}_id"), F.col("label").alias("label_b"), "h",
+                                             F.col("matrix").alias("mb"))
+    return x.join(y, on="h").filter(F.col("ma").eqNullSafe(F.col("mb"))).drop("h", "ma", "mb")
 
-
-def step_index(df: DataFrame) -> DataFrame:
-    """Dense 0-based ``pos`` per sample from ``step`` (files are small)."""
-    w = Window.partitionBy("series_id", "var").orderBy("step")
-    return df.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))

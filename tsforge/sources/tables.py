@@ -77,12 +77,6 @@ def ev_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ev_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as one multivariate series: variables = event types, hourly means."""
-    h = ev_hourly(spark, sf_dir)
-    return h.select(F.lit("events").alias("series_id"), F.col("series_id").alias("var"), "ts", "value")
-
-
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events per user (irregular): long frame with dense ``pos`` ordered by (ts, event_id)."""
     e = table(spark, sf_dir, "events")
@@ -117,8 +111,3 @@ def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("label"),
         F.posexplode("embedding").alias("step", "x"),
     ).select("series_id", "label", F.col("step").cast("bigint").alias("step"), F.col("x").cast("double").alias("x"))
-
-
-def regular(raw: DataFrame, freq: str, chunk_rows: int | None = None) -> DataFrame:
-    kw = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    return calendar.regularize(raw, freq, **kw)

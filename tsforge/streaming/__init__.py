@@ -4,7 +4,8 @@ The reference reads every input whole; it has no streaming sources, watermarks
 or stateful operators, so none are built here.  :func:`apply_per_batch` is the
 only adapter: it runs any batch operator of this package on each micro-batch
 of a Structured Streaming source via ``foreachBatch`` (e.g. cleaning newly
-landed files as they arrive), writing with the batch id for idempotence.
+landed files as they arrive).  Each batch owns the folder ``batch_id=<id>``
+and overwrites it, so a batch that is retried is not written twice.
 """
 
 from __future__ import annotations
@@ -12,16 +13,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def apply_per_batch(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                     fmt: str = "parquet", trigger_once: bool = False):
-    """Start a query applying ``fn`` to every micro-batch and appending the
-    result (tagged with ``batch_id``) under ``path``."""
+    """Start a query applying ``fn`` to every micro-batch and writing the result
+    to ``path/batch_id=<id>`` (read back, ``batch_id`` is a partition column)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        fn(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append").format(fmt).save(path)
+        fn(batch).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if trigger_once:
