@@ -33,7 +33,7 @@ STAGE_SCHEMA = "series_id string, var string, n long, n1 long, r long, k2 long,
 # Series up to this length are transformed whole, many series per task.
 SHORT_MAX = 1 << 16
 # Points of a group of short series.
-GROUP_POINTS = 250_000
+GROUP_POINTS = 1 << 16
 # Four-step splits with n2 > UNEVEN·n1 go through the chirp convolution.
 UNEVEN = 64
 # Positions that one row of a generated index range stands for.
