@@ -2,6 +2,7 @@
 repeated rows, empty tables, clashing columns, hot groups."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -195,6 +196,34 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count()
 
 
+def test_masks_miss_no_substitutions(spark):
+    # every placement of all the substitutions that the rule allows, for items of every seeded length
+    def missed(masks, n):
+        most = n - -(-decontaminate.SAME_PCT * n // 100)
+        at = [{o + k for k, x in enumerate(m) if x == "1"} for m in masks for o in range(n - len(m) + 1)]
+        return sum(all(a & set(gone) for a in at) for gone in itertools.combinations(range(n), most))
+
+    assert missed(("110101011", "111001011"), 20) == 71  # the masks before
+    for n in range(decontaminate.SEEDED, decontaminate.STRETCH + 1):
+        assert missed(decontaminate.MASKS, n) == 0
+    core = {k for k, x in enumerate(decontaminate.CORE) if x == "1"}
+    assert all(m[k] == "1" for m in decontaminate.MASKS for k in core)
+    # the operator itself: all placements in the shortest and a middle length, 400 of the longest stretch
+    rng = random.Random(29)
+    items = {n: [f"w{n}x{k}" for k in range(n)] for n in (9, 10, 11, 15, 20, 24)}
+    texts = []
+    for n, words in items.items():
+        w = min(n, 20)
+        places = list(itertools.combinations(range(w), w - -(-80 * w // 100)))
+        for gone in rng.sample(places, min(len(places), 400)):
+            new = ["other" if k in gone or k >= w else x for k, x in enumerate(words)]
+            texts.append((n, " ".join(["before", *new, "after"])))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {(r["doc"]["doc_id"], r["item"]) for r in decontaminate.overlaps(df, bench).collect()}
+    assert got == {(i, n) for i, (n, _) in enumerate(texts)}
+
+
 # ---------------------------------------------------------------- 8 BPE
 
 

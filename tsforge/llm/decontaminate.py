@@ -2,7 +2,9 @@
 
 Texts become tokens (lower case, marks between words dropped).  Every window of a text
 is hashed under fixed masks that ignore some of its positions, so that a
-window still hits when a word at an ignored position was substituted.  Hits
+window still hits when a word at an ignored position was substituted.  The masks
+leave no gap: wherever the substitutions lie that ``SAME_PCT`` allows in a stretch,
+one mask fits between them somewhere (tests enumerate all placements).  Hits
 with the benchmark's hashes give (item, diagonal): the item laid over the text
 where the windows meet.  Along that diagonal all words are compared, and the
 text overlaps the item if some stretch of ``STRETCH`` item words (or the whole
@@ -15,7 +17,7 @@ are looked up in the block's broadcast table and compared at once.  The texts
 are never shuffled, and only those that overlap leave the stage.
 
 Defined results: null, empty and wordless texts and items overlap nothing;
-items of fewer words than a mask spans are looked up as they stand, if they
+items of fewer than ``SEEDED`` words are looked up as they stand, if they
 have at least ``MIN_ITEM`` words (shorter ones say too little and match
 nothing); repeated rows are each reported; further columns are carried through.
 """
@@ -30,11 +32,13 @@ from pyspark.sql import functions as F
 
 from tsforge.llm.common import fresh, let, small_side, text_key, written
 
-#: Fixed masks of weight 6: positions marked 1 are hashed, the others ignored.
-MASKS = ("110101011", "111001011")
-SPAN = 9
+#: Fixed masks of weight 5: positions marked 1 are hashed, the others ignored.  Together
+#: they miss no placement of the substitutions in stretches of SEEDED to STRETCH words.
+MASKS = ("111011", "11001011", "11111")
+#: Items of so many words are hashed under the masks, shorter ones whole.
+SEEDED = 9
 #: A mask of positions that all masks hash: tested first, as it is cheaper to hash.
-CORE = "100001001"
+CORE = "11001"
 STRETCH = 20
 SAME_PCT = 80
 MIN_ITEM = 5
@@ -85,7 +89,7 @@ def _may_hit(part: DataFrame, short: list[str]):
     begins at ``i`` can be among the block's seeds (at the text's end it also
     holds for some that can't)."""
     n, bits = _bits(part)
-    core_n, core_bits = _bits(part.filter(F.size("words") >= SPAN).select(_window(F.col("words"), F.col("ip"), CORE).alias("seed")))
+    core_n, core_bits = _bits(part.filter(F.size("words") >= SEEDED).select(_window(F.col("words"), F.col("ip"), CORE).alias("seed")))
 
     def among(h: Column, i: Column, mask: str, n: int, bits: str) -> Column:
         return let(F.pmod(_window(h, i, mask), F.lit(n)), lambda at: F.getbit(
@@ -117,9 +121,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     ``at`` is the text's word that the item's first word lies on."""
     items = benchmark.select(F.col(item_id).alias("item"), tokens(F.col(item_text)).alias("words"))
     short = sorted({r[0] for r in items.select(F.size("words").alias("n")).filter(
-        F.col("n").between(MIN_ITEM, SPAN - 1)).distinct().collect()})  # at most SPAN numbers
+        F.col("n").between(MIN_ITEM, SEEDED - 1)).distinct().collect()})  # at most SEEDED numbers
     masks = [*MASKS, *("1" * n for n in short)]
-    own = F.when(F.size("words") >= SPAN, let(F.col("words"), partial(seeds, masks=list(MASKS))))
+    own = F.when(F.size("words") >= SEEDED, let(F.col("words"), partial(seeds, masks=list(MASKS))))
     for n in short:
         own = own.when(F.size("words") == n, let(F.col("words"), partial(seeds, masks=["1" * n])))
     table = items.select("item", "words", F.explode(own).alias("x")).select(
