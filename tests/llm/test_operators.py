@@ -324,6 +324,34 @@ def test_html_consensus(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_wrappers_around_the_page(spark):
+    rng = random.Random(31)
+    inner = """<div class="sidebar"><p>Other things, long enough to look like running text.</p></div>{open}<h1>Title</h1><p>{a}</p>
+<p>{b}</p>{close}<div id="comments"><p>Nice post, really.</p></div><div class="related"><article><p>A teaser, short.</p></article></div>"""
+    wrappers = ["div class='container has-sidebar'", "div class='no-sidebar'", "div id='with-banner'", "div class='widget-area content'",
+                "form id='aspnetForm'", "div role='form'", "div class='no-sidebar'><div class='with-banner'", "section class='comments-open'"]
+    pages, want = [], {}
+    for w in wrappers:
+        for o, c in (("<main>", "</main>"), ("<article>", "</article>"), ("<div class='post'>", "</div>"), ("", "")):
+            a, b = sentence(rng, 60), sentence(rng, 60)
+            page = inner.replace("{open}", o).replace("{close}", c).replace("{a}", a).replace("{b}", b)
+            want[len(pages)] = f"Title\n\n{a}\n\n{b}"
+            pages.append(f"<html><body><nav><a href='/'>Home</a></nav><{w}>{page}</{w.split()[0]}><footer>us</footer></body></html>")
+    # a title outside of the wrapper, a page of hinted halves (both as without the classes), and hints that
+    # hold long text but not the main one
+    for page, text in (("<h1>T</h1><div class='no-sidebar'><p>one, two</p></div>", "one, two"),
+                       ("<div class='no-ads'><p>one, two</p></div><div class='no-menu'><p>six, ten</p></div>", "one, two"),
+                       ("<div class='post'><h1>T</h1><p>one, two</p><div id='comments'><p>" + "long, " * 90 + "</p></div></div>", "T\n\none, two"),
+                       ("<form><div class='post'><h1>T</h1><p>one, two</p><div id='comments'><p>" + "long, " * 90 + "</p></div></div></form>",
+                        "T\n\none, two")):
+        want[len(pages)] = text
+        pages.append(f"<html><body>{page}</body></html>")
+    got = {i: html_extract.Page(p).text(None) for i, p in enumerate(pages)}
+    assert got == want
+    df = spark.createDataFrame([(i, f"http://h{i}/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()} == want
+
+
 def test_html_stays_linear():
     for s in ("<div>" * 50000 + "x", "<" * 50000, "<a \"" * 20000, "<table>" + "<tr><td>x" * 20000, "</p>" * 50000):
         html_extract.Page(s).text(None)

@@ -6,7 +6,9 @@ the root, digits dropped).  Spark counts the votes of each (host, path) and
 picks each host's winner.  Second pass: every page is extracted from the
 elements on its host's winning path; a page without such an element falls back
 to its own best container.  Inside the container menus, forms, adverts, notices
-and the like are left out.
+and the like are left out.  Tags and roles such as nav or aside settle that;
+class and id words and forms are a hint only, which a container that holds the
+page's main text outweighs (decided once the page is read).
 
 Votes are partial aggregations, so a host with a third of all pages costs one
 row per task and path.  The winners are written to the shared folder; up to
@@ -53,6 +55,8 @@ advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr
 subscribe subscription signup login share sharing social related recommended recommendations comment comments
 commentlist respond reply replies discussion disqus breadcrumb breadcrumbs pagination pager popup modal toolbar widget
 widgets skip copyright disclaimer teaser trending tags hidden""".split())
+#: Of the tags and roles above those that may also lie around a whole page.
+HINT_TAGS, HINT_ROLES = frozenset(("form", "fieldset")), frozenset(("form",))
 CONTENT_WORDS = frozenset("article content post entry story main body text page blog".split())
 CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
              "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -69,19 +73,21 @@ class Page:
     """Block elements and text blocks of one page.
 
     Element k has tag[k], parent[k], key[k] (8 bytes that stand for its
-    generalised path), step[k] (its own part of the path), dropped[k] (in or
-    below something that is never main text)."""
+    generalised path), step[k] (its own part of the path), gone[k] (it is never
+    main text by its tag, role or attributes), hinted[k] (by its words, or a
+    form), dropped[k] (in or below something that is never main text)."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.key, self.step, self.dropped = ["#"], [-1], [b""], [""], [False]
-        self.plus = [1.0]
+        self.tag, self.parent, self.key, self.step = ["#"], [-1], [b""], [""]
+        self.gone, self.hinted, self.is_main, self.plus = [False], [False], [False], [1.0]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self._read(source)
+        self.dropped = self._drops()
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
         words: set[str] = set()
         classes = role = ""
-        gone = tag in DROPPED_TAGS
+        gone, hinted = tag in DROPPED_TAGS and tag not in HINT_TAGS, tag in HINT_TAGS
         if attrs and not attrs.isspace():
             for m in _ATTR.finditer(attrs):
                 name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -91,9 +97,10 @@ class Page:
                         classes = ".".join(sorted({re.sub(r"\d+", "", c) for c in value.lower().split()}))
                 elif name == "role":
                     role = value.lower()
-            gone = gone or bool(_HIDDEN.search(attrs)) or role in DROPPED_ROLES
+            gone = gone or bool(_HIDDEN.search(attrs)) or (role in DROPPED_ROLES and role not in HINT_ROLES)
+            hinted = hinted or role in HINT_ROLES
         if tag not in ("html", "body", "article", "main"):
-            gone = gone or not words.isdisjoint(DROPPED_WORDS)
+            hinted = hinted or not words.isdisjoint(DROPPED_WORDS)
         elif "comment" in words or "comments" in words:
             gone = gone or tag == "article"
         if tag == "header":  # of the page; one in an article keeps its headings
@@ -101,11 +108,57 @@ class Page:
         step = f"{tag}.{classes}" if classes else tag
         self.tag.append(tag), self.parent.append(parent), self.step.append(step)
         self.key.append(hashlib.blake2b(self.key[parent] + step.encode("utf-8", "replace"), digest_size=8).digest())
-        self.dropped.append(gone or self.dropped[parent])
+        self.gone.append(gone), self.hinted.append(hinted), self.is_main.append(tag == "main" or role == "main")
         good = tag in ("article", "main") or role in ("main", "article")
         self.plus.append(1.5 if good else 1.25 if not words.isdisjoint(CONTENT_WORDS) else 0.6 if tag == "body" else 1.0)
         return len(self.tag) - 1
 
+    def _drops(self) -> list[bool]:
+        """dropped[k].  A hinted element stays if it holds
+
+        * a main element, or the page's longest article, that being longer than
+          all running text outside hinted elements, or
+        * most of the running text, with an h1 (unless the page has none) or
+          with no running text outside hinted elements.
+
+        A page that has no text left is taken without the hints."""
+        n = len(self.tag)
+        structural = list(self.gone)
+        for k in range(1, n):  # parents come before their children
+            structural[k] = structural[k] or structural[self.parent[k]]
+        if not any(self.hinted):
+            return structural
+        near = [k if self.hinted[k] else 0 for k in range(n)]  # the next hinted element upwards
+        for k in range(1, n):
+            near[k] = near[k] or near[self.parent[k]]
+        running, region, articles, h1, main = [0] * n, [0] * n, [0] * n, [False] * n, [False] * n
+        for k, text, linked in self.blocks:
+            if structural[k]:
+                continue
+            h1[k] = h1[k] or self.tag[k] == "h1"
+            if self.tag[k] not in HEADINGS:
+                running[k] += len(text) - linked
+                region[near[k]] += len(text) - linked
+        for k in range(n - 1, 0, -1):
+            up = self.parent[k]
+            if not structural[k]:
+                if self.tag[k] == "article":
+                    articles[k] = max(articles[k], running[k])
+                running[up] += running[k]
+                articles[up] = max(articles[up], articles[k])
+                h1[up] = h1[up] or h1[k]
+                main[up] = main[up] or main[k] or self.is_main[k]
+        dropped, outside = [False] * n, region[0]
+        for k in range(1, n):
+            dropped[k] = structural[k] or dropped[self.parent[k]]
+            if self.hinted[k] and not dropped[k]:
+                stays = (main[k] or (articles[k] == articles[0] and articles[k] > outside)
+                         or (2 * running[k] > running[0] and (h1[k] or not h1[0] or not outside)))
+                dropped[k] = not stays
+                if stays:
+                    outside += region[k]
+        return structural if all(dropped[k] for k, _, _ in self.blocks) else dropped
+
     def _inside(self, k: int, tags: tuple[str, ...]) -> bool:
         for _ in range(12):
             if k < 0:
