@@ -352,6 +352,17 @@ def test_html_wrappers_around_the_page(spark):
     assert {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()} == want
 
 
+def test_html_deep_headers_and_long_tags():
+    deep = "<article>" + "<div>" * 20 + "<header><h1>Title</h1></header>" + "<p>one, two</p>" + "</div>" * 20 + "</article>"
+    assert html_extract.Page(f"<body>{deep}</body>").text(None) == "Title\n\none, two"
+    low = "<article><header>" + "<div>" * 20 + "<p>by us</p>" + "</div>" * 20 + "</header><p>one, two, three, four</p></article>"
+    assert html_extract.Page(f"<body>{low}</body>").text(None) == "one, two, three, four"
+    attrs = " ".join(f'data-a{i}="{i} > {i - 1}"' for i in range(900))
+    assert html_extract.Page(f"<body><div {attrs}><p {attrs}>one, two</p></div></body>").text(None) == "one, two"
+    assert html_extract.Page("<body><p title=\"x>one, two</p></body>").text(None) == "one, two"
+    assert html_extract.Page("<body><p>1 < 2, \"a <b or c\"</p></body>").text(None) == "1 < 2, \"a <b or c\""
+
+
 def test_html_stays_linear():
     for s in ("<div>" * 50000 + "x", "<" * 50000, "<a \"" * 20000, "<table>" + "<tr><td>x" * 20000, "</p>" * 50000):
         html_extract.Page(s).text(None)

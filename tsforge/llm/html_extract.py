@@ -62,8 +62,10 @@ CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
              "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
              "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-# at most 600 pieces between quotes in a tag, so that unbalanced quotes don't cost a scan of the page each
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'){0,600}+)>|<[!?][^>]*>", re.S)
+# at most 600 pieces between quotes in a tag, so that unbalanced quotes don't cost a scan of the page each;
+# a longer tag, or one with unbalanced quotes, ends at its bracket before the next "<"
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'){0,600}+)>|<[!?][^>]*>"
+                    r"|<(/?)([a-zA-Z][^\s/<>\"']*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -80,6 +82,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.key, self.step = ["#"], [-1], [b""], [""]
         self.gone, self.hinted, self.is_main, self.plus = [False], [False], [False], [1.0]
+        self.in_article, self.in_header = [False], [False]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self._read(source)
         self.dropped = self._drops()
@@ -104,10 +107,12 @@ class Page:
         elif "comment" in words or "comments" in words:
             gone = gone or tag == "article"
         if tag == "header":  # of the page; one in an article keeps its headings
-            gone = gone or not self._inside(parent, ("article", "main"))
+            gone = gone or not self.in_article[parent]
         step = f"{tag}.{classes}" if classes else tag
         self.tag.append(tag), self.parent.append(parent), self.step.append(step)
         self.key.append(hashlib.blake2b(self.key[parent] + step.encode("utf-8", "replace"), digest_size=8).digest())
+        self.in_article.append(self.in_article[parent] or tag in ("article", "main"))
+        self.in_header.append(self.in_header[parent] or tag == "header")
         self.gone.append(gone), self.hinted.append(hinted), self.is_main.append(tag == "main" or role == "main")
         good = tag in ("article", "main") or role in ("main", "article")
         self.plus.append(1.5 if good else 1.25 if not words.isdisjoint(CONTENT_WORDS) else 0.6 if tag == "body" else 1.0)
@@ -159,15 +164,6 @@ class Page:
                     outside += region[k]
         return structural if all(dropped[k] for k, _, _ in self.blocks) else dropped
 
-    def _inside(self, k: int, tags: tuple[str, ...]) -> bool:
-        for _ in range(12):
-            if k < 0:
-                return False
-            if self.tag[k] in tags:
-                return True
-            k = self.parent[k]
-        return False
-
     def _read(self, source: str) -> None:
         stack, have, buffer, linked, link, at = [0], {}, [], 0, 0, 0
 
@@ -202,9 +198,10 @@ class Page:
             if not m:
                 break
             at = m.end()
-            if m[2] is None:
+            slash, name, attrs = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
+            if name is None:
                 continue
-            tag, closing = m[2].lower(), bool(m[1])
+            tag, closing = name.lower(), bool(slash)
             if tag == "br":
                 buffer.append(" ")
             elif tag == "a":
@@ -225,8 +222,8 @@ class Page:
                     pop_to({"p"}, {"td", "th", "div", "article", "section", "li", "table"})
                 if tag in CLOSED_BY:
                     pop_to(*CLOSED_BY[tag])
-                if tag not in VOID and not m[3].endswith("/"):
-                    stack.append(self._open(tag, m[3], stack[-1]))
+                if tag not in VOID and not attrs.endswith("/"):
+                    stack.append(self._open(tag, attrs, stack[-1]))
                     have[tag] = have.get(tag, 0) + 1
         flush()
 
@@ -270,7 +267,7 @@ class Page:
         out = []
         for k, text, _ in self.blocks:
             if chosen[k] and not self.dropped[k]:
-                if self.tag[k] not in HEADINGS and self._inside(k, ("header",)):
+                if self.tag[k] not in HEADINGS and self.in_header[k]:
                     continue
                 out.append(text)
         return "\n\n".join(out)
