@@ -1,16 +1,16 @@
-"""Near-duplicate join: MinHash LSH forest with exact verification.
+"""Near-duplicate join: MinHash bands of fixed length with exact verification.
 
 Equal texts form a class; the classes are joined by the Jaccard similarity of
 their sets of five-word shingles.
 
-*Forest.*  Each class has ``TREES`` signatures of up to ``MAX_DEPTH`` minima, one a
-tree; a tree is the prefix trie of its signatures.  Matching starts at whole
-signatures; the prefixes are shortened until two texts at the threshold meet in
-some tree with the target recall, 1 - (1 - t^d)^trees.  The classes below one
-trie node at that depth are its members.
+*Bands.*  They stand in for an LSH forest: each class has ``TREES`` signatures of d
+minima, d being the most (up to ``MAX_DEPTH``) at which two texts at the threshold
+meet in some tree with the target recall, 1 - (1 - t^d)^trees.  d follows from the
+constants alone; longer prefixes are never matched.  The classes that share a
+signature are the members of its node.
 
 *Small nodes* (up to ``SMALL`` members) give candidate pairs.  *Large nodes* hold
-groups of near copies and give no pairs: nodes that share members are connected
+candidates, mostly near copies, and give no pairs: nodes that share members are connected
 to a group, the group is cut into blocks, and tasks compare block with block and
 return each member's number of links and a spanning set of links, so the rows
 stay linear in the members (the comparisons inside a group of different texts
