@@ -30,8 +30,3 @@ def multi_long(spark):
 
     long = to_long(df, "timestamp", MULTI_COLUMNS[1:], series_id="multi")
     return calendar.regularize(long, "H").withColumn("value", F.col("value")).cache()
-
-
-def collect_series(df, var=None):
-    q = df if var is None else df.filter(df["var"] == var)
-    return [r["value"] for r in q.orderBy("series_id", "var", "pos").collect()]

@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import collect_series
+from series_helpers import collect_series
 
 from tsforge.operators import detect, fill, normalize, relations, smooth, spectral, stationarity, transform, unitroot
 

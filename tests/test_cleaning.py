@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import collect_series
+from series_helpers import collect_series
 from fixture_data import MULTI, MULTI_CLEANED, MULTI_COLUMNS, SINGLE, SINGLE_CLEANED
 from pyspark.sql import functions as F
 
