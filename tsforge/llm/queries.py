@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.llm import (bpe, decontaminate, html_extract, jaccard_join, lm_score, pii, quality_rules,
+from tsforge.llm import (bpe, decontaminate, fim, html_extract, jaccard_join, lm_score, pii, quality_rules,
                          rules_classifier, secrets, sharding)
 from tsforge.llm.common import id_mod, table
 
@@ -117,3 +117,33 @@ def op5(spark, sf_dir):
 @query("op2_minhash_forest")
 def op2(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_sparse_fim", sql=r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents),
+l as (
+  select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as u,
+    ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+    ('0x' || substr(h, 25, 8))::bigint as h4 from d),
+c as (
+  select *, len(u) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a,
+    greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b from l),
+p as (
+  select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b], '') as mid,
+    array_to_string(u[b + 1:], '') as suf,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain'
+      when h4 % 100 < 50 then 'spm' else 'psm' end as form from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+  case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(t) as restored_sha256
+from p""")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fim.transform(docs).select("doc_id", "fim.*")
+    back = fim.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
