@@ -66,7 +66,7 @@ def test_positions_irregular(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [("a", "v", base + dt.timedelta(seconds=s), i, float(i)) for i, s in enumerate([5, 1, 9, 9, 100, 3000, 3001])]
     df = spark.createDataFrame(rows, "series_id string, var string, ts timestamp_ntz, event_id long, value double")
-    out = scan.assign_positions(df, order_cols=("ts", "event_id"), chunk_rows=2).orderBy("pos").collect()
+    out = scan.assign_positions(df, order_cols=("ts", "event_id")).orderBy("pos").collect()
     assert [r["pos"] for r in out] == list(range(7))
     assert [r["event_id"] for r in out] == [1, 0, 2, 3, 4, 5, 6]
 

@@ -13,8 +13,8 @@ Every ordered operator in the library is instead evaluated per
   (:func:`valid_neighbours`, :func:`running_sum`).
 
 ``pos`` must be a dense 0..n-1 index inside ``(series_id, var)``; on a regular
-calendar it is arithmetic, otherwise :func:`assign_positions` builds it with a
-count-per-time-chunk + offset scan (no global sort).
+calendar it is arithmetic, otherwise :func:`assign_positions` builds it by a
+sample sort (:func:`number_rows`).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tsforge.plans.materialize import cut
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 CHUNK = "_chunk"
@@ -128,43 +129,39 @@ def running_sum(
     )
 
 
-def assign_positions(
-    df: DataFrame,
-    order_cols=("ts",),
-    keys=KEYS,
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
-) -> DataFrame:
-    """Dense ``pos`` (0-based) per ``keys`` ordered by ``order_cols`` (first is ``ts``).
+def number_rows(df: DataFrame, keys, order, out: str = "pos", hold=cut, partitions: int | None = None) -> DataFrame:
+    """Dense 0-based ``out`` per ``keys`` in the order of ``order`` (names: nulls
+    last, or sort-order columns), by sample sort.
 
-    Rows are bucketed into time chunks of roughly ``chunk_rows`` rows (span /
-    count from a per-series summary), counted per bucket, offset by a running
-    count over buckets, and numbered inside their bucket.  No step sorts a
-    whole series in one task.
+    Spark samples cut points over (keys, order, content hash), so a key that
+    holds most of the rows, or a time that most rows share, is spread over as
+    many ranges as it fills; rows are counted per range and key, numbered inside
+    their range, and shifted by the rows of their key in earlier ranges.  Only
+    keys that lie in several ranges have a shift, so that table has fewer rows
+    than there are ranges.  Rows that are equal in all columns stay together,
+    in any order.  ``hold`` materialises the ranges (their cut points are sampled).
     """
-    order_cols = list(order_cols)
-    ts = order_cols[0]
-    stats = df.groupBy(*keys).agg(
-        F.min(ts).alias("_t0"), F.max(ts).alias("_t1"), F.count(F.lit(1)).alias("_n")
-    )
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(chunk_rows))))
-    span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1")) + F.lit(1)
-    stats = stats.select(*keys, "_t0", nb.cast("bigint").alias("_nb"), span.alias("_span"))
-    d = df.join(stats, on=keys, how="inner")
-    bucket = F.least(
-        F.col("_nb") - 1,
-        F.floor(
-            F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(ts)).cast("double")
-            * F.col("_nb").cast("double")
-            / F.col("_span").cast("double")
-        ),
-    ).cast("bigint")
-    d = d.withColumn("_tb", bucket).drop("_t0", "_nb", "_span")
-    counts = d.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
-    wc = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_tb", F.coalesce(F.sum("_cnt").over(wc), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    tied = df.withColumn("_tie", F.xxhash64(*plain))
+    ranged = hold(tied.repartitionByRange(n, *keys, *by, "_tie").withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    shift = counts.withColumn("_shift", before).filter(F.col("_shift").isNotNull()).select(
+        *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_range").alias("_s_range"), "_shift")
+    same = F.col("_range") == F.col("_s_range")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*by, "_tie")) - 1
     return (
-        d.join(offsets, on=[*keys, "_tb"], how="left")
-        .withColumn("pos", (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint"))
-        .drop("_tb", "_off")
+        ranged.withColumn("_inside", inside)
+        .join(F.broadcast(shift), same, "left")
+        .withColumn(out, (F.col("_inside") + F.coalesce("_shift", F.lit(0))).cast("bigint"))
+        .drop("_inside", "_shift", "_s_range", "_range", "_tie", *[f"_s_{k}" for k in keys])
     )
+
+
+def assign_positions(df: DataFrame, order_cols=("ts",), keys=KEYS) -> DataFrame:
+    """Dense ``pos`` (0-based) per ``keys`` ordered by ``order_cols``; rows without a time come last."""
+    return number_rows(df, list(keys), list(order_cols))

@@ -10,8 +10,8 @@ Long layout (one row per observation)::
 
 ``pos`` is what every ordered operator sorts by.  On a regular calendar it is
 computed arithmetically from ``ts`` (no sort needed); for irregular input it
-is assigned by :func:`tsforge.operators.scan.assign_positions` with a
-two-level (chunk count + offset) scan.
+is assigned by :func:`tsforge.operators.scan.assign_positions` with a sample
+sort (ranges, counts, offsets).
 """
 
 from __future__ import annotations
