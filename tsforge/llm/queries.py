@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.llm import (bpe, decontaminate, fim, html_extract, jaccard_join, lm_score, pii, quality_rules,
-                         rules_classifier, secrets, sharding)
+from tsforge.llm import (bpe, decontaminate, fim, html_extract, jaccard_join, lm_score, pii, prefix_trie,
+                         quality_rules, rules_classifier, secrets, sharding)
 from tsforge.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,47 @@ def op11(spark, sf_dir):
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+@query("op13_rollup_trie", sql="""
+with t as (
+  select conv_id as c, coalesce(text, '') as x, strlen(coalesce(text, '')) as size,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id, turn
+  from conversations where conv_id is not null),
+o as (select *, row_number() over (partition by c order by turn nulls first, id, size) - 1 as p from t),
+k as (
+  select c, c - c % 5 as base, xor(list_reduce(
+    flatten(list_transform(string_split(c::varchar, ''), lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, s: case when s >= 0 then xor(a, s) else xor(a >> 1, case when a % 2 = 1 then 3988292384 else 0 end) end,
+    4294967295::bigint), 4294967295) % 9 as h
+  from (select distinct c from t)),
+r as (
+  select k.c, 0 as part, o.p, o.id, o.size from k join o on o.c = k.base where o.p < k.h
+  union all select k.c, 1, o.p, o.id, o.size from k join o on o.c = k.c where o.p >= k.h),
+paths as (
+  select k.c, coalesce(list(r.id order by part, p) filter (id is not null), []) as ids,
+    coalesce(list(r.size order by part, p) filter (id is not null), []) as sizes
+  from k left join r on r.c = k.c group by k.c),
+m as (
+  select c, d, len(ids) as n, array_to_string(ids[1:d], '') as prefix, case when d > 0 then sizes[d] else 0 end as size
+  from (select *, unnest(range(0, len(ids) + 1)) as d from paths)),
+nodes as (
+  select prefix, d, min(c) as c, count(*) as n, max(size) as size, sha256(coalesce(string_agg(c::varchar, ',' order by c)
+    filter (n = d), '')) as ends_sha256
+  from m group by prefix, d),
+kids as (select substr(prefix, 1, 32 * (d - 1)) as prefix, count(*) as n from nodes where d > 0 group by 1),
+own as (
+  select nodes.*, coalesce(kids.n, 0) as n_children, (nodes.n - 1) * size as saved
+  from nodes left join kids on kids.prefix = nodes.prefix),
+subtree as (
+  select substr(prefix, 1, 32 * up) as prefix, sum((n_children = 0)::bigint)::bigint as n_leaves,
+    sum(saved)::bigint as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as up from own) group by 1)
+select own.c as conv_id, own.d as depth, parent.c as parent_conv_id, own.n as n_convs, own.n_children, n_leaves,
+  saved_tokens, own.ends_sha256
+from own join subtree on subtree.prefix = own.prefix
+left join nodes as parent on own.d > 0 and parent.prefix = substr(own.prefix, 1, 32 * (own.d - 1))
+""")
+def op13(spark, sf_dir):
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns))
