@@ -61,6 +61,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of :func:`written` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if at.startswith(root) or at.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
+                path = spark._jvm.org.apache.hadoop.fs.Path(at)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows up to which :func:`small_side` broadcasts (keys of some tens of bytes).
 BROADCAST_ROWS = 1_000_000
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.llm import (bpe, decontaminate, fim, html_extract, jaccard_join, lm_score, pii, prefix_trie,
-                         quality_rules, rules_classifier, secrets, sharding)
+                         quality_rules, rules_classifier, secrets, sharding, substring_dedup)
 from tsforge.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,30 @@ def op11(spark, sf_dir):
                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
 
 
+@query("op12_fm_substrings", sql=r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents),
+g as (
+  select doc_id, s, array_to_string(w[s:s + 19], ' ') as words
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as s from d)),
+later as (
+  select doc_id, s from (select *, row_number() over (partition by words order by doc_id, s) as k from g) where k > 1),
+gone as (select distinct doc_id, unnest(range(s, s + 20)) as p from later),
+lists as (select doc_id, list(p order by p) as ps, count(*) as n from gone group by doc_id),
+kept as (
+  select d.doc_id, string_agg(word, ' ' order by p) as t
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d) d
+  where not exists (select 1 from gone where gone.doc_id = d.doc_id and gone.p = d.p) group by d.doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join lists using (doc_id) left join kept using (doc_id)""")
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.deduplicated(docs)
+    return out.select("doc_id", "dedup.n_words", "dedup.n_removed",
+                      F.sha2(F.col("dedup.kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op13_rollup_trie", sql="""
 with t as (
   select conv_id as c, coalesce(text, '') as x, strlen(coalesce(text, '')) as size,
