@@ -112,23 +112,64 @@ def test_adf_no_constant_uses_levels(spark):
     assert abs(r["statistic"] - b / np.sqrt(s2 / (xl @ xl))) < 1e-8
 
 
-def test_loess_matches_definition(spark):
-    from tsforge.operators.smooth import loess_window
-
-    rng = np.random.default_rng(9)
-    n, frac = 120, 0.15
-    y = np.sin(np.arange(n) / 6.0) + 0.1 * rng.normal(size=n)
-    got = np.array(collect_series(smooth.loess(mk(spark, list(y)), frac=frac, chunk_rows=16)))
+def loess_definition(y, frac):
+    """Weighted least squares over the k nearest positions, point by point (NaN: no neighbour)."""
+    n = len(y)
     k = int(n * frac)
-    left, rad = loess_window(np.arange(n).astype(float), n, k)
-    exp = np.empty(n)
+    out = np.empty(n)
     for t in range(n):
-        js = left[t] + np.arange(k)
-        dd = np.abs(js - t) / rad[t]
-        w = np.where(dd < 1, (1 - dd ** 3) ** 3, 0)
-        xm, ym = (w * js).sum() / w.sum(), (w * y[js]).sum() / w.sum()
-        exp[t] = ym + (w * (js - xm) * (y[js] - ym)).sum() / (w * (js - xm) ** 2).sum() * (t - xm)
-    assert np.max(np.abs(got - exp)) < 1e-9
+        left = int(min(max(np.ceil(t - k / 2.0), 0), n - k))
+        js = left + np.arange(k)
+        dd = np.abs(js - t) / max(t - left, left + k - 1 - t)
+        w = np.where(np.isnan(y[js]), 0.0, np.where(dd < 1, (1 - dd ** 3) ** 3, 0.0))
+        v = np.nan_to_num(y[js])
+        if w.sum() <= 1e-9:
+            out[t] = np.nan
+            continue
+        xm, ym = (w * js).sum() / w.sum(), (w * v).sum() / w.sum()
+        sxx = (w * (js - xm) ** 2).sum()
+        out[t] = ym + ((w * (js - xm) * (v - ym)).sum() / sxx * (t - xm) if sxx > 1e-12 * max(1.0, xm * xm) else 0.0)
+    return out
+
+
+# chunks smaller than a neighbourhood get power sums for the blocks in between
+@pytest.mark.parametrize("n,frac,chunk", [(120, 0.15, 16), (120, 0.15, 5), (301, 0.5, 7), (90, 1.0, 4), (64, 0.04, 8),
+                                          (1000, 0.3, 65536)])
+def test_loess_matches_definition(spark, n, frac, chunk):
+    rng = np.random.default_rng(9)
+    y = 1e3 + np.sin(np.arange(n) / 6.0) + 0.1 * rng.normal(size=n)
+    got = np.array(collect_series(smooth.loess(mk(spark, list(y)), frac=frac, chunk_rows=chunk)))
+    assert np.max(np.abs(got - loess_definition(y, frac))) < 1e-8
+
+
+def test_loess_with_gaps(spark):
+    rng = np.random.default_rng(10)
+    y = 5 + rng.normal(size=150)
+    y[rng.random(150) < 0.3] = np.nan
+    got = np.array([np.nan if v is None else v for v in collect_series(
+        smooth.loess(mk(spark, [None if np.isnan(v) else float(v) for v in y]), frac=0.2, chunk_rows=20))], dtype=float)
+    exp = loess_definition(y, 0.2)
+    assert (np.isnan(got) == np.isnan(exp)).all() and np.nanmax(np.abs(got - exp)) < 1e-8
+
+
+def test_loess_work_is_linear():
+    import time
+
+    from tsforge.operators import loess as kernel
+
+    def seconds(n):
+        y = np.sin(np.arange(n) / 50.0)
+        i, k = np.arange(n), n // 10
+        best = np.inf
+        for _ in range(3):
+            t0 = time.perf_counter()
+            blocks = kernel.Blocks(i, y, max(1, -(-k // 4)))
+            lo, r = kernel.neighbourhood(i, n, k)
+            kernel.fit(blocks.sums(lo, i, i, r), blocks.sums(i, lo + k, i, r), i, r)
+            best = min(best, time.perf_counter() - t0)
+        return best
+
+    assert seconds(80_000) < 8 * seconds(20_000)  # four times the points; direct sums would take sixteen times
 
 
 @pytest.mark.parametrize("levels", [1, 2, 3])

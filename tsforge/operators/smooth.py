@@ -7,8 +7,8 @@
   folded over chunks (one row per chunk) and each chunk is then replayed from
   its carried-in state.  Nothing orders a whole series in one task.
 * F3 LOESS (local linear, tricube, no robustness iterations) over the
-  ``k = int(frac*n)`` nearest positions; evaluated per chunk with a halo of
-  ``k`` rows in a grouped pandas function.
+  ``k = int(frac*n)`` nearest positions, from power sums (:mod:`loess`): time
+  and memory of a chunk don't hang on ``k``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tsforge.operators import loess as kernel
 from tsforge.operators import scan
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
@@ -179,92 +180,88 @@ def ewm(df: DataFrame, alpha: float = 0.2, chunk_rows: int = DEFAULT_CHUNK_ROWS)
 # ------------------------------------------------------------------ LOESS
 
 
-def loess_window(i: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Left end and radius of the k-nearest neighbourhood of position i on 0..n-1."""
-    left = np.clip(np.ceil(i - k / 2.0), 0, n - k).astype(np.int64)
-    radius = np.maximum(i - left, left + k - 1 - i).astype(np.float64)
-    return left, radius
-
-
 def loess(df: DataFrame, frac: float = 0.1, window: int = 3, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """local linear LOESS with tricube weights on positions; F4: series with
     ``k = int(frac*n) < 2`` fall back to the centred moving average (F1).
 
     Positions are treated as the regressor (the reference passes ``arange(n)``);
-    exact for gap-free series.  Interior points of a gap-free chunk share one
-    neighbourhood shape, so their fits are two correlations of the chunk with
-    fixed weight patterns (C loops); only the ~k edge points are fitted one by
-    one.
+    exact for gap-free series.  A chunk gets the rows of the blocks in which its
+    neighbourhoods begin and end (blocks of k/4 rows, at most a chunk) and of
+    all blocks in between only their power sums, so a task holds some chunks of
+    rows whatever the neighbourhood.  A point whose valid neighbours have
+    next to no weight (all at the rim) is NULL.
     """
     if not 0 < frac <= 1:
         raise ValueError("frac must be in (0, 1]")
     cols = df.columns
-    n_df = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    kmax = n_df.select(F.max(F.floor(F.col("_n") * F.lit(frac)))).first()[0] or 0
-    kmax = int(kmax)
-    d = df.join(n_df, on=KEYS, how="inner").withColumn("_k", F.floor(F.col("_n") * F.lit(frac)).cast("bigint"))
+    size = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"))
+    k = F.floor(F.col("_n") * F.lit(frac)).cast("bigint")
+    size = size.withColumn("_k", k).withColumn(
+        "_len", F.greatest(F.lit(1), F.least(F.lit(int(chunk_rows)), F.ceil(F.col("_k") / 4.0))).cast("bigint"))
+    d = df.join(size, on=KEYS, how="inner")
     small = d.filter(F.col("_k") < 2).select(*cols)
     big = d.filter(F.col("_k") >= 2)
-    if kmax < 2:
-        return moving_average(small, window, chunk_rows)
-    crows = max(int(chunk_rows), kmax)
-    h = scan.with_halo(big, before=kmax, after=kmax, chunk_rows=crows)
+    rows = big.select(*KEYS, "pos", (F.col("value") - F.col("_mean")).alias("y"), "_len",
+                      F.expr("pos div _len").alias("block"))
+
+    # what each chunk needs: block -> its rows, or only its power sums
+    c = int(chunk_rows)
+    need = size.filter(F.col("_k") >= 2).withColumn(
+        scan.CHUNK, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {c}"))))
+    need = need.withColumn("_a", F.col(scan.CHUNK) * c).withColumn("_b", F.least(F.col("_a") + c, F.col("_n")))
+
+    def left(i):
+        return F.least(F.greatest(F.ceil(i - F.col("_k") / 2.0), F.lit(0)), F.col("_n") - F.col("_k")).cast("bigint")
+
+    need = need.withColumn("_l0", left(F.col("_a"))).withColumn("_l1", left(F.col("_b") - 1))
+    up = lambda x: f"(({x}) + _len - 1) div _len"
+    gaps = {"_g0": up("_l1"), "_g1": "_a div _len", "_h0": up("_b"), "_h1": "(_l0 + _k) div _len"}
+    need = need.select("*", *[F.expr(e).alias(n) for n, e in gaps.items()]).withColumn(
+        "block", F.explode(F.sequence(F.expr("_l0 div _len"), F.expr("(greatest(_l1 + _k, _b) - 1) div _len"))))
+    far = ((F.col("block") >= F.col("_g0")) & (F.col("block") < F.col("_g1"))) | (
+        (F.col("block") >= F.col("_h0")) & (F.col("block") < F.col("_h1")))
+    need = need.withColumn("_far", far)
+    u = (F.expr("pos % _len") - (F.col("_len") - 1) / 2.0) / F.col("_len")
+    valid = F.when(F.col("y").isNotNull(), F.lit(1.0))
+    sums = rows.groupBy(*KEYS, "block").agg(F.array(
+        *[F.coalesce(F.sum(F.pow(u, F.lit(p)) * F.col("y")), F.lit(0.0)) for p in range(kernel.N_VALUE)],
+        *[F.coalesce(F.sum(F.pow(u, F.lit(p)) * valid), F.lit(0.0)) for p in range(kernel.N_ONE)]).alias("sums"))
+    at = [*KEYS, scan.CHUNK, "block", "_n", "_k", "_len", "_mean"]
+    near = need.filter(~F.col("_far")).select(*at).join(rows.drop("_len"), on=[*KEYS, "block"]).withColumn(
+        "sums", F.lit(None).cast("array<double>"))
+    between = need.filter("_far").select(*at).join(sums, on=[*KEYS, "block"]).withColumn(
+        "pos", F.lit(None).cast("bigint")).withColumn("y", F.lit(None).cast("double"))
+    parts = near.unionByName(between)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        n = int(pdf["_n"].iloc[0])
-        k = int(pdf["_k"].iloc[0])
-        pos = pdf["pos"].to_numpy(dtype=np.int64)
-        y = pdf["value"].to_numpy(dtype="float64", na_value=np.nan)
-        home = pdf[scan.HOME].to_numpy(dtype=bool)
-        hp = pos[home]
-        out = np.full(len(hp), np.nan)
-        left, radius = loess_window(hp.astype(np.float64), n, k)
-        # interior points of a gap-free stretch share one neighbourhood shape:
-        # offsets o = left - i + j, fixed tricube weights -> two convolutions
-        contiguous = len(pos) == pos[-1] - pos[0] + 1
-        off = left - hp
-        lo_c, hi_c = int(np.ceil(-k / 2.0)), int(np.ceil(-k / 2.0)) + k - 1
-        interior = (off == lo_c) & contiguous & (hp + lo_c >= pos[0]) & (hp + hi_c <= pos[-1])
-        if interior.any() and not np.isnan(y).any():
-            o = np.arange(lo_c, hi_c + 1, dtype=np.float64)
-            r = max(-lo_c, hi_c)
-            d = np.abs(o) / r if r > 0 else np.zeros(k)
-            w = np.where(d < 1.0, (1.0 - d**3) ** 3, 0.0)
-            W = w.sum()
-            ob = (w * o).sum() / W
-            sxx = (w * (o - ob) ** 2).sum()
-            # correlate y with the weight patterns (valid part aligned at the window start)
-            ym_all = np.correlate(y, w / W, mode="valid")
-            sxy_all = np.correlate(y, w * (o - ob), mode="valid")
-            start = hp[interior] + lo_c - pos[0]
-            ym, sxy = ym_all[start], sxy_all[start]
-            out[interior] = ym + (sxy / sxx) * (-ob) if sxx > 1e-12 * max(1.0, ob * ob) else ym
-        yi = {int(p_): v for p_, v in zip(pos, y)}
-        offs = np.arange(k)
-        for t in np.nonzero(~interior)[0]:
-            js = left[t] + offs
-            yy = np.array([yi.get(int(j), np.nan) for j in js])
-            rr = radius[t]
-            dist = np.abs(js - hp[t]) / rr if rr > 0 else np.zeros(k)
-            wt = np.where(dist < 1.0, (1.0 - dist**3) ** 3, 0.0)
-            ok = ~np.isnan(yy)
-            wt, xs, yy = wt[ok], js[ok].astype(np.float64), yy[ok]
-            sw = wt.sum()
-            if sw <= 0:
-                continue
-            xm = (wt * xs).sum() / sw
-            ymv = (wt * yy).sum() / sw
-            sxxv = (wt * (xs - xm) ** 2).sum()
-            if sxxv > 1e-12 * max(1.0, xm * xm):
-                out[t] = ymv + (wt * (xs - xm) * (yy - ymv)).sum() / sxxv * (hp[t] - xm)
+        n, k, length = (int(pdf[x].iloc[0]) for x in ("_n", "_k", "_len"))
+        a = int(pdf[scan.CHUNK].iloc[0]) * c
+        points = pdf[pdf["pos"].notna()]
+        pos = points["pos"].to_numpy(dtype=np.int64)
+        y = points["y"].to_numpy(dtype="float64", na_value=np.nan)
+        i = np.sort(pos[(pos >= a) & (pos < a + c)])
+        blocks = kernel.Blocks(pos, y, length)
+        lo, r = kernel.neighbourhood(i, n, k)
+        hi = lo + k
+        b = min(a + c, n)
+        l0, l1 = (int(kernel.neighbourhood(np.array([x]), n, k)[0][0]) for x in (a, b - 1))
+        ends = [(-(-l1 // length) * length, a // length * length), (-(-b // length) * length, (l0 + k) // length * length)]
+        sides = [np.zeros((kernel.N_ALL, len(i))) for _ in ends]
+        far = pdf[pdf["pos"].isna()]
+        for side, (begin, end), (x0, x1) in zip(sides, ends, ((lo, i), (i, hi))):
+            if begin < end:  # the blocks in between, the same ones for all points: moved to the chunk, then to the points
+                mid, mine = (a + b - 1) / 2.0, far[(far["block"] * length >= begin) & (far["block"] * length < end)]
+                if len(mine):
+                    centre = mine["block"].to_numpy(dtype="float64") * length + blocks.middle
+                    all_ = kernel.moved(np.stack(mine["sums"].to_numpy()).T, (centre - mid) / k,
+                                        np.full(len(mine), length / k)).sum(axis=1, keepdims=True)
+                    side += kernel.moved(all_, (mid - i) / r, k / r)
+                side += blocks.sums(x0, np.minimum(x1, begin), i, r) + blocks.sums(np.maximum(x0, end), x1, i, r)
             else:
-                out[t] = ymv
-        return pd.DataFrame({"series_id": pdf["series_id"].to_numpy()[home], "var": pdf["var"].to_numpy()[home],
-                             "pos": hp, "value": out})
+                side += blocks.sums(x0, x1, i, r)
+        out = kernel.fit(*sides, i, r) + float(pdf["_mean"].iloc[0])
+        return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "var": pdf["var"].iloc[0], "pos": i, "value": out})
 
-    sm = h.select(*KEYS, scan.CHUNK, scan.HOME, "pos", "value", "_n", "_k").groupBy(*KEYS, scan.CHUNK).applyInPandas(
-        fit, _EWM_SCHEMA
-    )
-    fitted = big.select(*[c for c in cols if c != "value"]).join(sm, on=[*KEYS, "pos"], how="inner").select(*cols)
+    sm = parts.groupBy(*KEYS, scan.CHUNK).applyInPandas(fit, _EWM_SCHEMA)
+    fitted = big.select(*[x for x in cols if x != "value"]).join(sm, on=[*KEYS, "pos"], how="inner").select(*cols)
     return fitted.unionByName(moving_average(small, window, chunk_rows))
