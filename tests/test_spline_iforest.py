@@ -80,24 +80,36 @@ def kendall_brute(x, y):
     return s / np.sqrt((n0 - n1) * (n0 - n2))
 
 
-@pytest.mark.parametrize("buckets,levels", [(1, 1), (4, 1), (16, 1), (4, 2)])
-def test_kendall_matches_brute_force(spark, buckets, levels):
-    from tsforge.operators.kendall import kendall, pair_sign_sum
+def test_pair_sign_sum():
+    from tsforge.operators.kendall import cell_sign_sum, pair_sign_sum
+
+    rng = np.random.default_rng(12)
+    for n in (0, 1, 2, 5, 40):
+        for top in (2, 5, 100):
+            x, y, c = rng.integers(0, top, n), rng.integers(0, top, n), rng.integers(1, 4, n)
+            want = sum(int(c[i] * c[j] * np.sign(x[i] - x[j]) * np.sign(y[i] - y[j])) for i in range(n) for j in range(i))
+            assert pair_sign_sum(x, y, c) == want
+            if top <= 8:
+                assert cell_sign_sum(x, y, c, 8) == want
+
+
+# chunks of one row up to one chunk; one bit a digit: many levels of cells
+@pytest.mark.parametrize("chunk,bits", [(1, 1), (7, 6), (65536, 6)])
+def test_kendall_matches_brute_force(spark, chunk, bits):
+    from tsforge.operators.kendall import kendall
 
     rng = np.random.default_rng(11)
-    n = 300
+    n = 120
     a = np.round(rng.normal(size=n), 1)  # many ties
-    b = np.round(a * 0.5 + rng.normal(size=n), 1)
+    b = np.where(rng.random(n) < 0.9, 3.0, np.round(a * 0.5 + rng.normal(size=n), 2))  # 90 % share one value
     c = rng.integers(0, 5, size=n).astype(float)
-    rows = []
-    for i in range(n):
-        for v, arr in (("a", a), ("b", b), ("c", c)):
-            rows.append(("s", v, None, i, float(arr[i])))
+    rows = [("s", v, None, i, float(arr[i])) for i in range(n) for v, arr in (("a", a), ("b", b), ("c", c))]
+    rows[5 * 3] = ("s", "a", None, 5, None)
     df = spark.createDataFrame(rows, "series_id string, var string, ts timestamp_ntz, pos long, value double")
-    got = {(r["var1"], r["var2"]): r["tau"] for r in kendall(df, buckets=buckets, levels=levels).collect()}
-    for (u, v), (x, y) in {("a", "b"): (a, b), ("a", "c"): (a, c), ("b", "c"): (b, c)}.items():
-        assert abs(got[(u, v)] - kendall_brute(x, y)) < 1e-12
-    assert pair_sign_sum(np.array([1.0, 2, 3]), np.array([3.0, 2, 1])) == -3
+    got = {(r["var1"], r["var2"]): (r["n"], r["tau"]) for r in kendall(df, chunk_rows=chunk, fan_bits=bits).collect()}
+    keep = np.arange(n) != 5
+    for (u, v), (x, y) in {("a", "b"): (a[keep], b[keep]), ("a", "c"): (a[keep], c[keep]), ("b", "c"): (b, c)}.items():
+        assert got[u, v][0] == len(x) and abs(got[u, v][1] - kendall_brute(x, y)) < 1e-12
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 100000])
