@@ -5,9 +5,9 @@ materialising the design, every scan chunk (with a halo of ``maxlag + 1``
 predecessors) builds its rows in numpy inside a grouped pandas task and
 returns one partial Gram matrix ``Σ z zᵀ`` for the rows of the common sample,
 plus the few *head* rows (positions before the common start) individually.
-Spark sums the partial Grams element-wise per series (a plain distributed
-aggregation), so the per-series solve only ever sees one ``w×w`` matrix and
-at most ``maxlag`` head rows — whatever the series length.
+The matrices stay whole: a merge tree adds them up array by array (never
+exploded into w² rows), so the per-series solve only ever sees one ``w×w``
+matrix and at most ``maxlag`` head rows — whatever the series length.
 """
 
 from __future__ import annotations
@@ -73,18 +73,26 @@ def lagged_gram(
         gram = (zb.T @ zb).ravel() if len(zb) else np.zeros(width * width)
         heads = [{"pos": int(p), "z": list(map(float, r))} for p, r in zip(pos[home & (pos < start)], z[home & (pos < start)])]
         return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "var": [pdf["var"].iloc[0]],
-                             "gram": [gram.tolist()], "rows": [int(len(zb))], "heads": [heads]})
-
-    parts = h.groupBy(*KEYS, scan.CHUNK).applyInPandas(part, GRAM_SCHEMA)
-    g = (parts.select(*KEYS, F.posexplode("gram").alias("i", "v"))
-         .groupBy(*KEYS, "i").agg(F.sum("v").alias("v"))
-         .groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("_g")))
-    nr = parts.groupBy(*KEYS).agg(F.sum("rows").alias("rows"))
-    hd = parts.select(*KEYS, F.explode("heads").alias("h")).groupBy(*KEYS).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("h.pos").alias("pos"), F.col("h.z").alias("z")))).alias("heads"))
-    return (g.join(hd, on=KEYS, how="left").join(nr, on=KEYS, how="left")
-            .select(*KEYS, F.transform("_g", lambda e: e["v"]).alias("gram"), "rows",
-                    F.coalesce("heads", F.array().cast("array<struct<pos:long,z:array<double>>>")).alias("heads")))
+                             "gram": [gram.tolist()], "rows": [int(len(zb))], "heads": [heads],
+                             scan.CHUNK: [int(pdf[scan.CHUNK].iloc[0])]})
+
+    parts = h.groupBy(*KEYS, scan.CHUNK).applyInPandas(part, f"{GRAM_SCHEMA}, {scan.CHUNK} long")
+    for step in (MERGE_FAN, MERGE_FAN, None):  # a tree: a task adds up at most MERGE_FAN matrices below the root
+        keys = [*KEYS] if step is None else [*KEYS, F.expr(f"{scan.CHUNK} div {step}").alias(scan.CHUNK)]
+        parts = parts.groupBy(*keys).agg(
+            F.collect_list("gram").alias("grams"), F.sum("rows").alias("rows"),
+            F.array_sort(F.flatten(F.collect_list("heads"))).alias("heads")).withColumn("gram", _added("grams")).drop("grams")
+    return parts.select(*KEYS, "gram", "rows", "heads")
+
+
+#: Matrices that one task of the merge tree adds up.
+MERGE_FAN = 256
+
+
+def _added(arrays: str):
+    """Element-wise sum of an array of equally long arrays."""
+    first = F.transform(F.get(F.col(arrays), 0), lambda e: F.lit(0.0))
+    return F.aggregate(arrays, first, lambda acc, g: F.zip_with(acc, g, lambda a, b: a + b))
 
 
 def ols_from_gram(G: np.ndarray, cols: list[int], ycol: int):

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tsforge.functions.expr import sdiv
 from tsforge.operators import lags, scan
+from tsforge.plans.materialize import cut
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 # Two-sided 95 % normal quantile and KPSS critical values / p grid.
@@ -185,6 +186,26 @@ def _kpss_p_expr(stat, regression: str):
     return e.otherwise(F.lit(pv[-1]))
 
 
+def _partial_sums(e: DataFrame, maxlag: int, chunk_rows: int) -> DataFrame:
+    """Per chunk of ``_e`` (NULL: 0): m rows, total, the sums of the running sum and of its
+    square from the chunk's start (upto, upto2), and the lag products of lags 0..maxlag."""
+    h = scan.with_halo(e, before=maxlag, after=0, chunk_rows=chunk_rows)
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        v, home = pdf["_e"].to_numpy(dtype="float64", na_value=np.nan), pdf[scan.HOME].to_numpy(dtype=bool)
+        upto = np.cumsum(np.nan_to_num(v[home]))
+        v, home = lags.on_grid(pdf["pos"].to_numpy(dtype=np.int64), v, home)
+        products, _ = lags.lag_products(v, v, home, maxlag)
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in (*KEYS, scan.CHUNK)}, "m": [len(upto)],
+                             "total": [upto[-1] if len(upto) else 0.0], "upto": [upto.sum()],
+                             "upto2": [(upto * upto).sum()], "products": [products]})
+
+    return h.groupBy(*KEYS, scan.CHUNK).applyInPandas(
+        part, f"series_id string, var string, {scan.CHUNK} long, m long, total double, upto double, upto2 double, "
+              "products array<double>")
+
+
 def kpss(df: DataFrame, regression: str = "c", nlags="auto", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """KPSS statistic, p-value (interpolated, clipped to [0.01, 0.10]) and
     lags; ``stationary`` iff p > 0.05.  Residuals from the mean (``c``) or a
@@ -192,38 +213,37 @@ def kpss(df: DataFrame, regression: str = "c", nlags="auto", chunk_rows: int = D
     lag rule of Hobijn et al. (as statsmodels ``nlags='auto'``)."""
     if regression not in KPSS_CRIT:
         raise ValueError("regression must be 'c' or 'ct'")
-    d = df
+    # read 1: the regression; read 2: partial sums and short lags per chunk; read 3 (automatic lags): the lags it wants
     if regression == "c":
-        st = d.groupBy(*KEYS).agg(F.avg("value").alias("_mu"), F.count(F.lit(1)).alias("_n"))
-        e = d.join(st, on=KEYS).withColumn("_e", F.col("value") - F.col("_mu"))
+        fitted = [F.avg("value").alias("_a"), F.lit(0.0).alias("_b")]
     else:
-        st = d.groupBy(*KEYS).agg(
-            F.regr_slope("value", "pos").alias("_b"), F.regr_intercept("value", "pos").alias("_a"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        e = d.join(st, on=KEYS).withColumn("_e", F.col("value") - F.col("_a") - F.col("_b") * F.col("pos"))
-    e = scan.running_sum(e, "_e", "_S", chunk_rows)
-    eta = e.groupBy(*KEYS).agg(F.sum(F.col("_S") * F.col("_S")).alias("_ss"), F.first("_n").alias("n"))
-    n_max = d.groupBy(*KEYS).count().agg(F.max("count")).first()[0] or 0
+        fitted = [F.regr_intercept("value", "pos").alias("_a"), F.regr_slope("value", "pos").alias("_b")]
+    st = cut(df.groupBy(*KEYS).agg(*fitted, F.count(F.lit(1)).alias("n")))
+    e = df.select(*KEYS, "pos", "value").join(st, on=KEYS).select(
+        *KEYS, "pos", (F.col("value") - F.col("_a") - F.col("_b") * F.col("pos")).alias("_e"))
+    n_max = st.agg(F.max("n")).first()[0] or 0
+    short = int(n_max ** (2.0 / 9.0)) if nlags == "auto" else min(int(nlags), max(n_max - 1, 0))
+    parts = cut(_partial_sums(e, short, chunk_rows))
+    before = Window.partitionBy(*KEYS).orderBy(scan.CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    c = F.coalesce(F.sum("total").over(before), F.lit(0.0))
+    eta = parts.select(*KEYS, (F.col("m") * c * c + 2.0 * c * F.col("upto") + F.col("upto2")).alias("_v")).groupBy(
+        *KEYS).agg(F.sum("_v").alias("_ss")).join(st.select(*KEYS, "n"), on=KEYS)
+    ls = lags.summed(parts, KEYS, {"products": "s"})
     if nlags == "auto":
-        cov = int(n_max ** (2.0 / 9.0))
-        g = lags.lag_sums(e, cov, x="_e", chunk_rows=chunk_rows).join(eta.select(*KEYS, "n"), on=KEYS)
         covl = F.floor(F.pow(F.col("n").cast("double"), F.lit(2.0 / 9.0)))
-        g = g.filter(F.col("lag") <= covl).withColumn("_r", F.when(F.col("lag") == 0, F.col("s") / F.col("n")).otherwise(
-            F.col("s") / (F.col("n") / 2.0)))
+        g = ls.join(st.select(*KEYS, "n"), on=KEYS).filter(F.col("lag") <= covl).withColumn(
+            "_r", F.when(F.col("lag") == 0, F.col("s") / F.col("n")).otherwise(F.col("s") / (F.col("n") / 2.0)))
         sh = g.groupBy(*KEYS, "n").agg(F.sum("_r").alias("_s0"), F.sum(F.col("lag") * F.col("_r")).alias("_s1"))
         auto = F.floor(
             F.lit(1.1447) * F.pow(F.pow(F.col("_s1") / F.col("_s0"), F.lit(2.0)), F.lit(1.0 / 3.0))
             * F.pow(F.col("n").cast("double"), F.lit(1.0 / 3.0))
         ).cast("bigint")
-        lag_tab = sh.select(*KEYS, F.least(auto, F.col("n") - 1).alias("lags"))
+        lag_tab = cut(sh.select(*KEYS, F.least(auto, F.col("n") - 1).alias("lags")))
         lmax = lag_tab.agg(F.max("lags")).first()[0] or 0
+        ls = lags.lag_sums(e, int(lmax), x="_e", chunk_rows=chunk_rows)
     else:
         lag_tab = eta.select(*KEYS, F.least(F.lit(int(nlags)), F.col("n") - 1).alias("lags"))
-        lmax = min(int(nlags), max(n_max - 1, 0))
-    gl = lags.lag_sums(e, int(lmax), x="_e", chunk_rows=chunk_rows).join(lag_tab, on=KEYS).filter(
-        F.col("lag") <= F.col("lags")
-    )
+    gl = ls.join(lag_tab, on=KEYS).filter(F.col("lag") <= F.col("lags"))
     wts = F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(2.0 * (1.0 - F.col("lag") / (F.col("lags") + 1.0)))
     lrv = gl.groupBy(*KEYS, "lags").agg(F.sum(wts * F.col("s")).alias("_lrv"))
     out = eta.join(lrv, on=KEYS).withColumn("_s2", F.col("_lrv") / F.col("n"))

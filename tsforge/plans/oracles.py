@@ -7,6 +7,8 @@ Doubles are rounded with :func:`R6` exactly like ``tsforge.plans.queries.finish`
 
 from __future__ import annotations
 
+from tsforge.plans import regression_oracles as ro
+
 ORACLES: dict[str, str] = {}
 
 
@@ -507,7 +509,8 @@ p AS (SELECT series_id, var, n, 0 AS lag, 1.0 AS pacf FROM w
 SELECT series_id, var, CAST(lag AS BIGINT) AS lag, n, {R6('pacf')} AS pacf, {R6('1.959963984540054 / sqrt(n)')} AS band FROM p"""
 
 
-def kpss_sql(src_ctes: str, src: str, regression: str) -> str:
+def kpss_ctes(src: str, regression: str) -> str:
+    """CTEs up to ``ks_o``: series_id, var, n, lags, st, pv."""
     if regression == "c":
         resid = f"""r AS (SELECT series_id, var, pos, value - avg(value) OVER (PARTITION BY series_id, var) AS e,
                     count(*) OVER (PARTITION BY series_id, var) AS n FROM {src})"""
@@ -522,8 +525,7 @@ r AS (SELECT s.series_id, s.var, s.pos, s.value - co.a0 - co.b * s.pos AS e, co.
     for i in range(3):
         interp += f"WHEN st <= {crit[i + 1]} THEN {pv[i]} + (st - {crit[i]}) * ({(pv[i + 1] - pv[i]) / (crit[i + 1] - crit[i])!r}) "
     interp += f"ELSE {pv[3]} END"
-    return f"""WITH {src_ctes},
-{resid},
+    return f"""{resid},
 cs AS (SELECT *, sum(e) OVER (PARTITION BY series_id, var ORDER BY pos ROWS UNBOUNDED PRECEDING) AS S FROM r),
 eta AS (SELECT series_id, var, any_value(n) AS n, sum(S * S) AS ss FROM cs GROUP BY ALL),
 ls AS (SELECT a.series_id, a.var, k.lag, sum(a.e * b.e) AS s
@@ -540,12 +542,13 @@ lr AS (SELECT ls.series_id, ls.var, lg.lags,
               sum(CASE WHEN lag = 0 THEN s ELSE 2 * (1 - lag / (lags + 1.0)) * s END) AS lrv
        FROM ls JOIN lg USING (series_id, var) WHERE lag <= lags GROUP BY ALL),
 o AS (SELECT eta.series_id, eta.var, eta.n, lr.lags, (ss / (eta.n * eta.n)) / (lrv / eta.n) AS st
-      FROM eta JOIN lr USING (series_id, var))
-SELECT series_id, var, n, lags, {R6('st')} AS statistic, {R6(interp)} AS p_value, ({interp}) > 0.05 AS stationary FROM o"""
+      FROM eta JOIN lr USING (series_id, var)),
+ks_o AS (SELECT *, {interp} AS pv FROM o)"""
 
 
-ORACLES["kpss"] = kpss_sql(SHIP_GRID, "ship_g", "c")
-ORACLES["kpss_ct"] = kpss_sql(EV_F, "ev_f", "ct")
+for _name, _src_ctes, _src, _regression in (("kpss", SHIP_GRID, "ship_g", "c"), ("kpss_ct", EV_F, "ev_f", "ct")):
+    ORACLES[_name] = f"""WITH {_src_ctes}, {kpss_ctes(_src, _regression)}
+SELECT series_id, var, n, lags, {R6('st')} AS statistic, {R6('pv')} AS p_value, pv > 0.05 AS stationary FROM ks_o"""
 
 # ----------------------------------------------------------------- J
 
@@ -664,28 +667,33 @@ r AS (SELECT series_id, var, regr_count(dx, xl) AS m, regr_slope(dx, xl) AS b, r
 SELECT series_id, var, {R6('b / sqrt(((syy - sxy * sxy / sxx) / (m - 2)) / sxx)')} AS statistic,
        CAST(0 AS BIGINT) AS used_lag, m AS nobs FROM r"""
 
-ORACLES["phillips_perron"] = f"""WITH {SHIP_GRID},
-l AS (SELECT series_id, var, pos, value AS y, lag(value) OVER {W(frame='')} AS yl FROM ship_g),
-r AS (SELECT series_id, var, regr_count(y, yl) AS m, regr_slope(y, yl) AS b, regr_intercept(y, yl) AS a,
+def pp_ctes(src: str) -> str:
+    """CTEs up to ``pp_o``: series_id, var, n, lags, stat."""
+    return f"""pp_l AS (SELECT series_id, var, pos, value AS y, lag(value) OVER {W(frame='')} AS yl FROM {src}),
+pp_r AS (SELECT series_id, var, regr_count(y, yl) AS m, regr_slope(y, yl) AS b, regr_intercept(y, yl) AS a,
              var_pop(CASE WHEN y IS NOT NULL THEN yl END) AS vy
-      FROM l WHERE yl IS NOT NULL AND y IS NOT NULL GROUP BY series_id, var),
-nn AS (SELECT series_id, var, count(value) AS n FROM ship_g GROUP BY ALL),
-u AS (SELECT l.series_id, l.var, l.pos, l.y - r.a - r.b * l.yl AS u FROM l JOIN r USING (series_id, var)
+      FROM pp_l WHERE yl IS NOT NULL AND y IS NOT NULL GROUP BY series_id, var),
+pp_n AS (SELECT series_id, var, count(value) AS n FROM {src} GROUP BY ALL),
+pp_u AS (SELECT l.series_id, l.var, l.pos, l.y - r.a - r.b * l.yl AS u FROM pp_l l JOIN pp_r r USING (series_id, var)
       WHERE l.yl IS NOT NULL AND l.y IS NOT NULL),
-lg AS (SELECT r.*, nn.n, CAST(ceil(12 * pow(nn.n / 100.0, 0.25)) AS BIGINT) AS lags FROM r JOIN nn USING (series_id, var)),
-ls AS (SELECT a.series_id, a.var, k.lag, sum(a.u * b.u) AS s
-       FROM u a CROSS JOIN (SELECT range AS lag FROM range(0, 60)) k
-       JOIN u b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
+pp_lg AS (SELECT r.*, nn.n, CAST(ceil(12 * pow(nn.n / 100.0, 0.25)) AS BIGINT) AS lags
+          FROM pp_r r JOIN pp_n nn USING (series_id, var)),
+pp_ls AS (SELECT a.series_id, a.var, k.lag, sum(a.u * b.u) AS s
+       FROM pp_u a CROSS JOIN (SELECT range AS lag FROM range(0, 60)) k
+       JOIN pp_u b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
        GROUP BY a.series_id, a.var, k.lag),
-lr AS (SELECT ls.series_id, ls.var, sum(CASE WHEN lag = 0 THEN s END) AS uu,
+pp_lr AS (SELECT ls.series_id, ls.var, sum(CASE WHEN lag = 0 THEN s END) AS uu,
               sum(CASE WHEN lag = 0 THEN s ELSE 2 * (1 - lag / (lags + 1.0)) * s END) AS lrs
-       FROM ls JOIN lg USING (series_id, var) WHERE lag <= lags GROUP BY ALL),
-t AS (SELECT lg.series_id, lg.var, lg.n, lg.lags, lg.m, lg.b, uu / lg.m AS g0, lrs / lg.m AS lam2, uu / (lg.m - 2) AS s2,
+       FROM pp_ls ls JOIN pp_lg lg USING (series_id, var) WHERE lag <= lags GROUP BY ALL),
+pp_t AS (SELECT lg.series_id, lg.var, lg.n, lg.lags, lg.m, lg.b, uu / lg.m AS g0, lrs / lg.m AS lam2, uu / (lg.m - 2) AS s2,
              sqrt((uu / (lg.m - 2)) / (lg.m * lg.vy)) AS se
-      FROM lg JOIN lr USING (series_id, var))
-SELECT series_id, var, n, lags,
-       {R6('sqrt(g0 / lam2) * ((b - 1) / se) - 0.5 * ((lam2 - g0) / sqrt(lam2)) * (m * se / sqrt(s2))')} AS statistic
-FROM t"""
+      FROM pp_lg lg JOIN pp_lr lr USING (series_id, var)),
+pp_o AS (SELECT series_id, var, n, lags,
+                sqrt(g0 / lam2) * ((b - 1) / se) - 0.5 * ((lam2 - g0) / sqrt(lam2)) * (m * se / sqrt(s2)) AS stat FROM pp_t)"""
+
+
+ORACLES["phillips_perron"] = f"""WITH {SHIP_GRID}, {pp_ctes('ship_g')}
+SELECT series_id, var, n, lags, {R6('stat')} AS statistic FROM pp_o"""
 
 # ----------------------------------------------------------------- K
 
@@ -862,3 +870,49 @@ FROM mb JOIN ma USING (series_id)"""
 ORACLES["collinear_effect_pairs"] = f"""WITH {_EFFECT}
 SELECT series_id, var1, var2, {R6('b.corr')} AS corr_before, {R6('a.corr')} AS corr_after
 FROM (SELECT * FROM cm WHERE var1 < var2) b FULL JOIN (SELECT * FROM ca WHERE var1 < var2) a USING (series_id, var1, var2)"""
+
+# ------------------------------------------- regression tests, with their own lag choice and p-values
+
+for _name, _ic in (("adf", "AIC"), ("adf_bic", "BIC")):
+    ORACLES[_name] = f"""WITH {SHIP_GRID}, {ro.adf_ctes('ship_g', True, _ic, 1)},
+o AS (SELECT *, {ro.mackinnon_sql('stat', 1, 'c')} AS pv FROM adf_o)
+SELECT series_id, var, {ro.adf_columns(R6, 1, 'c')} FROM o"""
+
+ORACLES["granger"] = f"""WITH {_OW}, w2 AS (SELECT series_id, 'granger' AS var, pos, y, x FROM w),
+{ro.granger_ctes('w2', 4)},
+o AS (SELECT *, {ro.f_sf_sql('f', 'lag', 'dfd')} AS pv FROM gr_o)
+SELECT series_id, 'revenue' AS dependent, 'n_orders' AS independent, CAST(lag AS BIGINT) AS lag, {R6('f')} AS f_stat,
+       {R6('pv')} AS p_value, CAST(lag AS BIGINT) AS df_num, dfd AS df_denom, pv < 0.05 AS significant FROM o"""
+
+ORACLES["cointegration_eg"] = f"""WITH {_OW},
+co AS (SELECT series_id, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM w
+       WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY series_id),
+e AS (SELECT w.series_id, 'revenue~n_orders' AS var, w.pos, w.y - co.a - co.b * w.x AS value FROM w JOIN co USING (series_id)),
+{ro.adf_ctes('e', False, 'AIC', 2)},
+o AS (SELECT *, {ro.mackinnon_sql('stat', 2, 'c')} AS pv FROM adf_o)
+SELECT series_id, var, {ro.adf_columns(R6, 2, 'c')}, {R6('b')} AS slope, {R6('a')} AS intercept, pv < 0.05 AS cointegrated
+FROM o JOIN co USING (series_id)"""
+
+ORACLES["phillips_perron_p"] = f"""WITH {SHIP_GRID}, {pp_ctes('ship_g')},
+q AS (SELECT *, {ro.mackinnon_sql('stat', 1, 'c')} AS pv FROM pp_o)
+SELECT series_id, var, n, lags, {R6('stat')} AS statistic, {R6('pv')} AS p_value, pv <= 0.05 AS stationary FROM q"""
+
+_VERDICTS = f"""{SHIP_GRID}, {kpss_ctes('ship_g', 'c')},
+{ro.adf_ctes('ship_g', True, 'AIC', 1)},
+ap AS (SELECT *, {ro.mackinnon_sql('stat', 1, 'c')} AS adf_p FROM adf_o),
+vd AS (SELECT series_id, var, adf_p, adf_p <= 0.05 AS adf_stationary, pv AS kpss_p, pv > 0.05 AS kpss_stationary,
+              CASE WHEN adf_p <= 0.05 AND pv > 0.05 THEN 'strictly_stationary'
+                   WHEN adf_p > 0.05 AND pv <= 0.05 THEN 'non_stationary'
+                   WHEN adf_p <= 0.05 THEN 'trend_stationary' ELSE 'difference_stationary' END AS conclusion
+       FROM ap JOIN ks_o USING (series_id, var))"""
+_VERDICT_COLUMNS = (f"series_id, var, {R6('adf_p')} AS adf_p, adf_stationary, {R6('kpss_p')} AS kpss_p, kpss_stationary, "
+                    "conclusion")
+ORACLES["stationarity_verdict"] = f"WITH {_VERDICTS} SELECT {_VERDICT_COLUMNS} FROM vd"
+ORACLES["stationarity_report"] = f"""WITH {_VERDICTS}, {pp_ctes('ship_g')},
+q AS (SELECT series_id, var, {ro.mackinnon_sql('stat', 1, 'c')} AS pp_p FROM pp_o),
+j AS (SELECT vd.*, pp_p FROM vd JOIN q USING (series_id, var))
+SELECT {_VERDICT_COLUMNS}, {R6('pp_p')} AS pp_p,
+       CASE WHEN adf_stationary AND pp_p <= 0.05 AND kpss_stationary THEN 'stationary'
+            WHEN NOT adf_stationary AND pp_p > 0.05 AND NOT kpss_stationary THEN 'non_stationary'
+            WHEN NOT kpss_stationary THEN 'non_stationary_difference_and_retest' ELSE 'mixed' END AS summary
+FROM j"""
