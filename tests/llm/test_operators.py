@@ -91,6 +91,39 @@ def test_common_lines_deplete(spark):
     assert kept == {r[0] for r in rows} - {100, 101, 102}
 
 
+def brute_kept(rows, max_docs=20):
+    """The verdict by the dealt rule alone: distinct documents of a host that hold a line (rows without near copies)."""
+    def norm(line):
+        return re.sub(" +", " ", re.sub(r"[\t\x0b\x0c\r]", " ", re.sub("[1-9]", "0", line.lower()))).strip(" ")
+
+    lines = {(s, t): [x for x in map(norm, (t or "").split("\n")) if x] for _, t, s in rows}
+    count = Counter((s, x) for (s, _), ls in lines.items() for x in set(ls))
+    kept = []
+    for d, t, s in rows:
+        words, _, _, _, rep = brute_stats(t)
+        total = sum(len(x.split(" ")) for x in lines[s, t])
+        left = sum(len(x.split(" ")) for x in lines[s, t] if count[s, x] <= max_docs)
+        gone = left < total and (left < 30 or 100 * left < 30 * total)
+        kept += [d] * (words >= 50 and 100 * rep <= 50 * words and not gone)
+    return sorted(kept)
+
+
+def test_verdict_matches_brute_force(spark):
+    rng = random.Random(21)
+    body = lambda n: "\n".join(sentence(rng, 10) for _ in range(n))
+    block = body(6)
+    rows = [(i, f"{sentence(rng, 4)}\n{block}", "a") for i in range(300)]  # a title and six lines of boilerplate
+    rows += [(400 + i, f"{body(rng.randint(1, 9))}\n{block}", "a") for i in range(60)]
+    rows += [(500 + i, f"{body(5)}\n{block}", "b") for i in range(15)]  # few documents of this host have it
+    rows += [(600 + i, f"{block}\n{body(2)}\nall rights reserved {i}", None) for i in range(25)]
+    rows += [(700, block, "a"), (701, block, "a")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = quality_rules.apply_rules(df).collect()
+    assert sorted(r["doc_id"] for r in out if r["quality"]["kept"]) == brute_kept(rows)
+    assert not {r["doc_id"] for r in out if r["quality"]["kept"]} & set(range(300))
+    assert sorted(r["doc_id"] for r in quality_rules.accepted(df).collect()) == brute_kept(rows)
+
+
 def test_quality_odd_rows(spark, odd, none):
     out = quality_rules.apply_rules(clashing(odd, "quality")).collect()
     assert len(out) == odd.count() and sum(r["_quality"]["kept"] for r in out) == 4  # 5, 6 twice, 9

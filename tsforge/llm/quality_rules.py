@@ -5,14 +5,17 @@ hashed.  Per host (``host_col``) the distinct documents of each line are
 counted, a line above the limits is removed, and a document that is depleted
 by the removals, or fails the word rules, is rejected.
 
-Documents count as distinct by what surrounds the line (the hashes of the line
-before and after it): copies and near copies of one document show the line in
-the same surroundings and count once, so a group of copies isn't taken for
-boilerplate.  A line is removed when it has more than ``max_docs`` surroundings
-and these are at least half of the documents that hold it.
-
-Every count is a partial aggregation over (host, line[, surroundings]) keys,
-so a host or a line that holds a third of all rows leaves one row per task.
+A line is removed when more than ``max_docs`` distinct documents of a host hold
+it.  Copies are one document.  Near copies are one document too: what is left
+of a document without the frequent lines, and without lines that were changed
+in a place where most documents have a frequent line, names the document
+(:func:`_marked`).  So a group of near copies isn't taken for boilerplate, and a
+block of boilerplate is found however many lines it has.
+
+Texts are split into line hashes once; everything after reads these lists.
+Counts are partial aggregations over (host, line) keys and copies are combined
+before the first shuffle, so a host, line or text that holds a third of all
+rows leaves one row per task.
 
 Defined results: null, empty or wordless texts have no words and are rejected;
 repeated rows count as copies; a null host is a host of its own; an empty table
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import WORD, fresh, let, small_side, text_key, words, written
+from tsforge.llm.common import WORD, discard, fresh, let, small_side, text_key, words, written
 
 MAX_DOCS = 20
 MIN_WORDS = 50
@@ -100,45 +103,93 @@ def _collapsed(line: Column) -> Column:
     return F.when(F.instr(one, "  ") > 0, F.regexp_replace(one, " +", " ")).otherwise(one)
 
 
-def _line_rows(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
-    """One row per text line with a word: host, doc (key of the text), i (its
-    place), h, n (its words), around (its surroundings), total (words of the text)."""
+def _line_lists(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
+    """The distinct texts of each host: host, doc (key of the text), a (its lines
+    with a word: hash h, words n).  Copies are combined before the shuffle."""
     lines = F.transform(F.split(normal_text(F.col(text_col)), "\n", -1), _collapsed)
     hashed = F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.struct(
         F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
-    rows = let(hashed, lambda a: F.transform(a, lambda x, i: F.struct(
-        i.alias("i"), x["h"].alias("h"), x["n"].alias("n"),
-        F.xxhash64(F.when(i > 0, F.get(a, i - 1)["h"]).otherwise(F.lit(0)),
-                   F.coalesce(F.get(a, i + 1)["h"], F.lit(1))).alias("around"),
-        F.aggregate(F.when(i == 0, a), F.lit(0), lambda s, y: s + y["n"]).alias("total"))))
-    first = let(rows, lambda r: F.transform(r, lambda x: x.withField("total", F.get(r, 0)["total"])))
-    return docs.select(F.col(host_col).alias("host"), text_key(F.col(text_col)).alias("doc"),
-                       F.explode(first).alias("l")).select("host", "doc", "l.*")
+    rows = docs.select(F.col(host_col).alias("host"), text_key(F.col(text_col)).alias("doc"), hashed.alias("a"))
+    return written(rows.groupBy("host", "doc").agg(F.first("a").alias("a")), "lines")
+
+
+def _on_line(rows: DataFrame, table: DataFrame, how: str, line: str = "h") -> DataFrame:
+    """``rows`` joined with a written table of lines (host, h, ..) on host and ``line``."""
+    side = small_side(table.withColumnsRenamed({"host": "_host", "h": "_h"}))
+    same = rows["host"].eqNullSafe(F.col("_host")) & (rows[line] == F.col("_h"))
+    return rows.join(side, same, how).drop("_host", "_h")
+
+
+def _with_places(texts: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """``texts`` with the array of their places (host, doc, i) as ``name``."""
+    found = places.groupBy(F.col("host").alias("_host"), F.col("doc").alias("_doc")).agg(F.collect_set("i").alias(name))
+    same = texts["host"].eqNullSafe(F.col("_host")) & (texts["doc"] == F.col("_doc"))
+    return texts.join(found, same, "left").drop("_host", "_doc").withColumn(
+        name, F.coalesce(name, F.array().cast("array<int>")))
+
+
+def _marked(lists: DataFrame, max_docs: int) -> DataFrame:
+    """The texts that hold a line of more than ``max_docs`` texts of their host, with
+    ``hits`` (the places of such lines) and ``sig`` (a hash of their remaining lines).
+
+    In a group of near copies all lines are such lines but the ones that were
+    changed.  A changed line stands next to a line after (or before) which most
+    texts have one of the frequent lines; it doesn't count as a remaining line, so
+    near copies have one signature.  Texts with lines of their own differ in theirs.
+    """
+    each = lists.select("host", F.explode(F.array_distinct(F.transform("a", lambda x: x["h"]))).alias("h"))
+    often = written(each.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(
+        F.col("n_docs") > max_docs).select("host", "h"), "lines-often")
+    rows = lists.select("host", "doc", F.posexplode("a").alias("i", "l")).select("host", "doc", "i", "l.h")
+    hits = _on_line(rows, often, "left_semi")
+    texts = written(_with_places(lists, hits, "hits").filter(F.size("hits") > 0), "lines-marked")
+
+    # lines beside a hit: which line they stand beside, on which side, and whether they are hits themselves
+    def beside(step: int):
+        return lambda x, i: F.when(F.array_contains("hits", i + step), F.struct(
+            i.alias("i"), F.lit(step).alias("side"), F.get("a", i + step)["h"].alias("h"),
+            F.array_contains("hits", i).alias("hit")))
+
+    both = F.array_compact(F.concat(*[F.transform("a", beside(s)) for s in (-1, 1)]))
+    near = texts.select("host", "doc", F.explode(both).alias("b")).select("host", "doc", "b.*")
+    settled = written(near.groupBy("host", "side", "h").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("hit").cast("long")).alias("k")).filter(2 * F.col("k") > F.col("n")).select(
+        "host", "h", F.col("side").alias("at")), "lines-settled")
+    changed = _on_line(near.filter(~F.col("hit")), settled, "inner").filter(F.col("side") == F.col("at"))
+    out = _with_places(texts, changed.select("host", "doc", "i"), "changed")
+    rest = F.filter("a", lambda x, i: ~F.array_contains("hits", i) & ~F.array_contains("changed", i))
+    return written(out.withColumn("sig", F.xxhash64(F.transform(rest, lambda x: x["h"]))).drop("changed"), "lines-signed")
+
+
+def _common(texts: DataFrame, max_docs: int) -> DataFrame:
+    hit = F.array_distinct(F.transform("hits", lambda i: F.get("a", i)["h"]))
+    votes = texts.select("host", "sig", F.explode(hit).alias("h")).distinct()
+    return votes.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > max_docs)
 
 
 def common_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source",
                  max_docs: int = MAX_DOCS) -> DataFrame:
-    """The lines above the limits: host, h, n_docs, n_around."""
-    rows = _line_rows(docs, text_col, host_col)
-    once = rows.groupBy("host", "h", "around", "doc").agg(F.lit(1).alias("one"))
-    around = once.groupBy("host", "h", "around").agg(F.count("*").alias("n"))
-    return (around.groupBy("host", "h").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_around"))
-            .filter((F.col("n_around") > max_docs) & (2 * F.col("n_around") >= F.col("n_docs"))))
+    """The lines above the limit: host, h, n_docs (distinct documents; near copies are one)."""
+    return _common(_marked(_line_lists(docs, text_col, host_col), max_docs), max_docs)
 
 
 def depleted(docs: DataFrame, text_col: str = "text", host_col: str = "source",
              max_docs: int = MAX_DOCS) -> DataFrame:
-    """The texts (host, doc) that the removal of common lines depletes, with words_left."""
-    common = common_lines(docs, text_col, host_col, max_docs).select(
-        F.col("host").alias("_host"), F.col("h").alias("_h"))
-    rows = _line_rows(docs, text_col, host_col)
-    # of the copies of a text on one host each line counts once
-    lost = (rows.join(common, rows["host"].eqNullSafe(common["_host"]) & (rows["h"] == common["_h"]))
-            .groupBy("host", "doc", "i").agg(F.max("n").alias("n"), F.max("total").alias("total"))
-            .groupBy("host", "doc").agg(F.sum("n").alias("lost"), F.max("total").alias("total")))
+    """The texts (host, doc) that the removal of common lines depletes, with words_left; a written table."""
+    lists = _line_lists(docs, text_col, host_col)
+    texts = _marked(lists, max_docs)
+    common = written(_common(texts, max_docs).select("host", "h"), "lines-common")
+    hit = F.transform("hits", lambda i: F.get("a", i))
+    lost = _on_line(texts.select("host", "doc", F.explode(hit).alias("x")).select("host", "doc", "x.*"), common, "left_semi")
+    lost = lost.groupBy(F.col("host").alias("_host"), F.col("doc").alias("_doc")).agg(F.sum("n").alias("lost"))
+    total = F.aggregate("a", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    both = texts.select("host", "doc", total.alias("total")).join(
+        lost, texts["host"].eqNullSafe(F.col("_host")) & (texts["doc"] == F.col("_doc")))
     left = F.col("total") - F.col("lost")
-    return lost.filter((left < MIN_WORDS_LEFT) | (100 * left < MIN_SHARE_LEFT_PCT * F.col("total"))).select(
-        "host", "doc", left.alias("words_left"))
+    gone = written(both.filter((left < MIN_WORDS_LEFT) | (100 * left < MIN_SHARE_LEFT_PCT * F.col("total"))).select(
+        "host", "doc", left.alias("words_left")), "depleted")
+    discard(lists, texts, common)
+    return gone
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source",
@@ -147,7 +198,7 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     stats, key, h, k, out = fresh(docs.columns, "_stats", "_key", "_lhost", "_ldoc", "quality")
     gone = depleted(docs, text_col, host_col, max_docs).select(F.col("host").alias(h), F.col("doc").alias(k))
     left = docs.withColumn(key, text_key(F.col(text_col))).withColumn(stats, text_stats(F.col(text_col)))
-    both = left.join(gone, left[host_col].eqNullSafe(gone[h]) & (left[key] == gone[k]), "left")
+    both = left.join(small_side(gone), left[host_col].eqNullSafe(F.col(h)) & (left[key] == F.col(k)), "left")
     failed, empty = base_failed(F.col(stats)), F.col(k).isNotNull()
     return both.select(*docs.columns, F.struct(f"{stats}.*", failed.alias("base_failed"), empty.alias("depleted"),
                                                (~failed & ~empty).alias("kept")).alias(out))
@@ -157,8 +208,7 @@ def accepted(docs: DataFrame, text_col: str = "text", host_col: str = "source",
              max_docs: int = MAX_DOCS) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
     key, h, k = fresh(docs.columns, "_key", "_lhost", "_ldoc")
-    gone = written(depleted(docs, text_col, host_col, max_docs), "depleted").select(
-        F.col("host").alias(h), F.col("doc").alias(k))
+    gone = depleted(docs, text_col, host_col, max_docs).select(F.col("host").alias(h), F.col("doc").alias(k))
     good = docs.filter(~let(text_stats(F.col(text_col)), base_failed)).withColumn(key, text_key(F.col(text_col)))
     same = good[host_col].eqNullSafe(F.col(h)) & (good[key] == F.col(k))
     return good.join(small_side(gone), same, "left_anti").select(*docs.columns)
