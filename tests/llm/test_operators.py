@@ -415,28 +415,66 @@ def test_language_model(spark, none):
     toks = lambda t: (t or "").encode().lower().split() + [b"\n"]
     c = Counter(w for i, t, _ in rows if not held(i) for w in toks(t))
     n, v = sum(c.values()), len(c)
-    for share in (1e-6, 0.01):  # all words are symbols, or the rare ones come through the join
-        old, lm_score.WORD_SHARE = lm_score.WORD_SHARE, share
-        try:
-            model, counts = lm_score.train(df, is_train, word_share=share)
-            got = lm_score.score(df, model, counts).collect()
-        finally:
-            lm_score.WORD_SHARE = old
+    train = [toks(t) for i, t, _ in rows if not held(i)]
+    for word_cut, gram_cut in ((1, 2), (30, 40), (None, None), (10, 2)):  # all words are symbols, or rare ones come through the join
+        model, counts = lm_score.train(df, is_train, word_cut=word_cut, gram_cut=gram_cut)
+        got = lm_score.score(df, model, counts).collect()
         assert model.n == n and model.v == v and len(got) == len(rows)
         want = Counter((i, len(toks(t)), sum(c[w] > 0 for w in toks(t)),
                         round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in toks(t)), 6)) for i, t, _ in rows)
         assert Counter((r["doc_id"], r["_n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got) == want
         out = [r for r in got if r["doc_id"] is not None and held(r["doc_id"]) and r["doc_id"] < 1000]
         assert sum(r["_score"] for r in out) > sum(r["base_score"] for r in out) and all(r["_score"] < 0 for r in got)
+        cuts = (word_cut or lm_score.cutoff(n, lm_score.WORD_ROOT), gram_cut or lm_score.cutoff(n, lm_score.GRAM_ROOT))
+        weigh, total = brute_model(train, c, n, v, *cuts)
+        for r in got:
+            text = next(t for i, t, _ in rows if i == r["doc_id"])
+            assert r["_score"] == pytest.approx(weigh(toks(text)), abs=1e-9)
         # probabilities of the next word sum to one in every state
-        a = model.text
-        for k in range(len(a.fail)):
-            known = sum(10 ** a.logp(k, s)[0] for s in range(a.m))
-            down, f = 0.0, k
-            while f:
-                down, f = down + a.back[f], a.fail[f]
-            rest = sum(model.root(x) for w, x in c.items() if w not in model.index) + model.root(0)
-            assert known + 10**down * rest == pytest.approx(1, abs=1e-5)
+        words = sorted(c) + [b"unknown"]
+        for h in [(), *total]:
+            assert sum(10 ** weigh([*h, w], last=True) for w in words) == pytest.approx(1, abs=1e-5)
+
+
+def brute_model(train, c, n, v, word_cut, gram_cut):
+    """Interpolated absolute discounting by dictionaries: (log10 weight of a text, the contexts with arcs)."""
+    once, twice = sum(k == 1 for k in c.values()), sum(k == 2 for k in c.values())
+    d1 = min(0.95, max(0.1, once / (once + 2 * twice))) if once else lm_score.DISCOUNT
+    kept = {w for w in c if c[w] >= word_cut or w == b"\n"}
+    grams = Counter(tuple(t[i : i + k]) for t in train for k in (2, 3) for i in range(len(t) - k + 1))
+    grams = {g: k for g, k in grams.items() if k >= gram_cut and set(g) <= kept}
+    arcs = {}
+    for g, k in grams.items():
+        arcs.setdefault(g[:-1], {})[g[-1]] = k
+    total = {h: grams[h] if len(h) > 1 else c[h[0]] for h in arcs}
+
+    def prob(h, w):
+        if not h:
+            return max(c[w] - d1, 0) / n + d1 * v / n / (v + 1)
+        if h not in arcs:
+            return prob(h[1:], w)
+        free = max(1e-6, 1 - sum(k - lm_score.DISCOUNT for k in arcs[h].values()) / total[h])
+        low = free * prob(h[1:], w)
+        return low + (max((arcs[h][w] - lm_score.DISCOUNT) / total[h], 0) * (1 - 1e-6) if w in arcs[h] else 0)
+
+    def weigh(words, last=False):
+        out = [math.log10(prob(tuple(words[max(0, i - 2) : i]), w)) for i, w in enumerate(words)]
+        return out[-1] if last else sum(out)
+
+    return weigh, total
+
+
+def test_language_model_states_grow(spark, none):
+    rng = random.Random(14)
+    words = [f"w{i}" for i in range(300)]
+    weights = [1 / (i + 1) for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, weights, k=200)), "a") for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    grams = []
+    for part in (df.filter("doc_id < 40"), df):
+        model, _ = lm_score.train(part, F.lit(True))
+        grams.append([len(x) for x in model.text.codes[2:]])
+    assert grams[0][0] < grams[1][0] and sum(grams[0]) < sum(grams[1])
     model, counts = lm_score.train(none, F.lit(True))
     assert lm_score.score(none, model, counts).count() == 0
 
