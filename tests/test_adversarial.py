@@ -172,25 +172,51 @@ def test_loess_work_is_linear():
     assert seconds(80_000) < 8 * seconds(20_000)  # four times the points; direct sums would take sixteen times
 
 
-@pytest.mark.parametrize("levels", [1, 2, 3])
-def test_multilevel_buckets_exact(spark, levels):
-    """Bucketed exact quantiles and average ranks equal numpy/pandas for 1-3 levels."""
+@pytest.mark.parametrize("parts", [1, 5, 60])
+def test_quantiles_and_ranks_exact(spark, parts):
+    """Quantiles and average ranks equal numpy/pandas however many ranges the values are cut into."""
     import pandas as pd
 
     from tsforge.operators.quantile import exact_quantiles
 
-    rng = np.random.default_rng(levels)
-    vals = np.round(rng.normal(size=3000), 2)
-    d = mk(spark, list(vals)).unionByName(mk(spark, list(vals[:500] * 3), var="w"))
-    q = {r["var"]: r for r in exact_quantiles(d, [0.1, 0.25, 0.75], buckets=8, levels=levels,
-                                               direct_max_rows=None).collect()}
-    for var, arr in (("v", vals), ("w", vals[:500] * 3)):
-        for p, name in ((0.1, "q10"), (0.25, "q25"), (0.75, "q75")):
+    rng = np.random.default_rng(parts)
+    vals = np.round(rng.normal(size=800), 2)
+    tied = np.where(rng.random(300) < 0.9, 1.5, rng.normal(size=300))
+    series = {"v": vals, "w": np.tile(vals[:100], 3), "t": tied, "one": np.array([4.0])}
+    d = mk(spark, list(vals) + [None])
+    for var in ("w", "t", "one"):
+        d = d.unionByName(mk(spark, list(series[var]), var=var))
+    q = {r["var"]: r for r in exact_quantiles(d, [0.0, 0.1, 0.25, 0.75, 1.0], partitions=parts).collect()}
+    for var, arr in series.items():
+        assert q[var]["n"] == len(arr)
+        for p, name in ((0.0, "q0"), (0.1, "q10"), (0.25, "q25"), (0.75, "q75"), (1.0, "q100")):
             assert abs(q[var][name] - np.quantile(arr, p)) < 1e-9
-    ranks = collect_series(relations.average_ranks(mk(spark, list(vals)), buckets=8, levels=levels))
+    ranks = collect_series(relations.average_ranks(mk(spark, list(vals)), partitions=parts))
     assert np.allclose(ranks, pd.Series(vals).rank(method="average").to_numpy())
 
 
+def test_positions_of_a_hot_hour(spark):
+    """90 % of the rows share one time: they are spread over ranges, and numbered without gaps."""
+    from tsforge.operators import scan
+
+    rows = spark.range(4000).selectExpr(
+        "'s' AS series_id", "'v' AS var", "CAST(CASE WHEN id % 10 > 0 THEN 5 WHEN id % 20 = 0 THEN NULL ELSE id END AS BIGINT) AS ts",
+        "id AS event_id")
+    seen = []
+
+    def hold(df):
+        held = df.cache()
+        seen.append([r["count"] for r in held.groupBy("_range").count().collect()])
+        return held
+
+    out = scan.number_rows(rows, ["series_id", "var"], ["ts"], hold=hold, partitions=16).collect()
+    assert sorted(r["pos"] for r in out) == list(range(4000))
+    assert max(seen[0]) < 1000 and len(seen[0]) > 8
+    times = [r["ts"] for r in sorted(out, key=lambda r: r["pos"])]
+    real = [t for t in times if t is not None]
+    assert real == sorted(real) and times[len(real):] == [None] * 200
+
+
 def test_adf_counts_only_complete_rows(spark):
     """With interior gaps, ADF's nobs is the number of complete regression rows."""
     rng = np.random.default_rng(8)

@@ -48,9 +48,8 @@ def test_chirp_matches_numpy(spark, n):
         assert all(abs(complex(r["re"], r["im"]) - exp[int(r["series_id"][1]), r["k"]]) < 1e-9 for r in out)
 
 
-def test_short_series_groups_are_bounded(spark, monkeypatch):
-    """Many short series are spread over groups by their points, not by the partition count."""
-    monkeypatch.setattr(spectral, "GROUP_POINTS", 64)
+def test_short_series_are_transformed_together(spark):
+    """Many short series are rows of arrays; each keeps its own spectrum."""
     n, k = 16, 40
     df = spark.range(n * k).selectExpr(f"CAST(id DIV {n} AS STRING) AS series_id", "'v' AS var", f"id % {n} AS pos",
                                        "CAST(id * 7 % 11 AS DOUBLE) AS value")

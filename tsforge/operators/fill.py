@@ -77,12 +77,12 @@ def outliers_to_null(df: DataFrame, flag: str = "is_outlier") -> DataFrame:
 
 
 def clip_outliers(df: DataFrame, flag: str = "is_outlier", k: float = 1.5) -> DataFrame:
-    """Only points both flagged and beyond an IQR fence move to the fence."""
-    b = detect.iqr_bounds(df, k)
+    """Only points both flagged and beyond an IQR fence move to the fence (fences that
+    ``detect.iqr(keep_bounds=True)`` left are used)."""
     x = F.col("value")
+    fenced = df if "_lo" in df.columns else df.join(detect.iqr_bounds(df, k), on=KEYS, how="left")
     return (
-        df.join(b, on=KEYS, how="left")
-        .withColumn(
+        fenced.withColumn(
             "value",
             F.when(F.col(flag) & (x < F.col("_lo")), F.col("_lo"))
             .when(F.col(flag) & (x > F.col("_hi")), F.col("_hi"))
@@ -106,7 +106,10 @@ def handle_outliers(
     if method not in (0, 1, 2):
         raise ValueError(f"unsupported outlier handling method {method!r}")
     cols = df.columns
-    d = detect.outliers(df, detect_method, threshold, window, contamination, "is_outlier", chunk_rows)
+    if method == 1 and detect._method(detect_method) == "iqr":  # one set of quartiles flags and clips
+        d = detect.iqr(df, keep_bounds=True)
+    else:
+        d = detect.outliers(df, detect_method, threshold, window, contamination, "is_outlier", chunk_rows)
     if method == 0:
         d = outliers_to_null(d)
     elif method == 1:

@@ -1,21 +1,11 @@
-"""Exact per-series quantiles (linear interpolation) without a per-group value buffer.
-
-Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, so a series holding a third of the data would sit in one
-task's memory.  Here:
-
-1. bounded sketches (``approx_percentile``) split each series into value
-   buckets, level by level, until a bucket holds about a million rows
-   (:func:`value_buckets`);
-2. buckets are counted, and a running count over buckets gives each
-   bucket's first rank;
-3. only the bucket(s) containing the wanted order statistics are ranked
-   exactly (``row_number`` inside ``(series, bucket)``).
-
-The result is exact (the sketch only decides where to look).  When the
-largest group is small enough (one cheap count per group, checked at plan
-time) Spark's exact ``percentile`` is used directly: its buffer is bounded
-by that group size.
+"""Exact per-series quantiles (linear interpolation) and ranks, in one way for all sizes.
+
+Rows are first combined to distinct values with their counts, so ties of any
+size are one row.  The values are range-partitioned by (series, value) at
+sampled cut points; rows per range give every range its first rank, and only
+the ranges that hold a wanted order statistic are numbered.  The input is read
+once, no buffer holds a whole series, and a range is about 1/partitions of the
+distinct values, whichever series they belong to.
 """
 
 from __future__ import annotations
@@ -23,109 +13,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tsforge.plans.materialize import cut
 from tsforge.spec import KEYS
 
 
-# Largest group (rows) whose exact quantiles are computed in one aggregation buffer.
-DIRECT_MAX_ROWS = 2_000_000
-# Target rows per value bucket for exact ranking inside a bucket.
-BUCKET_TARGET_ROWS = 1_000_000
-
-
-def value_buckets(
-    df: DataFrame,
-    value_col: str,
-    keys=KEYS,
-    target_rows: int = BUCKET_TARGET_ROWS,
-    fan: int = 64,
-    accuracy: int = 10000,
-    levels: int | None = None,
-    out: str = "_b",
-) -> DataFrame:
-    """Add ``out``: a bucket id per row, monotone in ``value_col`` within
-    ``keys`` (equal values share a bucket).  Each level splits every current
-    bucket ``fan`` ways at sketch cut points (``fan-1`` comparisons per row);
-    the number of levels grows with the largest group so buckets hold about
-    ``target_rows`` rows however long one series is.  Sketch tables are small
-    (one row per bucket) and joined back."""
-    if levels is None:
-        n_max = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        levels = 1
-        while n_max / float(fan) ** levels > target_rows:
-            levels += 1
-    cuts = F.array(*[F.lit(i / fan) for i in range(1, fan)])
-    d = df.withColumn(out, F.lit(0).cast("bigint"))
-    for _ in range(levels):
-        sk = d.groupBy(*keys, out).agg(F.percentile_approx(value_col, cuts, accuracy).alias("_cuts"))
-        d = (d.join(sk, on=[*keys, out], how="left")
-             .withColumn(out, F.col(out) * fan + F.size(F.filter("_cuts", lambda e: e < F.col(value_col))))
-             .drop("_cuts"))
-    return d
-
-
-def exact_quantiles(
-    df: DataFrame,
-    probs,
-    value_col: str = "value",
-    keys=KEYS,
-    buckets: int = 64,
-    accuracy: int = 10000,
-    direct_max_rows: int | None = DIRECT_MAX_ROWS,
-    target_rows: int = BUCKET_TARGET_ROWS,
-    levels: int | None = None,
-) -> DataFrame:
+def _ranges(df: DataFrame, value_col: str, keys: list[str], partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """Distinct values (keys, _x, _c) with their _range, and per (keys, _range) the rows
+    in it (_t), in earlier ranges (_before) and in all (n)."""
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = df.filter(F.col(value_col).isNotNull()).groupBy(*keys, F.col(value_col).cast("double").alias("_x")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    ranged = cut(values.repartitionByRange(parts, *keys, "_x").withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "_range").agg(F.sum("_c").alias("_t"))
+    w = Window.partitionBy(*keys)
+    before = F.sum("_t").over(w.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    return ranged, totals.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("n", F.sum("_t").over(w))
+
+
+def _in_range(ranged: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """``ranged`` with the columns of ``side`` and ``_lo``, the rows of its key below the value."""
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_range").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.join(side, on=[*keys, "_range"]).withColumn("_lo", F.col("_before") + upto - F.col("_c"))
+
+
+def _pname(p: float) -> str:
+    return f"{p * 100:g}".replace(".", "_")
+
+
+def exact_quantiles(df: DataFrame, probs, value_col: str = "value", keys=KEYS, partitions: int | None = None) -> DataFrame:
     """One row per ``keys`` with a column ``q<i>`` per requested probability
     (named ``q{int(p*100)}``, e.g. q25/q75) and ``n`` = non-null count."""
-    keys = list(keys)
-    probs = [float(p) for p in probs]
-    d = df.filter(F.col(value_col).isNotNull()).select(*keys, F.col(value_col).cast("double").alias("_x"))
-    if direct_max_rows:
-        biggest = d.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= direct_max_rows:
-            q = F.percentile("_x", F.array(*[F.lit(p) for p in probs]))
-            out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
-            return out.select(*keys, "n", *[F.col("_q")[i].alias(f"q{_pname(p)}") for i, p in enumerate(probs)])
-    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    db = value_buckets(d, "_x", keys, fan=buckets, accuracy=accuracy, target_rows=target_rows, levels=levels)
-    counts = db.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)))
-
-    # wanted ranks: floor(h) and floor(h)+1 for h = (n-1)p
-    tgt = stats.select(
-        *keys,
-        "n",
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probs)])
-        ).alias("_t"),
-    ).select(*keys, "n", F.col("_t.i").alias("_i"), ((F.col("n") - 1) * F.col("_t.p")).alias("_h"))
-    tgt = tgt.withColumn("_k0", F.floor("_h").cast("bigint")).withColumn(
-        "_k1", F.least(F.col("_k0") + 1, F.col("n") - 1)
-    )
-    ranks = tgt.select(*keys, F.explode(F.array("_k0", "_k1")).alias("_k")).distinct()
-    where = ranks.join(offsets, on=keys, how="inner").filter(
-        (F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_cnt"))
-    )
-    need = where.select(*keys, "_b", "_off").distinct()
-    wr = Window.partitionBy(*keys, "_b").orderBy("_x")
-    ranked = (
-        db.join(need, on=[*keys, "_b"], how="inner")
-        .withColumn("_k", F.row_number().over(wr) - 1 + F.col("_off"))
-        .join(ranks, on=[*keys, "_k"], how="left_semi")
-        .select(*keys, "_k", "_x")
-    )
-    v0 = ranked.select(*keys, F.col("_k").alias("_k0"), F.col("_x").alias("_v0"))
-    v1 = ranked.select(*keys, F.col("_k").alias("_k1"), F.col("_x").alias("_v1"))
-    res = (
-        tgt.join(v0, on=[*keys, "_k0"], how="left")
-        .join(v1, on=[*keys, "_k1"], how="left")
-        .withColumn("_q", F.col("_v0") + (F.col("_h") - F.col("_k0")) * (F.col("_v1") - F.col("_v0")))
-    )
-    return res.groupBy(*keys, "n").agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{_pname(p)}") for i, p in enumerate(probs)]
-    )
+    keys, probs = list(keys), [float(p) for p in probs]
+    ranged, totals = _ranges(df, value_col, keys, partitions)
 
+    def rank(p: float):  # position of the quantile, and the order statistics around it
+        h = (F.col("n") - 1) * F.lit(p)
+        low = F.floor(h).cast("bigint")
+        return h, low, F.least(low + 1, F.col("n") - 1)
 
-def _pname(p: float) -> str:
-    s = f"{p * 100:g}"
-    return s.replace(".", "_")
+    wanted = F.array_distinct(F.array(*[k for p in probs for k in rank(p)[1:]]))
+    here = F.filter(wanted, lambda k: (k >= F.col("_before")) & (k < F.col("_before") + F.col("_t")))
+    need = totals.withColumn("_k", here).filter(F.size("_k") > 0).select(*keys, "_range", "_before", "n", "_k")
+    hit = F.filter("_k", lambda k: (k >= F.col("_lo")) & (k < F.col("_lo") + F.col("_c")))
+    found = _in_range(ranged, need, keys).select(*keys, "n", "_x", F.explode(hit).alias("_k"))
+    at = found.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_v"))
+
+    def quantile(p: float):
+        h, low, high = rank(p)
+        a, b = F.col("_v")[low], F.col("_v")[high]
+        return (a + (h - low) * (b - a)).alias(f"q{_pname(p)}")
+
+    return at.select(*keys, "n", *[quantile(p) for p in probs])
+
+
+def value_ranks(df: DataFrame, value_col: str = "value", keys=KEYS, partitions: int | None = None) -> DataFrame:
+    """(keys, ``value_col``, rank): average rank (1-based) of every distinct value."""
+    keys = list(keys)
+    ranged, totals = _ranges(df, value_col, keys, partitions)
+    return _in_range(ranged, totals, keys).select(
+        *keys, F.col("_x").alias(value_col), (F.col("_lo") + (F.col("_c") + 1) / 2.0).alias("rank"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tsforge.functions.expr import sdiv
 from tsforge.operators import lags
-from tsforge.operators.quantile import value_buckets
+from tsforge.operators.quantile import value_ranks
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 # Fixed value: two-sided 95 % normal quantile.
@@ -77,22 +77,11 @@ def correlation(df: DataFrame, method: str = "pearson", vars_: list[str] | None
     return stats.select("series_id", F.explode(F.array(*arr)).alias("_c")).select("series_id", "_c.var1", "_c.var2", "_c.corr")
 
 
-def average_ranks(df: DataFrame, buckets: int = 64, levels: int | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Replace ``value`` by its average rank (1-based, ties averaged) within
-    ``(series_id, var)``.  Ranks come from counts per distinct value, split
-    into value buckets of bounded size (:func:`value_buckets`), so no task
-    orders a whole series."""
-    cols = df.columns
-    vals = df.filter(F.col("value").isNotNull()).groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("_c"))
-    vb = value_buckets(vals, "value", KEYS, fan=buckets, levels=levels)
-    tot = vb.groupBy(*KEYS, "_b").agg(F.sum("_c").alias("_bc"))
-    off = tot.withColumn("_off", F.coalesce(F.sum("_bc").over(
-        Window.partitionBy(*KEYS).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    wv = Window.partitionBy(*KEYS, "_b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    r = vb.join(off.select(*KEYS, "_b", "_off"), on=[*KEYS, "_b"]).withColumn(
-        "_below", F.col("_off") + F.coalesce(F.sum("_c").over(wv), F.lit(0)))
-    r = r.select(*KEYS, "value", (F.col("_below") + (F.col("_c") + 1) / 2.0).alias("_rank"))
-    return df.join(r, on=[*KEYS, "value"], how="left").withColumn("value", F.col("_rank")).select(*cols)
+    ``(series_id, var)`` (:func:`quantile.value_ranks`: no task orders a whole series)."""
+    ranks = value_ranks(df, partitions=partitions)
+    return df.join(ranks, on=[*KEYS, "value"], how="left").withColumn("value", F.col("rank")).select(*df.columns)
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.7) -> DataFrame:

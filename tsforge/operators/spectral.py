@@ -8,8 +8,8 @@ four-step decomposition, as two grouped FFT stages:
 2. group by ``k2`` → size-``n1`` FFT over ``r``; output index ``k = k2 + n2·k1``.
 
 Every group holds about √n points, so one very long series is spread over
-~2√n tasks; short series (e.g. 64-step embeddings) are transformed whole, in
-groups of about ``GROUP_POINTS`` points however many series there are.
+~2√n tasks; short series (e.g. 64-step embeddings) are one row each and are
+transformed whole, many rows of a length at once.
 ``n1`` is the largest divisor of ``n`` not above √n.  Where no divisor is near
 √n (prime lengths) the transform is a convolution with a chirp of ``n``
 points, padded to a power of two, whose own three transforms split evenly.
@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tsforge.plans.materialize import cut
 from tsforge.spec import KEYS
 
 SPEC_SCHEMA = "series_id string, var string, n long, k long, re double, im double"
@@ -32,8 +33,6 @@ STAGE_SCHEMA = "series_id string, var string, n long, n1 long, r long, k2 long,
 
 # Series up to this length are transformed whole, many series per task.
 SHORT_MAX = 1 << 16
-# Points of a group of short series.
-GROUP_POINTS = 1 << 16
 # Four-step splits with n2 > UNEVEN·n1 go through the chirp convolution.
 UNEVEN = 64
 # Positions that one row of a generated index range stands for.
@@ -63,17 +62,29 @@ def _frame(pdf: pd.DataFrame, X: np.ndarray, **cols) -> pd.DataFrame:
 
 
 def _whole(d: DataFrame) -> DataFrame:
-    """Series of (series_id, var, n, pos, re, im) transformed whole, in groups of bounded size."""
-    total = d.agg(F.ceil((F.count(F.lit(1)) + 1) / GROUP_POINTS).alias("b")).scalar()
-
-    def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        outs = []
-        for _, g in pdf.groupby(["series_id", "var"], sort=False):
-            X = np.fft.fft(_complex(g.sort_values("pos")))
-            outs.append(_frame(g, X, n=len(X), k=np.arange(len(X))))
-        return pd.concat(outs)
-
-    return d.withColumn("_b", F.pmod(F.xxhash64(*KEYS), total)).groupBy("_b").applyInPandas(each, SPEC_SCHEMA)
+    """Series of (series_id, var, n, pos, re, im) transformed whole: a series is one row
+    with its points as an array, an Arrow batch of rows is transformed length by length."""
+    rows = d.groupBy(*KEYS, "n").agg(F.array_sort(F.collect_list(F.struct("pos", "re", "im"))).alias("p")).select(
+        *KEYS, "n", F.col("p.re").alias("re"), F.col("p.im").alias("im"))
+
+    def each(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            re, im = b.column("re"), b.column("im")
+            at, n = re.offsets.to_numpy(), np.diff(re.offsets.to_numpy())
+            x = re.flatten().to_numpy(zero_copy_only=False) + 1j * im.flatten().to_numpy(zero_copy_only=False)
+            at = at - at[0]
+            out = np.empty_like(x)
+            for size in np.unique(n):
+                place = at[:-1][n == size][:, None] + np.arange(size)
+                out[place] = np.fft.fft(x[place], axis=1)
+            lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(part)) for part in (out.real, out.imag)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*KEYS, "n")), *lists], names=[*KEYS, "n", "re", "im"])
+
+    out = rows.mapInArrow(each, "series_id string, var string, n long, re array<double>, im array<double>")
+    return out.select(*KEYS, "n", F.posexplode(F.arrays_zip("re", "im")).alias("k", "x")).select(
+        *KEYS, "n", F.col("k").cast("bigint").alias("k"), "x.re", "x.im")
 
 
 def _split(d: DataFrame) -> DataFrame:
@@ -139,13 +150,14 @@ def _convolved(d: DataFrame) -> DataFrame:
 
 
 def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None,
-        short_max: int = SHORT_MAX, uneven: int = UNEVEN) -> DataFrame:
+        short_max: int = SHORT_MAX, uneven: int = UNEVEN, keep_n: bool = False) -> DataFrame:
     """K1 (K2 with ``inverse``): DFT of each ``(series_id, var)`` over ``pos``
     (0..n-1).  Input real ``value`` (and optional imaginary column).  The
     inverse is computed by conjugation and divided by n, as the reference does.
 
     Short series (n <= ``short_max``) are transformed whole; longer series use
-    the four-step split, or the chirp convolution where n has no even split."""
+    the four-step split, or the chirp convolution where n has no even split.
+    Only the ways that some length needs are planned.  ``keep_n`` leaves ``n``."""
     im_col = F.col(imag) if imag else F.lit(0.0)
     sign = -1.0 if inverse else 1.0  # inverse = conj(fft(conj(x))) / n
     d = df.select(*KEYS, "pos", F.col(value).cast("double").alias("re"), (im_col * F.lit(sign)).alias("im"))
@@ -156,15 +168,26 @@ def dft(df: DataFrame, inverse: bool = False, value: str = "value", imag: str |
         return pd.DataFrame({"n1": n.map(lambda v: split_factor(int(v))), "m": m,
                              "m1": m.map(lambda v: split_factor(int(v)))})
 
-    n_tab = d.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    split = n_tab.filter(F.col("n") > short_max).withColumn("s", lengths("n")).select(*KEYS, "n", "s.*")
+    sizes = cut(d.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")))
+    long = sizes.filter(F.col("n") > short_max)
+    short, even_, uneven_ = sizes.agg(F.max(F.col("n") <= short_max)).first()[0], False, False
     even = F.expr(f"n div n1 <= {uneven} * n1")
-    out = _split(d.join(split.filter(even), on=KEYS)).unionByName(_convolved(d.join(split.filter(~even), on=KEYS)))
-    if short_max > 0:
-        out = _whole(d.join(n_tab.filter(F.col("n") <= short_max), on=KEYS)).unionByName(out)
+    if not long.isEmpty():
+        long = cut(long.withColumn("s", lengths("n")).select(*KEYS, "n", "s.*"))
+        even_, uneven_ = long.agg(F.max(even), F.max(~even)).first()
+    parts = []
+    if short or not (even_ or uneven_):
+        parts.append(_whole(d.join(sizes.filter(F.col("n") <= short_max), on=KEYS)))
+    if even_:
+        parts.append(_split(d.join(long.filter(even), on=KEYS)))
+    if uneven_:
+        parts.append(_convolved(d.join(long.filter(~even), on=KEYS)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     if inverse:
         out = out.withColumn("re", F.col("re") / F.col("n")).withColumn("im", -F.col("im") / F.col("n"))
-    return out.drop("n")
+    return out if keep_n else out.drop("n")
 
 
 def four_step(df: DataFrame, inverse: bool = False, value: str = "value", imag: str | None = None) -> DataFrame:
@@ -174,8 +197,9 @@ def four_step(df: DataFrame, inverse: bool = False, value: str = "value", imag:
 
 def frequencies(spec: DataFrame, dt: float = 1.0) -> DataFrame:
     """K3: ``fftfreq`` axis: k/(n·dt) for k < (n+1)/2, else (k-n)/(n·dt)."""
-    n = spec.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    s = spec.join(n, on=KEYS)
+    s = spec
+    if "n" not in spec.columns:  # dft(keep_n=True) leaves it
+        s = spec.join(spec.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), on=KEYS)
     f = F.when(F.col("k") < (F.col("n") + 1) / 2, F.col("k")).otherwise(F.col("k") - F.col("n")) / (F.col("n") * F.lit(dt))
     return s.withColumn("freq", f)
 

@@ -618,12 +618,12 @@ def q_fft_spectrum_long(spark, sf):
 
 @query("fft_frequency")
 def q_fft_frequency(spark, sf):
-    return finish(spectral.frequencies(spectral.dft(emb_long(spark, sf))).select("series_id", "var", "k", "n", "freq"))
+    return finish(spectral.frequencies(spectral.dft(emb_long(spark, sf), keep_n=True)).select("series_id", "var", "k", "n", "freq"))
 
 
 @query("fft_amplitude")
 def q_fft_amplitude(spark, sf):
-    return finish(spectral.amplitude(spectral.dft(emb_long(spark, sf))))
+    return finish(spectral.amplitude(spectral.dft(emb_long(spark, sf), keep_n=True)))
 
 
 @query("ifft_roundtrip")
