@@ -916,3 +916,41 @@ SELECT {_VERDICT_COLUMNS}, {R6('pp_p')} AS pp_p,
             WHEN NOT adf_stationary AND pp_p > 0.05 AND NOT kpss_stationary THEN 'non_stationary'
             WHEN NOT kpss_stationary THEN 'non_stationary_difference_and_retest' ELSE 'mixed' END AS summary
 FROM j"""
+
+# ------------------------------------------- principal components, by Jacobi rotations
+
+_DAILY_VARS = ["discount", "n_orders", "price", "quantity", "revenue", "tax"]
+_PCA = f"{DAILY}, {ro.pca_ctes('dw', _DAILY_VARS)}"
+_SCORES = f"SELECT series_id, var, ts, pos, {R6('value')} AS value FROM pc_t"
+ORACLES["pca_variance"] = f"""WITH {_PCA}
+SELECT series_id, pc, {R6('eigenvalue')} AS eigenvalue, {R6('ratio')} AS explained_variance_ratio,
+       {R6('cumulative')} AS cumulative FROM pc_c"""
+ORACLES["pca_loadings"] = f"WITH {_PCA} SELECT series_id, var, pc, {R6('loading')} AS loading FROM pc_l"
+ORACLES["pca_n80"] = f"""WITH {_PCA} SELECT series_id, min(pc) AS n_components FROM pc_c
+WHERE cumulative >= 0.8 - 1e-12 GROUP BY series_id"""
+ORACLES["pca_top_features"] = f"""WITH {_PCA},
+r AS (SELECT series_id, pc, var, abs(loading) AS a, row_number() OVER (PARTITION BY series_id, pc ORDER BY abs(loading) DESC, var) AS rank
+      FROM pc_l)
+SELECT series_id, pc, rank, var, {R6('a')} AS abs_loading FROM r WHERE rank <= 3"""
+ORACLES["pca_scores"] = f"WITH {_PCA}, {ro.pca_score_ctes('dw', 6)} {_SCORES}"
+ORACLES["collinear_pca"] = f"WITH {_PCA}, {ro.pca_score_ctes('dw', 3)} {_SCORES}"
+
+
+def greedy_ctes(pairs: str, score: str, victim: str, name: str) -> str:
+    """``name``: series_id, gone (list) of a walk over ``pairs`` in order of pair_no; ``score``: series_id, var, x."""
+    return f"""{name}_p AS (SELECT p.series_id, p.pair_no, p.var1, p.var2, a.x AS x1, b.x AS x2 FROM {pairs} p
+     JOIN {score} a ON a.series_id = p.series_id AND a.var = p.var1 JOIN {score} b ON b.series_id = p.series_id AND b.var = p.var2),
+{name}_g AS (SELECT DISTINCT series_id, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS gone FROM {name}_p
+     UNION ALL
+     SELECT g.series_id, p.pair_no, CASE WHEN list_contains(gone, var1) OR list_contains(gone, var2) THEN gone
+            ELSE list_append(gone, {victim}) END
+     FROM {name}_g g JOIN {name}_p p ON p.series_id = g.series_id AND p.pair_no = g.k + 1),
+{name} AS (SELECT series_id, unnest(gone) AS var FROM (SELECT series_id, arg_max(gone, k) AS gone FROM {name}_g GROUP BY series_id))"""
+
+
+_STRENGTH = "sc AS (SELECT series_id, var1 AS var, sum(abs(corr)) - 1 AS x FROM cm GROUP BY ALL)"
+_IMPORTANCE = "im AS (SELECT series_id, var, var_samp(value) AS x FROM dw GROUP BY ALL)"
+_DROPPED = f"{_STRENGTH}, {greedy_ctes('sp', 'sc', 'CASE WHEN x1 > x2 THEN var1 ELSE var2 END', 'dr')}"
+_SELECTED = f"{_IMPORTANCE}, {greedy_ctes('sp', 'im', 'CASE WHEN x1 > x2 THEN var2 ELSE var1 END', 'sl')}"
+ORACLES["collinear_drop"] = f"WITH RECURSIVE {_SP}, {_DROPPED} SELECT series_id, var FROM dr"
+ORACLES["collinear_select"] = f"WITH RECURSIVE {_SP}, {_SELECTED} SELECT series_id, var FROM sl"

@@ -116,3 +116,80 @@ JOIN (SELECT series_id, sum(y * y) AS s, count(*) AS n FROM {names[-1]} GROUP BY
     centred = f"gr_c AS (SELECT series_id, var, pos, y - avg(y) OVER ({PART}) AS y, x - avg(x) OVER ({PART}) AS x FROM {src})"
     union = "\nUNION ALL ".join(rows)
     return ",\n".join([centred, *out, f"gr_o AS ({union})"])
+
+
+def jacobi(src: str, k: int, sweeps: int = 9, name: str = "jac") -> tuple[str, str]:
+    """CTEs that diagonalise the symmetric k×k matrix in the columns ``a_i_j`` (i <= j) of ``src``
+    (series_id, ..) by cyclic Jacobi rotations, and the name of the last: a_i_i are the
+    eigenvalues, v_i_j the i-th coordinate of the j-th eigenvector."""
+    def a(i, j):
+        return f"a_{min(i, j)}_{max(i, j)}"
+
+    unit = ", ".join(f"CAST({int(i == j)} AS DOUBLE) AS v_{i}_{j}" for i in range(k) for j in range(k))
+    out = [f"{name}_0 AS MATERIALIZED (SELECT *, {unit} FROM {src})"]
+    at = f"{name}_0"
+    for step, (p, q) in enumerate([(p, q) for _ in range(sweeps) for p in range(k) for q in range(p + 1, k)], 1):
+        app, aqq, apq = a(p, p), a(q, q), a(p, q)
+        theta = f"(({aqq} - {app}) / (2 * {apq}))"
+        t = (f"CASE WHEN abs({apq}) < 1e-300 THEN 0.0 ELSE (CASE WHEN {theta} >= 0 THEN 1.0 ELSE -1.0 END) / "
+             f"(abs({theta}) + sqrt({theta} * {theta} + 1)) END")
+        cols = []
+        for i in range(k):
+            for j in range(i, k):
+                c = a(i, j)
+                if (i, j) == (p, q):
+                    e = "0.0"
+                elif (i, j) == (p, p):
+                    e = f"{app} - t * {apq}"
+                elif (i, j) == (q, q):
+                    e = f"{aqq} + t * {apq}"
+                elif p in (i, j):
+                    o = j if i == p else i
+                    e = f"c * {a(o, p)} - s * {a(o, q)}"
+                elif q in (i, j):
+                    o = j if i == q else i
+                    e = f"s * {a(o, p)} + c * {a(o, q)}"
+                else:
+                    e = c
+                cols.append(f"{e} AS {c}")
+        for i in range(k):
+            for j in range(k):
+                e = (f"c * v_{i}_{p} - s * v_{i}_{q}" if j == p else f"s * v_{i}_{p} + c * v_{i}_{q}" if j == q else f"v_{i}_{j}")
+                cols.append(f"{e} AS v_{i}_{j}")
+        now = f"{name}_{step}"
+        out.append(f"{now} AS MATERIALIZED (SELECT series_id, {', '.join(cols)} FROM "
+                   f"(SELECT *, 1 / sqrt(t * t + 1) AS c, t / sqrt(t * t + 1) AS s FROM (SELECT *, {t} AS t FROM {at})))")
+        at = now
+    return ",\n".join(out), at
+
+
+def pca_ctes(src: str, vars_: list[str]) -> str:
+    """CTEs up to ``pc_c`` (series_id, pc, eigenvalue, ratio, cumulative) and ``pc_l``
+    (series_id, var, pc, loading) of the standardised variables of ``src`` (long, complete)."""
+    k = len(vars_)
+    wide = ", ".join(f"max(CASE WHEN var = '{v}' THEN value END) AS x{i}" for i, v in enumerate(vars_))
+    full = " AND ".join(f"x{i} IS NOT NULL" for i in range(k))
+    corr = ", ".join(f"covar_pop(x{i}, x{j}) / sqrt(var_pop(x{i}) * var_pop(x{j})) AS a_{i}_{j}" for i in range(k) for j in range(i, k))
+    ctes, last = jacobi("pc_a", k)
+    each = "\nUNION ALL ".join(
+        f"SELECT series_id, a_{j}_{j} AS eigenvalue, [{', '.join(f'v_{i}_{j}' for i in range(k))}] AS v FROM {last}" for j in range(k))
+    names = "[" + ", ".join(f"'{v}'" for v in vars_) + "]"
+    return f"""pc_w AS (SELECT series_id, pos, {wide} FROM {src} GROUP BY series_id, pos),
+pc_a AS MATERIALIZED (SELECT series_id, {corr} FROM pc_w WHERE {full} GROUP BY series_id),
+{ctes},
+pc_e AS ({each}),
+pc_s AS (SELECT *, list_max(list_transform(v, lambda x: abs(x))) AS top FROM pc_e),
+pc_r AS (SELECT series_id, eigenvalue, row_number() OVER (PARTITION BY series_id ORDER BY eigenvalue DESC) AS pc,
+                CASE WHEN list_contains(v, top) THEN v ELSE list_transform(v, lambda x: -x) END AS v FROM pc_s),
+pc_c AS (SELECT series_id, pc, eigenvalue, eigenvalue / sum(eigenvalue) OVER (PARTITION BY series_id) AS ratio,
+                sum(eigenvalue) OVER (PARTITION BY series_id ORDER BY pc) / sum(eigenvalue) OVER (PARTITION BY series_id) AS cumulative
+         FROM pc_r),
+pc_l AS (SELECT series_id, pc, unnest({names}) AS var, unnest(v) AS loading FROM pc_r)"""
+
+
+def pca_score_ctes(src: str, n_components: int) -> str:
+    """``pc_t``: series_id, var, ts, pos, value of the scores (after :func:`pca_ctes`)."""
+    return f"""pc_z AS (SELECT series_id, var, ts, pos, (value - avg(value) OVER (PARTITION BY series_id, var))
+                / stddev_pop(value) OVER (PARTITION BY series_id, var) AS z FROM {src}),
+pc_t AS (SELECT z.series_id, 'PC' || l.pc AS var, any_value(z.ts) AS ts, z.pos, sum(z.z * l.loading) AS value
+         FROM pc_z z JOIN pc_l l USING (series_id, var) WHERE l.pc <= {n_components} GROUP BY z.series_id, l.pc, z.pos)"""
