@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tsforge.functions import dist
-from tsforge.operators import calendar, collinear, fill, transform, unitroot
+from tsforge.operators import calendar, collinear, fill, relations, transform, unitroot
 from tsforge.sources.sinks import processing_log
 
 SCHEMA = "series_id string, var string, ts timestamp_ntz, pos long, value double"
@@ -93,12 +93,61 @@ def test_pca_handler_leaves_uncorrelated_series(spark):
     assert len([v for s, v in names if s == "t"]) == 1 and not {v for s, v in names if s == "t"} & {"a", "b"}
 
 
-def test_transform_subset_and_log_of_drop(spark):
+def handler_series(spark):
+    """s: nothing correlated; t: b follows a with ten times its variance; u: three of a kind."""
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=300), rng.normal(size=300)
+    noise = lambda k: k * rng.normal(size=300)
+    parts = [long(spark, {k: rng.normal(size=300) for k in "abc"}, "s"),
+             long(spark, {"a": x, "b": 3 * x + noise(2.2), "c": noise(1.0)}, "t"),
+             long(spark, {"a": y, "b": y + noise(0.01), "c": y + noise(0.01)}, "u")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@pytest.mark.parametrize("method,want", [
+    ("drop", {"s": "abc", "t": "ac", "u": "c"}), ("select", {"s": "abc", "t": "bc", "u": "c"}),
+    ("combine", {"s": "abc", "t": ["b", "c", "combined_1"], "u": ["c", "combined_1", "combined_2", "combined_3"]}),
+    ("pca", {"s": "abc", "t": ["PC1", "PC2", "PC3"], "u": ["PC1", "PC2", "PC3"]})])
+def test_handlers_and_their_log(spark, method, want):
+    df = handler_series(spark)
+    comps, _ = relations.pca(df)
+    weights, choice, record = collinear.handling(df, method)
+    got = {}
+    for r in relations.linear_map(df, weights).select("series_id", "var").distinct().collect():
+        got.setdefault(r["series_id"], set()).add(r["var"])
+    if method in ("drop", "select"):  # u: whichever of three alike stays, one does
+        assert got["s"] == set(want["s"]) and got["t"] in ({"a", "c"}, {"b", "c"}) and len(got["u"]) <= 2
+        if method == "select":
+            assert got["t"] == {"b", "c"}
+    else:
+        assert got == {s: set(v) for s, v in want.items()}
+    log = {r["series_id"]: r for r in processing_log(record, comps).collect()}
+    assert {s: r["method"] for s, r in log.items()} == {"s": "none", "t": method, "u": method}
+    assert log["s"]["details"] == "threshold=0.7" and log["s"]["n_components"] is None
+    if method == "drop":
+        assert set(log["t"]["details"].removeprefix("threshold=0.7; removed ").split(", ")) == set("abc") - got["t"]
+    elif method == "select":
+        assert log["t"]["details"] == "threshold=0.7; kept b, c"
+    elif method == "combine":
+        assert log["t"]["details"] == "threshold=0.7; combined combined_1"
+    else:
+        assert log["t"]["details"] == "threshold=0.7; PC1, PC2, PC3" and log["t"]["explained_variance"] == pytest.approx(1)
+
+
+def test_auto_takes_the_given_importance(spark):
+    df = handler_series(spark).filter("series_id = 't'")
+    rows = [("t", "a", 100.0), ("t", "b", 1.0), ("t", "c", 1.0)]
+    imp = spark.createDataFrame(rows, "series_id string, var string, importance double")
+    out, choice = collinear.handle_auto(df, threshold=0.7, imp=imp)
+    first = choice.first()
+    assert first["method"] == "select" and first["cv_importance"] > 0.5
+    assert {r["var"] for r in out.select("var").distinct().collect()} == {"a", "c"}
+
+
+def test_transform_subset(spark):
     df = long(spark, {"a": [1, math.e], "b": [1, 2]})
     got = {(r["var"], r["pos"]): r["value"] for r in transform.apply(df, "log", columns=["a"]).collect()}
     assert got == {("a", 0): 0, ("a", 1): pytest.approx(1), ("b", 0): 1, ("b", 1): 2}
-    log = processing_log("drop", "threshold=0.7", variables=df.select("series_id", "var").distinct()).first()
-    assert log["details"] == "threshold=0.7; a,b" and log["n_components"] is None
 
 
 def test_adf_t_stat_lag_choice(spark):

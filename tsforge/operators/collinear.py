@@ -2,9 +2,9 @@
 
 Decisions are driven by the small per-series tables (correlation matrix,
 strong pairs, variances); the greedy walks of ``drop`` / ``select`` run in a
-grouped pandas function over each series' pair table (≤ k² rows), and the
-chosen variables are applied to the points with joins — the driver never
-sees data.
+grouped pandas function over each series' pair table (≤ k² rows).  Every
+handler is a linear map of a series' variables: the small table of its weights
+is applied to the points in one pass (:func:`relations.linear_map`).
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tsforge.functions.expr import sdiv
 from tsforge.operators import relations
+from tsforge.plans.materialize import cut
 from tsforge.spec import KEYS
 
 
@@ -28,36 +30,37 @@ def strength(corr: DataFrame) -> DataFrame:
         (F.sum(F.abs("corr")) - 1).alias("strength"))
 
 
-def combine(df: DataFrame, pairs: DataFrame, how: str = "average") -> DataFrame:
-    """For strong pair i add ``combined_i`` = (a+b)/2 (``average``) or
-    the inverse-variance mix ``v_b/(v_a+v_b)·a + v_a/(v_a+v_b)·b`` (``weighted``);
+def _kept(names: DataFrame) -> DataFrame:
+    """The map that leaves the variables ``names`` (series_id, var) as they are."""
+    return names.select("series_id", F.col("var").alias("out_var"), "var", F.lit(1.0).alias("weight"),
+                        F.lit(0.0).alias("offset"), F.lit(False).alias("whole"))
+
+
+def combine_map(names: DataFrame, pairs: DataFrame, how: str = "average", imp: DataFrame | None = None) -> DataFrame:
+    """J19/J20 as a linear map: for strong pair i ``combined_i`` = (a+b)/2 (``average``) or the
+    inverse-variance mix ``v_b/(v_a+v_b)·a + v_a/(v_a+v_b)·b`` (``weighted``, ``imp`` = variances);
     the first member of every pair is dropped, the second kept."""
     if how == "average":
         p = pairs.select("series_id", "pair_no", "var1", "var2", F.lit(0.5).alias("w1"), F.lit(0.5).alias("w2"))
     elif how == "weighted":
-        v = importance(df)
-        p = (pairs.join(v.select("series_id", F.col("var").alias("var1"), F.col("importance").alias("_v1")),
-                        on=["series_id", "var1"])
-             .join(v.select("series_id", F.col("var").alias("var2"), F.col("importance").alias("_v2")),
-                   on=["series_id", "var2"])
-             .select("series_id", "pair_no", "var1", "var2",
-                     (F.col("_v2") / (F.col("_v1") + F.col("_v2"))).alias("w1"),
-                     (F.col("_v1") / (F.col("_v1") + F.col("_v2"))).alias("w2")))
+        one, two = (imp.select("series_id", F.col("var").alias(f"var{i}"), F.col("importance").alias(f"_v{i}")) for i in (1, 2))
+        total = F.col("_v1") + F.col("_v2")
+        p = pairs.join(one, on=["series_id", "var1"]).join(two, on=["series_id", "var2"]).select(
+            "series_id", "pair_no", "var1", "var2", sdiv(F.col("_v2"), total).alias("w1"), sdiv(F.col("_v1"), total).alias("w2"))
     else:
         raise ValueError("how must be 'average' or 'weighted'")
-    a = df.join(p.select("series_id", F.col("var1").alias("var"), "pair_no", F.col("w1").alias("_w")),
-                on=["series_id", "var"])
-    b = df.join(p.select("series_id", F.col("var2").alias("var"), "pair_no", F.col("w2").alias("_w")),
-                on=["series_id", "var"])
-    parts = a.unionByName(b)
-    # the average is computed as (a+b)/2, exactly like the reference
-    total = F.sum(F.col("value") * F.col("_w")) if how == "weighted" else F.sum("value") / 2
-    comb = parts.groupBy("series_id", "pair_no", "pos").agg(
-        F.first("ts").alias("ts"), total.alias("_wsum"), F.count("value").alias("_nv"))
-    comb = comb.select("series_id", F.concat(F.lit("combined_"), F.col("pair_no").cast("string")).alias("var"), "ts",
-                       "pos", F.when(F.col("_nv") == 2, F.col("_wsum")).alias("value"))
-    kept = df.join(pairs.select("series_id", F.col("var1").alias("var")), on=["series_id", "var"], how="left_anti")
-    return kept.select("series_id", "var", "ts", "pos", "value").unionByName(comb)
+    terms = F.explode(F.array(F.struct(F.col("var1").alias("var"), F.col("w1").alias("weight")),
+                              F.struct(F.col("var2").alias("var"), F.col("w2").alias("weight"))))
+    mixed = p.select("series_id", F.concat(F.lit("combined_"), F.col("pair_no").cast("string")).alias("out_var"),
+                     terms.alias("t")).select("series_id", "out_var", "t.*", F.lit(0.0).alias("offset"), F.lit(False).alias("whole"))
+    first = pairs.select("series_id", F.col("var1").alias("var"))
+    return _kept(names.join(first, on=["series_id", "var"], how="left_anti")).unionByName(mixed)
+
+
+def combine(df: DataFrame, pairs: DataFrame, how: str = "average") -> DataFrame:
+    """``df`` with the strong pairs combined (:func:`combine_map`)."""
+    imp = cut(importance(df))
+    return relations.linear_map(df, combine_map(imp.select("series_id", "var"), pairs, how, imp))
 
 
 def _greedy(pairs: DataFrame, score: DataFrame, rule: str) -> DataFrame:
@@ -122,23 +125,68 @@ def reduce_pca(df: DataFrame, max_components: int = 3) -> DataFrame:
     return relations.pca_scores(df, loads, n_components=max_components)
 
 
+METHODS = ("pca", "drop", "combine", "select")
+
+
+def handling(df: DataFrame, method: str = "auto", threshold: float = 0.7, how: str = "average", n_components: int = 3,
+             imp: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is to be done with each series, as small tables: ``weights`` (the linear map
+    :func:`relations.linear_map` applies), ``choice`` (series_id, method: its J22 decision or the
+    given method; ``none`` without strong pairs) and ``record`` (series_id, method, details:
+    removed names for drop, kept names for select, new names for combine and pca).
+    ``imp`` (series_id, var, importance) replaces the sample variance in select and in the decision."""
+    if method not in (*METHODS, "auto"):
+        raise ValueError(f"method must be one of {', '.join(METHODS)}, auto: {method!r}")
+    variance = cut(importance(df))
+    names, imp = variance.select("series_id", "var"), variance if imp is None else imp
+    corr = cut(relations.correlation(df))
+    pairs = cut(relations.strong_pairs(corr, threshold))
+    if method == "auto":
+        choice = cut(auto_choice(df, pairs, imp))
+    else:
+        strong = pairs.select("series_id").distinct().withColumn("method", F.lit(method))
+        choice = cut(names.select("series_id").distinct().join(strong, on="series_id", how="left").withColumn(
+            "method", F.coalesce("method", F.lit("none"))))
+    made = {"none": (_kept(names), None)}
+    wanted = METHODS if method == "auto" else (method,)
+    if "drop" in wanted and method != "auto":  # the automatic decision never drops
+        gone = _greedy(pairs, strength(corr).withColumnRenamed("strength", "score"), "drop")
+        made["drop"] = _kept(names.join(gone, on=["series_id", "var"], how="left_anti")), gone
+    if "select" in wanted:
+        gone = _greedy(pairs, imp.withColumnRenamed("importance", "score"), "select")
+        left = names.join(gone, on=["series_id", "var"], how="left_anti")
+        made["select"] = _kept(left), left
+    if "combine" in wanted:
+        made["combine"] = combine_map(names, pairs, how, variance), None
+    by_pca = choice.filter(F.col("method") == "pca").select("series_id")
+    if not by_pca.isEmpty():
+        some = df.join(by_pca, on="series_id", how="left_semi")
+        _, loads = relations.pca(some)
+        made["pca"] = relations.component_map(some, loads, n_components), None
+    weights, record = None, None
+    for name, (table, listed) in made.items():
+        mine = choice.filter(F.col("method") == name).select("series_id")
+        w = table.join(mine, on="series_id", how="left_semi")
+        new = w.filter(F.col("out_var") != F.col("var")).select("series_id", F.col("out_var").alias("var")).distinct()
+        listed = (new if listed is None else listed).join(mine, on="series_id", how="right").groupBy("series_id").agg(
+            F.array_join(F.array_sort(F.collect_set("var")), ",").alias("details")).withColumn("method", F.lit(name))
+        weights = w if weights is None else weights.unionByName(w)
+        record = listed if record is None else record.unionByName(listed)
+    return cut(weights), choice, cut(record.select("series_id", "method", "details"))
+
+
 def handle(df: DataFrame, method: str = "auto", threshold: float = 0.7, how: str = "average", n_components: int = 3,
            imp: DataFrame | None = None) -> DataFrame:
-    """J16 dispatcher (single-method form): 'pca' | 'drop' | 'combine' |
-    'select'.  A series without strong pairs is returned unchanged."""
-    corr = relations.correlation(df)
-    pairs = relations.strong_pairs(corr, threshold)
-    if method == "pca":
-        strong = pairs.select("series_id").distinct()
-        kept = df.join(strong, on="series_id", how="left_anti")
-        return reduce_pca(df.join(strong, on="series_id", how="left_semi"), n_components).select(*kept.columns).unionByName(kept)
-    if method == "drop":
-        return drop(df, corr, pairs)[0]
-    if method == "combine":
-        return combine(df, pairs, how)
-    if method == "select":
-        return select(df, pairs, imp)[0]
-    raise ValueError("method must be one of pca, drop, combine, select (auto: see auto_choice)")
+    """J16: 'pca' | 'drop' | 'combine' | 'select' | 'auto' (each series by its own J22 decision).  A
+    series without strong pairs is returned unchanged."""
+    return relations.linear_map(df, handling(df, method, threshold, how, n_components, imp)[0])
+
+
+def handle_auto(df: DataFrame, threshold: float = 0.7, max_components: int = 3,
+                imp: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """J16 with ``method='auto'``; returns (data, decisions)."""
+    weights, choice, _ = handling(df, "auto", threshold, n_components=max_components, imp=imp)
+    return relations.linear_map(df, weights), choice
 
 
 def effect(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -158,29 +206,3 @@ def effect_pairs(before: DataFrame, after: DataFrame) -> DataFrame:
     def pairs(c: DataFrame, name: str) -> DataFrame:
         return c.filter(F.col("var1") < F.col("var2")).select("series_id", "var1", "var2", F.col("corr").alias(name))
     return pairs(before, "corr_before").join(pairs(after, "corr_after"), on=["series_id", "var1", "var2"], how="full")
-
-
-def handle_auto(df: DataFrame, threshold: float = 0.7, max_components: int = 3) -> tuple[DataFrame, DataFrame]:
-    """J16 with ``method='auto'``: every series gets the handler its own J22
-    decision names (pca / select / combine / unchanged).  The decision table
-    (one row per series) is semi-joined to each variant, so the choice never
-    passes through the driver.  Returns (data, decisions)."""
-    corr = relations.correlation(df)
-    pairs = relations.strong_pairs(corr, threshold)
-    choice = auto_choice(df, pairs)
-
-    def pick(frame: DataFrame, method: str) -> DataFrame:
-        return frame.join(choice.filter(F.col("method") == method).select("series_id"), on="series_id",
-                          how="left_semi")
-
-    cols = ["series_id", "var", "ts", "pos", "value"]
-    parts = [
-        pick(reduce_pca(df, max_components), "pca").select(*cols),
-        pick(select(df, pairs)[0], "select").select(*cols),
-        pick(combine(df, pairs, "average"), "combine").select(*cols),
-        pick(df, "none").select(*cols),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, choice

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tsforge.functions.expr import sdiv
 from tsforge.operators import lags
 from tsforge.operators.quantile import value_ranks
+from tsforge.plans.materialize import cut
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
 
 # Fixed value: two-sided 95 % normal quantile.
@@ -188,24 +189,52 @@ def pca(df: DataFrame, vars_: list[str] | None = None, scale: bool = True) -> tu
     return comps, loads
 
 
+def component_map(df: DataFrame, loadings: DataFrame, n_components: int | None = None, scale: bool = True) -> DataFrame:
+    """The scores as a linear map (:func:`linear_map`): weight = loading / population std and
+    offset = -mean · weight over the rows where all variables are present."""
+    vars_ = variables(df)
+    w = wide(df, vars_).dropna(subset=vars_)
+    stats = w.groupBy("series_id").agg(F.array(*[
+        F.struct(F.lit(v).alias("var"), F.avg(v).alias("_m"), F.stddev_pop(v).alias("_sd")) for v in vars_]).alias("_s"))
+    each = cut(stats).select("series_id", F.inline("_s"))
+    ld = loadings if n_components is None else loadings.filter(F.col("pc") <= n_components)
+    weight = sdiv(F.col("loading"), F.col("_sd")) if scale else F.col("loading")
+    return ld.join(each, on=["series_id", "var"]).withColumn("weight", weight).select(
+        "series_id", F.concat(F.lit("PC"), F.col("pc").cast("string")).alias("out_var"), "var", "weight",
+        (-F.col("_m") * F.col("weight")).alias("offset"), F.lit(True).alias("whole"))
+
+
+def linear_map(df: DataFrame, weights: DataFrame) -> DataFrame:
+    """New variables as weighted sums: ``weights`` (series_id, out_var, var, weight, offset,
+    whole) has a row for each term of each output.  A value is NULL where a term
+    is; rows of ``whole`` outputs exist only where all their terms do.  The map of a
+    series is one small row; each time point is read once and gives one row an output."""
+    vars_ = variables(df)
+    known = weights.filter(F.col("var").isin(vars_))
+    terms = [F.max(F.when(F.col("var") == v, F.col("weight"))) for v in vars_]
+    outs = known.groupBy("series_id", "out_var").agg(
+        F.array(*terms).alias("w"), F.sum("offset").alias("offset"), F.max("whole").alias("whole"))
+    maps = outs.groupBy("series_id").agg(F.collect_list(F.struct("out_var", "w", "offset", "whole")).alias("_map"))
+    rows = wide(df, vars_).join(maps, on="series_id")
+    x = F.array(*vars_)
+    rows = rows.select("series_id", "pos", "ts", x.alias("_x"), F.explode("_map").alias("_o"))
+    used = F.filter(F.arrays_zip("_x", F.col("_o.w").alias("w")), lambda e: e["w"].isNotNull())
+    value = F.aggregate(used, F.col("_o.offset"), lambda acc, e: acc + e["_x"] * e["w"])  # a NULL term makes it NULL
+    out = rows.select("series_id", F.col("_o.out_var").alias("var"), "ts", "pos", value.alias("value"), F.col("_o.whole").alias("_w"))
+    return out.filter(~F.col("_w") | F.col("value").isNotNull()).drop("_w")
+
+
 def pca_scores(df: DataFrame, loadings: DataFrame, n_components: int | None = None, scale: bool = True,
                whiten: bool = False, components: DataFrame | None = None) -> DataFrame:
     """PCA scores as a long frame (``var = 'PC<i>'``): Σ_v z_v(t)·loading(v, pc).
     ``z`` uses the population std (``scale``) on complete rows."""
-    from tsforge.operators import normalize
-
-    vars_ = sorted(r[0] for r in loadings.select("var").distinct().collect())
-    complete = wide(df, vars_).dropna(subset=vars_).select("series_id", "pos")
-    d = df.join(complete, on=["series_id", "pos"], how="left_semi")
-    z = normalize.standardize(d) if scale else d.join(
-        d.groupBy(*KEYS).agg(F.avg("value").alias("_m")), on=KEYS).withColumn("value", F.col("value") - F.col("_m"))
-    ld = loadings if n_components is None else loadings.filter(F.col("pc") <= n_components)
-    s = z.join(ld, on=["series_id", "var"]).groupBy("series_id", "pos", "pc").agg(
-        F.sum(F.col("value") * F.col("loading")).alias("value"), F.first("ts").alias("ts"))
+    weights = component_map(df, loadings, n_components, scale)
     if whiten and components is not None:
-        s = s.join(components.select("series_id", "pc", "eigenvalue"), on=["series_id", "pc"]).withColumn(
-            "value", sdiv(F.col("value"), F.sqrt("eigenvalue")))
-    return s.select("series_id", F.concat(F.lit("PC"), F.col("pc").cast("string")).alias("var"), "ts", "pos", "value")
+        sd = components.select("series_id", F.concat(F.lit("PC"), F.col("pc").cast("string")).alias("out_var"),
+                               F.sqrt("eigenvalue").alias("_sd"))
+        weights = weights.join(sd, on=["series_id", "out_var"]).withColumn(
+            "weight", sdiv(F.col("weight"), F.col("_sd"))).withColumn("offset", sdiv(F.col("offset"), F.col("_sd"))).drop("_sd")
+    return linear_map(df, weights)
 
 
 def n_components_for(components: DataFrame, target: float = 0.8) -> DataFrame:

@@ -954,3 +954,32 @@ _DROPPED = f"{_STRENGTH}, {greedy_ctes('sp', 'sc', 'CASE WHEN x1 > x2 THEN var1
 _SELECTED = f"{_IMPORTANCE}, {greedy_ctes('sp', 'im', 'CASE WHEN x1 > x2 THEN var2 ELSE var1 END', 'sl')}"
 ORACLES["collinear_drop"] = f"WITH RECURSIVE {_SP}, {_DROPPED} SELECT series_id, var FROM dr"
 ORACLES["collinear_select"] = f"WITH RECURSIVE {_SP}, {_SELECTED} SELECT series_id, var FROM sl"
+
+_CHOICE = ORACLES["collinear_auto_choice"].removeprefix(f"WITH {_SP},")
+_HANDLED = f"""{_SP}, {ro.pca_ctes('dw', _DAILY_VARS)}, {ro.pca_score_ctes('dw', 3)}, {_DROPPED}, {_SELECTED},
+ch AS (WITH {_CHOICE})"""
+ORACLES["collinear_handle_auto"] = f"""WITH RECURSIVE {_HANDLED},
+cb AS (SELECT a.series_id, 'combined_' || CAST(sp.pair_no AS VARCHAR) AS var, a.ts, a.pos, (a.value + b.value) / 2 AS value
+       FROM sp JOIN dw a ON a.series_id = sp.series_id AND a.var = sp.var1
+               JOIN dw b ON b.series_id = sp.series_id AND b.var = sp.var2 AND b.pos = a.pos),
+al AS (SELECT 'pca' AS method, series_id, var, ts, pos, value FROM pc_t
+       UNION ALL SELECT 'none', series_id, var, ts, pos, value FROM dw
+       UNION ALL SELECT 'select', series_id, var, ts, pos, value FROM dw WHERE (series_id, var) NOT IN (SELECT series_id, var FROM sl)
+       UNION ALL SELECT 'combine', series_id, var, ts, pos, value FROM dw WHERE (series_id, var) NOT IN (SELECT series_id, var1 FROM sp)
+       UNION ALL SELECT 'combine', * FROM cb),
+o AS (SELECT al.* FROM al JOIN ch USING (series_id, method))
+{sel_long('o')}"""
+ORACLES["processing_log"] = f"""WITH RECURSIVE {_HANDLED},
+vs AS (SELECT DISTINCT series_id, var FROM dw),
+nm AS (SELECT 'drop' AS method, series_id, 'removed ' || string_agg(var, ', ' ORDER BY var) AS names FROM dr GROUP BY series_id
+       UNION ALL SELECT 'select', series_id, 'kept ' || string_agg(var, ', ' ORDER BY var) FROM vs
+                 WHERE (series_id, var) NOT IN (SELECT series_id, var FROM sl) GROUP BY series_id
+       UNION ALL SELECT 'combine', series_id, 'combined ' || string_agg('combined_' || pair_no, ', ' ORDER BY 'combined_' || pair_no)
+                 FROM sp GROUP BY series_id
+       UNION ALL SELECT 'pca', series_id, string_agg('PC' || pc, ', ' ORDER BY pc) FROM pc_c WHERE pc <= 3 GROUP BY series_id),
+asked AS (SELECT m AS asked, ch.series_id, CASE WHEN m = 'auto' THEN ch.method WHEN ch.n_pairs = 0 THEN 'none' ELSE m END AS method
+          FROM ch CROSS JOIN (SELECT unnest(['pca', 'drop', 'combine', 'select', 'auto']) AS m)),
+ev AS (SELECT series_id, sum(ratio) AS r FROM pc_c WHERE pc <= 3 GROUP BY series_id)
+SELECT series_id, 'correlation_handling' AS step, method, 'threshold=0.7' || coalesce('; ' || names, '') AS details,
+       CASE WHEN method = 'pca' THEN 3.0 END AS n_components, CASE WHEN method = 'pca' THEN {R6('r')} END AS explained_variance, asked
+FROM asked LEFT JOIN nm USING (series_id, method) LEFT JOIN ev USING (series_id)"""

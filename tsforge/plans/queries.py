@@ -7,6 +7,8 @@ oracle SQL does, so both engines hash identical values.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -787,11 +789,16 @@ def q_collinear_handle_auto(spark, sf):
 
 @query("processing_log")
 def q_processing_log(spark, sf):
-    """The processing record of the PCA handling (components kept, variance explained)."""
+    """The processing record of every handler: names removed, kept or made, components and variance."""
     from tsforge.sources.sinks import processing_log
 
-    comps, _ = relations.pca(daily_wide(spark, sf))
-    return finish(processing_log("pca", "standardised PCA of strongly correlated variables", comps, n_components=3))
+    d = daily_wide(spark, sf)
+    comps, _ = relations.pca(d)
+    comps, logs = cut(comps), []
+    for method in (*collinear.METHODS, "auto"):
+        record = collinear.handling(d, method)[2]
+        logs.append(processing_log(record, comps).withColumn("asked", F.lit(method)))
+    return finish(reduce(DataFrame.unionByName, logs))
 
 
 @query("granger_lag1")

@@ -9,7 +9,6 @@ materialised once (lineage cut) because every analysis reads it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tsforge.operators import collinear, relations, unitroot
 from tsforge.plans.materialize import cut
@@ -18,7 +17,7 @@ from tsforge.sources.sinks import processing_log
 
 def analyze(df: DataFrame, ccf_pair: tuple[str, str] | None = None, granger_pair: tuple[str, str] | None = None,
             coint_pair: tuple[str, str] | None = None, threshold: float = 0.7, ccf_lags: int = 20,
-            granger_lags: int = 4, method: str = "auto") -> dict[str, DataFrame]:
+            granger_lags: int = 4, method: str = "auto", importance: DataFrame | None = None) -> dict[str, DataFrame]:
     """Run the analyses and the collinearity handling; returns named tables
     (``correlation, strong_pairs, ccf, granger, cointegration, johansen,
     pca_components, pca_loadings, choice, handled, effect, processing_log``)."""
@@ -34,22 +33,10 @@ def analyze(df: DataFrame, ccf_pair: tuple[str, str] | None = None, granger_pair
         out["granger"] = unitroot.granger(d, *granger_pair, maxlag=granger_lags)
     if coint_pair:
         out["cointegration"] = unitroot.engle_granger(d, *coint_pair)
-    if method == "auto":
-        handled, choice = collinear.handle_auto(d, threshold)
-        out["choice"] = choice
-    else:
-        handled = collinear.handle(d, method, threshold)
+    weights, choice, record = collinear.handling(d, method, threshold, imp=importance)
+    handled = relations.linear_map(d, weights)
+    out["choice"] = choice
     out["handled"] = handled
     out["effect"] = collinear.effect(corr, relations.correlation(handled))
-    # one log row per series, of the method that it got
-    names = handled.select("series_id", "var").distinct()
-    details = f"threshold={threshold}"
-    if method in ("auto", "pca"):
-        by_pca = (choice.filter(F.col("method") == "pca") if method == "auto" else pairs).select("series_id").distinct()
-        log = processing_log("pca", details, comps.join(by_pca, on="series_id", how="left_semi"), n_components=3)
-        rest = names.join(by_pca, on="series_id", how="left_anti")
-        rest = processing_log("auto" if method == "auto" else "none", details, variables=rest)
-        out["processing_log"] = log.unionByName(rest)
-    else:
-        out["processing_log"] = processing_log(method, details, variables=names)
+    out["processing_log"] = processing_log(record, comps, threshold)
     return out

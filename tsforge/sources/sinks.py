@@ -42,27 +42,22 @@ def export_transformed(df: DataFrame, ledger: DataFrame, path: str, fmt: str = "
     (w.option("header", True).csv if fmt == "csv" else w.parquet)(_stem(path) + "_transformations")
 
 
-def processing_log(method: str, details: str, components: DataFrame | None = None, n_components: int | None = None,
-                   variables: DataFrame | None = None):
-    """A9 log row(s): ``step, method, details, n_components, explained_variance``.
-    PCA takes the ``components`` table (retained components and their summed
-    explained-variance ratio); the other methods the ``variables`` table
-    (``series_id, var``: removed, kept or combined names), which goes into the
-    details, with NULL component columns."""
-    if method != "pca":
-        if variables is None:
-            raise ValueError("variables table (series_id, var) required")
-        return variables.groupBy("series_id").agg(
-            F.lit("correlation_handling").alias("step"), F.lit(method).alias("method"),
-            F.concat_ws("; ", F.lit(details), F.array_join(F.array_sort(F.collect_set("var")), ",")).alias("details"),
-            F.lit(None).cast("double").alias("n_components"), F.lit(None).cast("double").alias("explained_variance"))
-    if components is None:
-        raise ValueError("components table required (use relations.pca)")
-    c = components if n_components is None else components.filter(F.col("pc") <= n_components)
-    return c.groupBy("series_id").agg(
-        F.lit("correlation_handling").alias("step"), F.lit(method).alias("method"), F.lit(details).alias("details"),
-        F.count(F.lit(1)).cast("double").alias("n_components"),
-        F.sum("explained_variance_ratio").alias("explained_variance"))
+def processing_log(record: DataFrame, components: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """A9 log, one row a series, of the method that it really got: ``step, method, details,
+    n_components, explained_variance``.  ``record`` comes from :func:`collinear.handling`: the
+    details are the threshold and the names that drop removed, select kept, or combine
+    and pca made; pca also has its number of components and the sum of their explained variance."""
+    number = F.size(F.split("details", ","))
+    upto = components.groupBy("series_id").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("pc").cast("int"), F.col("explained_variance_ratio")))).alias("_r"))
+    kept = F.aggregate(F.filter(F.map_entries("_r"), lambda e: e["key"] <= number), F.lit(0.0), lambda a, e: a + e["value"])
+    pca = F.col("method") == "pca"
+    what = F.create_map(*[F.lit(x) for x in ("drop", "removed ", "select", "kept ", "combine", "combined ", "pca", "")])
+    return record.join(upto, on="series_id", how="left").select(
+        "series_id", F.lit("correlation_handling").alias("step"), "method",
+        F.concat(F.lit(f"threshold={threshold}"), F.when(F.col("method") != "none", F.concat(
+            F.lit("; "), F.try_element_at(what, F.col("method")), F.regexp_replace("details", ",", ", "))).otherwise("")).alias("details"),
+        F.when(pca, number.cast("double")).alias("n_components"), F.when(pca, kept).alias("explained_variance"))
 
 
 def export_processed(df: DataFrame, log: DataFrame, path: str, fmt: str = "csv", **kw) -> None:
