@@ -40,8 +40,9 @@ def wide(df: DataFrame, vars_: list[str] | None = None) -> DataFrame:
     )
 
 
-def _pair_stats(w: DataFrame, vars_: list[str], fn) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+def _pair_stats(w: DataFrame, vars_: list[str], fn, *more) -> DataFrame:
+    """One row per series: ``_p<i>_<j>`` = fn of each pair on its complete rows, and the aggregates ``more``."""
+    aggs = [F.count(F.lit(1)).alias("_rows"), *more]
     for i, a in enumerate(vars_):
         for j in range(i + 1, len(vars_)):
             b = vars_[j]
@@ -63,15 +64,14 @@ def correlation(df: DataFrame, method: str = "pearson", vars_: list[str] | None
     elif method != "pearson":
         raise ValueError("method must be 'pearson' or 'spearman' (kendall: see kendall())")
     w = wide(df, vars_).drop("ts")
-    stats = _pair_stats(w, vars_, _pearson)
+    # one aggregation: the pivoted rows are read once
+    stats = _pair_stats(w, vars_, _pearson, *[F.var_pop(v).alias(f"_v_{i}") for i, v in enumerate(vars_)])
     arr = []
     for i, a in enumerate(vars_):
         for j in range(i + 1, len(vars_)):
             b, c = vars_[j], F.col(f"_p{i}_{j}")
             arr += [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), c.alias("corr")),
                     F.struct(F.lit(b).alias("var1"), F.lit(a).alias("var2"), c.alias("corr"))]
-    var_ok = w.groupBy("series_id").agg(*[F.var_pop(v).alias(f"_v_{i}") for i, v in enumerate(vars_)])
-    stats = stats.join(var_ok, on="series_id")
     for i, v in enumerate(vars_):
         arr.append(F.struct(F.lit(v).alias("var1"), F.lit(v).alias("var2"),
                             F.when(F.col(f"_v_{i}") > 0, F.lit(1.0)).alias("corr")))
