@@ -983,3 +983,28 @@ ev AS (SELECT series_id, sum(ratio) AS r FROM pc_c WHERE pc <= 3 GROUP BY series
 SELECT series_id, 'correlation_handling' AS step, method, 'threshold=0.7' || coalesce('; ' || names, '') AS details,
        CASE WHEN method = 'pca' THEN 3.0 END AS n_components, CASE WHEN method = 'pca' THEN {R6('r')} END AS explained_variance, asked
 FROM asked LEFT JOIN nm USING (series_id, method) LEFT JOIN ev USING (series_id)"""
+
+# ------------------------------------------- partial autocorrelations by the Durbin-Levinson recursion
+
+_PACF = f"""{EV_F},
+e AS (SELECT series_id, var, pos, value - avg(value) OVER (PARTITION BY series_id, var) AS e,
+             count(*) OVER (PARTITION BY series_id, var) AS n FROM ev_f),
+ls AS (SELECT a.series_id, a.var, k.lag, any_value(a.n) AS n, sum(a.e * b.e) / (any_value(a.n) - k.lag) AS g
+       FROM e a CROSS JOIN (SELECT range AS lag FROM range(0, 41)) k
+       JOIN e b ON b.series_id = a.series_id AND b.var = a.var AND b.pos = a.pos - k.lag
+       GROUP BY a.series_id, a.var, k.lag),
+gs AS (SELECT series_id, var, any_value(n) AS n, list(g ORDER BY lag) AS g FROM ls GROUP BY series_id, var),
+dl AS (SELECT series_id, var, n, g, 0 AS lag, CAST([] AS DOUBLE[]) AS phi, g[1] AS v, CAST(1.0 AS DOUBLE) AS pacf FROM gs
+       UNION ALL
+       SELECT series_id, var, n, g, lag + 1,
+              list_append(list_transform(range(1, lag + 1), lambda j: phi[j] - pk * phi[lag + 1 - j]), pk), v * (1 - pk * pk), pk
+       FROM (SELECT *, (g[lag + 2] - coalesce(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * g[lag + 2 - j])), 0)) / v AS pk
+             FROM dl WHERE lag < 40)),
+p AS (SELECT series_id, var, CAST(lag AS BIGINT) AS lag, n, pacf, 1.959963984540054 / sqrt(n) AS band FROM dl)"""
+ORACLES["pacf"] = f"WITH RECURSIVE {_PACF} SELECT series_id, var, lag, n, {R6('pacf')} AS pacf, {R6('band')} AS band FROM p"
+ORACLES["pacf_significant_lags"] = f"""WITH RECURSIVE {_PACF},
+q AS (SELECT series_id, var, list_sort(list(lag) FILTER (WHERE abs(pacf) > band)) AS significant_lags,
+             CAST(count(*) FILTER (WHERE abs(pacf) > band) AS BIGINT) AS n_significant,
+             max(lag) FILTER (WHERE abs(pacf) > band) AS last_significant FROM p GROUP BY series_id, var)
+SELECT *, CASE WHEN n_significant = 0 THEN 'white_noise' WHEN n_significant > 20 THEN 'slow_decay'
+               ELSE 'cutoff_' || CAST(last_significant AS VARCHAR) END AS verdict FROM q"""
