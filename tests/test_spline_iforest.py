@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from tsforge.operators import fill, iforest
-from tsforge.operators.spline import cubic_second_derivatives
+from tsforge.operators.spline import cubic_second_derivatives, solve_tridiagonal
 
 
 def notaknot_dense(x, y, xq):
@@ -26,6 +26,16 @@ def notaknot_dense(x, y, xq):
     return np.array(out)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 300])
+def test_tridiagonal_matches_dense(n):
+    rng = np.random.default_rng(n)
+    sub, sup = rng.normal(size=n), rng.normal(size=n)
+    diag = 1.0 + np.abs(sub) + np.abs(sup)
+    rhs = rng.normal(size=n)
+    dense = np.diag(diag) + np.diag(sub[1:], -1) + np.diag(sup[:-1], 1)
+    assert np.max(np.abs(solve_tridiagonal(sub, diag, sup, rhs) - np.linalg.solve(dense, rhs))) < 1e-12
+
+
 def test_second_derivatives_match_dense():
     rng = np.random.default_rng(3)
     x = np.cumsum(rng.uniform(0.5, 2, 12))
@@ -54,6 +64,74 @@ def test_spline_fill_matches_brute_force(spark, chunk):
     assert np.max(np.abs(got - exp)) < 1e-8
 
 
+@pytest.mark.parametrize("degree", [2, 3])
+def test_spline_of_few_knots(spark, degree):
+    """No knot stays NULL, one is a constant, two a line; three are a parabola (degree 2) or lines (degree 3)."""
+    data = []
+    for m, at in enumerate([[], [2], [1, 4], [1, 2, 4]]):
+        data += [(f"s{m}", "v", None, i, float(i * i) if i in at else None) for i in range(6)]
+    df = spark.createDataFrame(data, "series_id string, var string, ts timestamp_ntz, pos long, value double")
+    got = {}
+    for r in fill.spline(df, degree, chunk_rows=2).orderBy("pos").collect():
+        got.setdefault(r["series_id"], []).append(r["value"])
+    assert got["s0"] == [None] * 6 and got["s1"] == [4.0] * 6
+    assert np.allclose(got["s2"], [1 + 5 * (i - 1) for i in range(6)])
+    assert np.allclose(got["s3"], [i * i for i in range(6)] if degree == 2 else [-2, 1, 4, 10, 16, 22])
+
+
+def walk(values, path_of, x):
+    """Score of x by following it through every tree, interval by interval."""
+    total = 0.0
+    for cuts, paths in values:
+        i = 0
+        while i < len(cuts) and x >= cuts[i]:
+            i += 1
+        total += paths[i]
+    return 2.0 ** (-(total / len(values)) / path_of)
+
+
+def test_forest_steps_match_trees():
+    rng = np.random.default_rng(4)
+    pool = np.round(rng.normal(size=500), 2)
+    trees, psi = iforest.grow_forest(pool, 12, 64, rng)
+    cuts, scores = iforest.forest_steps(trees, psi)
+    for x in [*pool, -1e300, 1e300, *cuts]:
+        assert abs(scores[np.searchsorted(cuts, x, side="right")] - walk(trees, iforest.c_factor(psi), x)) < 1e-12
+
+
+def test_tree_paths_are_those_of_its_points():
+    """Every point of a tree's sample lies in one interval, whose path is its depth plus c(points in it)."""
+    values = np.array([0.0, 0.0, 1.0, 5.0, 5.0, 5.0, 9.0, 100.0])
+    for seed in range(50):
+        cuts, paths = iforest.grow_tree(values, np.random.default_rng(seed))
+        assert list(cuts) == sorted(cuts) and len(paths) == len(cuts) + 1
+        inside = np.bincount(np.searchsorted(cuts, values, side="right"), minlength=len(paths))
+        assert inside.sum() == len(values) and (inside > 0).all()
+        depth = paths - [iforest.c_factor(n) for n in inside]
+        assert np.allclose(depth, np.round(depth)) and depth.max() <= 3
+        # leaves of a binary tree
+        assert abs(sum(0.5 ** d for d in depth) - 1.0) < 1e-12
+
+
+def test_iforest_odd_series(spark):
+    """Nulls, infinities, one point, constant and empty series; columns of the caller stay as they are."""
+    rows = [("null", "v", None, i, None, i) for i in range(3)] + [("one", "v", None, 0, 7.0, None)]
+    rows += [("const", "v", None, i, 5.0, 2**53 + 1) for i in range(50)]
+    rows += [("inf", "v", None, i, float("inf") if i == 9 else float(i % 4), i) for i in range(40)]
+    schema = "series_id string, var string, ts timestamp_ntz, pos long, value double, tag long"
+    df = spark.createDataFrame(rows, schema)
+    out = iforest.isolation_forest(df, chunk_rows=16, keep_score=True)
+    assert out.columns == [*df.columns, "is_outlier", "score"]
+    got = {(r["series_id"], r["pos"]): r for r in out.collect()}
+    assert len(got) == len(rows)
+    assert {tuple(r[c] for c in df.columns) for r in got.values()} == set(rows)
+    assert all(got["null", i]["score"] is None and not got["null", i]["is_outlier"] for i in range(3))
+    assert not got["one", 0]["is_outlier"] and not any(got["const", i]["is_outlier"] for i in range(50))
+    assert got["inf", 9]["score"] == got["inf", 3]["score"]  # beyond the largest value that trees saw
+    empty = iforest.isolation_forest(spark.createDataFrame([], schema))
+    assert empty.count() == 0
+
+
 def test_iforest_flags_extremes(spark):
     rng = np.random.default_rng(0)
     vals = rng.normal(size=1000)
@@ -114,8 +192,6 @@ def test_kendall_matches_brute_force(spark, chunk, bits):
 
 @pytest.mark.parametrize("chunk", [1, 7, 100000])
 def test_quadratic_chunk_invariance(spark, chunk):
-    from tsforge.operators.spline import quadratic_slopes
-
     rng = np.random.default_rng(5)
     n = 300
     vals = np.cos(np.arange(n) / 11.0) + 0.05 * rng.normal(size=n)
@@ -126,7 +202,10 @@ def test_quadratic_chunk_invariance(spark, chunk):
     got = np.array([r["value"] for r in fill.spline(df, 2, chunk_rows=chunk, extrapolate=False).orderBy("pos").collect()])
     x = np.arange(n)[~mask].astype(float)
     y = vals[~mask]
-    s = quadratic_slopes(x, y)
+    h, d = np.diff(x), np.diff(y) / np.diff(x)
+    s = [d[0] - h[0] * (d[1] - d[0]) / (h[0] + h[1])]  # parabola through the first three knots
+    for secant in d:
+        s.append(2 * secant - s[-1])
     exp = np.empty(n)
     for q in range(n):
         i = min(max(np.searchsorted(x, q, side="right") - 1, 0), len(x) - 2)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.operators import scan
+from tsforge.plans.materialize import cut
 from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS, LONG_COLUMNS
 
 # Fixed step lengths in microseconds for the pandas aliases the reference accepts.
@@ -200,7 +201,7 @@ def upsample(df: DataFrame, rule: str = "H", method=0, chunk_rows: int = DEFAULT
         return forward_fill(g, chunk_rows)
     if how == "linear":
         return fill.linear(g, chunk_rows=chunk_rows)
-    return fill.spline(g, degree=2, chunk_rows=chunk_rows, extrapolate=False, use_ts=True)
+    return fill.spline(cut(g), degree=2, chunk_rows=chunk_rows, extrapolate=False, use_ts=True)
 
 
 def forward_fill(df: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:

@@ -1,17 +1,20 @@
 """Isolation forest for univariate series (C4), re-aimed as Spark jobs.
 
-1. Subsample: tree ``t`` of a series uses the points with the smallest
-   ``xxhash64(series, var, pos, seed, t)`` (≤ ``max_samples``).  Candidates are
-   pre-filtered by a hash threshold inside one array expression per row, so
-   only sampled (point, tree) pairs are exploded.
-2. Build: ``groupBy(series, var, tree).applyInPandas`` grows one isolation
-   tree on ≤ 256 values.  In one dimension a tree is a partition of the line
-   into intervals, each with a path length (depth + c(size)).
-3. Score: every block of ≥ 4M points is co-grouped with its series' model
-   (≤ trees × leaves intervals) and scored with ``searchsorted``:
-   ``s(x) = 2^(-mean path / c(ψ))``.
-4. Flag: points whose score exceeds the exact ``1 - contamination`` quantile
-   of their series' scores.
+1. Count: valid points and last position of every series (partial aggregation).
+2. Pool: the ``n_trees · max_samples`` points of a series with the smallest
+   hash of (series, var, pos, seed), one hash a point.  A threshold from the count
+   lets about that many points out of the scan, so no task ever sees more of a
+   series; the exact bottom is taken where the forest grows.
+3. Grow: every tree draws its points from the pool without replacement, so it
+   has a uniform sample of the series.  In one dimension a tree is a step
+   function (interval → path length), hence the forest too: the trees are
+   added up to one sorted list of cut points (≤ trees × leaves) with the score
+   ``2^(-mean path / c(ψ))`` between them.
+4. Score: blocks of ``SCORE_ROWS`` points meet their series' steps in a
+   co-grouped Arrow task and are looked up by ``searchsorted``; all columns of a
+   point travel along, so nothing is joined back.
+5. Flag: points whose score exceeds the exact ``1 - contamination`` quantile
+   of their series' scores (a series has no more distinct scores than steps).
 """
 
 from __future__ import annotations
@@ -21,15 +24,18 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.operators import scan
 from tsforge.operators.quantile import exact_quantiles
-from tsforge.spec import DEFAULT_CHUNK_ROWS, KEYS
+from tsforge.plans.materialize import cut
+from tsforge.spec import KEYS
 
 EULER = 0.5772156649015329
-SCORE_CHUNK_ROWS = 1 << 22
+#: Points of a scoring group; a series' steps (≤ 16 bytes × trees × leaves) are copied to each.
+SCORE_ROWS = 1 << 20
 
 
 def c_factor(n: float) -> float:
@@ -41,23 +47,37 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
-def _grow(values: np.ndarray, rng: np.random.Generator, limit: int):
-    """Return sorted cut points and the path length of each resulting interval."""
-    cuts: list[float] = []
-    paths: list[tuple[float, float, float]] = []  # (lo, hi, path)
+def grow_tree(values: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Cut points (sorted) of one tree and the path lengths of the intervals between them."""
+    limit = math.ceil(math.log2(max(len(values), 2)))
+    cuts, paths = [], []
+    todo = [(np.sort(values), 0)]
+    while todo:  # left to right
+        v, depth = todo.pop()
+        if isinstance(v, float):
+            cuts.append(v)
+        elif depth >= limit or v[0] == v[-1]:
+            paths.append(depth + c_factor(len(v)))
+        else:
+            u = rng.random()
+            s = min(max(v[0] * (1.0 - u) + v[-1] * u, np.nextafter(v[0], np.inf)), v[-1])
+            i = int(np.searchsorted(v, s, side="left"))
+            todo += [(v[i:], depth + 1), (float(s), 0), (v[:i], depth + 1)]
+    return np.array(cuts), np.array(paths)
+
 
-    def rec(v: np.ndarray, depth: int, lo: float, hi: float):
-        if depth >= limit or len(v) <= 1 or v.min() == v.max():
-            paths.append((lo, hi, depth + c_factor(len(v))))
-            return
-        s = rng.uniform(v.min(), v.max())
-        cuts.append(s)
-        rec(v[v < s], depth + 1, lo, s)
-        rec(v[v >= s], depth + 1, s, hi)
+def grow_forest(pool: np.ndarray, n_trees: int, max_samples: int, rng: np.random.Generator):
+    """The trees, and the size of their samples."""
+    psi = min(int(max_samples), len(pool))
+    return [grow_tree(rng.choice(pool, psi, replace=False), rng) for _ in range(n_trees)], psi
 
-    rec(values, 0, -np.inf, np.inf)
-    paths.sort(key=lambda t: t[0])
-    return [p[0] for p in paths[1:]], [p[2] for p in paths]
+
+def forest_steps(trees, psi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cut points of the whole forest and the scores of the intervals between them."""
+    cuts = np.unique(np.concatenate([c for c, _ in trees]))
+    mean = sum(p[np.concatenate([[0], np.searchsorted(c, cuts, side="right")])] for c, p in trees) / len(trees)
+    c = c_factor(psi)
+    return cuts, np.power(2.0, -mean / c) if c > 0 else np.full(len(mean), 0.5)
 
 
 def isolation_forest(
@@ -67,64 +87,49 @@ def isolation_forest(
     max_samples: int = 256,
     seed: int = 42,
     out: str = "is_outlier",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int = SCORE_ROWS,
     keep_score: bool = False,
 ) -> DataFrame:
     if not 0 < contamination < 0.5:
         raise ValueError("contamination must be in (0, 0.5)")
-    cols = df.columns
-    valid = df.filter(F.col("value").isNotNull())
-    n_tab = valid.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    # keep a point for tree t when its hash falls under ~2x the wanted share
-    p = F.least(F.lit(1.0), F.lit(2.0 * max_samples) / F.col("_n"))
-    u = lambda t: (F.abs(F.xxhash64("series_id", "var", "pos", F.lit(seed), t)) % F.lit(1 << 30)) / F.lit(float(1 << 30))
-    cand = valid.join(n_tab, on=KEYS).select(
-        *KEYS, "pos", "value", "_n",
-        F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                             lambda t: F.struct(t.alias("tree"), u(t).alias("h"))),
-                 lambda e: e["h"] < p).alias("_t"))
-    samp = cand.select(*KEYS, "value", "_n", F.explode("_t").alias("_e")).select(
-        *KEYS, "value", "_n", F.col("_e.tree").alias("tree"), F.col("_e.h").alias("h"))
-    limit = int(math.ceil(math.log2(max(max_samples, 2))))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("h").head(max_samples)
-        t = int(pdf["tree"].iloc[0])
-        key = f"{pdf['series_id'].iloc[0]}\x00{pdf['var'].iloc[0]}".encode()
-        rng = np.random.default_rng([seed, t, zlib.crc32(key)])
-        cuts, paths = _grow(pdf["value"].to_numpy(dtype="float64"), rng, limit)
-        return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "var": [pdf["var"].iloc[0]], "tree": [t],
-                             "psi": [len(pdf)], "cuts": [cuts], "paths": [paths]})
-
-    model = samp.groupBy(*KEYS, "tree").applyInPandas(
-        build, "series_id string, var string, tree long, psi long, cuts array<double>, paths array<double>")
-    # Scoring groups are large (≥ 4M points) so the per-group copy of the
-    # series' model (≤ n_trees × leaves doubles) stays a small overhead.
-    score_rows = max(int(chunk_rows), SCORE_CHUNK_ROWS)
-    pts = scan.with_chunk(df.select(*KEYS, "pos", "value"), score_rows)
-    chunks = df.select(*KEYS, scan.chunk_of("pos", score_rows).alias("_mc")).distinct()
-    model_c = model.join(chunks, on=KEYS).withColumnRenamed("_mc", scan.CHUNK)
-
-    def score(points: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
-        x = points["value"].to_numpy(dtype="float64", na_value=np.nan)
-        if len(trees) == 0 or len(x) == 0:
-            s = np.full(len(x), np.nan)
-        else:
-            tot = np.zeros(len(x))
-            for cuts, paths in zip(trees["cuts"], trees["paths"]):
-                idx = np.searchsorted(np.asarray(cuts, dtype="float64"), x, side="right")
-                tot += np.asarray(paths, dtype="float64")[idx]
-            psi = float(trees["psi"].max())
-            cn = c_factor(psi)
-            s = np.power(2.0, -(tot / len(trees)) / cn) if cn > 0 else np.full(len(x), 0.5)
-            s[np.isnan(x)] = np.nan
-        return pd.DataFrame({"series_id": points["series_id"], "var": points["var"], "pos": points["pos"],
-                             "score": s})
-
-    scored = pts.groupBy(*KEYS, scan.CHUNK).cogroup(model_c.groupBy(*KEYS, scan.CHUNK)).applyInPandas(
-        score, "series_id string, var string, pos long, score double")
-    q = exact_quantiles(scored.withColumnRenamed("score", "value"), [1.0 - contamination]).select(
-        *KEYS, F.col(f"q{(1.0 - contamination) * 100:g}".replace(".", "_")).alias("_cut"))
-    res = (df.join(scored, on=[*KEYS, "pos"], how="left").join(q, on=KEYS, how="left")
-           .withColumn(out, F.coalesce(F.col("score") > F.col("_cut"), F.lit(False))))
-    return res.select(*cols, out, *(["score"] if keep_score else []))
+    if n_trees < 1 or max_samples < 1:
+        raise ValueError("n_trees and max_samples must be positive")
+    cols, pool_rows = df.columns, int(n_trees) * int(max_samples)
+    df = cut(df)  # read three times: counts, pool, scores
+    finite = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < F.lit(float("inf")))
+    sizes = df.groupBy(*KEYS).agg(F.count(F.when(finite, 1)).alias("_n"), F.max("pos").alias("_last"))
+    # six deviations above the wanted number: fewer come out only with probability 1e-9
+    share = F.try_divide(F.lit(pool_rows + 6.0 * math.sqrt(pool_rows) + 36.0), F.col("_n"))
+    u = F.xxhash64("series_id", "var", "pos", F.lit(seed)).cast("double") / 2.0**64 + 0.5
+    pool = df.filter(finite).select(*KEYS, "value", u.alias("_u")).join(sizes, on=KEYS).filter(F.col("_u") < share)
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_u", "value"]).head(pool_rows)
+        sid, var, last = pdf["series_id"].iloc[0], pdf["var"].iloc[0], int(pdf["_last"].iloc[0])
+        rng = np.random.default_rng([seed, zlib.crc32(f"{sid}\x00{var}".encode())])
+        cuts, scores = forest_steps(*grow_forest(pdf["value"].to_numpy(dtype="float64"), n_trees, max_samples, rng))
+        return pd.DataFrame({"series_id": [sid], "var": [var], "_last": [last], "_cuts": [cuts], "_scores": [scores]})
+
+    steps = pool.groupBy(*KEYS).applyInPandas(
+        grow, "series_id string, var string, _last bigint, _cuts array<double>, _scores array<double>")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"_last div {int(chunk_rows)}"))
+    steps = steps.select(*KEYS, F.explode(blocks).alias(scan.CHUNK), "_cuts", "_scores")
+
+    def score(points: pa.Table, model: pa.Table) -> pa.Table:
+        x = points["value"].to_numpy(zero_copy_only=False).astype("float64")
+        s = np.full(len(x), np.nan)
+        if model.num_rows:
+            known = ~np.isnan(x)
+            cuts, scores = (model[c].combine_chunks().values.to_numpy() for c in ("_cuts", "_scores"))
+            s[known] = scores[np.searchsorted(cuts, x[known], side="right")]
+        return points.select(cols).append_column("score", pa.array(s, from_pandas=True))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    by = [*KEYS, scan.CHUNK]
+    scored = cut(scan.with_chunk(df, chunk_rows).groupBy(*by).cogroup(steps.groupBy(*by)).applyInArrow(
+        score, f"{fields}, score double"))
+    level = 1.0 - contamination
+    top = exact_quantiles(scored, [level], value_col="score")
+    top = top.select(*KEYS, F.col(f"q{level * 100:g}".replace(".", "_")).alias("_top"))
+    flag = F.coalesce(F.col("score") > F.col("_top"), F.lit(False))
+    return scored.join(top, on=KEYS, how="left").withColumn(out, flag).select(*cols, out, *(["score"] if keep_score else []))

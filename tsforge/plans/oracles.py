@@ -1008,3 +1008,82 @@ q AS (SELECT series_id, var, list_sort(list(lag) FILTER (WHERE abs(pacf) > band)
              max(lag) FILTER (WHERE abs(pacf) > band) AS last_significant FROM p GROUP BY series_id, var)
 SELECT *, CASE WHEN n_significant = 0 THEN 'white_noise' WHEN n_significant > 20 THEN 'slow_decay'
                ELSE 'cutoff_' || CAST(last_significant AS VARCHAR) END AS verdict FROM q"""
+
+
+# ----------------------------------------------------------------- splines
+
+
+def knots_sql(src: str) -> str:
+    """kn: knots with number k, count m, spacing h and secant d to the next knot;
+    onp: every row with the number i of the piece that it lies on (of the end piece outside)."""
+    part = "PARTITION BY series_id, var ORDER BY pos"
+    return f"""
+kn AS (
+  SELECT series_id, var, CAST(pos AS DOUBLE) AS x, value AS y, row_number() OVER ({part}) - 1 AS k,
+         count(*) OVER (PARTITION BY series_id, var) AS m, lead(pos) OVER ({part}) - pos AS h,
+         (lead(value) OVER ({part}) - value) / (lead(pos) OVER ({part}) - pos) AS d
+  FROM {src} WHERE value IS NOT NULL),
+onp AS (
+  SELECT *, CASE WHEN n < 2 THEN 0 ELSE greatest(0, least(seen - 1, n - 2)) END AS i
+  FROM (SELECT *, count(value) OVER {W()} AS seen, count(value) OVER (PARTITION BY series_id, var) AS n FROM {src}) c)"""
+
+
+# quadratic: slopes s' = 2d - s as an alternating sum, the first from the parabola through three knots
+ORACLES["upsample_quadratic"] = f"""WITH {ORD_RAW}, {grid('ord_raw', 'u', HOUR)}, {knots_sql('u')},
+s0 AS (
+  SELECT a.series_id, a.var, a.d - COALESCE(a.h * (b.d - a.d) / (a.h + b.h), 0) AS s0
+  FROM kn a LEFT JOIN kn b ON b.series_id = a.series_id AND b.var = a.var AND b.k = 1 WHERE a.k = 0),
+sl AS (
+  SELECT kn.*, (1 - 2 * (k % 2)) * (s0 - 2 * COALESCE(sum((1 - 2 * (k % 2)) * d) OVER
+    (PARTITION BY kn.series_id, kn.var ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS s
+  FROM kn JOIN s0 ON s0.series_id = kn.series_id AND s0.var = kn.var),
+o AS (
+  SELECT a.series_id, a.var, a.ts, a.pos,
+         COALESCE(a.value, CASE WHEN a.seen BETWEEN 1 AND a.n - 1
+                                THEN l.y + l.s * (a.pos - l.x) + (l.d - l.s) / l.h * (a.pos - l.x) * (a.pos - l.x) END) AS value
+  FROM onp a LEFT JOIN sl l ON l.series_id = a.series_id AND l.var = a.var AND l.k = a.i)
+SELECT series_id, var, ts, pos, {R6('value')} AS value
+FROM (SELECT * REPLACE (floor(value * 1e3 + 0.318309886) / 1e3 AS value) FROM o) t"""
+
+# cubic: equations of the inner knots with the not-a-knot ends put in, eliminated knot by knot
+ORACLES["fill_spline"] = f"""WITH RECURSIVE {EV_GRID}, {knots_sql('ev_g')},
+nb AS (
+  SELECT *, lag(h) OVER (PARTITION BY series_id, var ORDER BY k) AS hp, lag(d) OVER (PARTITION BY series_id, var ORDER BY k) AS dp
+  FROM kn),
+eq AS MATERIALIZED (
+  SELECT series_id, var, k, m, 6 * (d - dp) AS r,
+         CASE WHEN k = 1 THEN 0 WHEN k = m - 2 THEN hp - h * h / hp ELSE hp END AS lo,
+         2 * (hp + h) + CASE WHEN k = 1 THEN hp * (1 + hp / h) ELSE 0 END
+                      + CASE WHEN k = m - 2 THEN h * (1 + h / hp) ELSE 0 END AS di,
+         CASE WHEN k = m - 2 THEN 0 WHEN k = 1 THEN h - hp * hp / h ELSE h END AS up
+  FROM nb WHERE m >= 4 AND k BETWEEN 1 AND m - 2),
+fw AS (
+  SELECT series_id, var, k, m, up / di AS c, r / di AS e FROM eq WHERE k = 1
+  UNION ALL
+  SELECT q.series_id, q.var, q.k, q.m, q.up / (q.di - q.lo * f.c), (q.r - q.lo * f.e) / (q.di - q.lo * f.c)
+  FROM fw f JOIN eq q ON q.series_id = f.series_id AND q.var = f.var AND q.k = f.k + 1),
+fwd AS MATERIALIZED (SELECT * FROM fw),
+bw AS (
+  SELECT series_id, var, k, e AS b FROM fwd WHERE k = m - 2
+  UNION ALL
+  SELECT f.series_id, f.var, f.k, f.e - f.c * w.b
+  FROM bw w JOIN fwd f ON f.series_id = w.series_id AND f.var = w.var AND f.k = w.k - 1),
+inn AS (SELECT n.*, bw.b FROM nb n LEFT JOIN bw ON bw.series_id = n.series_id AND bw.var = n.var AND bw.k = n.k),
+nx AS (
+  SELECT *, lead(b) OVER p AS b1, lead(b, 2) OVER p AS b2, lag(b) OVER p AS p1, lag(b, 2) OVER p AS p2,
+         lead(h) OVER p AS h1, lag(h, 2) OVER p AS hpp
+  FROM inn WINDOW p AS (PARTITION BY series_id, var ORDER BY k)),
+cu AS (
+  SELECT series_id, var, k, m, x, y, h, d,
+         CASE WHEN k = 0 THEN b1 + h / h1 * (b1 - b2) WHEN k = m - 1 THEN p1 + hp / hpp * (p1 - p2) ELSE b END AS b
+  FROM nx),
+pc AS (SELECT *, lead(b) OVER (PARTITION BY series_id, var ORDER BY k) AS bn FROM cu),
+o AS (
+  SELECT a.series_id, a.var, a.ts, a.pos,
+         COALESCE(a.value,
+                  CASE WHEN p.m = 1 THEN p.y
+                       WHEN p.m < 4 THEN p.y + p.d * (a.pos - p.x)
+                       ELSE p.y + (p.d - p.h * (2 * p.b + p.bn) / 6) * (a.pos - p.x) + p.b / 2 * (a.pos - p.x) ** 2
+                            + (p.bn - p.b) / (6 * p.h) * (a.pos - p.x) ** 3 END) AS value
+  FROM onp a LEFT JOIN pc p ON p.series_id = a.series_id AND p.var = a.var AND p.k = a.i)
+{sel_long('o')}"""
