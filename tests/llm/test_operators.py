@@ -141,6 +141,29 @@ def test_communication_matrix():
     assert np.abs(mean - 12.5).max() < 0.5
 
 
+@pytest.mark.parametrize("good,bad,draws", [(100, 300, 80), (300, 100, 200), (70, 5000, 70), (90, 90, 100), (200, 200, 200)])
+def test_large_draws_follow_the_exact_law(good, bad, draws):
+    """The way of more than 10^9 rows, on numbers whose law can be written out."""
+    rng, n = np.random.default_rng(good), 2000
+    law = {x: math.comb(good, x) * math.comb(bad, draws - x) / math.comb(good + bad, draws)
+           for x in range(max(0, draws - bad), min(good, draws) + 1)}
+    seen = Counter(sharding.hypergeometric(rng, good, bad, draws, small=0) for _ in range(n))
+    assert set(seen) <= set(law)
+    common = [x for x in law if law[x] * n >= 5]
+    chi = sum((seen[x] - law[x] * n) ** 2 / (law[x] * n) for x in common)
+    assert chi < len(common) + 5 * math.sqrt(2 * len(common))
+
+
+def test_large_draws_keep_mean_and_variance():
+    rng, good, bad, draws = np.random.default_rng(0), 10**12, 39 * 10**12, 10**12 // 7
+    got = np.array([sharding.hypergeometric(rng, good, bad, draws) for _ in range(300)], dtype=float)
+    share = good / (good + bad)
+    variance = draws * share * (1 - share) * (good + bad - draws) / (good + bad - 1)
+    assert abs(got.mean() - draws * share) < 5 * math.sqrt(variance / 300) and 0.6 < got.var() / variance < 1.5
+    m = sharding.communication_matrix([10**12, 3 * 10**12 + 5, 0], 4, 1)
+    assert m.sum(1).tolist() == [10**12, 3 * 10**12 + 5, 0] and m.sum(0).max() - m.sum(0).min() <= 1 and m.min() >= 0
+
+
 def test_shards_are_exact_and_gapless(spark, odd, none):
     df = clashing(spark.range(5000).withColumnRenamed("id", "doc_id"), "shard", "_rank")
     out = sharding.shard(df, [F.col("doc_id")], shards=7, blocks=16, cell_rows=50)

@@ -4,7 +4,8 @@ The rows are dealt into ``blocks`` source blocks by a hash.  A communication
 matrix says how many rows of each block go to each shard: it is drawn from the
 multivariate hypergeometric law given the block counts (its column sums are
 the exact shard sizes, at most one apart), which is the law that a uniform
-permutation of all rows would give.  Each block permutes its rows (a seeded
+permutation of all rows would give (exact at every size: beyond the reach of
+doubles the draws are decided in long arithmetic).  Each block permutes its rows (a seeded
 hash gives the order), hands runs of the drawn lengths to the shards, and each
 shard permutes what it received, so every order of all rows is equally likely
 up to the quality of the hash.
@@ -22,6 +23,8 @@ take any of their slots); an empty table gives an empty result; further columns
 from __future__ import annotations
 
 import json
+import math
+from decimal import ROUND_FLOOR, Decimal, localcontext
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +36,13 @@ SHARDS = 40
 BLOCKS = 256
 #: Rows that one cell of a rank holds on average.
 CELL_ROWS = 4096
+#: numpy's generator draws from fewer rows than this.
+GENERATOR_ROWS = 1_000_000_000
+#: So many draws are made one after the other.
+FEW_DRAWS = 64
+#: Terms numerator / (denominator * n^power) of Stirling's series, and log(2 pi) / 2.
+STIRLING = [(1, 12, 1), (-1, 360, 3), (1, 1260, 5), (-1, 1680, 7), (1, 1188, 9), (-691, 360360, 11)]
+HALF_LOG_2PI = Decimal("0.91893853320467274178032973640561763986139747363778")
 
 
 def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarray:
@@ -45,21 +55,70 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarra
         need, lack = int(n), int(left.sum())
         for j in range(shards):
             rest = lack - int(left[j])
-            got = need if rest == 0 else _hypergeometric(rng, int(left[j]), rest, need)
+            got = need if rest == 0 else hypergeometric(rng, int(left[j]), rest, need)
             out[i, j], need, lack = got, need - got, rest
         left -= out[i]
     return out
 
 
-def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """Beyond the generator's range (10^9) a normal law of the same mean and variance, cut to the support."""
+def _log_factorial(n: int) -> Decimal:
+    """Stirling's series in 50 digits: its error is below 1e-30 from 500 on."""
+    if n < 500:
+        return Decimal(math.factorial(n)).ln()
+    z = Decimal(n)
+    series = Decimal(0)
+    for numerator, denominator, power in STIRLING:
+        series += Decimal(numerator) / (Decimal(denominator) * z**power)
+    return (z + Decimal("0.5")) * z.ln() - z + HALF_LOG_2PI + series
+
+
+def _one_by_one(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    got = 0
+    for k in range(draws):
+        got += int(rng.integers(good + bad - k)) < good - got
+    return got
+
+
+def _ratio_of_uniforms(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """Rejection from the region under a ratio of uniforms, accepted by the exact
+    log-probability relative to the mode's, so the cost doesn't depend on the numbers."""
+    n = good + bad
+    low, high = max(0, draws - bad), min(good, draws)
+    with localcontext() as context:
+        context.prec = 50
+        share = Decimal(good) / n
+        mean = draws * share
+        deviation = (mean * (1 - share) * (n - draws) / (n - 1) + Decimal("0.5")).sqrt()
+        width = Decimal(2 * math.sqrt(2 / math.e)) * deviation + Decimal(3 - 2 * math.sqrt(3 / math.e))
+
+        def log_weight(x: int) -> Decimal:
+            return -(_log_factorial(x) + _log_factorial(good - x) + _log_factorial(draws - x) + _log_factorial(bad - draws + x))
+
+        top = log_weight((draws + 1) * (good + 1) // (n + 2))
+        while True:
+            u, v = 1.0 - rng.random(), rng.random()
+            x = int((mean + Decimal("0.5") + width * (Decimal(v) - Decimal("0.5")) / Decimal(u)).to_integral_value(ROUND_FLOOR))
+            if low <= x <= high and 2 * Decimal(u).ln() <= log_weight(x) - top:
+                return x
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int, small: int = GENERATOR_ROWS) -> int:
+    """An exact draw at any size: numpy's generator below ``small`` rows, whose
+    logarithms lose their digits beyond, and the same law in long arithmetic above."""
     if draws == 0 or good == 0:
         return 0
-    if good + bad < 1_000_000_000:
+    n = good + bad
+    if n < small:
         return int(rng.hypergeometric(good, bad, draws))
-    n, p = good + bad, good / (good + bad)
-    x = round(rng.normal(draws * p, (draws * p * (1 - p) * (n - draws) / (n - 1)) ** 0.5))
-    return int(min(max(x, 0, draws - bad), good, draws))
+    # the law is the same with good rows and drawn rows exchanged, and with the rows left instead of drawn
+    if draws > n - draws:
+        return good - hypergeometric(rng, good, bad, n - draws, small)
+    if good > n - good:
+        return draws - hypergeometric(rng, bad, good, draws, small)
+    few, many = min(good, draws), max(good, draws)
+    if few <= FEW_DRAWS:
+        return _one_by_one(rng, many, n - many, few)
+    return _ratio_of_uniforms(rng, good, bad, draws)
 
 
 def _rank(df: DataFrame, group: str, order: str, cells: int, out: str) -> DataFrame:
