@@ -76,13 +76,17 @@ def _bc(x, lam: float):
 def boxcox_lambda(df: DataFrame, grid=None, refine: int = 2) -> DataFrame:
     """ML estimate of the Box-Cox lambda per series: the profile log-likelihood
     ``(l-1)·Σln x - n/2·ln var_pop(y_l)`` is evaluated for a grid of lambdas in
-    one aggregate per pass; ``refine`` further passes zoom in around the best.
+    one aggregate per pass, with x divided by its geometric mean g, where it is
+    ``-Σln x - n/2·ln var_pop(((x/g)^l - 1) / l)`` and no power runs out of digits; ``refine`` further passes zoom in around the best.
     Without a given grid the default one, [-2, 2], is moved on for as long as
     some series has its best lambda at an edge.  Returns ``series_id, var,
     lmbda, llf``."""
     moves = grid is None
     grid = list(grid) if grid is not None else [round(-2 + 0.1 * i, 10) for i in range(41)]
-    shifted = _with_min(df).withColumn("_x", _pos_shift()).filter(F.col("_x").isNotNull())
+    logs = _with_min(df).withColumn("_x", _pos_shift()).filter(F.col("_x").isNotNull()).select(*KEYS, F.ln("_x").alias("_lx"))
+    means = logs.groupBy(*KEYS).agg(F.avg("_lx").alias("_ml"))
+    # read by every pass
+    shifted = cut(logs.join(means, on=KEYS).select(*KEYS, "_ml", (F.col("_lx") - F.col("_ml")).alias("_z")))
     step = grid[1] - grid[0] if len(grid) > 1 else 0.1
     best = _boxcox_pass(shifted, grid)
     lo, hi = grid[0], grid[-1]
@@ -106,24 +110,18 @@ MAX_ABS_LAMBDA = 64
 
 def _boxcox_pass(shifted: DataFrame, lams, centre: DataFrame | None = None) -> DataFrame:
     if centre is None:
-        aggs = [F.sum(F.ln("_x")).alias("_sl"), F.count(F.lit(1)).alias("_n")]
-        aggs += [F.var_pop(_bc(F.col("_x"), lam)).alias(f"_v{i}") for i, lam in enumerate(lams)]
-        a = shifted.groupBy(*KEYS).agg(*aggs)
-        cand = F.array(
-            *[F.struct(F.lit(float(lam)).alias("lmbda"), F.col(f"_v{i}").alias("v")) for i, lam in enumerate(lams)]
-        )
+        d = shifted.withColumn("_c", F.lit(0.0))
     else:
         d = shifted.join(centre.select(*KEYS, F.col("lmbda").alias("_c")), on=KEYS, how="inner")
-        aggs = [F.sum(F.ln("_x")).alias("_sl"), F.count(F.lit(1)).alias("_n"), F.first("_c").alias("_c")]
-        for i, off in enumerate(lams):
-            lam = F.col("_c") + F.lit(off)
-            y = F.when(lam == 0, F.ln("_x")).otherwise((F.pow(F.col("_x"), lam) - 1) / lam)
-            aggs.append(F.var_pop(y).alias(f"_v{i}"))
-        a = d.groupBy(*KEYS).agg(*aggs)
-        cand = F.array(
-            *[F.struct((F.col("_c") + F.lit(off)).alias("lmbda"), F.col(f"_v{i}").alias("v")) for i, off in enumerate(lams)]
-        )
-    llf = lambda e: (e["lmbda"] - 1) * F.col("_sl") - F.col("_n") / 2 * F.ln(e["v"])
+    aggs = [F.first("_ml").alias("_ml"), F.count(F.lit(1)).alias("_n"), F.first("_c").alias("_c")]
+    for i, off in enumerate(lams):
+        lam = F.col("_c") + F.lit(float(off))
+        aggs.append(F.var_pop(F.when(lam == 0, F.col("_z")).otherwise(F.expm1(lam * F.col("_z")) / lam)).alias(f"_v{i}"))
+    a = d.groupBy(*KEYS).agg(*aggs)
+    cand = F.array(
+        *[F.struct((F.col("_c") + F.lit(float(off))).alias("lmbda"), F.col(f"_v{i}").alias("v")) for i, off in enumerate(lams)]
+    )
+    llf = lambda e: -F.col("_n") * (F.col("_ml") + F.ln(e["v"]) / 2)
     scored = a.select(*KEYS, F.transform(cand, lambda e: F.struct(llf(e).alias("llf"), e["lmbda"].alias("lmbda"))).alias("_s"))
     # argmax llf (ties → smaller lambda): max over (llf, -lambda)
     best = F.aggregate(

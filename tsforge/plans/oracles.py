@@ -1087,3 +1087,54 @@ o AS (
                             + (p.bn - p.b) / (6 * p.h) * (a.pos - p.x) ** 3 END) AS value
   FROM onp a LEFT JOIN pc p ON p.series_id = a.series_id AND p.var = a.var AND p.k = a.i)
 {sel_long('o')}"""
+
+
+# ----------------------------------------------------------------- default paths and options
+
+
+def boxcox_ll(name: str, lams: str) -> str:
+    """Profile log-likelihood of every candidate (series_id, var, l), x divided by its geometric mean."""
+    return f"""
+{name} AS (
+  SELECT s.series_id, s.var, l,
+         -sum(lx) - count(*) / 2.0 * ln(var_pop(CASE WHEN l = 0 THEN lz ELSE (exp(l * lz) - 1) / l END)) AS llf
+  FROM lg s JOIN {lams} c ON c.series_id = s.series_id AND c.var = s.var GROUP BY s.series_id, s.var, l)"""
+
+
+# tenths over a wide range, then all thousandths around the best tenth
+ORACLES["boxcox_ml_lambda"] = f"""WITH {_BC},
+lg AS (SELECT series_id, var, ln(x) AS lx, ln(x) - avg(ln(x)) OVER (PARTITION BY series_id, var) AS lz FROM sx WHERE x IS NOT NULL),
+tn AS (SELECT series_id, var, i / 10.0::DOUBLE AS l FROM mn, (SELECT unnest(generate_series(-80, 80)) AS i)),{boxcox_ll('l1', 'tn')},
+b1 AS (SELECT series_id, var, arg_max(l, llf) AS l FROM l1 GROUP BY ALL),
+th AS (SELECT series_id, var, l + i / 1000.0::DOUBLE AS l FROM b1, (SELECT unnest(generate_series(-110, 110)) AS i)),{boxcox_ll('l2', 'th')}
+SELECT series_id, var, {R6('arg_max(l, llf)')} AS lmbda, {R6('max(llf)')} AS llf FROM l2 GROUP BY series_id, var"""
+
+ORACLES["transform_columns"] = f"""WITH {SHIP_GRID},
+d AS (SELECT series_id, var, ts, pos, CASE WHEN var IN ('price', 'tax') THEN value - lag(value) OVER {W(frame='')} ELSE value END AS value
+      FROM ship_g)
+{sel_long('d')}"""
+
+_MA3 = W(frame="ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING")
+_LOESS_CTES = ORACLES["smooth_loess"].split("nk AS", 1)[1].rsplit("SELECT", 1)[0].replace("FROM lf ", "FROM user_ev ").replace(
+    "JOIN lf ", "JOIN user_ev ").replace("JOIN nk USING (series_id, var))", "JOIN nk USING (series_id, var) WHERE k >= 2)")
+ORACLES["smooth_loess_fallback"] = f"""WITH {USER_EV},
+nk AS{_LOESS_CTES},
+ma AS (SELECT u.series_id, u.var, u.ts, u.pos,
+              CASE WHEN count(u.value) OVER {_MA3.replace('series_id, var', 'u.series_id, u.var')} = 3
+                   THEN avg(u.value) OVER {_MA3.replace('series_id, var', 'u.series_id, u.var')} ELSE u.value END AS value, nk.k
+       FROM user_ev u JOIN nk ON nk.series_id = u.series_id AND nk.var = u.var),
+al AS (SELECT * FROM o UNION ALL SELECT series_id, var, ts, pos, value FROM ma WHERE k < 2)
+{sel_long('al')}"""
+
+ORACLES["src_text_time"] = f"""
+SELECT event_type AS series_id, 'value' AS var, CASE WHEN event_id % 10 <> 0 THEN date_trunc('second', ts) END AS ts,
+       {R6('CAST(value AS DOUBLE)')} AS value FROM events"""
+
+ORACLES["upsample_linear_seconds"] = f"WITH {EV_RAW_H}, {grid('ev_h', 'u', 1_200_000_000)}, {linfill('u', 'f')} {sel_long('f')}"
+
+ORACLES["ds_matrix"] = f"""WITH {EMB},
+r AS (SELECT series_id, label, step // 2 AS t,
+             string_agg(CAST(CAST(floor(x * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ',' ORDER BY step) AS row_text
+      FROM emb GROUP BY ALL)
+SELECT 'train' AS split, CAST(label AS VARCHAR) AS label, series_id, count(*) AS n_steps,
+       string_agg(row_text, ';' ORDER BY t) AS matrix FROM r GROUP BY series_id, label"""

@@ -814,3 +814,54 @@ def q_granger_lag1(spark, sf):
 def q_cointegration_eg_lag0(spark, sf):
     r = unitroot.engle_granger(ord_wide(spark, sf), "revenue", "n_orders", autolag=None, maxlag=0)
     return finish(r.select("series_id", "var", "statistic", "used_lag", "nobs"))
+
+
+# ------------------------------------------------------------------ default paths and options
+
+
+@query("boxcox_ml_lambda")
+def q_boxcox_ml_lambda(spark, sf):
+    """I4 as it runs by default: the edge of the grid moves on, two refinements to 0.001."""
+    return finish(transform.boxcox_lambda(ship_grid(spark, sf)).select("series_id", "var", "lmbda", "llf"))
+
+
+@query("transform_columns")
+def q_transform_columns(spark, sf):
+    """A transformation of some variables, the others as they are."""
+    return finish(transform.apply(ship_grid(spark, sf), "diff", columns=["price", "tax"]))
+
+
+@query("smooth_loess_fallback")
+def q_smooth_loess_fallback(spark, sf):
+    """LOESS over the events of every user; series too short for it get the centred average."""
+    return finish(smooth.loess(tb.user_events(spark, sf), frac=0.1, window=3))
+
+
+@query("src_text_time")
+def q_src_text_time(spark, sf):
+    """B2: times that arrive as text in a format of their own; text that is no such time is NULL."""
+    from tsforge.sources.csv import to_long
+
+    e = tb.table(spark, sf, "events").select(
+        "event_type", "value", F.when(F.col("event_id") % 10 == 0, F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise(F.date_format("ts", "dd.MM.yyyy HH:mm:ss")).alias("at"))
+    return finish(to_long(e, "at", "value", series_cols="event_type", ts_format="dd.MM.yyyy HH:mm:ss"))
+
+
+@query("upsample_linear_seconds")
+def q_upsample_linear_seconds(spark, sf):
+    """A rule in seconds."""
+    return finish(calendar.upsample(tb.ev_hourly(spark, sf), "1200S", 1))
+
+
+@query("ds_matrix")
+def q_ds_matrix(spark, sf):
+    """The T x D matrix of every sample (embedding values as two features), in micro-units."""
+    from tsforge.sources.labelled import matrices
+
+    e = tb.emb(spark, sf).select(
+        F.lit("train").alias("split"), F.col("label").cast("string").alias("label"), "series_id",
+        F.expr("step div 2").alias("step"), F.when(F.col("step") % 2 == 0, "even").otherwise("odd").alias("var"),
+        F.col("x").alias("value"))
+    row = lambda r: F.array_join(F.transform(r, lambda v: F.floor(v * 1e6 + 0.5).cast("string")), ",")
+    return finish(matrices(e).withColumn("matrix", F.array_join(F.transform("matrix", row), ";")))
