@@ -186,6 +186,28 @@ KINDS = [("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:
          ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]+", 0, 32)]
 
 
+def brute_random(texts):
+    """Spans of 12 characters and more that the two models call random, from the written-out definition."""
+    alphabet = "^" + "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + "+/_=-."
+    base = [[(m.start(), m.end(), m[g]) for _, p, g, n in KINDS for m in re.finditer(p, t) if len(m[g]) >= n] for t in texts]
+    runs = [[(m.start(), m.end(), m[0]) for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{8,}", t)
+             if not any(s < m.end() and m.start() < e for s, e, _ in bs)] for t, bs in zip(texts, base)]
+    values = {1: {v for bs in base for _, _, v in bs},
+              0: {v for rs in runs for _, _, v in rs if not re.search("[0-9]", v) or not re.search("[A-Za-z]", v)}}
+    logp = {}
+    for lab, vs in values.items():
+        pairs = Counter(p for v in vs for p in zip("^" + v, v))
+        first, second = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            first[a] += n
+            second[b] += n
+        for a, b in itertools.product(alphabet, alphabet):
+            share = (second[b] + 1) / (second.total() + len(alphabet))
+            logp[lab, a, b] = math.log((pairs[a, b] + 40 * share) / (first[a] + 40))
+    return [[(s, e) for s, e, v in rs if e - s >= 12
+             and sum(logp[1, a, b] - logp[0, a, b] for a, b in zip("^" + v, v)) > math.log(1e4)] for rs in runs]
+
+
 def test_secrets_base_and_added(spark, odd, none):
     rng = random.Random(7)
     pieces = ["password=", "Token: ", "api_key", "apikey = '", "'", "AKIA", "ABCDEFGHIJKL012", "deadbeef" * 4, "é", " ", "\n",
@@ -193,6 +215,9 @@ def test_secrets_base_and_added(spark, odd, none):
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(150)]
     texts += ["token=abcdefgh1 " * 700]  # more matches than one block of offsets
     key = "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/xyzXYZqQ") for _ in range(44))
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    runs = ["".join(rng.choice(chars[:62]) for _ in range(n)) for n in (12, 14, 16, 18, 19, 24, 32)]
+    texts += [f"{sentence(rng, 20)} {r} 4785380592391139 2024-01-15" for r in runs]
     texts += [f"here {sentence(rng, 30)} {key} end", sentence(rng, 200), "internationalisation_of_ordinary_names"]
     chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     more = [sentence(rng, 200) for _ in range(100)]  # labelled samples to train from
@@ -204,7 +229,14 @@ def test_secrets_base_and_added(spark, odd, none):
                        for m in re.finditer(p, t) if len(m[g]) >= n)
         assert got[i]["base"] == ",".join(f"{n}:{s}:{e}" for s, _, e, n in spans), t
         assert set(filter(None, got[i]["base"].split(","))) <= set(got[i]["spans"].split(","))
+    want = brute_random(texts + more)
+    for i, t in enumerate(texts):
+        added = [tuple(map(int, x.split(":")[1:])) for x in got[i]["spans"].split(",") if x.startswith("random:")]
+        assert added == want[i], t
     n = len(texts)
+    for i, run in enumerate(runs, n - 3 - len(runs)):
+        at = texts[i].index(run)
+        assert got[i]["spans"] == f"random:{at}:{at + len(run)}"
     at = texts[n - 3].index(key)
     assert got[n - 3]["spans"] == f"random:{at}:{at + 44}" and got[n - 2]["spans"] == got[n - 1]["spans"] == ""
     assert secrets.scan(none).count() == 0 and secrets.scan(odd).count() == odd.count()

@@ -6,10 +6,11 @@ character models: one of random strings, one of ordinary identifiers and
 words.  A run is a secret when the log-likelihood ratio of the two exceeds
 ``THRESHOLD`` (the prior odds against a secret).
 
-The models are trained from labelled samples: values in base spans are random
-strings, other runs without a digit are ordinary.  Only the counts of (label, character pair)
-leave the executors: at most 2 x 68 x 68 rows.  The samples come from a hash
-sample of about ``SAMPLE_DOCS`` documents; the scan reads every whole text.
+The models are trained from labelled samples of all documents: values in base
+spans are random strings, other runs without a digit or without a letter are
+ordinary.  Each different value counts once, so copies of a text weigh nothing.
+Only the counts of (label, character pair) leave the executors: at most
+2 x 68 x 68 rows.  The ratio grows with the run, so one threshold serves all lengths.
 
 Positions are code points, end exclusive.  Spark finds matches without their
 places, so a text is split at the matches and the lengths of gaps and matches
@@ -38,11 +39,10 @@ KINDS = {
 ADDED = "random"
 RUN_CHARS = "A-Za-z0-9+/_=-"
 ALPHABET = "^ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-MIN_RUN = 20
+MIN_RUN = 12
 #: Ordinary samples also take shorter runs.
 MIN_SAMPLE = 8
 THRESHOLD = math.log(1e4)
-SAMPLE_DOCS = 20_000
 #: Pseudo-counts that a context shares among all characters by the label's character shares.
 PRIOR = 40.0
 _BLOCK = 256
@@ -98,27 +98,29 @@ def _joined(spans: Column) -> Column:
                                                                  x["e"].cast("string"))), ",")
 
 
+def _run_pattern(least: int) -> str:
+    return r"(?<![%s])[%s]{%d,}" % (RUN_CHARS, RUN_CHARS, least)
+
+
 def _runs(text: Column, least: int) -> Column:
-    pattern = r"(?<![%s])[%s]{%d,}" % (RUN_CHARS, RUN_CHARS, least)
-    return spans_of(text, ADDED, pattern, 0, least)
+    return spans_of(text, ADDED, _run_pattern(least), 0, least)
 
 
 def _outside(runs: Column, base: Column) -> Column:
     return F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"])))
 
 
-def pair_counts(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(label, pair, n): character pairs of labelled samples; label 1: random."""
-    total = docs.count()
-    share = min(1.0, sample_docs / max(1, total))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    part = docs.filter(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000)).select(text.alias("t"))
-    base = F.concat(*base_spans(F.col("t")).values())
-    part = part.select("t", base.alias("b")).select("b", _outside(_runs(F.col("t"), MIN_SAMPLE), F.col("b")).alias("o"))
-    part = part.withColumn("o", F.filter("o", lambda x: ~x["value"].rlike("[0-9]")))
+def pair_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(label, pair, n): character pairs of the different labelled values; label 1: random."""
+    part = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    part = part.withColumn("b", F.concat(*base_spans(F.col("t")).values()))
+    apart = F.transform(_outside(_runs(F.col("t"), MIN_SAMPLE), F.col("b")), lambda x: x["value"])
+    every = F.regexp_extract_all("t", F.lit(_run_pattern(MIN_SAMPLE)), F.lit(0))  # places matter beside base spans only
+    part = part.select("b", F.when(F.size("b") > 0, apart).otherwise(every).alias("o"))
+    ordinary = F.filter("o", lambda v: ~v.rlike("[0-9]") | ~v.rlike("[A-Za-z]"))
     labelled = F.concat(F.transform("b", lambda x: F.struct(F.lit(1).alias("label"), x["value"].alias("v"))),
-                        F.transform("o", lambda x: F.struct(F.lit(0).alias("label"), x["value"].alias("v"))))
-    runs = part.select(F.explode(labelled).alias("x")).select("x.*")
+                        F.transform(ordinary, lambda v: F.struct(F.lit(0).alias("label"), v.alias("v"))))
+    runs = part.select(F.explode(labelled).alias("x")).select("x.*").distinct()
     chars = F.split(F.concat(F.lit("^"), F.col("v")), "")
     pairs = let(chars, lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - 1),
                                              lambda i: F.concat(F.get(c, i - 1), F.get(c, i))))
@@ -152,10 +154,9 @@ def _llr(value: Column, table: Column) -> Column:
         lambda a, i: a + F.get(table, F.get(c, i - 1) * k + F.get(c, i))))
 
 
-def scan(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
-         threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``secrets``: struct(n_assign, n_access, n_hex, base, spans), the last two joined strings."""
-    counts = [tuple(r) for r in pair_counts(docs, text_col, sample_docs).collect()]  # 2 x 68 x 68 rows at most
+    counts = [tuple(r) for r in pair_counts(docs, text_col).collect()]  # 2 x 68 x 68 rows at most
     table = F.from_json(F.lit(json.dumps(llr_table(counts))), "array<double>")
     t, b, r, out = fresh(docs.columns, "_t", "_b", "_r", "secrets")
     found = docs.withColumn(t, F.coalesce(F.col(text_col), F.lit("")))
