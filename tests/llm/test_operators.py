@@ -591,7 +591,7 @@ def test_jaccard_join(spark, none):
                     group.add(j), todo.append(j)
             comp |= dict.fromkeys(group, min(group) + 1)
     want = {i + 1: (min(j for j in range(n) if same(i, j)) + 1, comp[i], len(near[i])) for i in range(n)}
-    for block in (256, 16):
+    for block in (2048, 16):
         old, jaccard_join.BLOCK = jaccard_join.BLOCK, block
         try:
             got = {r[0]: tuple(r)[1:] for r in jaccard_join.join(df).collect()}
@@ -604,6 +604,58 @@ def test_jaccard_join(spark, none):
     assert jaccard_join.join(none).count() == 0 and jaccard_join.distinct(none).count() == 0
 
 
+def test_links_inside_groups(spark, monkeypatch):
+    """Groups of close copies, of scattered ones, of two cores and without a core, against all pairs."""
+    rng = random.Random(17)
+    rows, sets = [], {}
+    for g, (cores, lost, own) in enumerate([(1, 3, 3), (1, 12, 25), (2, 6, 6), (0, 0, 40)]):
+        base = [rng.sample(range(1000 * g, 1000 * g + 400), 90) for _ in range(cores)]
+        for k in range(60):
+            c = list(base[k % cores]) if cores else []
+            s = set(rng.sample(c, len(c) - rng.randint(0, lost)) if c else []) | {
+                1000 * g + rng.randint(400, 450) for _ in range(rng.randint(0, own))}
+            key = bytes([g, k])
+            sets[key] = (g, s or {-1}, rng.randint(1, 3))
+            rows.append((bytes([g]), key, sets[key][2], sorted(sets[key][1])))
+    rows.append((b"z", b"z", 4, [1]))  # a group of one
+    want, near = {}, {}
+    for a, (g, s, _) in sets.items():
+        near[a] = {b for b, (g2, s2, _) in sets.items() if a != b and g == g2 and 100 * len(s & s2) >= 80 * len(s | s2)}
+        want[a] = sum(sets[b][2] for b in near[a])
+
+    def reached(start, edges):
+        todo, seen = [start], {start}
+        while todo:
+            for b in edges.get(todo.pop(), set()) - seen:
+                seen.add(b), todo.append(b)
+        return seen
+
+    members = spark.createDataFrame(rows, "g binary, key binary, copies long, shingles array<long>")
+    for block, most in ((2048, 1 << 21), (7, 1 << 21), (2048, 100)):
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", most)
+        got, edges = Counter(), {}
+        for key, links, parent in jaccard_join._inside(members).collect():
+            key = bytes(key)
+            got[key] += links
+            if parent is not None:
+                edges.setdefault(key, set()).add(bytes(parent))
+                edges.setdefault(bytes(parent), set()).add(key)
+                assert bytes(parent) in near[key]
+        assert {k: n for k, n in want.items() if n} == dict(got)
+        assert all(reached(k, edges) == reached(k, near) for k in sets)
+    close = sum(n > 0 for n in want.values())
+    assert 60 < close
+
+
+def test_common_shingles_of_blocks():
+    rng = np.random.default_rng(3)
+    left, right = ([np.unique(rng.integers(0, 40 if k % 2 else 900, 30)) for k in range(n)] for n in (37, 90))
+    got = jaccard_join._common(left, right)
+    assert (got == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+    assert (jaccard_join._common(left, [np.zeros(0, np.int64)]) == 0).all()
+
+
 def test_distinct_odd_rows(spark, odd):
     left = jaccard_join.distinct(odd).collect()
     assert len(left) == len({r[1] or "" for r in odd_rows()})

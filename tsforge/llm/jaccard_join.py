@@ -11,11 +11,18 @@ signature are the members of its node.
 
 *Small nodes* (up to ``SMALL`` members) give candidate pairs.  *Large nodes* hold
 candidates, mostly near copies, and give no pairs: nodes that share members are connected
-to a group, the group is cut into blocks, and tasks compare block with block and
-return each member's number of links and a spanning set of links, so the rows
-stay linear in the members (the comparisons inside a group of different texts
-don't: counting their links takes them).  Pairs from small nodes whose sides
-are in one group are left to the group.
+to a group.  Its core are the c shingles that more than half of its members hold; a
+member that lacks a of them and has b others differs from the core by a rest of
+a + b shingles.  Two members reach a threshold of T percent exactly if
+
+    f1 + f2 <= (100 - T) c + (100 + T) (size of the intersection of their rests),  f = 100 a + T b.
+
+*Close* members (2 f <= (100 - T) c) are linked to each other whatever their rests, so
+their links are counts and need no comparison.  The *far* members are compared with each
+other and with the close ones, block with block, by their rests; tasks return each
+member's number of links and a spanning set of links.  A group of m members with k far
+ones shuffles about 2 k m / ``BLOCK`` rests besides its m rows.  Pairs from small nodes
+whose sides are in one group are left to the group.
 
 *Verification* is exact: sets of shingle hashes (64 bits) are intersected.
 
@@ -49,8 +56,8 @@ WORDS, THRESHOLD_PCT = 5, 80
 TREES, MAX_DEPTH, RECALL = 24, 10, 0.9995
 #: Members of a trie node that are paired directly.
 SMALL = 24
-#: Members of a block of a large group.
-BLOCK = 256
+#: Members of a block of a large group, and the shingles of their rests, on the mean at most.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -196,50 +203,119 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
     return written(once.mapInArrow(make, "key binary, shingles array<long>"), "near-sets")
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
+    owner = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
+    shared = np.intersect1d(*flat)
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    if not len(shared):
+        return out
+    who, first, held = [], [], []
+    for x, o in zip(flat, owner):
+        at = np.searchsorted(shared, x)
+        hit = shared[np.minimum(at, len(shared) - 1)] == x
+        order = np.argsort(at[hit], kind="stable")
+        who.append(o[hit][order])
+        held.append(np.bincount(at[hit], minlength=len(shared)))
+        first.append(np.cumsum(held[-1]) - held[-1])
+    # shingles that many hold: matrix products; the others: one addition for each pair that shares one
+    many = held[0] * held[1] * 100 > out.size
+    dense = np.flatnonzero(many)
+    for lo in range(0, len(dense), 1024):
+        part = []
+        for side, rows in enumerate(out.shape):
+            m = np.zeros((rows, len(dense[lo : lo + 1024])), dtype=np.float32)
+            for k, e in enumerate(dense[lo : lo + 1024]):
+                m[who[side][first[side][e] : first[side][e] + held[side][e]], k] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    entry = np.repeat(np.arange(len(shared)), held[0])  # the shingle of each entry of who[0]
+    rest = np.flatnonzero(~many[entry])
+    ends = np.cumsum(held[1][entry[rest]])
+    lo = 0
+    while lo < len(rest):
+        base = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, base + (1 << 21), "right")))
+        e = entry[rest[lo:hi]]
+        n = held[1][e]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        np.add.at(out, (np.repeat(who[0][rest[lo:hi]], n), who[1][np.repeat(first[1][e], n) + place]), 1)
+        lo = hi
+    return out
+
+
 def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     """One block against another (or itself): links of each member, and links that span them."""
-    left = pdf["side"].to_numpy() == 0
+    pdf = pdf.sort_values("side", kind="stable")
+    n, left = len(pdf), int((pdf["side"] == 0).sum())
     same = bool((pdf["bi"] == pdf["bj"]).all())
-    sets = [np.asarray(x, dtype=np.int64) for x in pdf["shingles"]]
-    sizes = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    vocabulary, where = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    owner, where = owner[order], where[order]
-    inter = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    width = 8192
-    for lo in range(0, len(vocabulary), width):
-        i, j = np.searchsorted(where, [lo, lo + width])
-        part = np.zeros((len(sets), min(width, len(vocabulary) - lo)), dtype=np.float32)
-        part[owner[i:j], where[i:j] - lo] = 1
-        inter += part @ part.T
-    union = sizes[:, None] + sizes[None, :] - inter
-    linked = 100 * inter >= THRESHOLD_PCT * union
-    np.fill_diagonal(linked, False)
-    if not same:  # only from one block to the other
-        linked &= left[:, None] != left[None, :]
-    copies = pdf["copies"].to_numpy()
-    keys = pdf["key"].tolist()
-    out, seen = [], np.zeros(len(sets), dtype=bool)
-    span = {}
-    for root in range(len(sets)):  # breadth first: each member's parent
+    rests = [np.asarray(x, dtype=np.int64) for x in pdf["rest"]]
+    f, copies, keys = pdf["f"].to_numpy(), pdf["copies"].to_numpy(), pdf["key"].tolist()
+    right = 0 if same else left  # the member that the first column stands for
+    linked = f[:left, None] + f[None, right:] <= pdf["budget"].iloc[0] + (100 + THRESHOLD_PCT) * _common(
+        rests[:left], rests[right:]).astype(np.int64)
+    if same:
+        np.fill_diagonal(linked, False)
+    total = np.zeros(n, dtype=np.int64)
+    total[:left] += linked @ copies[right:]
+    if not same:
+        total[left:] += copies[:left] @ linked
+    seen, span = np.zeros(n, dtype=bool), {}
+    for root in range(n):  # breadth first: each member's parent
         if seen[root]:
             continue
         seen[root], front = True, [root]
         while front:
             nxt = []
             for v in front:
-                new = np.flatnonzero(linked[v] & ~seen)
+                if v < left:
+                    new = right + np.flatnonzero(linked[v] & ~seen[right:])
+                else:
+                    new = np.flatnonzero(linked[:, v - left] & ~seen[:left])
                 seen[new] = True
                 for u in new.tolist():
                     span[u] = keys[v]
                 nxt += new.tolist()
             front = nxt
-    total = linked @ copies
-    for k in range(len(sets)):
-        if total[k]:
-            out.append((keys[k], int(total[k]), span.get(k)))
-    return pd.DataFrame(out, columns=["key", "links", "parent"])
+    return pd.DataFrame([(keys[k], int(total[k]), span.get(k)) for k in np.flatnonzero(total)],
+                        columns=["key", "links", "parent"])
+
+
+def _inside(members: DataFrame) -> DataFrame:
+    """Written table (key, links, parent) of the links inside groups, from members
+    (g, key, copies, shingles): a key may have several rows, whose links add up."""
+    sizes = members.groupBy("g").agg(F.count("*").alias("m"))
+    held = members.select("g", F.explode("shingles").alias("s")).groupBy("g", "s").agg(F.count("*").alias("h"))
+    core = held.join(sizes, "g").filter(2 * F.col("h") > F.col("m")).groupBy("g").agg(
+        F.collect_list("s").alias("core"))  # at most twice the mean size of a member
+    none = F.array().cast("array<long>")
+    apart = members.join(core, "g", "left").withColumn("core", F.coalesce("core", none)).select(
+        "g", "key", "copies", F.array_except("core", "shingles").alias("lacks"),
+        F.array_except("shingles", "core").alias("has"), ((100 - THRESHOLD_PCT) * F.size("core")).cast("long").alias("budget"))
+    f = (100 * F.size("lacks") + THRESHOLD_PCT * F.size("has")).cast("long")
+    rests = written(apart.select("g", "key", "copies", "budget", f.alias("f"), (2 * f <= F.col("budget")).alias("close"),
+                                 F.concat("lacks", "has").alias("rest")), "near-rests")
+    far = ~F.col("close")
+    blocks = lambda which: F.ceil(F.greatest(
+        F.sum(which.cast("long")) / BLOCK, F.sum(F.when(which, F.size("rest"))) / BLOCK_SHINGLES)).cast("int")
+    of = rests.groupBy("g").agg(blocks(far).alias("nf"), F.greatest(blocks(F.col("close")), F.lit(1)).alias("nc"),
+                                F.sum(F.when(F.col("close"), F.col("copies"))).alias("close_copies"),
+                                F.min(F.when(F.col("close"), F.col("key"))).alias("least"))
+    of = written(of, "near-cut")
+    # close members link to each other
+    counted = rests.filter("close").join(of, "g").select(
+        "key", (F.col("close_copies") - F.col("copies")).alias("links"),
+        F.when(F.col("key") != F.col("least"), F.col("least")).alias("parent")).filter("links > 0")
+    # far members against all: blocks 0 to nf - 1 are far, the nc after them close
+    own = F.pmod(F.xxhash64("key"), F.when(far, F.col("nf")).otherwise(F.col("nc"))).cast("int") + F.when(far, 0).otherwise(F.col("nf"))
+    last = F.when(far, F.col("nf") + F.col("nc")).otherwise(F.col("nf")) - 1
+    placed = rests.join(of.filter("nf > 0"), "g").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), last)))
+    placed = placed.select("g", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"),
+                           (F.col("own") > F.col("other")).cast("int").alias("side"), "key", "copies", "f", "budget", "rest")
+    compared = placed.groupBy("g", "bi", "bj").applyInPandas(_compare, "key binary, links long, parent binary")
+    return written(counted.unionByName(compared), "near-blocks")
 
 
 def links(docs: DataFrame, table: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -272,15 +348,7 @@ def links(docs: DataFrame, table: DataFrame, text_col: str = "text") -> tuple[Da
     true = written(both.filter(near).withColumn("i", inter).filter(
         100 * F.col("i") >= THRESHOLD_PCT * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b", "ca", "cb"),
         "near-links")
-    # groups: block against block
-    grouped = sets.join(groups, "key").withColumn("h", F.xxhash64("key"))
-    cut = groups.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
-    blocks = grouped.join(cut, "g").withColumn("own", F.pmod("h", F.col("nb")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    blocks = blocks.select("g", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"),
-                           (F.col("own") > F.col("other")).cast("int").alias("side"), "key", "copies", "shingles")
-    inside = written(blocks.groupBy("g", "bi", "bj").applyInPandas(_compare, "key binary, links long, parent binary"),
-                     "near-blocks")
+    inside = _inside(sets.join(groups, "key"))
     edges = true.select("a", "b").unionByName(
         inside.filter("parent is not null").select(F.col("key").alias("a"), F.col("parent").alias("b")))
     count = true.select(F.col("a").alias("key"), F.col("cb").alias("links")).unionByName(
