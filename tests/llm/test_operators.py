@@ -274,9 +274,11 @@ def test_decontamination(spark, odd, none):
     df = clashing(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "doc_key", "item")
     want = {(i, k) for i, t in enumerate(texts) for k, x in enumerate(items) if x and brute_overlap(t, x)}
     assert len(want) >= 6
-    for block in (decontaminate.MAX_SEEDS, 20):  # one block, several
-        got = {(r["doc"]["doc_id"], r["item"]) for r in decontaminate.overlaps(df, bench, max_seeds=block).collect()}
-        assert got == want
+    twice = bench.unionByName(bench.selectExpr("item_id + 100 AS item_id", "text"))  # items with equal words are each reported
+    for most in (decontaminate.MAX_SEEDS, 20):  # tables that are broadcast, shuffled ones
+        rows = decontaminate.overlaps(df, twice, max_seeds=most, max_words=most).collect()
+        got = {(r["doc"]["doc_id"], r["item"]) for r in rows}
+        assert got == want | {(i, k + 100) for i, k in want} and len({(*r["doc"], r["item"], r["at"]) for r in rows}) == len(rows)
     clean = decontaminate.clean(df, bench)
     assert {r["doc_id"] for r in clean.collect()} == set(range(len(texts))) - {i for i, _ in want}
     assert clean.columns == df.columns

@@ -10,11 +10,13 @@ where the windows meet.  Along that diagonal all words are compared, and the
 text overlaps the item if some stretch of ``STRETCH`` item words (or the whole
 item, if shorter) has at least ``SAME_PCT`` percent equal words.
 
-The benchmark's hashes are taken in blocks of at most ``MAX_SEEDS`` (they are
-counted first); a larger benchmark takes more passes, not more memory.  A bit
-set of the block passes over nearly all windows where they are made; the others
-are looked up in the block's broadcast table and compared at once.  The texts
-are never shuffled, and only those that overlap leave the stage.
+The benchmark's hashes are a written table of (item, place, seed).  A bit set of at
+most ``MOST_BITS`` passes over nearly all windows where they are made; the others
+are looked up in the seeds, which are broadcast up to ``MAX_SEEDS`` rows of fixed
+length; beyond, the windows' hashes (without their texts) are shuffled to them and
+the texts with a hit are read again.  The words of the items are joined to the hits
+afterwards: broadcast while all items together have at most ``MAX_WORDS`` words,
+shuffled beyond.  The texts are read once, or twice, whatever the benchmark's size.
 
 Defined results: null, empty and wordless texts and items overlap nothing;
 items of fewer than ``SEEDED`` words are looked up as they stand, if they
@@ -42,7 +44,7 @@ CORE = "11001"
 STRETCH = 20
 SAME_PCT = 80
 MIN_ITEM = 5
-MAX_SEEDS = 500_000
+MAX_SEEDS, MAX_WORDS = 500_000, 4_000_000
 BETWEEN = r"""[\x20\x09-\x0D.,;:!?"'()\[\]{}<>|*#$%&_-]+"""
 #: Bits of the filter for each seed, and the least and most of them all (8 MB).
 BITS_A_SEED, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 26
@@ -84,12 +86,12 @@ def _bits(seeds_of: DataFrame) -> tuple[int, DataFrame]:
                                     lambda x: x["b"]).alias("bits"))  # MOST_BITS at most
 
 
-def _may_hit(part: DataFrame, short: list[str]):
+def _may_hit(table: DataFrame, short: list[str]):
     """Columns that hold the bit sets, and a test (h, i) whether a window that
-    begins at ``i`` can be among the block's seeds (at the text's end it also
-    holds for some that can't)."""
-    n, bits = _bits(part)
-    core_n, core_bits = _bits(part.filter(F.size("words") >= SEEDED).select(_window(F.col("words"), F.col("ip"), CORE).alias("seed")))
+    begins at ``i`` can be among the seeds (at the text's end it also holds for
+    some that can't)."""
+    n, bits = _bits(table)
+    core_n, core_bits = _bits(table.filter("core is not null").select(F.col("core").alias("seed")))
 
     def among(h: Column, i: Column, mask: str, n: int, bits: str) -> Column:
         return let(F.pmod(_window(h, i, mask), F.lit(n)), lambda at: F.getbit(
@@ -115,7 +117,8 @@ def _best(same: Column) -> Column:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text: str = "text",
-             item_id: str = "item_id", max_seeds: int = MAX_SEEDS) -> DataFrame:
+             item_id: str = "item_id", max_seeds: int = MAX_SEEDS,
+             max_words: int = MAX_WORDS) -> DataFrame:
     """Rows (doc: the document's columns but its text as a struct, doc_key, item,
     at, equal, of): one for each diagonal along which a document overlaps an item;
     ``at`` is the text's word that the item's first word lies on."""
@@ -126,30 +129,32 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
     own = F.when(F.size("words") >= SEEDED, let(F.col("words"), partial(seeds, masks=list(MASKS))))
     for n in short:
         own = own.when(F.size("words") == n, let(F.col("words"), partial(seeds, masks=["1" * n])))
-    table = items.select("item", "words", F.explode(own).alias("x")).select(
-        "item", "words", F.col("x.p").alias("ip"), F.col("x.seed").alias("seed"))
-    blocks = -(-max(1, table.count()) // max_seeds)
-    table = table.withColumn("block", F.pmod("seed", F.lit(blocks)))
+    items = written(items.filter(F.size("words") >= MIN_ITEM).withColumn("item_no", F.xxhash64("words")), "benchmark-items")
+    table = written(items.dropDuplicates(["words"]).select("item_no", "words", F.explode(own).alias("x")).select(
+        "item_no", F.col("x.p").alias("ip"), F.col("x.seed").alias("seed"),
+        F.when(F.size("words") >= SEEDED, _window(F.col("words"), F.col("x.p"), CORE)).alias("core")), "benchmark-seeds")
+    sets, may_hit = _may_hit(table, masks[len(MASKS):])
     text = docs.select(F.struct(*[c for c in docs.columns if c != text_col]).alias("doc") if len(docs.columns) > 1
                        else F.struct(F.lit(None).cast("string").alias("_")).alias("doc"),
                        text_key(F.col(text_col)).alias("doc_key"), tokens(F.col(text_col)).alias("h"))
-    out = None
-    for k in range(blocks):
-        part = table.filter(F.col("block") == k).drop("block")
-        sets, may_hit = _may_hit(part, masks[len(MASKS):])
-        near = text.withColumns(sets).withColumn("p", let(F.col("h"), lambda h: F.filter(
-            F.sequence(F.lit(0), F.size(h) - 1), lambda i: may_hit(h, i))))
-        near = near.drop(*sets).filter(F.size("p") > 0).withColumn("p", F.explode("p"))
-        windows = near.select("doc", "doc_key", "h", "p", F.explode(let(F.struct("h", "p"), lambda x: F.array(
-            *[F.when(F.size(x["h"]) - x["p"] >= len(m), _window(x["h"], x["p"], m)) for m in masks]))).alias("w"))
-        hit = windows.join(F.broadcast(part), F.col("w") == F.col("seed"))  # max_seeds rows at most
-        hit = hit.withColumn("at", F.col("p") - F.col("ip"))
-        same = let(F.col("h"), lambda h: let(F.col("words"), lambda ws: F.transform(ws, lambda x, j: F.when(
-            (j + F.col("at") >= 0) & (F.get(h, F.greatest(j + F.col("at"), F.lit(0))) == x), 1).otherwise(0))))
-        hit = hit.withColumn("best", let(same, _best)).filter(
-            100 * F.col("best.equal") >= SAME_PCT * F.col("best.of"))
-        rows = hit.select("doc", "doc_key", "item", "at", "best.equal", "best.of")
-        out = rows if out is None else out.unionByName(rows)
+    near = text.withColumns(sets).withColumn("p", let(F.col("h"), lambda h: F.filter(
+        F.sequence(F.lit(0), F.size(h) - 1), lambda i: may_hit(h, i))))
+    near = near.drop(*sets).filter(F.size("p") > 0).withColumn("p", F.explode("p"))
+    windows = near.select("doc", "doc_key", "h", "p", F.explode(let(F.struct("h", "p"), lambda x: F.array(
+        *[F.when(F.size(x["h"]) - x["p"] >= len(m), _window(x["h"], x["p"], m)) for m in masks]))).alias("w"))
+    own_seeds, at = table.drop("core"), (F.col("p") - F.col("ip")).alias("at")
+    if table.count() <= max_seeds:
+        hit = windows.join(F.broadcast(own_seeds), F.col("w") == F.col("seed")).select("doc", "doc_key", "h", "item_no", at)
+    else:
+        found = windows.select("doc_key", "p", "w").join(own_seeds, F.col("w") == F.col("seed"))
+        hit = text.join(found.select("doc_key", "item_no", at).distinct(), "doc_key")
+    total = items.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
+    hit = hit.join(F.broadcast(items) if total <= max_words else items, "item_no")
+    same = let(F.col("h"), lambda h: let(F.col("words"), lambda ws: F.transform(ws, lambda x, j: F.when(
+        (j + F.col("at") >= 0) & (F.get(h, F.greatest(j + F.col("at"), F.lit(0))) == x), 1).otherwise(0))))
+    hit = hit.withColumn("best", let(same, _best)).filter(
+        100 * F.col("best.equal") >= SAME_PCT * F.col("best.of"))
+    out = hit.select("doc", "doc_key", "item", "at", "best.equal", "best.of")
     return out.groupBy("doc", "doc_key", "item", "at").agg(F.max("equal").alias("equal"), F.max("of").alias("of"))
 
 
