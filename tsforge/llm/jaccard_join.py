@@ -58,6 +58,8 @@ TREES, MAX_DEPTH, RECALL = 24, 10, 0.9995
 SMALL = 24
 #: Members of a block of a large group, and the shingles of their rests, on the mean at most.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
+#: Shingles of all cores together up to which they are broadcast (32 MB).
+CORE_SHINGLES = 1 << 22
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -285,10 +287,14 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
 def _inside(members: DataFrame) -> DataFrame:
     """Written table (key, links, parent) of the links inside groups, from members
     (g, key, copies, shingles): a key may have several rows, whose links add up."""
-    sizes = members.groupBy("g").agg(F.count("*").alias("m"))
-    held = members.select("g", F.explode("shingles").alias("s")).groupBy("g", "s").agg(F.count("*").alias("h"))
-    core = held.join(sizes, "g").filter(2 * F.col("h") > F.col("m")).groupBy("g").agg(
+    sizes = written(members.groupBy("g").agg(F.count("*").alias("m")), "near-sizes")
+    # the size travels with the members: only the core's shingles meet by group, never all of a group's
+    held = members.join(small_side(sizes), "g").select("g", "m", F.explode("shingles").alias("s"))
+    core = held.groupBy("g", "m", "s").agg(F.count("*").alias("h")).filter(2 * F.col("h") > F.col("m")).groupBy("g").agg(
         F.collect_list("s").alias("core"))  # at most twice the mean size of a member
+    core = written(core, "near-cores")
+    if (core.agg(F.sum(F.size("core")).alias("n")).first()["n"] or 0) <= CORE_SHINGLES:
+        core = F.broadcast(core)
     none = F.array().cast("array<long>")
     apart = members.join(core, "g", "left").withColumn("core", F.coalesce("core", none)).select(
         "g", "key", "copies", F.array_except("core", "shingles").alias("lacks"),
@@ -302,7 +308,7 @@ def _inside(members: DataFrame) -> DataFrame:
     of = rests.groupBy("g").agg(blocks(far).alias("nf"), F.greatest(blocks(F.col("close")), F.lit(1)).alias("nc"),
                                 F.sum(F.when(F.col("close"), F.col("copies"))).alias("close_copies"),
                                 F.min(F.when(F.col("close"), F.col("key"))).alias("least"))
-    of = written(of, "near-cut")
+    of = small_side(written(of, "near-cut"))
     # close members link to each other
     counted = rests.filter("close").join(of, "g").select(
         "key", (F.col("close_copies") - F.col("copies")).alias("links"),
