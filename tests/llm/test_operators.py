@@ -536,6 +536,38 @@ def test_language_model_states_grow(spark, none):
     assert lm_score.score(none, model, counts).count() == 0
 
 
+def test_language_model_keeps_rare_ngrams_at_any_size(spark, monkeypatch):
+    """Words and n-grams that occur twice count in 90,000 tokens as in 90; buckets, dealt contexts and
+    the number of slices change nothing."""
+    rng = random.Random(15)
+    words = ["The"] + [f"w{i}" for i in range(400)]
+    weights = [60, *(1 / (i + 1) for i in range(400))]
+    rows = [(i, " ".join(rng.choices(words, weights, k=rng.randint(0, 400))), "a") for i in range(430)]
+    rows += [(2000 + i, "once the pair of rare words", "a") for i in range(2)] + [(3000, "never seen the rare words", "a"), (None, None, "b")]
+    df = clashing(spark.createDataFrame(rows, SCHEMA), "score", "n_tokens")
+    is_train = (F.col("doc_id") % 10 != 0) | (F.col("doc_id") == 2000)
+    toks = lambda t: (t or "").encode().lower().split() + [b"\n"]
+    train = [toks(t) for i, t, _ in rows if i is not None and (i % 10 or i == 2000)]
+    c = Counter(w for t in train for w in t)
+    n, v = sum(c.values()), len(c)
+    assert n > 60000
+    weigh, _ = brute_model(train, c, n, v, 1, 2)
+    want = {i: weigh(toks(t)) for i, t, _ in rows}
+    for places, size in ((1_000_000, 2000), (1500, 37)):
+        monkeypatch.setattr(lm_score, "PLACES", places, raising=False)
+        monkeypatch.setattr(lm_score, "SLICE", size, raising=False)
+        model, counts = lm_score.train(df, is_train)
+        got = {r["doc_id"]: r for r in lm_score.score(df, model, counts).collect()}
+        assert len(got) == len(rows)
+        for i, t, _ in rows:
+            assert got[i]["_score"] == pytest.approx(want[i], abs=1e-8)
+            assert got[i]["_n_tokens"] == len(toks(t)) and got[i]["n_known"] == sum(c[w] > 0 for w in toks(t))
+    # texts other than those trained on
+    other = df.filter("doc_id >= 3000 or doc_id is null or doc_id % 10 = 0").select("text", "doc_id")
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(other, model, counts).collect()}
+    assert got == pytest.approx({i: want[i] for i in got}, abs=1e-8) and len(got) == 46
+
+
 # ---------------------------------------------------------------- 10 rule ensemble
 
 
