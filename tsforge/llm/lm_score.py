@@ -19,8 +19,8 @@ state before each place follows from the one before it, and log probabilities ar
 
 Buckets hold about PLACES tokens' n-grams each, so there are more of them as the corpus
 grows; contexts with very frequent words are dealt over several by the next word.
-Contexts are compared by 56 bits of a digest within a bucket that other bits choose, the
-words after a context by 48.
+Words are told apart by a digest of 64 bits, contexts by 56 bits within a bucket that other
+bits choose, the words after a context by 48.
 Word counts, slices and answers are written to the shared folder; the driver holds the
 sums of the word counts and the words that are dealt over buckets (at most 1/8 of
 the number of buckets).
@@ -47,7 +47,7 @@ from itertools import count as numbers
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -258,7 +258,7 @@ KEY, NEXT = (1 << 56) - 1, (1 << 48) - 1  # bits that tell contexts in a bucket
 
 
 def _digests(words: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join([blake2b(w, digest_size=16).digest() for w in words]), "<u8").reshape(-1, 2)
+    return np.frombuffer(b"".join([blake2b(w, digest_size=8).digest() for w in words]), "<u8")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -342,7 +342,8 @@ class Slice:
         self.ids = _unpack(ids, 0, len(ids) // 4, 4) - 2
         self.first = np.concatenate([[0], np.flatnonzero(self.ids == -2)[:-1] + 1])
         self.own = np.repeat(np.frombuffer(own, np.int8).astype(float), np.diff(np.append(self.first, len(self.ids))))
-        self.words = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        words = np.frombuffer(digests, "<u8")
+        self.words = np.stack([words, _mix(words ^ np.uint64(0xA0761D6478BD642F))], axis=1)
         self.m, self.buckets = len(self.words), buckets
         at = np.minimum(np.searchsorted(hot[0], self.words[:, 0]), max(0, len(hot[0]) - 1))
         self.parts = np.where(hot[0][at] == self.words[:, 0], hot[1][at], 1) if len(hot[0]) else np.ones(self.m, np.int64)
@@ -452,6 +453,14 @@ def _bucket(bodies: list[bytes], least: int) -> list[bytes]:
     return out
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs that no table refers to; it
+    does so when the driver collects garbage, and keeps the last job's until the next one."""
+    spark.range(1).count()
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _exact(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     """:func:`score` by slices and buckets."""
     n_c, k_c, b_c, s_c = fresh(docs.columns, "n_tokens", "n_known", "base_score", "score")
@@ -459,11 +468,12 @@ def _exact(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     n, v, order = model.n, model.v, model.order
     buckets = max(1, math.ceil(n / PLACES))
     top = model.words.filter(F.col("n") * buckets >= 8 * max(n, 1)).toArrow()
-    lead = _digests(top.column("word").to_pylist())[:, 0]
+    lead = _digests(top.column("word").to_pylist())
     by = np.argsort(lead)
     hot = lead[by], np.array(top.column("n").to_pylist(), dtype=np.int64)[by] * buckets // (4 * max(n, 1))
     discount, unseen = model.discount, model.root(0)
     same = docs is model.docs and text_col == model.text_col  # then texts are sliced once
+    released(docs.sparkSession)  # the word counts' shuffle
     table = written(sliced(docs, model.is_train if same else F.lit(False), text_col), "lm-slices")
     texts = table.select("sid", "own", "ids", "digests")
     if not same:
@@ -515,8 +525,7 @@ def _exact(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
         answers = new if answers is None else answers.unionByName(new)
         # the answers are written: what was asked needn't stay on the executors' disks
         del asks, new
-        gc.collect()
-        table.sparkSession._jvm.System.gc()
+        released(table.sparkSession)
 
     schema = T.StructType(list(rest))
     for name, kind in ((n_c, T.LongType()), (k_c, T.LongType()), (b_c, T.DoubleType()), (s_c, T.DoubleType())):
