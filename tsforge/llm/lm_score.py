@@ -13,7 +13,8 @@ contexts (words, then kept word pairs) with the words that follow them to bucket
 by the context's digest; a bucket adds up the training counts of all slices and answers each
 slice in its own order: how often a context occurs, how many kept arcs it has and what they
 add up to, and the count of each arc.  A slice's next order uses only n-grams that
-were kept, as an n-gram is only as frequent as its parts are.  With the answers a slice has the
+were kept, as an n-gram is only as frequent as its parts are, and asks nothing about those
+that no other slice has: it has all that follows them itself.  With the answers a slice has the
 states that its texts visit, and traverses each text once from left to right: the
 state before each place follows from the one before it, and log probabilities are added up.
 
@@ -348,6 +349,7 @@ class Slice:
         at = np.minimum(np.searchsorted(hot[0], self.words[:, 0]), max(0, len(hot[0]) - 1))
         self.parts = np.where(hot[0][at] == self.words[:, 0], hot[1][at], 1) if len(hot[0]) else np.ones(self.m, np.int64)
         #: of the present order: n-gram that ends at each place, digests, buckets over which each is dealt
+        #: (0: no other slice has it, so what follows it is counted here)
         self.at, self.keys, self.dealt = [np.full(len(self.ids), -1), self.ids], self.words, self.parts
         self.auto: Automaton | None = None
 
@@ -363,7 +365,9 @@ class Slice:
         start = np.cumsum(self.dealt) - self.dealt
         self.of = np.repeat(np.arange(len(self.dealt)), self.dealt)
         self.part = np.arange(len(self.of)) - start[self.of]
-        row = start[self.ctx] + (self.words[self.last, 1] % self.dealt[self.ctx].astype(np.uint64)).astype(np.int64)
+        sent = np.flatnonzero(self.dealt[self.ctx] > 0)
+        ctx = self.ctx[sent]
+        row = start[ctx] + (self.words[self.last[sent], 1] % self.dealt[ctx].astype(np.uint64)).astype(np.int64)
         self.asked = _mix(self.keys[self.of] + (self.part.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))[:, None])
         self.bucket = ((self.asked[:, 1] >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
         # contexts by bucket, then by the leading bits of their digests
@@ -372,13 +376,14 @@ class Slice:
         rank = np.empty(len(self.by), np.int64)
         rank[self.by] = np.arange(len(self.by))
         self.row = rank[row]
-        self.arcs_by = np.argsort(self.row, kind="stable")
+        self.arcs_by = sent[np.argsort(self.row, kind="stable")]
+        self.n = np.bincount(self.inverse, self.own[self.ok], len(self.codes)).astype(np.int64)
 
     def ask(self) -> list[tuple[int, bytes]]:
         """(bucket, contexts with the words that follow them), by bucket."""
         self.follow()
         s = self.at[-1]
-        n = np.bincount(self.inverse, self.own[self.ok], len(self.codes)).astype(np.int64)[self.arcs_by]
+        n = self.n[self.arcs_by]
         seen = np.bincount(s[s >= 0], self.own[s >= 0], len(self.dealt)).astype(np.int64)
         seen = np.where(self.part == 0, seen[self.of], 0)[self.by]
         keys, bucket = self.asked[self.by, 0] & np.uint64(KEY), self.bucket[self.by]
@@ -409,8 +414,12 @@ class Slice:
             self.auto = Automaton(root(seen))
         if self.auto.order == order:
             return
-        count = np.empty(len(self.codes))
-        count[self.arcs_by] = n
+        alone = self.dealt[self.ctx] == 0
+        count = np.where(alone & (self.n >= LEAST), self.n, 0)
+        arcs += np.bincount(self.ctx[count > 0], minlength=len(arcs))
+        taken += np.bincount(self.ctx, count, len(taken))
+        count[self.arcs_by] = n >> 1
+        alone[self.arcs_by] = n & 1
         kept = np.flatnonzero(count > 0)
         self.auto.grow(self.codes[kept], count[kept], self.context, taken, arcs)
         number = np.full(len(self.codes), -1)
@@ -420,12 +429,13 @@ class Slice:
         ctx, last = self.ctx[kept], self.last[kept]
         self.at.append(state)
         self.keys = _mix(self.keys[ctx] * np.uint64(0x9E3779B97F4A7C15) + self.words[last])
-        self.dealt, self.context = np.minimum(self.dealt[ctx], self.parts[last]), count[kept]
+        self.dealt = np.where(alone[kept], 0, np.minimum(self.dealt[ctx], self.parts[last]))
+        self.context = count[kept]
 
 
 def _bucket(bodies: list[bytes], least: int) -> list[bytes]:
     """Answers of a bucket to what slices asked: of each context the training count, kept arcs and
-    their summed count; of each arc the count (0: not kept)."""
+    their summed count; of each arc twice the count (0: not kept), plus 1 if no other slice has it."""
     bodies = [_swell(b) for b in bodies]
     size = [np.frombuffer(b, "<i8", 2).tolist() for b in bodies]
     part = [[], [], [], [], []]
@@ -444,6 +454,7 @@ def _bucket(bodies: list[bytes], least: int) -> list[bytes]:
     n[n < least] = 0
     of = of[first]
     arcs, taken = np.bincount(of[n > 0], minlength=total), np.bincount(of, n, total).astype(np.int64)
+    n = 2 * n + (np.bincount(inverse, minlength=len(first)) == 1)
     out, a, x = [], 0, 0
     for rows, k in size:
         own, its = which[a : a + rows], inverse[x : x + k]
