@@ -553,7 +553,7 @@ def test_language_model_keeps_rare_ngrams_at_any_size(spark, monkeypatch):
     assert n > 60000
     weigh, _ = brute_model(train, c, n, v, 1, 2)
     want = {i: weigh(toks(t)) for i, t, _ in rows}
-    for places, size in ((1_000_000, 2000), (1500, 37)):
+    for places, size, df in ((1_000_000, 2000, df.coalesce(1)), (1_000_000, 2000, df), (1500, 37, df)):
         monkeypatch.setattr(lm_score, "PLACES", places, raising=False)
         monkeypatch.setattr(lm_score, "SLICE", size, raising=False)
         model, counts = lm_score.train(df, is_train)

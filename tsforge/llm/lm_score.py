@@ -416,8 +416,8 @@ class Slice:
             return
         alone = self.dealt[self.ctx] == 0
         count = np.where(alone & (self.n >= LEAST), self.n, 0)
-        arcs += np.bincount(self.ctx[count > 0], minlength=len(arcs))
-        taken += np.bincount(self.ctx, count, len(taken))
+        arcs = arcs + np.bincount(self.ctx[count > 0], minlength=len(arcs))
+        taken = taken + np.bincount(self.ctx, count, len(taken))
         count[self.arcs_by] = n >> 1
         alone[self.arcs_by] = n & 1
         kept = np.flatnonzero(count > 0)
