@@ -568,6 +568,32 @@ def test_language_model_keeps_rare_ngrams_at_any_size(spark, monkeypatch):
     assert got == pytest.approx({i: want[i] for i in got}, abs=1e-8) and len(got) == 46
 
 
+def test_language_model_shuffles_answers_only(spark, monkeypatch):
+    """Slices are read where they lie when answers come to them: a second copy in the shuffle took the
+    disk over its limit.  No table stays in the catalog, and a session's later partitions change nothing."""
+    rng = random.Random(16)
+    rows = [(i, " ".join(rng.choices(["the", "cat", "sat", "on", "a", "mat"], k=rng.randint(0, 60))), "a") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(lm_score, "SLICE", 40)
+    monkeypatch.setattr(lm_score, "PLACES", 2000)
+    before = {t.name for t in spark.catalog.listTables()}
+    model, counts = lm_score.train(df, F.lit(True))
+    out = lm_score.score(df, model, counts)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(sid") == 1
+    c = Counter(w for _, t, _ in rows for w in [*t.encode().split(), b"\n"])
+    weigh, _ = brute_model([[*t.encode().split(), b"\n"] for _, t, _ in rows], c, sum(c.values()), len(c), 1, 2)
+    want = {i: weigh([*t.encode().split(), b"\n"]) for i, t, _ in rows}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for k in (partitions, "7", "2"):
+        spark.conf.set("spark.sql.shuffle.partitions", k)
+        try:
+            got = {r["doc_id"]: r["score"] for r in out.select("*").collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        assert got == pytest.approx(want, abs=1e-8)
+
+
 # ---------------------------------------------------------------- 10 rule ensemble
 
 

@@ -61,6 +61,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """:func:`written` with the rows of a key in one of as many buckets as a shuffle has
+    partitions: grouping by the key reads a bucket a task and doesn't shuffle the table again."""
+    spark = df.sparkSession
+    at = f"{name}-{uuid.uuid4().hex}"
+    called = at.replace("-", "_")
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)  # as many as Spark allows
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{at}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(called)
+    out = spark.table(called)
+    spark.sql(f"DROP TABLE {called}")  # the name alone: files at a given path stay
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables of :func:`written` that nothing reads any more."""
     for df in tables:

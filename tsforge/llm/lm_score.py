@@ -22,7 +22,8 @@ Buckets hold about PLACES tokens' n-grams each, so there are more of them as the
 grows; contexts with very frequent words are dealt over several by the next word.
 Words are told apart by a digest of 64 bits, contexts by 56 bits within a bucket that other
 bits choose, the words after a context by 48.
-Word counts, slices and answers are written to the shared folder; the driver holds the
+Word counts, slices and answers are written to the shared folder, slices in buckets by their
+number, so that only answers move when a slice meets them; the driver holds the
 sums of the word counts and the words that are dealt over buckets (at most 1/8 of
 the number of buckets).
 
@@ -52,7 +53,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsforge.llm.common import fresh, slices, written
+from tsforge.llm.common import bucketed, fresh, slices, written
 
 ORDER = 3
 #: An n-gram that occurs so often in training is kept.
@@ -485,7 +486,7 @@ def _exact(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     discount, unseen = model.discount, model.root(0)
     same = docs is model.docs and text_col == model.text_col  # then texts are sliced once
     released(docs.sparkSession)  # the word counts' shuffle
-    table = written(sliced(docs, model.is_train if same else F.lit(False), text_col), "lm-slices")
+    table = bucketed(sliced(docs, model.is_train if same else F.lit(False), text_col), "lm-slices", "sid")
     texts = table.select("sid", "own", "ids", "digests")
     if not same:
         own = model.docs.filter(model.is_train).select(F.col(model.text_col).alias("text"))
