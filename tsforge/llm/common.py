@@ -66,7 +66,7 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     partitions: grouping by the key reads a bucket a task and doesn't shuffle the table again."""
     spark = df.sparkSession
     at = f"{name}-{uuid.uuid4().hex}"
-    called = at.replace("-", "_")
+    called = f"spark_catalog.default.{at.replace('-', '_')}"
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)  # as many as Spark allows
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{at}"
     df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(called)
