@@ -147,14 +147,15 @@ def word_counts(docs: DataFrame, train: Column, text_col: str = "text") -> DataF
 
         for b in slices(batches, 2000):
             c: Counter = Counter()
+            others: set[bytes] = {END}
             for text, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if own:
                     c.update(words_of(text))
                     c[END] += 1
                 else:
-                    for w in words_of(text):
-                        c[w] += 0
-                    c[END] += 0
+                    others.update(words_of(text))
+            for w in others:
+                c.setdefault(w, 0)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())],
                                              names=["word", "n"])
 
@@ -272,12 +273,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _pack(a: np.ndarray, width: int) -> bytes:
     """Numbers as ``width`` bytes, all first bytes first: equal ones lie together and compress well."""
-    return a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    a = a.astype("<u8", copy=False)
+    return b"".join([(a >> np.uint64(8 * i)).astype(np.uint8).tobytes() for i in range(width)])
 
 
 def _unpack(body: bytes, at: int, n: int, width: int) -> np.ndarray:
     out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(body, np.uint8, n * width, at).reshape(width, n).T
+    for i in range(width):
+        out[:, i] = np.frombuffer(body, np.uint8, n, at + i * n)
     return out.view("<i8").ravel()
 
 
@@ -377,7 +380,7 @@ class Slice:
         rank = np.empty(len(self.by), np.int64)
         rank[self.by] = np.arange(len(self.by))
         self.row = rank[row]
-        self.arcs_by = sent[np.argsort(self.row, kind="stable")]
+        self.arcs_by = sent[np.argsort(self.row * len(sent) + np.arange(len(sent)))]  # stable, as no two are equal
         self.n = np.bincount(self.inverse, self.own[self.ok], len(self.codes)).astype(np.int64)
 
     def ask(self) -> list[tuple[int, bytes]]:
